@@ -11,7 +11,8 @@ from .tables import Tables, with_ctes
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
-MODULES = ("projections", "joins", "aggregations", "windows", "ordering", "scalars")
+MODULES = ("projections", "joins", "aggregations", "windows", "ordering", "scalars",
+           "sources", "sinks", "loads", "quality", "streams", "models")
 
 
 def query(name: str, sql: str | None = None, feeds: str = ""):

@@ -34,9 +34,9 @@ def csv_sampled(spark: SparkSession, paths: str | Sequence[str], share: float =
 
 def month_paths(root: str, feed: str, years: Iterable[int], months: Iterable[int] = range(1, 13),
                 suffix: str = "csv.gz") -> list[str]:
-    """``root/feed/yyyy/MM/*.suffix`` for every month, in order."""
+    """``root/feed/year=yyyy/month=MM/*.suffix`` for every month, in order."""
     months = list(months)
-    return [f"{root.rstrip('/')}/{feed}/{y:04d}/{m:02d}/*.{suffix}" for y in years for m in months]
+    return [f"{root.rstrip('/')}/{feed}/year={y:04d}/month={m:02d}/*.{suffix}" for y in years for m in months]
 
 
 def csv_months(spark: SparkSession, root: str, feed: str, years: Iterable[int],
@@ -88,12 +88,13 @@ def external_parquet(spark: SparkSession, view: str, *paths: str) -> DataFrame:
     return df
 
 
-def json_array(spark: SparkSession, path: str, field: str | None = None) -> DataFrame:
-    """Whole-file JSON: a top-level array, or the array under ``field``, as rows.
+def json_array(spark: SparkSession, path: str, field: str | None = None, whole_files: bool = True) -> DataFrame:
+    """A top-level array, or the array under ``field``, as rows.
 
-    Each file is one record to the JSON reader, so a table should be many files.
+    With ``whole_files`` each file is one document, which one task parses: a table should be
+    many files. Otherwise each line is a document.
     """
-    df = spark.read.option("multiLine", True).json(path)
+    df = spark.read.option("multiLine", whole_files).json(path)
     return df.select(F.inline(field)) if field else df
 
 
