@@ -11,6 +11,7 @@ from ..operators import loads, nested
 from ..plans import staging
 from ..schemas import YELLOW
 from ..sources import readers
+from ..sources.writers import by_size
 from .registry import query
 from .scalars import HASHED, UP, hash_parts
 from .sources import monthly_files, yellow_rows
@@ -27,7 +28,7 @@ def landed(df, filename):
        GROUP BY 1, 2""", "trips")
 def stage_and_stamp(t):
     path = t.scratch("landing")
-    yellow_rows(t).withColumn("month", F.date_format(UP, "MM")).repartition("month").write.partitionBy("month").parquet(path)
+    by_size(yellow_rows(t).withColumn("month", F.date_format(UP, "MM")), "month").write.partitionBy("month").parquet(path)
     staged = landed(t.spark.read.parquet(path), F.regexp_extract(F.col("_metadata.file_path"), "(month=[0-9]+)", 1))
     table = loads.Table(t.spark, t.scratch("staging"))
     for _ in range(2):  # truncate and load
@@ -43,12 +44,12 @@ ID = f"md5({HASHED})"
        SELECT id, fare_amount FROM s WHERE id NOT IN (SELECT id FROM old)""", "trips")
 def insert_only_merge(t):
     """Half of the feed is loaded first; the whole feed then adds only unknown ids. A rerun adds nothing."""
-    feed = landed(yellow_rows(t), F.lit("feed")).select("unique_row_id", "fare_amount", "passenger_count")
+    feed = landed(yellow_rows(t), F.lit("feed")).select("unique_row_id", "fare_amount", "passenger_count", UP)
     table = loads.Table(t.spark, t.scratch("trips"))
-    loads.append_missing(table, feed.filter("passenger_count < 4"), "unique_row_id")
+    loads.append_missing(table, feed.filter("passenger_count < 4"), "unique_row_id", UP)
     for _ in range(2):
-        loads.append_missing(table, feed, "unique_row_id")
-    return table.read().drop("passenger_count")
+        loads.append_missing(table, feed, "unique_row_id", UP)
+    return table.read().select("unique_row_id", "fare_amount")
 
 
 NEW = "SELECT o_orderkey, 'X' AS o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT'"
@@ -185,7 +186,7 @@ def month_set(t):
     feed = landed(readers.csv_typed(t.spark, paths, YELLOW), F.col("_metadata.file_name"))
     table = loads.Table(t.spark, t.scratch("trips"))
     for _ in range(2):
-        loads.append_missing(table, feed, "unique_row_id")
+        loads.append_missing(table, feed, "unique_row_id", UP)
     ids = table.read().select(F.date_format(UP, "yyyy-MM").alias("month"), "unique_row_id").distinct()
     return ids.groupBy("month").agg(ROWS.alias("ids"))
 
@@ -208,7 +209,7 @@ def month_table(t):
 def validated_copy(t):
     """Many files checked and copied in one job, with rows per file set before and after."""
     source, target = t.scratch("upload"), t.scratch("bucket")
-    t.orders.withColumn("y", F.date_format("o_orderdate", "yyyy")).repartition("y").write.partitionBy("y").parquet(source)
+    by_size(t.orders.withColumn("y", F.date_format("o_orderdate", "yyyy")), "y").write.partitionBy("y").parquet(source)
     files = t.spark.read.option("basePath", source).parquet(f"{source}/y=*")
     files.write.partitionBy("y").parquet(target)
     count = lambda path, name: t.spark.read.parquet(path).groupBy(F.col("y").cast("string").alias("year")).agg(ROWS.alias(name))

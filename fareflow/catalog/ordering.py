@@ -9,6 +9,7 @@ from ..operators import joins
 from ..operators.dedup import top_k
 from ..plans import staging
 from ..sources import readers
+from ..sources.writers import by_size
 from .registry import query
 
 ROWS = F.count(F.lit(1))
@@ -95,7 +96,7 @@ def concatenated_months(t):
     """One file set per month, read back as one table by a list of paths."""
     path = t.scratch("months")
     parts = t.orders.withColumns({"y": F.date_format("o_orderdate", "yyyy"), "m": F.date_format("o_orderdate", "MM")})
-    parts.repartition("y", "m").write.partitionBy("y", "m").parquet(path)
+    by_size(parts, "y", "m").write.partitionBy("y", "m").parquet(path)
     months = t.spark.read.parquet(f"{path}/*/*")
     return months.groupBy(F.year("o_orderdate").cast("long").alias("year"), F.month("o_orderdate").cast("long").alias("month")
                           ).agg(ROWS.alias("n"), C.exact_sum("o_totalprice").alias("total"))

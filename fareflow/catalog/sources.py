@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..schemas import GREEN, YELLOW
 from ..sources import messages, readers
+from ..sources.writers import by_size
 from .registry import query
 
 ROWS = F.count(F.lit(1))
@@ -55,7 +56,7 @@ def monthly_files(t):
     """Gzipped files in one folder per month."""
     root = t.scratch("raw")
     month = {"year": F.date_format("tpep_pickup_datetime", "yyyy"), "month": F.date_format("tpep_pickup_datetime", "MM")}
-    (yellow_rows(t).withColumns(month).repartition("year", "month").write.partitionBy("year", "month")
+    (by_size(yellow_rows(t).withColumns(month), "year", "month").write.partitionBy("year", "month")
      .options(header=True, compression="gzip", timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(f"{root}/yellow"))
     return root
 
@@ -72,7 +73,7 @@ def gzipped_months(t):
 def parquet_glob(t):
     path = t.scratch("pq")
     df = green_rows(t).withColumns({"y": F.year("lpep_pickup_datetime"), "m": F.month("lpep_pickup_datetime")})
-    df.repartition("y", "m").write.partitionBy("y", "m").parquet(path)
+    by_size(df, "y", "m").write.partitionBy("y", "m").parquet(path)
     return by_zone(readers.parquet(t.spark, f"{path}/*/*"), "lpep_pickup_datetime")
 
 
@@ -189,9 +190,8 @@ def scan_with_limit(t):
 @query("s23_partition_listing", "SELECT CAST(o_orderdate AS DATE) AS partition_id, count(*) AS total_rows FROM orders GROUP BY 1 ORDER BY 2 DESC, 1")
 def partition_listing(t):
     path = t.scratch("by_day")
-    # One file per day; days are many, rows per day few.
     days = t.orders.withColumn("day", F.to_date("o_orderdate"))
-    days.repartition("day").write.partitionBy("day").parquet(path)
+    by_size(days, "day").write.partitionBy("day").parquet(path)
     return readers.partition_listing(t.spark.read.parquet(path), "day")
 
 

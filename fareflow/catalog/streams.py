@@ -254,7 +254,7 @@ def event_time_table(t):
 
 @query("k13_console", "SELECT event_type, count(*) AS count FROM events GROUP BY 1")
 def console_sink(t):
-    """The console gets the stream's final counts; the same stream's table is returned."""
+    """The counts that the console sink prints, as a table."""
     return sinks.newest_result(windows.running_count(t.stream("events"), ["event_type"]), t.scratch("out"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import staging
-from ..session import fresh_path, is_folder
+from ..session import fresh_path, is_folder, tune
 from ..sources import messages
 
 # Expressions that mean the same in both dialects.
@@ -59,7 +59,7 @@ class Tables:
     """The given tables by name, and the trip feeds built on them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.dir = spark, sf_dir.rstrip("/")
+        self.spark, self.dir = tune(spark), sf_dir.rstrip("/")
 
     def path(self, name: str) -> str:
         return f"{self.dir}/{name}.parquet"

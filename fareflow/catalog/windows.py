@@ -142,7 +142,12 @@ SESSIONS = """gaps AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITIO
 
 @query("w14_longest_streak", f"WITH {SESSIONS} SELECT * FROM sessions ORDER BY rides DESC, user_id, started LIMIT 1")
 def longest_streak(t):
-    """Session windows merge from partial sessions, so a hot key is not held as rows."""
-    runs = t.events.groupBy(F.session_window(C.instant("ts"), "3 hours").alias("w"), "user_id").agg(F.count("*").alias("rides"))
-    out = runs.select("user_id", F.col("w.start").cast(C.NTZ).alias("started"), "rides")
+    runs = ordered.sessions(t.events, ["user_id"], "ts", 3 * 3600, ["event_id"])
+    out = runs.select("user_id", F.col("session_start").alias("started"), F.col("count").alias("rides"))
     return dedup.top_k(out, ["-rides", "user_id", "started"], 1)
+
+
+@query("w14_all_streaks", f"WITH {SESSIONS} SELECT user_id, started, rides FROM sessions")
+def all_streaks(t):
+    runs = ordered.sessions(t.events, ["user_id"], "ts", 3 * 3600, ["event_id"])
+    return runs.select("user_id", F.col("session_start").alias("started"), F.col("count").alias("rides"))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:

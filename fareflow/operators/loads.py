@@ -84,11 +84,22 @@ def append(table: Table, df: DataFrame) -> DataFrame:
     return table.append(df)
 
 
-def append_missing(table: Table, source: DataFrame, key: str) -> DataFrame:
-    """``insert_only`` into a stored table: only the new rows are written."""
+def append_missing(table: Table, source: DataFrame, key: str, within: str | None = None) -> DataFrame:
+    """``insert_only`` into a stored table: only the new rows are written.
+
+    ``within`` names a column that is part of the key, such as the pickup time: the target is
+    then read only in the source's range of it (two values that reach the scan as filters).
+    """
     if not table.exists():
         return table.append(source)
-    return table.append(source.join(table.read().select(key), key, "left_anti").select(*source.columns))
+    known = table.read()
+    if within:
+        low, high = source.agg(F.min(within), F.max(within)).first()
+        if low is not None:
+            open_ended = source.filter(F.col(within).isNull()).limit(1)
+            inside = F.col(within).between(F.lit(low), F.lit(high))
+            known = known.filter(inside if open_ended.isEmpty() else inside | F.col(within).isNull())
+    return table.append(source.join(known.select(key), key, "left_anti").select(*source.columns))
 
 
 def insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFrame:

@@ -8,7 +8,8 @@ over fixed-size chunks of consecutive numbers:
 * ``framed``       frames reaching a fixed number of rows back or ahead (lag, lead, moving
                    averages): each chunk also gets copies of its neighbours' edge rows;
 * ``running``      prefix sums, counts and maxima: chunk totals are added to local ones;
-* ``ranked``       rank and dense_rank, from the two above.
+* ``ranked``       rank and dense_rank, from the two above;
+* ``sessions``     runs of rows with no long gap, from the two above.
 
 Top-k filters per group do not need this: for ``row_number() <= k`` Spark prunes to k rows
 per group and task before the shuffle.
@@ -164,3 +165,25 @@ def lag_lead(
         following: lambda w: F.lead(value, offset).over(w),
     }, before=offset, ahead=offset, chunk_rows=chunk_rows)
     return rows.drop(RN)
+
+
+def sessions(
+    df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int, tiebreak: Sequence[str],
+    chunk_rows: int | None = None,
+) -> DataFrame:
+    """Runs of rows less than ``gap_seconds`` apart: start, end and row count of each run.
+
+    Same sessions as ``session_window``, but a hot key is split over tasks: rows are numbered,
+    each is compared with the one before, and the running count of breaks names the run.
+    """
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    rows = number_rows(df.select(*keys, ts, *[c for c in tiebreak if c not in keys]).withColumn("_t", micros),
+                       keys, ["_t", *tiebreak])
+    rows = framed(rows, keys, {"_break": lambda w: (
+        (F.row_number().over(w) == 1) | (F.col("_t") - F.lag("_t").over(w) >= gap_seconds * 1_000_000)
+    ).cast("long")}, before=1, chunk_rows=chunk_rows)
+    rows = running(rows, keys, sums={"_run": "_break"}, chunk_rows=chunk_rows)
+    runs = rows.groupBy(*keys, "_run").agg(
+        F.min(ts).alias("session_start"), F.max(ts).alias("last"), F.count(F.lit(1)).alias("count"))
+    return runs.select(*keys, "session_start",
+                       (F.col("last") + F.make_dt_interval(secs=F.lit(gap_seconds))).alias("session_end"), "count")

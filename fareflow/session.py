@@ -15,7 +15,9 @@ SETTINGS = {
     # Split a hot join key even where that costs one more exchange above the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Join the rows of a session within each task before they are shuffled.
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # State of long windows and joins lives on disk, not on the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -31,6 +33,14 @@ def builder(name: str = "fareflow", master: str | None = None) -> SparkSession.B
     return b
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Give a session that was made elsewhere the settings that can still change."""
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key) and spark.conf.get(key) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 

@@ -41,26 +41,29 @@ def create_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).parquet(path)
 
 
-def write_by_date(
-    df: DataFrame, path: str, ts: str, cluster: Sequence[str] = (), mode: str = "overwrite",
-    files_per_date: int = 1, partition: str = "day",
-) -> None:
+def write_by_date(df: DataFrame, path: str, ts: str, cluster: Sequence[str] = (), mode: str = "overwrite",
+                  partition: str = "day") -> None:
     """Partitioned by the date of ``ts``, rows sorted by ``cluster`` inside each file.
 
-    Rows of a date go to ``files_per_date`` tasks: by range of the cluster columns if there
-    are any, so that each file covers a narrow range and others can be skipped; else by row hash.
+    With cluster columns, tasks take ranges of (date, cluster columns), so that each file covers
+    a narrow range and readers can skip the others; without, adaptive execution groups rows
+    by date into evenly sized tasks. Either way a date with many rows is split.
     """
     dated = df.withColumn(partition, F.to_date(ts))
     if cluster:
-        dated = dated.withColumn("_salt", F.xxhash64(*df.columns))
-        dated = dated.repartitionByRange(partition, *cluster, "_salt").drop("_salt")
+        dated = dated.withColumn("_spread", F.xxhash64(*df.columns))
+        dated = dated.repartitionByRange(partition, *cluster, "_spread").drop("_spread")
         dated = dated.sortWithinPartitions(partition, *cluster)
     else:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_date))
-        dated = dated.repartition(partition, spread)
+        dated = by_size(dated, partition)
     dated.write.mode(mode).partitionBy(partition).parquet(path)
 
 
+def by_size(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows grouped by columns for a partitioned write; large groups are split, small ones merged."""
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
 def read_by_date(spark: SparkSession, path: str, first: str, last: str, partition: str = "day") -> DataFrame:
     """Dates first..last, both included, by partition pruning."""
     day = F.col(partition)

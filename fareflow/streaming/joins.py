@@ -11,22 +11,34 @@ def rekey(df: DataFrame, key: str, source: str) -> DataFrame:
 
 
 def dropoffs_near_pickups(
-    rides: DataFrame, pickups: DataFrame, window: str = "20 minutes", grace: str = "5 minutes", minutes: int = 10,
+    rides: DataFrame, pickups: DataFrame, window_minutes: int = 20, grace: str = "5 minutes", minutes: int = 10,
+    salts: int = 1,
 ) -> DataFrame:
     """Rides that end where and when another trip starts.
 
     ``rides``: key, vendor_id, dropoff_datetime. ``pickups``: key, location_id, pickup_datetime.
-    Times at most ``window`` apart pair up; pairs more than ``minutes`` whole minutes apart
-    are filtered out again. Both streams forget rows ``window`` plus ``grace`` old.
+    Times at most ``window_minutes`` apart pair up; pairs more than ``minutes`` whole minutes
+    apart are filtered out again. Both streams forget rows a window plus ``grace`` old.
+
+    State is kept by key and time bucket, so a hot key's rows spread over its time range;
+    ``salts`` splits each such group further, at the price of as many copies of the pickups.
     """
+    width = window_minutes * 60_000_000
     r = rides.select(F.col("key").alias("ride_key"), "vendor_id",
                      F.col("dropoff_datetime").cast("timestamp").alias("dropoff_datetime")
                      ).withWatermark("dropoff_datetime", grace)
     p = pickups.select(F.col("key").alias("pickup_key"), "location_id",
                        F.col("pickup_datetime").cast("timestamp").alias("pickup_datetime")
                        ).withWatermark("pickup_datetime", grace)
-    span = F.expr(f"INTERVAL {window}")
+    at = F.floor(F.unix_micros("pickup_datetime") / width)
+    r = r.withColumns({
+        "ride_bucket": F.floor(F.unix_micros("dropoff_datetime") / width),
+        "ride_salt": F.pmod(F.xxhash64("vendor_id", "dropoff_datetime"), F.lit(salts)).cast("int")})
+    p = (p.withColumn("pickup_bucket", F.explode(F.array(at - 1, at, at + 1)))
+         .withColumn("pickup_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    span = F.expr(f"INTERVAL {window_minutes} MINUTES")
     pairs = r.join(p, (F.col("ride_key") == F.col("pickup_key"))
+                   & (F.col("ride_bucket") == F.col("pickup_bucket")) & (F.col("ride_salt") == F.col("pickup_salt"))
                    & (F.col("pickup_datetime") >= F.col("dropoff_datetime") - span)
                    & (F.col("pickup_datetime") <= F.col("dropoff_datetime") + span), "inner")
     apart = F.abs(F.unix_micros("pickup_datetime") - F.unix_micros("dropoff_datetime"))
