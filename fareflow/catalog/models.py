@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import regression, retrieval
+from ..session import materialise
 from .registry import query
 
 ROWS = F.count(F.lit(1))
@@ -14,12 +15,13 @@ FEATURES = """SELECT CAST(passenger_count AS BIGINT) AS passenger_count, trip_di
 
 
 def features(t):
-    return regression.feature_table(t.trips)
+    """Fitting passes over its input several times, so the feature table is written first."""
+    return materialise(regression.feature_table(t.trips), "features")
 
 
 @query("g01_feature_table", FEATURES, "trips")
 def feature_table(t):
-    return features(t)
+    return regression.feature_table(t.trips)
 
 
 @query("g02_linear_regression")
@@ -43,7 +45,7 @@ def info(column: str, number: bool) -> str:
 @query("g03_feature_info", f"WITH f AS ({FEATURES}) " + " UNION ALL ".join(
     [info(c, True) for c in regression.NUMBERS] + [info(c, False) for c in regression.CATEGORIES]), "trips")
 def feature_info(t):
-    return regression.feature_info(features(t)).withColumn("stddev", F.round("stddev", 6))
+    return regression.feature_info(regression.feature_table(t.trips)).withColumn("stddev", F.round("stddev", 6))
 
 
 @query("g04_evaluation")

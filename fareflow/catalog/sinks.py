@@ -63,24 +63,21 @@ def create_table(t):
     return out
 
 
-MONTH = """SELECT o_orderstatus, count(*) AS n FROM orders WHERE CAST(o_orderdate AS DATE)
-    BETWEEN DATE '1996-06-01' AND DATE '1996-06-30' GROUP BY 1"""
-
-
-@query("k06_partitioned", MONTH)
+@query("k06_partitioned", """SELECT event_type, count(*) AS n FROM events WHERE CAST(ts AS DATE)
+       BETWEEN DATE '2024-01-06' AND DATE '2024-01-12' GROUP BY 1""")
 def partitioned(t):
     path = t.scratch("by_day")
-    writers.write_by_date(t.orders, path, "o_orderdate")
-    return writers.read_by_date(t.spark, path, "1996-06-01", "1996-06-30").groupBy("o_orderstatus").agg(ROWS.alias("n"))
+    writers.write_by_date(t.events, path, "ts")
+    return writers.read_by_date(t.spark, path, "2024-01-06", "2024-01-12").groupBy("event_type").agg(ROWS.alias("n"))
 
 
-@query("k07_partitioned_clustered", """SELECT count(*) AS n FROM orders WHERE CAST(o_orderdate AS DATE)
-       BETWEEN DATE '1996-06-01' AND DATE '1997-12-31' AND o_orderstatus = 'F'""")
+@query("k07_partitioned_clustered", """SELECT count(*) AS n, count(DISTINCT user_id) AS users FROM events WHERE CAST(ts AS DATE)
+       BETWEEN DATE '2024-01-06' AND DATE '2024-01-25' AND event_type = 'click'""")
 def partitioned_clustered(t):
     path = t.scratch("clustered")
-    writers.write_by_date(t.orders, path, "o_orderdate", ["o_orderstatus", "o_custkey"])
-    rows = writers.read_by_date(t.spark, path, "1996-06-01", "1997-12-31")
-    return rows.filter("o_orderstatus = 'F'").agg(ROWS.alias("n"))
+    writers.write_by_date(t.events, path, "ts", ["event_type", "user_id"])
+    rows = writers.read_by_date(t.spark, path, "2024-01-06", "2024-01-25")
+    return rows.filter("event_type = 'click'").agg(ROWS.alias("n"), F.count_distinct("user_id").alias("users"))
 
 
 @query("k08_partitioned_by_pickup", """SELECT CAST(ts AS DATE) AS pickup_date, event_type, count(*) AS n FROM events GROUP BY 1, 2""")

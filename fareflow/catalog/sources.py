@@ -187,11 +187,10 @@ def scan_with_limit(t):
     return out.agg(ROWS.alias("n")).withColumn("columns", F.lit(len(out.columns)))
 
 
-@query("s23_partition_listing", "SELECT CAST(o_orderdate AS DATE) AS partition_id, count(*) AS total_rows FROM orders GROUP BY 1 ORDER BY 2 DESC, 1")
+@query("s23_partition_listing", "SELECT CAST(ts AS DATE) AS partition_id, count(*) AS total_rows FROM events GROUP BY 1 ORDER BY 2 DESC, 1")
 def partition_listing(t):
     path = t.scratch("by_day")
-    days = t.orders.withColumn("day", F.to_date("o_orderdate"))
-    by_size(days, "day").write.partitionBy("day").parquet(path)
+    by_size(t.events.withColumn("day", F.to_date("ts")), "day").write.partitionBy("day").parquet(path)
     return readers.partition_listing(t.spark.read.parquet(path), "day")
 
 

@@ -11,10 +11,14 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import estimated_bytes
 from ..plans import staging
 from ..session import fresh_path, is_folder, tune
 from ..sources import messages
 
+SPREAD_BY = {"lineitem": ("l_orderkey", "l_linenumber"), "documents": ("doc_id",)}
+SPREAD_BYTES = 4 * 1024 * 1024
+
 # Expressions that mean the same in both dialects.
 SIGN = "(CASE l_linenumber WHEN 5 THEN -1 WHEN 6 THEN 0 ELSE 1 END)"
 COMMON = {
@@ -43,8 +47,9 @@ FHV = {
     "DOlocationID": "nullif(c_nationkey, 4)",
     "affiliated_base_number": "'B' || lpad(CAST(l_partkey AS STRING), 5, '0')",
 }
-SPARK_PICKUP = "o_orderdate + make_dt_interval(0, 0, CAST(l_partkey % 1440 AS INT), l_suppkey % 60)"
-SPARK_DROPOFF = f"{SPARK_PICKUP} + make_dt_interval(0, 0, CAST(l_quantity AS INT), l_linenumber * 7)"
+SPARK_PICKUP = "o_orderdate + (l_partkey % 1440 * 60 + l_suppkey % 60) * INTERVAL '1' SECOND"
+SPARK_DROPOFF = ("o_orderdate + (l_partkey % 1440 * 60 + l_suppkey % 60 + CAST(l_quantity AS INT) * 60 + l_linenumber * 7)"
+                 " * INTERVAL '1' SECOND")
 DUCK_PICKUP = "o_orderdate + to_minutes(l_partkey % 1440) + to_seconds(l_suppkey % 60)"
 DUCK_DROPOFF = f"{DUCK_PICKUP} + to_minutes(CAST(l_quantity AS BIGINT)) + to_seconds(l_linenumber * 7)"
 ZONE_SERVICE = "CASE r_name WHEN 'AFRICA' THEN 'Yellow Zone' ELSE 'Boro Zone' END"
@@ -67,7 +72,16 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        df = self.spark.read.parquet(self.path(name))
+        return self._spread(df, SPREAD_BY[name]) if name in SPREAD_BY else df
+
+    def _spread(self, df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+        """A table in one file with one row group is one task's work, however many cores are
+        idle; such a file is spread by row key. Tables of more files than cores stay as they are."""
+        cores = self.spark.sparkContext.defaultParallelism
+        if len(df.inputFiles()) >= cores or estimated_bytes(df) < SPREAD_BYTES:
+            return df
+        return df.repartition(cores, *keys)
 
     def scratch(self, label: str) -> str:
         return fresh_path(self.spark, label)

@@ -8,10 +8,9 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values: features and search space of the tip model ---
@@ -104,38 +103,42 @@ def explain(model: PipelineModel, train_rows: DataFrame, rows: DataFrame, top: i
     A feature's attribution is coefficient x (value - training mean); baseline plus all
     attributions is the prediction.
     """
-    from pyspark.ml.stat import Summarizer
-
-    line = model.stages[-1]
-    scored_train = model.transform(train_rows)
-    means = scored_train.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"]
-    weights, means = line.coefficients.toArray(), means.toArray()
-    baseline = float(line.intercept + (weights * means).sum())
-    slots = _slots(model)
-    parts = []
-    for name, (lo, hi) in slots.items():
-        terms = [F.lit(float(weights[i])) * (F.col("_x")[i] - F.lit(float(means[i]))) for i in range(lo, hi)]
-        total = terms[0]
-        for t in terms[1:]:
-            total = total + t
-        parts.append(F.struct(F.abs(total).alias("size"), F.lit(name).alias("feature"), total.alias("attribution")))
-    scored = model.transform(rows).withColumn("_x", vector_to_array("features"))
-    ordered = F.slice(F.sort_array(F.array(*parts), asc=False), 1, top)
-    return scored.select(
+    weights = _weights(model)
+    known = train_rows.filter(_complete())
+    # Mean contribution of every input over the training rows, in one pass.
+    base = known.agg(*[F.avg(c).alias(n) for n, c in weights.items()]).first().asDict()
+    baseline = float(model.stages[-1].intercept) + sum(base.values())
+    parts = [F.struct(F.abs(c - base[n]).alias("size"), F.lit(n).alias("feature"), (c - base[n]).alias("attribution"))
+             for n, c in weights.items()]
+    largest = F.slice(F.sort_array(F.array(*parts), asc=False), 1, top)
+    return model.transform(rows).select(
         *rows.columns, F.col("prediction").alias("predicted_" + LABEL),
         F.lit(baseline).alias("baseline_prediction_value"),
-        F.transform(ordered, lambda p: F.struct(p["feature"].alias("feature"), p["attribution"].alias("attribution"))
+        F.transform(largest, lambda p: F.struct(p["feature"].alias("feature"), p["attribution"].alias("attribution"))
                     ).alias("top_feature_attributions"))
 
 
-def _slots(model: PipelineModel) -> dict[str, tuple[int, int]]:
-    """Positions of each input in the feature vector."""
-    out, at = {}, 0
-    for name in NUMBERS:
-        out[name], at = (at, at + 1), at + 1
-    for name, size in zip(CATEGORIES, model.stages[1].categorySizes):
-        width = size - 1 if model.stages[1].getDropLast() else size
-        out[name], at = (at, at + width), at + width
+def _complete():
+    """Rows the model can score: every number present (a missing category is a category)."""
+    ok = F.lit(True)
+    for n in NUMBERS:
+        ok = ok & F.col(n).isNotNull()
+    return ok
+
+
+def _weights(model: PipelineModel) -> dict[str, Column]:
+    """Contribution of each input to the prediction: weight x number, or the category's weight.
+
+    The vector holds the numbers, then per category input one slot for each known value; a
+    value never seen in training has no slot and contributes nothing.
+    """
+    coefficients = [float(c) for c in model.stages[-1].coefficients.toArray()]
+    out = {n: F.col(n) * F.lit(coefficients[i]) for i, n in enumerate(NUMBERS)}
+    at = len(NUMBERS)
+    for name, labels in zip(CATEGORIES, model.stages[0].labelsArray):
+        table = F.create_map(*[F.lit(v) for i, value in enumerate(labels) for v in (value, coefficients[at + i])])
+        out[name] = F.coalesce(F.try_element_at(table, F.col(name)), F.lit(0.0))
+        at += len(labels)
     return out
 
 
