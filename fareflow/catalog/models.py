@@ -8,7 +8,6 @@ from ..plans import regression, retrieval
 from ..session import materialise
 from .registry import query
 
-ROWS = F.count(F.lit(1))
 FEATURES = """SELECT CAST(passenger_count AS BIGINT) AS passenger_count, trip_distance, CAST(PULocationID AS VARCHAR) AS PULocationID,
     CAST(DOLocationID AS VARCHAR) AS DOLocationID, CAST(payment_type AS VARCHAR) AS payment_type, fare_amount, tolls_amount,
     tip_amount FROM trips WHERE fare_amount <> 0"""

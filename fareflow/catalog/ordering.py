@@ -12,7 +12,6 @@ from ..sources import readers
 from ..sources.writers import by_size
 from .registry import query
 
-ROWS = F.count(F.lit(1))
 DAILY = "SELECT CAST(tpep_dropoff_datetime AS DATE) AS day, DOLocationID, count(*) AS count FROM trips GROUP BY 1, 2"
 
 
@@ -24,7 +23,7 @@ def sorted_rows(t):
 
 @query("l02_limit", "SELECT count(*) AS n FROM (SELECT * FROM lineitem LIMIT 100)")
 def limited(t):
-    return readers.table_scan(t.lineitem, ["l_orderkey"], 100).agg(ROWS.alias("n"))
+    return readers.table_scan(t.lineitem, ["l_orderkey"], 100).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("l03_top_5", """SELECT dispatching_base_num, count(*) AS count FROM fhv GROUP BY 1
@@ -44,7 +43,7 @@ def top_10_days(t):
 
 @query("l04_development_cap", "SELECT least(count(*), 10000) AS n FROM stg_green", "stg_green")
 def development_cap(t):
-    return staging.standardise(t.green, "lpep", record_limit=10000).agg(ROWS.alias("n"))
+    return staging.standardise(t.green, "lpep", record_limit=10000).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("l05_take", "SELECT * FROM zones ORDER BY LocationID LIMIT 10", "zones")
@@ -55,7 +54,7 @@ def take(t):
 @query("l06_bottom_1", """SELECT Zone, count(*) AS n FROM trips JOIN zones ON PULocationID = LocationID GROUP BY 1
        ORDER BY 2, 1 LIMIT 1""", "trips zones")
 def bottom_1(t):
-    counts = t.trips.groupBy("PULocationID").agg(ROWS.alias("n"))
+    counts = t.trips.groupBy("PULocationID").agg(F.count(F.lit(1)).alias("n"))
     named = joins.with_zone(counts, t.zones, "PULocationID", "pickup", "inner", ["Zone"])
     return top_k(named.select(F.col("pickup_zone").alias("Zone"), "n"), ["n", "Zone"], 1)
 
@@ -64,7 +63,7 @@ def bottom_1(t):
        WHERE tpep_pickup_datetime >= (SELECT max(tpep_pickup_datetime) - INTERVAL 17 HOUR FROM trips)
        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3""", "trips zones")
 def busiest_recent(t):
-    counts = joins.within_latest(t.trips, "tpep_pickup_datetime", "17 hours").groupBy("PULocationID").agg(ROWS.alias("n"))
+    counts = joins.within_latest(t.trips, "tpep_pickup_datetime", "17 hours").groupBy("PULocationID").agg(F.count(F.lit(1)).alias("n"))
     named = joins.with_zone(counts, t.zones, "PULocationID", "pickup", "inner", ["Zone"])
     return top_k(named.select(F.col("pickup_zone").alias("Zone"), "n"), ["-n", "Zone"], 3)
 
@@ -73,7 +72,7 @@ def busiest_recent(t):
        SELECT 'green' AS service_type, PULocationID FROM green UNION ALL SELECT 'yellow', PULocationID FROM yellow)
        GROUP BY 1, 2""", "green yellow")
 def union_all(t):
-    return staging.plain_union(t.green, t.yellow).groupBy("service_type", "PULocationID").agg(ROWS.alias("n"))
+    return staging.plain_union(t.green, t.yellow).groupBy("service_type", "PULocationID").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("u02_union_filled", "SELECT * FROM unioned", "unioned")
@@ -85,7 +84,7 @@ def union_filled(t):
        UNION ALL SELECT 2, 'VeriFone Inc.' UNION ALL SELECT 4, 'Unknown/Other')
        SELECT vendor_name, count(VendorID) AS trips FROM v LEFT JOIN trips ON vendor_id = VendorID GROUP BY 1""", "trips")
 def literal_rows(t):
-    counts = t.trips.groupBy("VendorID").agg(ROWS.alias("trips"))
+    counts = t.trips.groupBy("VendorID").agg(F.count(F.lit(1)).alias("trips"))
     return staging.vendors(t.spark).join(counts, F.col("vendor_id") == F.col("VendorID"), "left").select(
         "vendor_name", F.coalesce("trips", F.lit(0)).alias("trips"))
 
@@ -99,4 +98,4 @@ def concatenated_months(t):
     by_size(parts, "y", "m").write.partitionBy("y", "m").parquet(path)
     months = t.spark.read.parquet(f"{path}/*/*")
     return months.groupBy(F.year("o_orderdate").cast("long").alias("year"), F.month("o_orderdate").cast("long").alias("month")
-                          ).agg(ROWS.alias("n"), C.exact_sum("o_totalprice").alias("total"))
+                          ).agg(F.count(F.lit(1)).alias("n"), C.exact_sum("o_totalprice").alias("total"))

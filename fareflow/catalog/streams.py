@@ -17,8 +17,6 @@ from ..streaming import joins, sinks, windows
 from .joins import NEAR, ride_streams
 from .registry import query
 
-ROWS = F.count(F.lit(1))
-
 
 def zone_free(df):
     return df.withColumns({f.name: F.col(f.name).cast(C.NTZ) for f in df.schema if f.dataType.typeName() == "timestamp"})
@@ -44,7 +42,7 @@ def buckets(width: str, keys: str, source: str = "events") -> str:
 def watermarked(t):
     timed = windows.event_time(t.stream("events"), "ts", "15 seconds")
     stored = sinks.to_table(timed.select("event_type", "ts"), t.scratch("out"))
-    return stored.groupBy("event_type").agg(ROWS.alias("n"), F.max("ts").cast(C.NTZ).alias("last_ts"))
+    return stored.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("ts").cast(C.NTZ).alias("last_ts"))
 
 
 @query("t02_tumbling_minute", buckets("1 minute", "event_type"))
@@ -71,9 +69,9 @@ def sliding(t):
 
 
 def islands(key: str, gap: str) -> str:
-    return f"""WITH gaps AS (SELECT {key}, ts, CASE WHEN ts - lag(ts) OVER w >= INTERVAL {gap} OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END
+    return f"""WITH gaps AS (SELECT {key}, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL {gap} OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END
         AS fresh FROM events WINDOW w AS (PARTITION BY {key} ORDER BY ts)),
-        runs AS (SELECT *, sum(fresh) OVER (PARTITION BY {key} ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM gaps)
+        runs AS (SELECT *, sum(fresh) OVER (PARTITION BY {key} ORDER BY ts F.count(F.lit(1)) UNBOUNDED PRECEDING) AS run FROM gaps)
         SELECT min(ts) AS window_start, max(ts) + INTERVAL {gap} AS window_end, {key}, count(*) AS count
         FROM runs GROUP BY {key}, run"""
 
@@ -110,7 +108,7 @@ def filtered_count(t):
 @query("t11_rekeyed", "SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS n FROM events GROUP BY 1")
 def rekeyed(t):
     stored = sinks.to_table(joins.rekey(t.stream("events"), "key", "user_id").select("key"), t.scratch("out"))
-    return stored.groupBy("key").agg(ROWS.alias("n"))
+    return stored.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
 
 
 def near_stream(t):
@@ -125,13 +123,13 @@ def stream_join(t):
 
 @query("t12_join_filter_map", f"SELECT location_id, count(*) AS n, max(pickup_time) AS last_pickup FROM ({NEAR}) GROUP BY 1")
 def join_filter_map(t):
-    return near_stream(t).groupBy("location_id").agg(ROWS.alias("n"), F.max("pickup_time").alias("last_pickup"))
+    return near_stream(t).groupBy("location_id").agg(F.count(F.lit(1)).alias("n"), F.max("pickup_time").alias("last_pickup"))
 
 
 @query("t13_branches", "SELECT CASE WHEN value >= 40 THEN 'high' ELSE 'low' END AS branch, count(*) AS n FROM events GROUP BY 1")
 def branches(t):
     high, low = sinks.branched(t.stream("events").select("event_id", "value"), F.col("value") >= 40, t.scratch("out"))
-    tag = lambda df, name: df.groupBy(F.lit(name).alias("branch")).agg(ROWS.alias("n"))
+    tag = lambda df, name: df.groupBy(F.lit(name).alias("branch")).agg(F.count(F.lit(1)).alias("n"))
     return tag(high, "high").unionAll(tag(low, "low"))
 
 
@@ -173,7 +171,7 @@ def checkpointed(t):
     out, checkpoint = t.scratch("out"), t.scratch("checkpoint")
     for _ in range(2):
         sinks.finish(sinks.start(t.stream("events").select("event_id"), "parquet", path=out, checkpoint=checkpoint))
-    return t.spark.read.parquet(out).agg(ROWS.alias("n"), F.count_distinct("event_id").alias("ids"))
+    return t.spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("ids"))
 
 
 @query("t18_grace", buckets("5 minutes", "event_type"))
@@ -196,7 +194,7 @@ def merged_popularity(t):
 def stream_union(t):
     one = t.stream("events").select("event_id", "event_type")
     stored = sinks.to_table(one.unionByName(t.stream("events").select("event_id", "event_type")), t.scratch("out"))
-    return stored.groupBy("event_type").agg(ROWS.alias("n"))
+    return stored.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("t20_validated_records", """SELECT event_type <> 'error' AS valid, count(*) AS n FROM events GROUP BY 1""")
@@ -206,7 +204,7 @@ def validated_records(t):
     rows = t.events.select(F.col("user_id").cast("string").alias("vendorId"), body.alias("total_amount"))
     parsed = messages.parse_json_strings(topic(t, ["vendorId", "total_amount"], rows=rows), ddl("vendorId string, total_amount float"))
     good, bad = sinks.branched(parsed, F.col("total_amount").isNotNull(), t.scratch("out"))
-    tag = lambda df, flag: df.groupBy(F.lit(flag).alias("valid")).agg(ROWS.alias("n"))
+    tag = lambda df, flag: df.groupBy(F.lit(flag).alias("valid")).agg(F.count(F.lit(1)).alias("n"))
     return tag(good, True).unionAll(tag(bad, False))
 
 
@@ -222,7 +220,7 @@ def query_handle(t):
     handle.processAllAvailable()
     sinks.status(handle)
     handle.stop()
-    return t.spark.read.parquet(out).groupBy("event_type", F.lit(handle.isActive).alias("active")).agg(ROWS.alias("n"))
+    return t.spark.read.parquet(out).groupBy("event_type", F.lit(handle.isActive).alias("active")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("p27_stream_projection", "SELECT event_id, user_id, value * 2 AS doubled FROM events WHERE event_type = 'click'")
@@ -241,7 +239,7 @@ def topic_source(t):
     """The (key, value) rows of a topic from files; the Kafka reader gives the same columns."""
     raw = topic(t, ["event_id", "value"], "user_id")
     stored = sinks.to_table(raw.select(F.col("key").cast("string").alias("key")), t.scratch("out"))
-    return stored.groupBy("key").agg(ROWS.alias("n"))
+    return stored.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("s20_event_time_table", "SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, time_bucket(INTERVAL '1 hour', ts) + INTERVAL 1 HOUR AS window_end, count(*) AS count FROM events GROUP BY ALL")
@@ -271,12 +269,12 @@ def topic_sink(t):
     """Messages stream to files in the sink's layout, with a checkpoint."""
     out = messages.as_text(t.stream("events"), ["event_id", "ts", "value"], "event_type")
     stored = sinks.to_table(out, t.scratch("out"))
-    return stored.groupBy(F.col("key").cast("string").alias("key")).agg(ROWS.alias("n"))
+    return stored.groupBy(F.col("key").cast("string").alias("key")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("k17_batch_function", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def batch_function(t):
-    return sinks.append_batches(t.stream("events").select("event_id", "event_type"), t.scratch("out")).groupBy("event_type").agg(ROWS.alias("n"))
+    return sinks.append_batches(t.stream("events").select("event_id", "event_type"), t.scratch("out")).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("x07_micro_batch", "SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1")
@@ -309,7 +307,7 @@ def upsert_stream(t):
 
 @query("k21_maintained_view", "SELECT event_type, max(ts) AS latest, count(*) AS n FROM events GROUP BY 1")
 def maintained_view(t):
-    view = t.stream("events").groupBy("event_type").agg(F.max("ts").alias("latest"), ROWS.alias("n"))
+    view = t.stream("events").groupBy("event_type").agg(F.max("ts").alias("latest"), F.count(F.lit(1)).alias("n"))
     return sinks.newest_result(view, t.scratch("out"))
 
 
@@ -329,4 +327,4 @@ def optional_joiner(t):
     micros = lambda c: F.unix_micros(C.instant(c))
     apart = F.floor(F.abs(micros("pickup_datetime") - micros("dropoff_datetime")) / 60_000_000)
     found = F.when(apart <= 10, F.struct("vendor_id", "location_id"))
-    return pairs.select(found.alias("info")).filter("info is not null").select("info.*").groupBy("vendor_id", "location_id").agg(ROWS.alias("n"))
+    return pairs.select(found.alias("info")).filter("info is not null").select("info.*").groupBy("vendor_id", "location_id").agg(F.count(F.lit(1)).alias("n"))

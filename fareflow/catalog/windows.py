@@ -62,9 +62,9 @@ def percentile_over(t):
 
 
 @query("w06_running_and_moving", """SELECT event_id, event_type,
-       CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (s ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_total,
-       CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (s ROWS 6 PRECEDING) AS DOUBLE) /
-       count(value) OVER (s ROWS 6 PRECEDING) AS moving_avg
+       CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (s F.count(F.lit(1)) UNBOUNDED PRECEDING) AS DOUBLE) AS running_total,
+       CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (s F.count(F.lit(1)) 6 PRECEDING) AS DOUBLE) /
+       count(value) OVER (s F.count(F.lit(1)) 6 PRECEDING) AS moving_avg
        FROM events WINDOW s AS (PARTITION BY event_type ORDER BY ts, event_id)""")
 def running_and_moving(t):
     rows = t.events.select("event_id", "event_type", "ts", F.col("value").cast(C.MONEY).alias("v"))
@@ -134,9 +134,9 @@ def latest_per_category(t):
     return dedup.keep_first(t.events.select("event_type", "event_id", "ts", "value"), ["event_type"], ["-ts", "-event_id"])
 
 
-SESSIONS = """gaps AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 3 HOUR
+SESSIONS = """gaps AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 3 HOUR
     OR lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL THEN 1 ELSE 0 END AS fresh FROM events),
-    runs AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM gaps),
+    runs AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts F.count(F.lit(1)) UNBOUNDED PRECEDING) AS run FROM gaps),
     sessions AS (SELECT user_id, min(ts) AS started, count(*) AS rides FROM runs GROUP BY user_id, run)"""
 
 

@@ -8,8 +8,8 @@ over fixed-size chunks of consecutive numbers:
 * ``framed``       frames reaching a fixed number of rows back or ahead (lag, lead, moving
                    averages): each chunk also gets copies of its neighbours' edge rows;
 * ``running``      prefix sums, counts and maxima: chunk totals are added to local ones;
-* ``ranked``       rank and dense_rank, from the two above;
-* ``sessions``     runs of rows with no long gap, from the two above.
+* ``ranked``       rank and dense_rank, from the counts of distinct values;
+* ``sessions``     runs of rows with no long gap, from frames and running counts.
 
 Top-k filters per group do not need this: for ``row_number() <= k`` Spark prunes to k rows
 per group and task before the shuffle.
@@ -40,26 +40,46 @@ def sort_column(spec: str | Column) -> Column:
     return F.col(spec[1:]).desc_nulls_last() if spec.startswith("-") else F.col(spec).asc_nulls_last()
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = RN) -> DataFrame:
-    """Row number 1..n within ``keys`` by ``order``.
+def sorted_spans(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str | None = None
+                 ) -> tuple[DataFrame, DataFrame]:
+    """Rows in global order with their slice, and one row per (slice, group).
 
-    ``order`` should be total: its last columns split runs of equal values over tasks.
+    A span tells where its rows start (``_first``), how many rows and how much weight its group
+    has in earlier slices (``_rows_before``, ``_before``), in the slice (``_here``) and in all
+    (``_size``). There are at most as many spans as groups and slices together.
     """
-    columns = df.columns
-    sorted_rows = materialise(
+    rows = materialise(
         df.sort(*[F.col(k).asc_nulls_first() for k in keys], *[sort_column(o) for o in order])
           .withColumn("_pos", F.monotonically_increasing_id()),
         "sorted",
     ).withColumn("_slice", F.shiftright("_pos", 33)).withColumn("_group", _group(keys))
-    # One row per (slice, group): at most as many as there are groups and slices together.
-    spans = sorted_rows.groupBy("_slice", "_group").agg(
-        F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy("_group").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.select(
-        "_slice", "_group",
-        (F.col("_first") - F.coalesce(F.sum("_rows").over(before), F.lit(0))).alias("_base"))
-    return (sorted_rows.join(spans, ["_slice", "_group"])
-            .select(*columns, (F.col("_pos") - F.col("_base") + 1).alias(name)))
+    spans = rows.groupBy("_slice", "_group").agg(
+        F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_rows"),
+        F.sum(weight if weight else F.lit(1)).alias("_here"))
+    group = Window.partitionBy("_group")
+    earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    none = F.lit(0).cast("long")
+    return rows, spans.select(
+        "_slice", "_group", "_first", "_here",
+        F.coalesce(F.sum("_rows").over(earlier), none).alias("_rows_before"),
+        F.coalesce(F.sum("_here").over(earlier), none).alias("_before"),
+        F.sum("_here").over(group).alias("_size"))
+
+
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = RN) -> DataFrame:
+    """Row number 1..n within ``keys`` by ``order``.
+
+    ``order`` should be total: its last columns split runs of equal values over tasks.
+    """
+    rows, spans = sorted_spans(df, keys, order)
+    spans = spans.select("_slice", "_group", (F.col("_first") - F.col("_rows_before")).alias("_base"))
+    return (rows.join(spans, ["_slice", "_group"])
+            .select(*df.columns, (F.col("_pos") - F.col("_base") + 1).alias(name)))
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distinct values per group with their count ``_n``; equal values fold before the shuffle."""
+    return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def _chunk(rn: Column, chunk_rows: int) -> Column:
@@ -131,28 +151,23 @@ def running(
 
 
 def ranked(
-    df: DataFrame,
-    keys: Sequence[str],
-    by: str,
-    tiebreak: Sequence[str],
-    row_number: str = "row_number",
-    rank: str = "rank",
-    dense_rank: str = "dense_rank",
-    chunk_rows: int | None = None,
+    df: DataFrame, keys: Sequence[str], by: str, tiebreak: Sequence[str] = (),
+    row_number: str | None = "row_number", rank: str = "rank", dense_rank: str = "dense_rank",
 ) -> DataFrame:
-    """row_number, rank and dense_rank by one column; ties are ordered by ``tiebreak``."""
+    """rank and dense_rank by one column, and row_number with ties ordered by ``tiebreak``.
+
+    Ranks depend on the value alone: the distinct values are numbered (dense rank) and their
+    counts summed up (rank), then joined to the rows. Only row_number sorts all rows.
+    """
     value = by.lstrip("-")
-    rows = number_rows(df, keys, [by, *tiebreak], row_number)
-    rows = framed(rows, keys, {"_new": lambda w: F.when(
-        (F.row_number().over(w) == 1) | ~F.col(value).eqNullSafe(F.lag(value).over(w)), F.lit(True))},
-        before=1, rn=row_number, chunk_rows=chunk_rows)
-    # The first copy in a chunk is a neighbour's row unless the group starts there.
-    rows = running(
-        rows, keys,
-        sums={dense_rank: F.col("_new").cast("int").cast("long")},
-        maxima={rank: F.when(F.col("_new"), F.col(row_number))},
-        rn=row_number, chunk_rows=chunk_rows)
-    return rows.drop("_new")
+    values, spans = sorted_spans(value_counts(df, keys, value), keys, [by], "_n")
+    local = Window.partitionBy("_slice", "_group").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = values.join(spans, ["_slice", "_group"]).select(
+        _group([*keys, value]).alias("_value"),
+        (F.sum("_n").over(local) - F.col("_n") + F.col("_before") + 1).alias(rank),
+        (F.col("_pos") - F.col("_first") + F.col("_rows_before") + 1).alias(dense_rank))
+    rows = number_rows(df, keys, [by, *tiebreak], row_number) if row_number else df
+    return rows.withColumn("_value", _group([*keys, value])).join(ranks, "_value").drop("_value")
 
 
 def lag_lead(
@@ -171,7 +186,7 @@ def sessions(
     df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int, tiebreak: Sequence[str],
     chunk_rows: int | None = None,
 ) -> DataFrame:
-    """Runs of rows less than ``gap_seconds`` apart: start, end and row count of each run.
+    """Runs of rows at most ``gap_seconds`` apart: start, end and row count of each run.
 
     Same sessions as ``session_window``, but a hot key is split over tasks: rows are numbered,
     each is compared with the one before, and the running count of breaks names the run.
@@ -180,7 +195,7 @@ def sessions(
     rows = number_rows(df.select(*keys, ts, *[c for c in tiebreak if c not in keys]).withColumn("_t", micros),
                        keys, ["_t", *tiebreak])
     rows = framed(rows, keys, {"_break": lambda w: (
-        (F.row_number().over(w) == 1) | (F.col("_t") - F.lag("_t").over(w) >= gap_seconds * 1_000_000)
+        (F.row_number().over(w) == 1) | (F.col("_t") - F.lag("_t").over(w) > gap_seconds * 1_000_000)
     ).cast("long")}, before=1, chunk_rows=chunk_rows)
     rows = running(rows, keys, sums={"_run": "_break"}, chunk_rows=chunk_rows)
     runs = rows.groupBy(*keys, "_run").agg(

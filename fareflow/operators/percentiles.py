@@ -3,45 +3,41 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import ordered
 
 
-def percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float], chunk_rows: int | None = None,
-) -> DataFrame:
+def percentiles(df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:
     """One row per group with a column per entry of ``shares`` (name -> 0..1).
 
-    Equal values fold into counts before the shuffle; the counts are then summed along the
-    sorted distinct values, and only the rows around each target position are kept.
+    Equal values fold into counts before the shuffle, and the distinct values are sorted over
+    all tasks. The counts per slice tell which slices hold a target position; only their rows
+    are read again.
     """
-    names = list(shares)
-    counts = (df.filter(F.col(value).isNotNull())
-              .groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
-    rows = ordered.number_rows(counts, keys, ["_v"], "_i")
-    rows = ordered.running(rows, keys, sums={"_upto": "_n"}, rn="_i", chunk_rows=chunk_rows)
-    group = ordered._group(keys).alias("_group")
-    sizes = rows.groupBy(group).agg(F.max("_upto").alias("_size"))
-    rows = rows.withColumn("_group", ordered._group(keys)).join(sizes, "_group")
-
-    def holds(position):  # does this distinct value cover the 0-based position?
-        return (F.col("_upto") - F.col("_n") <= position) & (position < F.col("_upto"))
-
-    targets = {}
-    for i, name in enumerate(names):
-        at = F.lit(float(shares[name])) * (F.col("_size") - 1)
-        targets[f"_lo{i}"] = F.when(holds(F.floor(at)), F.col("_v"))
-        targets[f"_hi{i}"] = F.when(holds(F.ceil(at)), F.col("_v"))
-    rows = rows.select(*keys, "_size", *[c.alias(n) for n, c in targets.items()])
-    rows = rows.filter(F.coalesce(*[F.col(n) for n in targets]).isNotNull())
-    found = rows.groupBy(*keys).agg(F.max("_size").alias("_size"), *[F.max(n).alias(n) for n in targets])
+    counts = ordered.value_counts(
+        df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v")), keys, "_v")
+    rows, spans = ordered.sorted_spans(counts, keys, ["_v"], "_n")
+    places = [F.lit(float(p)) * (F.col("_size") - 1) for p in shares.values()]
+    ends = [end for at in places for end in (F.floor(at), F.ceil(at))]
+
+    def covers(first, weight, position):  # does a run of rows cover the 0-based position?
+        return (first <= position) & (position < first + weight)
+
+    needed = spans.filter(reduce(lambda a, b: a | b, [covers(F.col("_before"), F.col("_here"), e) for e in ends]))
+    local = Window.partitionBy("_slice", "_group").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.join(needed, ["_slice", "_group"]).withColumn(
+        "_start", F.sum("_n").over(local) - F.col("_n") + F.col("_before"))
+    rows = rows.select(*keys, "_size", *[
+        F.when(covers(F.col("_start"), F.col("_n"), e), F.col("_v")).alias(f"_e{i}") for i, e in enumerate(ends)])
+    found = rows.groupBy(*keys).agg(F.max("_size").alias("_size"), *[F.max(f"_e{i}").alias(f"_e{i}") for i in range(len(ends))])
     out = []
-    for i, name in enumerate(names):
-        at = F.lit(float(shares[name])) * (F.col("_size") - 1)
-        out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (at - F.floor(at))).alias(name))
+    for i, (name, at) in enumerate(zip(shares, places)):
+        low, high = F.col(f"_e{2 * i}"), F.col(f"_e{2 * i + 1}")
+        out.append((low + (high - low) * (at - F.floor(at))).alias(name))
     return found.select(*keys, *out)
 
 

@@ -38,7 +38,7 @@ def sliding(df: DataFrame, ts: str, width: str, slide: str, keys: Sequence[str],
 
 def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str], watermark: str,
              aggs: dict[str, Column] | None = None) -> DataFrame:
-    """Runs of rows with less than ``gap`` between neighbours; a session ends ``gap`` after its last row."""
+    """Runs of rows with at most ``gap`` between neighbours; a session ends ``gap`` after its last row."""
     return _windowed(event_time(df, ts, watermark), F.session_window(ts, gap), keys, aggs or _count())
 
 
