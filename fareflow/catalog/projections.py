@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import os
 
 from pyspark.sql import functions as F
 
@@ -174,18 +173,10 @@ def calendar(t):
                          F.month(ts).alias("month")).agg(F.count("*").alias("n"))
 
 
-def recent_days(given: int | None = None, variable: str = "DAYS_BACK", default: int = 30) -> int:
-    """A given value wins over the environment, the environment over the default."""
-    if given is not None:
-        return given
-    return int(os.environ.get(variable, default))
-
-
 @query("p22_last_n_days", """SELECT CAST(tpep_pickup_datetime AS DATE) AS day, count(*) AS n FROM trips
        WHERE tpep_pickup_datetime >= DATE '1998-01-01' - INTERVAL 30 DAY GROUP BY 1""", "trips")
 def last_n_days(t):
-    start = F.date_sub(F.lit(datetime.date(1998, 1, 1)), recent_days(30)).cast("timestamp_ntz")
-    return (t.trips.filter(F.col("tpep_pickup_datetime") >= start)
+    return (t.trips.filter(C.in_last_days("tpep_pickup_datetime", C.days_back(30), datetime.date(1998, 1, 1)))
             .groupBy(F.to_date("tpep_pickup_datetime").alias("day")).agg(F.count("*").alias("n")))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import os
 from collections.abc import Iterable
 
 import pandas as pd
@@ -59,6 +61,17 @@ def quarter_label(c: Column | str) -> Column:
     return F.concat(F.year(col(c)).cast("string"), F.lit("/Q"), F.quarter(col(c)).cast("string"))
 
 
+def days_back(given: int | None = None, variable: str = "DAYS_BACK", default: int = 30) -> int:
+    """A given value wins over the environment, the environment over the default."""
+    return given if given is not None else int(os.environ.get(variable, default))
+
+
+def in_last_days(c: Column | str, days: int, today: datetime.date | None = None) -> Column:
+    """At or after midnight ``days`` before ``today`` (the current date if not given)."""
+    end = F.lit(today) if today else F.current_date()
+    return col(c) >= F.date_sub(end, days).cast(NTZ)
+
+
 def parse_ts(c: Column | str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     """Text to timestamp; malformed text gives NULL."""
     return F.try_to_timestamp(col(c), F.lit(pattern))

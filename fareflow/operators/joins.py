@@ -27,10 +27,20 @@ def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
 
 def with_zone(trips: DataFrame, zones: DataFrame, key: str, prefix: str, how: str = "left",
               attributes: Sequence[str] = ("Borough", "Zone")) -> DataFrame:
-    """Attach zone attributes for one role (pickup or dropoff)."""
+    """Attach zone attributes for one role (pickup or dropoff).
+
+    A right or full join must keep unmatched zones, and then neither a broadcast nor a split of
+    a hot zone is possible. So the trips are joined as in an inner or left join, and the zones
+    that no trip has are added.
+    """
     dim = zones.select(F.col("LocationID").alias("_loc"),
                        *[F.col(a).alias(f"{prefix}_{a.lower()}") for a in attributes])
-    return trips.join(small_side(dim), F.col(key) == F.col("_loc"), how).drop("_loc")
+    kept = {"right": "inner", "full": "left"}.get(how, how)
+    out = trips.join(small_side(dim), F.col(key) == F.col("_loc"), kept).drop("_loc")
+    if how in ("right", "full"):
+        used = trips.select(F.col(key).alias("_loc")).distinct()
+        out = out.unionByName(dim.join(used, "_loc", "left_anti").drop("_loc"), allowMissingColumns=True)
+    return out
 
 
 def unknown_locations(trips: DataFrame, zones: DataFrame, keys: Sequence[str]) -> DataFrame:

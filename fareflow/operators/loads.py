@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialise
 from .dedup import keep_first
 
 
@@ -99,13 +100,23 @@ def append_missing(table: Table, source: DataFrame, key: str, within: str | None
             open_ended = source.filter(F.col(within).isNull()).limit(1)
             inside = F.col(within).between(F.lit(low), F.lit(high))
             known = known.filter(inside if open_ended.isEmpty() else inside | F.col(within).isNull())
-    return table.append(source.join(known.select(key), key, "left_anti").select(*source.columns))
+    return table.append(unseen(source, known, key))
+
+
+def unseen(source: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Source rows whose key ``known`` lacks.
+
+    Copies of one row may be many on either side. Keys are made distinct first, and the shared
+    ones are written out: the last join then has a plain table of single keys on its right, so
+    adaptive execution can split a hot key of the source.
+    """
+    shared = source.select(key).distinct().join(known.select(key).distinct(), key, "left_semi")
+    return source.join(materialise(shared, "shared-keys"), key, "left_anti").select(*source.columns)
 
 
 def insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Target plus the source rows whose key it lacks. Duplicates inside the source all go in."""
-    new = source.join(target.select(key), key, "left_anti").select(*source.columns)
-    return target.unionByName(new, allowMissingColumns=True)
+    return target.unionByName(unseen(source, target, key), allowMissingColumns=True)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:

@@ -167,7 +167,8 @@ def ranked(
         (F.sum("_n").over(local) - F.col("_n") + F.col("_before") + 1).alias(rank),
         (F.col("_pos") - F.col("_first") + F.col("_rows_before") + 1).alias(dense_rank))
     rows = number_rows(df, keys, [by, *tiebreak], row_number) if row_number else df
-    return rows.withColumn("_value", _group([*keys, value])).join(ranks, "_value").drop("_value")
+    # Written first, so that adaptive execution can split the join at a hot value.
+    return rows.withColumn("_value", _group([*keys, value])).join(materialise(ranks, "ranks"), "_value").drop("_value")
 
 
 def lag_lead(

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from . import ordered
 
 
@@ -42,9 +43,13 @@ def percentiles(df: DataFrame, keys: Sequence[str], value: str, shares: dict[str
 
 
 def percentile_over(df: DataFrame, keys: Sequence[str], value: str, share: float, name: str) -> DataFrame:
-    """Every input row with its group's percentile (the windowed form)."""
+    """Every input row with its group's percentile (the windowed form).
+
+    The group table is written first: a join with a plain table is one that adaptive execution
+    can turn into a broadcast or split at a hot group.
+    """
     per_group = percentiles(df, keys, value, {name: share})
-    per_group = per_group.select(ordered._group(keys).alias("_group"), name)
+    per_group = materialise(per_group.select(ordered._group(keys).alias("_group"), name), "percentiles")
     return df.withColumn("_group", ordered._group(keys)).join(per_group, "_group", "left").drop("_group")
 
 

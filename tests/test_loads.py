@@ -198,3 +198,19 @@ def test_quality_checks(spark):
     out = quality.run(quality.not_null(df, "kind"), quality.unique(df, "id"), quality.accepted_values(df, "kind", ["a"]),
                       quality.unique(df, "id", "kind"), quality.relationships(df, "id", spark.createDataFrame([(1,)], "p int"), "p"))
     assert [r["failing"] for r in out.collect()] == [1, 1, 1, 0, 1]
+
+
+def test_days_back(monkeypatch):
+    monkeypatch.setenv("DAYS_BACK", "7")
+    assert C.days_back(3) == 3 and C.days_back() == 7
+    monkeypatch.delenv("DAYS_BACK")
+    assert C.days_back() == 30
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_with_zone_equals_plain_join(spark, how):
+    trips = spark.createDataFrame([(1, 1), (2, 1), (3, 9), (4, None)], "id int, loc int")
+    zones = spark.createDataFrame([(1, "B1", "Z1"), (2, "B2", "Z2"), (None, "B0", "Z0")], "LocationID int, Borough string, Zone string")
+    got = joins.with_zone(trips, zones, "loc", "p", how).select("id", "loc", "p_zone").collect()
+    want = trips.join(zones, F.col("loc") == F.col("LocationID"), how).select("id", "loc", F.col("Zone").alias("p_zone")).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
