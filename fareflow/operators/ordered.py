@@ -46,7 +46,8 @@ def sorted_spans(df: DataFrame, keys: Sequence[str], order: Sequence[str], weigh
 
     A span tells where its rows start (``_first``), how many rows and how much weight its group
     has in earlier slices (``_rows_before``, ``_before``), in the slice (``_here``) and in all
-    (``_size``). There are at most as many spans as groups and slices together.
+    (``_size``). There are at most as many spans as groups and slices together; they are written
+    too, so that the planner knows their size and does not shuffle all rows to meet a few spans.
     """
     rows = materialise(
         df.sort(*[F.col(k).asc_nulls_first() for k in keys], *[sort_column(o) for o in order])
@@ -59,11 +60,11 @@ def sorted_spans(df: DataFrame, keys: Sequence[str], order: Sequence[str], weigh
     group = Window.partitionBy("_group")
     earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     none = F.lit(0).cast("long")
-    return rows, spans.select(
+    return rows, materialise(spans.select(
         "_slice", "_group", "_first", "_here",
         F.coalesce(F.sum("_rows").over(earlier), none).alias("_rows_before"),
         F.coalesce(F.sum("_here").over(earlier), none).alias("_before"),
-        F.sum("_here").over(group).alias("_size"))
+        F.sum("_here").over(group).alias("_size")), "spans")
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = RN) -> DataFrame:

@@ -27,7 +27,8 @@ VENDORS = {1: "Creative Mobile Technologies", 2: "VeriFone Inc.", 4: "Unknown/Ot
 PAYMENTS = {0: "Unknown", 1: "Credit card", 2: "Cash", 3: "No charge", 4: "Dispute", 5: "Unknown", 6: "Voided trip"}
 # --- end of fixed values ---
 
-TRIP_KEY = ("vendor_id", "pickup_datetime", "pickup_location_id", "service_type")
+# One trip per value of these; the most selective first, as sorts compare them in this order.
+TRIP_KEY = ("pickup_datetime", "pickup_location_id", "vendor_id", "service_type")
 
 
 def lookup(spark: SparkSession, entries: Mapping[int, str], key: str, value: str) -> DataFrame:
