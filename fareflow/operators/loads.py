@@ -54,7 +54,10 @@ class Table:
         return self.current(below) is not None
 
     def read(self, below: int | None = None) -> DataFrame:
-        version, batches = self.current(below)
+        found = self.current(below)
+        if found is None:
+            raise FileNotFoundError(f"{self.path} holds no complete batch")
+        version, batches = found
         paths = [f"{self.path}/v{version}/b{b}" for b in batches]
         return self.spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
 

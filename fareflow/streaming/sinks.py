@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import loads
 from ..operators.dedup import keep_first
@@ -54,18 +55,23 @@ def to_memory(df: DataFrame, name: str, mode: str = "complete") -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def _stored(table: loads.Table, schema: T.StructType) -> DataFrame:
+    """What the stream wrote; an empty table if it never had a row."""
+    return table.read() if table.exists() else table.spark.createDataFrame([], schema)
+
+
 def append_batches(df: DataFrame, path: str) -> DataFrame:
     """Append through a batch function. A retried batch replaces its own files only."""
     table = loads.Table(df.sparkSession, path)
     finish(for_each_batch(df, lambda batch, n: table.append(batch, batch=n) and None))
-    return table.read()
+    return _stored(table, df.schema)
 
 
 def newest_result(df: DataFrame, path: str) -> DataFrame:
     """Complete-mode result; every batch writes the whole result as a new version."""
     table = loads.Table(df.sparkSession, path)
     finish(for_each_batch(df, lambda batch, n: table.replace(batch, version=n) and None, "complete"))
-    return table.read()
+    return _stored(table, df.schema)
 
 
 def changelog(df: DataFrame, path: str) -> DataFrame:
@@ -76,7 +82,7 @@ def changelog(df: DataFrame, path: str) -> DataFrame:
         table.append(batch.withColumn("batch", F.lit(n).cast("long")), batch=n)
 
     finish(for_each_batch(df, write, "update"))
-    return table.read()
+    return _stored(table, T.StructType([*df.schema, T.StructField("batch", T.LongType())]))
 
 
 def upserted(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
@@ -99,7 +105,7 @@ def branched(df: DataFrame, predicate: Column, path: str) -> tuple[DataFrame, Da
         no.append(batch.filter(~hit), batch=n)
 
     finish(for_each_batch(df, write))
-    return yes.read(), no.read()
+    return _stored(yes, df.schema), _stored(no, df.schema)
 
 
 def latest_rows(df: DataFrame, ts: str, path: str) -> DataFrame:
@@ -111,7 +117,7 @@ def latest_rows(df: DataFrame, ts: str, path: str) -> DataFrame:
         table.replace(seen.filter(F.col(ts) == seen.agg(F.max(ts)).scalar()), version=n)
 
     finish(for_each_batch(df, write))
-    return table.read()
+    return _stored(table, df.schema)
 
 
 def stop_all(spark: SparkSession) -> list[str]:

@@ -163,3 +163,10 @@ def test_partition_pruning_and_clustering(spark):
     plan = writers.read_by_date(spark, path, "1970-01-02", "1970-01-03")
     assert "PartitionFilters: [isnotnull(day" in plan._jdf.queryExecution().executedPlan().toString()
     assert plan.count() == 1728
+
+
+def test_stream_without_rows(spark, tmp_path):
+    stream = messages.file_stream(spark, str(tmp_path), ddl("key string, ts timestamp"))
+    counts = sinks.upserted(windows.running_count(stream, ["key"]), fresh_path(spark, "none"), ["key"])
+    assert counts.columns == ["key", "count"] and counts.count() == 0
+    assert sinks.latest_rows(stream, "ts", fresh_path(spark, "none")).count() == 0
