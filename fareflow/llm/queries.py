@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareflow.llm import decontamination, substring_dedup
+from fareflow.llm import decontamination, simhash, substring_dedup
 from fareflow.llm.workers import send_package
 
 
@@ -23,6 +23,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(_table(spark, sf_dir, "documents"))
+
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 OP3_SQL = f"""
@@ -61,7 +65,7 @@ FROM d LEFT JOIN h USING (k) LEFT JOIN t USING (k)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_substring_dedup, op8_decontamination)}
+    return {f.__name__: f for f in (op3_substring_dedup, op8_decontamination, op10_simhash_near_dedup)}
 
 
 def oracles() -> dict[str, str]:
