@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareflow.llm import decontamination, simhash, substring_dedup
+from fareflow.llm import decontamination, html_text, language_id, quality, sharding, simhash, substring_dedup, unigram
 from fareflow.llm.workers import send_package
 
 
@@ -15,10 +15,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pieces(model: str | None = None) -> unigram.Pieces:
+    """The public pair-merging model of 32,000 pieces, its ranks read as frequencies; or another file like it."""
+    import public_tokenizers
+    return unigram.Pieces.load(model or public_tokenizers.path("piece_bpe_32k.model"), ranked=True)
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.report(_table(spark, sf_dir, "documents"))
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(_table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.report(_table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.report(_table(spark, sf_dir, "pages"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(_table(spark, sf_dir, "documents"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    return unigram.report(_table(spark, sf_dir, "documents"), pieces(model))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -27,6 +53,17 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(_table(spark, sf_dir, "documents"))
 
 
+OP2_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS n_bytes,
+                  CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM documents),
+p AS (SELECT d.*, t.depth, h // (CAST(1 AS BIGINT) << (32 - t.depth)) AS prefix FROM d, range(33) AS t(depth)),
+s AS (SELECT *, sum(n_bytes) OVER w AS shard_bytes, count(*) OVER w AS n FROM p WINDOW w AS (PARTITION BY depth, prefix)),
+m AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY depth) AS r FROM s WHERE shard_bytes <= {sharding.SHARD_BYTES} OR n = 1)
+SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE substr(lpad(bin(h), 32, '0'), 1, CAST(depth AS INTEGER)) END AS shard,
+       CAST(depth AS BIGINT) AS depth, n_bytes, CAST(shard_bytes AS BIGINT) AS shard_bytes, shard_bytes > {sharding.SHARD_BYTES} AS too_large
+FROM m WHERE r = 1
+"""
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 OP3_SQL = f"""
@@ -65,8 +102,10 @@ FROM d LEFT JOIN h USING (k) LEFT JOIN t USING (k)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_substring_dedup, op8_decontamination, op10_simhash_near_dedup)}
+    return {f.__name__: f for f in (
+        op1_language_id, op2_sharding, op3_substring_dedup, op4_html_extraction, op5_quality_rules, op6_sentencepiece,
+        op8_decontamination, op10_simhash_near_dedup)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op3_substring_dedup": OP3_SQL, "op8_decontamination": OP8_SQL}
+    return {"op2_sharding": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op8_decontamination": OP8_SQL}
