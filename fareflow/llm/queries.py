@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareflow.llm import decontamination, html_text, language_id, quality, sharding, simhash, substring_dedup, unigram
+from fareflow.llm import backoff, decontamination, html_text, language_id, quality, sharding, simhash, substring_dedup, unigram
 from fareflow.llm.workers import send_package
 
 
@@ -49,6 +49,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.report(_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(_table(spark, sf_dir, "documents"))
 
@@ -82,6 +86,20 @@ FROM d LEFT JOIN s USING (k)
 _NORMAL = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
            r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
+OP9_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, {_WORDS} AS w FROM documents),
+x AS (SELECT k, unnest(w) AS w, unnest(range(1, len(w) + 1)) AS i, unnest(list_prepend(NULL, w)[: len(w)]) AS c FROM d WHERE len(w) > 0),
+u AS (SELECT w, count(*) AS f FROM x GROUP BY w),
+b AS (SELECT c, w, count(*) AS f FROM x WHERE i > 1 GROUP BY c, w),
+t AS (SELECT sum(f) AS n FROM u),
+s AS (SELECT x.k, CASE WHEN x.i = 1 THEN ln(u.f / t.n) WHEN b.f >= {backoff.MIN_COUNT} THEN ln(b.f / v.f)
+                  ELSE ln(0.4) + ln(u.f / t.n) END AS p, x.i > 1 AND b.f < {backoff.MIN_COUNT} AS back
+      FROM x CROSS JOIN t JOIN u ON u.w = x.w LEFT JOIN u v ON v.w = x.c LEFT JOIN b ON b.c = x.c AND b.w = x.w AND x.i > 1),
+r AS (SELECT k, sum(p) AS p, count(*) FILTER (back) AS n FROM s GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(r.n, 0) AS BIGINT) AS n_backoff, round(coalesce(r.p, 0.0), 4) AS log_score
+FROM d LEFT JOIN r USING (k)
+"""
+
 OP8_SQL = f"""
 WITH b AS (SELECT item_id, {_NORMAL} AS w FROM benchmark WHERE item_id IS NOT NULL),
 q AS (SELECT DISTINCT item_id, least(len(w), 10) AS n,
@@ -104,8 +122,9 @@ FROM d LEFT JOIN h USING (k) LEFT JOIN t USING (k)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_language_id, op2_sharding, op3_substring_dedup, op4_html_extraction, op5_quality_rules, op6_sentencepiece,
-        op8_decontamination, op10_simhash_near_dedup)}
+        op8_decontamination, op9_lm_scoring, op10_simhash_near_dedup)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_sharding": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op8_decontamination": OP8_SQL}
+    return {"op2_sharding": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op8_decontamination": OP8_SQL,
+            "op9_lm_scoring": OP9_SQL}
