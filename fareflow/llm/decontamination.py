@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
+from fareflow.llm.columns import only, renamed
 from fareflow.llm.words import ALNUM, LOWER, Words
 from fareflow.session import materialise
 
@@ -38,7 +39,7 @@ def item_windows(text: str | None) -> set[bytes]:
 def _blocks(benchmark: DataFrame) -> Iterator[dict[bytes, set[str]]]:
     """Windows with their items, an automaton's worth at a time; the driver never holds more."""
     block, size = {}, 0
-    for row in benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(
+    for row in only(benchmark, "item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").select(
             F.col("item_id").cast("string").alias("item_id"), "text").toLocalIterator(prefetchPartitions=False):
         for window in item_windows(row.text):
             if window not in block:
@@ -95,14 +96,14 @@ def _scan(windows: Broadcast | None, name: str) -> Callable[[Iterator[pa.RecordB
     return scan
 
 
-def find(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with ``_n_words``, ``_ranges`` (first word and word count of each hit, flat) and ``_items``.
 
     Null and empty texts have no words and no hits; an empty benchmark finds nothing. An item
     without an id or a text, or without a word, has no windows. Repeated items count once, by id.
     """
-    names = ["text" if c == text else f"c{i}" for i, c in enumerate(docs.columns)]
-    out = docs.toDF(*names).select(*names, F.lit(0).cast("long").alias("_n_words"),
+    rows = renamed(docs, "text")
+    out = rows.select("*", F.lit(0).cast("long").alias("_n_words"),
                                    F.array().cast("array<bigint>").alias("_ranges"),
                                    F.array().cast("array<string>").alias("_items"))
     sc, passes = docs.sparkSession.sparkContext, 0
@@ -151,7 +152,7 @@ def spans(text: str | None, ranges: list[int]) -> list[tuple[int, int]]:
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every document."""
-    found = find(docs.select("doc_id", "text"), benchmark).select("doc_id", F.col("_n_words").alias("n_words"), "_ranges", "_items")
+    found = find(only(docs, "doc_id", "text"), benchmark).select("doc_id", F.col("_n_words").alias("n_words"), "_ranges", "_items")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return found.mapInArrow(_covered, f"doc_id {id_type}, n_words long, n_hit long, n_items long, "
                                       "items_sha256 string, contaminated boolean")
@@ -159,4 +160,5 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no window of the benchmark occurs, with their columns as they were."""
-    return find(docs, benchmark).where("size(_ranges) = 0").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = renamed(docs, "text")
+    return find(rows, benchmark).where("size(_ranges) = 0").select(*rows.columns).toDF(*docs.columns)

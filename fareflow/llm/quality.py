@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from fareflow.llm.columns import only, renamed
 from fareflow.operators.joins import small_side
 from fareflow.session import materialise
 
@@ -60,16 +61,16 @@ def _repeated_words(words: Column) -> Column:
     return F.coalesce(_let(F.sort_array(hashes), lambda s: covered(positions(s))), F.lit(0)).cast("long")
 
 
-def counts(docs: DataFrame, text: str = "text") -> DataFrame:
+def counts(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_n_words``, ``_word_chars``, ``_n_symbols``, ``_n_dup_lines``, ``_n_repeat_words``,
     ``_base_failed`` and the transforms ``_x0`` to ``_x3``. A null text has no words.
     """
-    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    t = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(_WORD))
     out = docs.withColumn("_words", F.regexp_extract_all(t, F.lit(_WORD), F.lit(0)))
     out = out.withColumn("_lines", lines)
     out = out.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+        *docs.columns,
         F.size("_words").cast("long").alias("_n_words"),
         F.length(F.concat_ws("", "_words")).cast("long").alias("_word_chars"),
         F.regexp_count(t, F.lit(_SYMBOL)).cast("long").alias("_n_symbols"),
@@ -162,12 +163,13 @@ _NUMBERS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, the counts, base_failed and kept of every row of ``docs``."""
-    rows = materialise(counts(docs.select("doc_id", "lang", "source", "text")).drop("text"), "quality-counts")
+    rows = materialise(counts(only(docs, "doc_id", "lang", "source", "text")).drop("text"), "quality-counts")
     return verdicts(rows, fit(rows)).select("doc_id", *[F.col(f"_{c}").alias(c) for c in _NUMBERS], F.col("_kept").alias("kept"))
 
 
 def clean(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass the fixed rules and are no outliers, with their columns as they were."""
-    rows = materialise(counts(docs.select("lang", "source", "text")).drop("text"), "quality-counts")
-    estimates = fit(rows)
-    return verdicts(counts(docs), estimates).where("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain = renamed(docs, "lang", "source", "text")
+    # Written with their counts: a filter on lazy counts would be pushed below and work them out many times.
+    rows = materialise(counts(plain), "quality-counts")
+    return verdicts(rows, fit(rows)).where("_kept").select(*plain.columns).toDF(*docs.columns)

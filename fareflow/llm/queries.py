@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareflow.llm import backoff, decontamination, html_text, language_id, quality, sharding, simhash, substring_dedup, unigram
+from fareflow.llm import (
+    backoff, decontamination, html_text, language_id, quality, sharding, simhash, substring_dedup, token_store, unigram)
 from fareflow.llm.workers import send_package
 
 
@@ -45,6 +46,11 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None
     return unigram.report(_table(spark, sf_dir, "documents"), pieces(model))
 
 
+def op7_token_ids(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    import public_tokenizers
+    return token_store.report(_table(spark, sf_dir, "documents"), tokenizer or public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -122,7 +128,7 @@ FROM d LEFT JOIN h USING (k) LEFT JOIN t USING (k)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_language_id, op2_sharding, op3_substring_dedup, op4_html_extraction, op5_quality_rules, op6_sentencepiece,
-        op8_decontamination, op9_lm_scoring, op10_simhash_near_dedup)}
+        op7_token_ids, op8_decontamination, op9_lm_scoring, op10_simhash_near_dedup)}
 
 
 def oracles() -> dict[str, str]:

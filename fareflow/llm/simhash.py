@@ -16,8 +16,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from fareflow.llm.columns import only, renamed
 from fareflow.llm.words import LOWER, row_slices
 from fareflow.session import materialise
 
@@ -62,13 +63,20 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         texts = batch.column("text")
         for a, b in row_slices(texts):
             prints = [fingerprint(t) for t in texts.slice(a, b - a).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(prints, pa.int64())], ["doc_id", "print"])
+            rest = batch.slice(a, b - a)
+            yield pa.RecordBatch.from_arrays([rest.column("doc_id"), rest.column("_key"), pa.array(prints, pa.int64())], ["doc_id", "_key", "print"])
+
+
+def _row_key() -> Column:
+    """Stands for a row's id and text."""
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")), F.col("doc_id").isNull())
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, print) of every row; null, empty and blank texts have the fingerprint zero."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_fingerprints, f"doc_id {kind}, print long")
+    """(doc_id, _key, print) of every row; null, empty and blank texts have the fingerprint zero."""
+    rows = only(docs, "doc_id", "text").withColumn("_key", _row_key())
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(_fingerprints, f"doc_id {kind}, _key long, print long")
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -247,20 +255,36 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, print, component_id) of every row.
+    """(doc_id, _key, print, root, component_id) of every row.
 
-    ``component_id`` is the smallest doc_id of all texts that can be reached over links. A null
-    doc_id is larger than any other; a group of null ids only has a null component_id.
+    ``root`` is the group's smallest fingerprint, ``component_id`` the smallest doc_id of all texts
+    that can be reached over links. A null doc_id is larger than any other; a group of null ids
+    only has a null component_id. Repeated rows are members like any other.
     """
     prints = materialise(fingerprints(docs), "fingerprints")
     classes = materialise(prints.groupBy("print").agg(F.min("doc_id").alias("rep")), "classes")
     roots = components(links(classes.select("print")))
     rooted = classes.join(roots.withColumnRenamed("node", "print"), "print", "left").withColumn("root", F.coalesce("root", "print"))
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = materialise(rooted.join(smallest, "root").select("print", "component_id"), "named-classes")
-    return prints.join(named, "print").select("doc_id", "print", "component_id")
+    named = materialise(rooted.join(smallest, "root").select("print", "root", "component_id"), "named-classes")
+    return prints.join(named, "print").select("doc_id", "_key", "print", "root", "component_id")
 
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint as 16 hex digits and component_id of every row of ``docs``."""
     return groups(docs).select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each group: that of the smallest doc_id. Rows of equal id and text stay once."""
+    rows = renamed(docs, "doc_id", "text").withColumn("_key", _row_key())
+    members = groups(docs).groupBy("root", "_key").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("_key").alias("c"))).alias("r"),
+        F.count("*").alias("n"))
+    chosen = materialise(members.groupBy("root").agg(F.min(F.struct("r", "n")).alias("s"))
+                         .select(F.col("s.r.c").alias("_key"), F.col("s.n").alias("_n")), "chosen")
+    kept = rows.join(chosen, "_key")
+    first = Window.partitionBy("_key").orderBy(F.xxhash64(*[F.col(c) for c in rows.columns]))
+    again = kept.where("_n > 1").withColumn("_r", F.row_number().over(first)).where("_r = 1")
+    names = [c for c in rows.columns if c != "_key"]
+    return kept.where("_n = 1").select(*names).unionByName(again.select(*names)).toDF(*docs.columns)

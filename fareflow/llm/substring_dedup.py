@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from fareflow.llm.columns import only, renamed, schema_of
 from fareflow.llm.words import Words, mix, mix2, rolling, row_slices, span
 from fareflow.session import materialise
 
@@ -205,7 +206,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out.append_column("_kept", pa.array([t.decode() for t in kept_texts], pa.string()))
 
 
-def cut_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def cut_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with three more columns: ``_n_words``, ``_n_removed`` and ``_kept``, the words left, joined by a space.
 
     A word goes when a window of 35 consecutive words that covers it also starts anywhere else in
@@ -214,10 +215,8 @@ def cut_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     so they lose all their windows. ``doc_id`` may be null or repeated: a text is known by a hash
     of its id and content. Columns with other names are kept, whatever they are called.
     """
-    spark = docs.sparkSession
-    names = ["text" if c == text else f"c{i}" for i, c in enumerate(docs.columns)]
-    plain = docs.toDF(*names)
-    t, d = F.coalesce("text", F.lit("")), F.col(names[docs.columns.index(doc_id)]).cast("string")
+    plain = renamed(docs, "doc_id", "text")
+    t, d = F.coalesce("text", F.lit("")), F.col("doc_id").cast("string")
     keyed = plain.withColumns({"_key": F.xxhash64(F.coalesce(d, F.lit("")), t), "_check": F.xxhash64(t, F.coalesce(d, F.lit("-")))})
 
     found = keyed.select("text", "_key", "_check").mapInArrow(
@@ -233,15 +232,14 @@ def cut_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
     matched = windows.join(twice, ["w1", "w2"]).groupBy("_key").agg(F.collect_set("stretch").alias("matched"))
 
-    schema = ", ".join(f"{c} {f.dataType.simpleString()}" for c, f in zip(names, docs.schema))
     out = (keyed.join(marked.select("_key", "repeated"), "_key", "left").join(matched, "_key", "left")
            .select(*keyed.columns, "repeated", "matched")
-           .mapInArrow(_cut, f"{schema}, _n_words long, _n_removed long, _kept string"))
+           .mapInArrow(_cut, f"{schema_of(plain)}, _n_words long, _n_removed long, _kept string"))
     return out.toDF(*docs.columns, "_n_words", "_n_removed", "_kept")
 
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 of every text, see ``cut_repeats``."""
-    return cut_repeats(docs.select("doc_id", "text")).select(
+    return cut_repeats(only(docs, "doc_id", "text")).select(
         "doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"),
         F.sha2("_kept", 256).alias("kept_sha256"))
