@@ -42,10 +42,20 @@ _HEADER = 1 << (2 * _WORD_BITS)
 
 
 class Index:
-    """Position of 64-bit keys in the list they were given in, -1 for others; open addressing."""
+    """Position of 64-bit keys in the list they were given in, -1 for others; open addressing.
+
+    Only the keys are sent to workers; each builds its table when it is first asked.
+    """
 
     def __init__(self, keys: np.ndarray):
-        self.bits = max(4, int(4 * len(keys)).bit_length())
+        self.keys, self.key = keys, None
+
+    def __getstate__(self) -> dict:
+        return {"keys": self.keys, "key": None}
+
+    def _build(self) -> None:
+        keys = self.keys
+        self.bits = max(4, int(2 * len(keys)).bit_length())
         size = 1 << self.bits
         self.key, self.place = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
         left, slot = np.arange(len(keys)), self._slot(keys)
@@ -62,6 +72,8 @@ class Index:
         return (mix(keys, 77) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
+        if self.key is None:
+            self._build()
         slot = self._slot(keys)
         out = self.place[slot]
         wrong = np.flatnonzero((out >= 0) & (self.key[slot] != keys))
