@@ -150,23 +150,37 @@ def _emit_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 ["name", "whole", "_key", "stretch"])
 
 
+def _open_windows(words: Words, lists: pa.Array, checks: np.ndarray) -> tuple[np.ndarray, ...]:
+    """128-bit hash, text, place and number within its text of each distinct window of the open stretches.
+
+    The last result holds all places of windows that a text has twice or more: these are repeated
+    whatever other texts hold.
+    """
+    one, two = rolling(words.hashes(1), FACTORS[0]), rolling(words.hashes(2), FACTORS[1])
+    begin, count, text = _ranges(lists, checks)
+    begin, text = np.repeat(begin, count), np.repeat(text, count)
+    start = begin + np.arange(len(begin)) - np.repeat(np.cumsum(count) - count, count) + words.first[text]
+    w1, w2 = _signed(span(one, start, start + WINDOW)), _signed(span(two, start, start + WINDOW))
+    order = np.lexsort((w2, w1, text))
+    w1, w2, text, start = w1[order], w2[order], text[order], start[order]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1]) | (text[1:] != text[:-1])
+    head = np.flatnonzero(fresh)
+    times = np.diff(np.append(head, len(order)))
+    return w1[head], w2[head], text[head], start[head], times, start[np.repeat(times > 1, times)]
+
+
 def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """128-bit hashes of the windows in the stretches that are left open."""
+    """The distinct windows of each text in the stretches that are left open, and how often it has them."""
     for batch in batches:
         texts, open_ = batch.column("text"), batch.column("open")
         for a, b in row_slices(texts):
             words = Words.of(texts.slice(a, b - a))
-            one, two = rolling(words.hashes(1), FACTORS[0]), rolling(words.hashes(2), FACTORS[1])
             checks = batch.column("_check").to_numpy(zero_copy_only=False)[a:b]
-            begin, count, text = _ranges(open_.slice(a, b - a), checks)
-            begin, text = np.repeat(begin, count), np.repeat(text, count)
-            at = begin + np.arange(len(begin)) - np.repeat(np.cumsum(count) - count, count)
-            start = at + words.first[text]
+            w1, w2, text, start, times, _ = _open_windows(words, open_.slice(a, b - a), checks)
             keys = batch.column("_key").to_numpy(zero_copy_only=False)[a:b][text]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_signed(span(one, start, start + WINDOW))), pa.array(_signed(span(two, start, start + WINDOW))),
-                 pa.array(keys), pa.array(_packed(at, np.ones_like(at), checks[text]))],
-                ["w1", "w2", "_key", "stretch"])
+            place = _packed(start - words.first[text], np.ones_like(start), checks[text])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (w1, w2, keys, place, times)], ["w1", "w2", "_key", "stretch", "times"])
 
 
 def _ranges(lists: pa.Array, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,6 +206,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = begin + words.first[text]
                 np.add.at(mark, at, 1)
                 np.add.at(mark, at + count + WINDOW - 1, -1)
+            *_, own = _open_windows(words, batch.column("open").slice(a, b - a), checks)
+            np.add.at(mark, own, 1)
+            np.add.at(mark, own + WINDOW, -1)
             kept = np.cumsum(mark)[:-1] == 0
             raw, kept_texts = words.data.tobytes(), []
             for i in range(b - a):
@@ -200,7 +217,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 kept_texts.append(b" ".join([raw[x:y] for x, y in zip(words.start[at].tolist(), words.end[at].tolist())]))
             total = np.diff(words.first)
             left = np.add.reduceat(np.append(kept, 0), words.first[:-1]) * (total > 0)
-            out = batch.slice(a, b - a).drop_columns(["_key", "_check", "repeated", "matched"])
+            out = batch.slice(a, b - a).drop_columns(["_key", "_check", "repeated", "open", "matched"])
             out = out.append_column("_n_words", pa.array(total.astype(np.int64)))
             out = out.append_column("_n_removed", pa.array((total - left).astype(np.int64)))
             yield out.append_column("_kept", pa.array([t.decode() for t in kept_texts], pa.string()))
@@ -228,12 +245,13 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
         F.collect_set(F.when(~F.col("same"), F.col("stretch"))).alias("open")), "stretches")
 
     opened = keyed.join(marked.where("size(open) > 0").select("_key", "open"), "_key")
-    windows = opened.mapInArrow(_emit_windows, "w1 long, w2 long, _key long, stretch long")
-    twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
-    matched = windows.join(twice, ["w1", "w2"]).groupBy("_key").agg(F.collect_set("stretch").alias("matched"))
+    # A window that one text repeats needs no join: that text knows by itself, other texts see the count.
+    windows = opened.mapInArrow(_emit_windows, "w1 long, w2 long, _key long, stretch long, times long")
+    twice = windows.groupBy("w1", "w2").agg(F.sum("times").alias("n")).where("n > 1").select("w1", "w2")
+    matched = windows.where("times = 1").join(twice, ["w1", "w2"]).groupBy("_key").agg(F.collect_set("stretch").alias("matched"))
 
-    out = (keyed.join(marked.select("_key", "repeated"), "_key", "left").join(matched, "_key", "left")
-           .select(*keyed.columns, "repeated", "matched")
+    out = (keyed.join(marked, "_key", "left").join(matched, "_key", "left")
+           .select(*keyed.columns, "repeated", "open", "matched")
            .mapInArrow(_cut, f"{schema_of(plain)}, _n_words long, _n_removed long, _kept string"))
     return out.toDF(*docs.columns, "_n_words", "_n_removed", "_kept")
 
