@@ -283,7 +283,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         F.count("*").alias("n"))
     chosen = materialise(members.groupBy("root").agg(F.min(F.struct("r", "n")).alias("s"))
                          .select(F.col("s.r.c").alias("_key"), F.col("s.n").alias("_n")), "chosen")
-    kept = rows.join(chosen, "_key")
+    # Sorted and merged at every size, so that a small table shows what a large one costs.
+    kept = rows.join(chosen.hint("merge"), "_key")
     first = Window.partitionBy("_key").orderBy(F.xxhash64(*[F.col(c) for c in rows.columns]))
     again = kept.where("_n > 1").withColumn("_r", F.row_number().over(first)).where("_r = 1")
     names = [c for c in rows.columns if c != "_key"]
