@@ -23,7 +23,8 @@ def money(expr: str, name: str | None = None) -> str:
 
 
 def mean(expr: str, name: str) -> str:
-    return f"{money(expr)} / count({expr}) AS {name}"
+    """Exact to nine decimals; only what is money is rounded to money."""
+    return f"CAST(sum(CAST({expr} AS DECIMAL(28,9))) AS DOUBLE) / count({expr}) AS {name}"
 
 
 @query("a01_group_count", "SELECT service_type, count(*) AS count FROM unioned GROUP BY 1", "unioned")
@@ -48,8 +49,8 @@ def monthly_revenue(t):
     return staging.plain_union(t.green, t.yellow).groupBy(
         F.col("PULocationID").alias("revenue_zone"), C.trunc_ts("month", "pickup_datetime").alias("revenue_month"),
         "service_type").agg(*[C.exact_sum(a).alias(n) for a, n in NAMES.items()],
-                            C.exact_avg("passenger_count").alias("avg_monthly_passenger_count"),
-                            C.exact_avg("trip_distance").alias("avg_monthly_trip_distance"))
+                            C.exact_avg("passenger_count", C.EXACT).alias("avg_monthly_passenger_count"),
+                            C.exact_avg("trip_distance", C.EXACT).alias("avg_monthly_trip_distance"))
 
 
 MART = ", ".join(f"CAST(sum({a}) AS DOUBLE) AS revenue_monthly_{'fare' if a == 'fare_amount' else a}" for a in AMOUNTS)
@@ -263,11 +264,11 @@ def signs(t):
 
 
 def profile_sql(column: str, feed: str) -> str:
-    v = f"CAST({column} AS DECIMAL(18,3))"
-    return f"""SELECT '{column}' AS "column", count(*) AS rows, count(*) FILTER ({v} IS NULL) AS nulls,
-        count(*) FILTER ({v} > 0) AS positive, count(*) FILTER ({v} = 0) AS zero, count(*) FILTER ({v} < 0) AS negative,
+    v = f"CAST({column} AS DECIMAL(28,9))"
+    return f"""SELECT '{column}' AS "column", count(*) AS rows, count(*) FILTER ({column} IS NULL) AS nulls,
+        count(*) FILTER ({column} > 0) AS positive, count(*) FILTER ({column} = 0) AS zero, count(*) FILTER ({column} < 0) AS negative,
         CAST(sum({v}) AS DOUBLE) / count({v}) AS mean, round(stddev({column}), 6) AS stddev,
-        CAST(min({v}) AS DOUBLE) AS min, CAST(max({v}) AS DOUBLE) AS max, CAST(sum({v}) AS DOUBLE) AS total FROM {feed}"""
+        CAST(min({column}) AS DOUBLE) AS min, CAST(max({column}) AS DOUBLE) AS max, CAST(sum({v}) AS DOUBLE) AS total FROM {feed}"""
 
 
 @query("a25_profile", f"{profile_sql('trip_distance', 'trips')} UNION ALL {profile_sql('payment_type', 'trips')}", "trips")

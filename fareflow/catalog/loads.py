@@ -10,19 +10,20 @@ from ..functions import names
 from ..operators import loads, nested
 from ..plans import staging
 from ..schemas import YELLOW
+from ..session import materialise
 from ..sources import readers
 from ..sources.writers import by_size
 from .registry import query
-from .scalars import HASHED, UP, hash_parts
+from .scalars import HASHED, HASHED_ALL, UP, all_hash_parts, hash_parts
 from .sources import monthly_files, yellow_rows
 
 
 def landed(df, filename):
-    """Staging rows with their hash id and file name."""
-    return df.withColumns({"unique_row_id": C.row_hash(*hash_parts()), "filename": filename})
+    """Staging rows with their hash id over all seven fields, and file name."""
+    return df.withColumns({"unique_row_id": C.row_hash(*all_hash_parts()), "filename": filename})
 
 
-@query("m01_stage_and_stamp", f"""SELECT md5({HASHED}) AS unique_row_id, strftime({UP}, 'month=%m') AS folder, count(*) AS n FROM trips
+@query("m01_stage_and_stamp", f"""SELECT md5({HASHED_ALL}) AS unique_row_id, strftime({UP}, 'month=%m') AS folder, count(*) AS n FROM trips
        GROUP BY 1, 2""", "trips")
 def stage_and_stamp(t):
     path = t.scratch("landing")
@@ -34,7 +35,7 @@ def stage_and_stamp(t):
     return table.read().groupBy("unique_row_id", F.col("filename").alias("folder")).agg(F.count(F.lit(1)).alias("n"))
 
 
-ID = f"md5({HASHED})"
+ID = f"md5({HASHED_ALL})"
 
 
 @query("m02_insert_only_merge", f"""WITH s AS (SELECT {ID} AS id, * FROM trips), old AS (SELECT * FROM s WHERE passenger_count < 4)
@@ -42,7 +43,7 @@ ID = f"md5({HASHED})"
        SELECT id, fare_amount FROM s WHERE id NOT IN (SELECT id FROM old)""", "trips")
 def insert_only_merge(t):
     """Half of the feed is loaded first; the whole feed then adds only unknown ids. A rerun adds nothing."""
-    feed = landed(yellow_rows(t), F.lit("feed")).select("unique_row_id", "fare_amount", "passenger_count", UP)
+    feed = materialise(landed(yellow_rows(t), F.lit("feed")).select("unique_row_id", "fare_amount", "passenger_count", UP), "feed")
     table = loads.Table(t.spark, t.scratch("trips"))
     loads.append_missing(table, feed.filter("passenger_count < 4"), "unique_row_id", UP)
     for _ in range(2):
@@ -94,9 +95,9 @@ def cursor_extraction(t):
     cursor, table = loads.Cursor(t.spark, t.scratch("state"), "2024-01-08 00:00:00"), loads.Table(t.spark, t.scratch("events"))
     out = None
     for run in (1, 2):
-        fresh = cursor.extract(t.events.select("event_id", "ts"), "ts")
+        fresh = cursor.extract(t.events.select("event_id", "ts"), "ts", table.read() if table.exists() else None, "event_id")
         counted = fresh.agg(F.lit(run).alias("run"), F.count(F.lit(1)).alias("rows"))
-        stored = loads.Table(t.spark, t.scratch("counts")).replace(counted)
+        stored = loads.replace(loads.Table(t.spark, t.scratch("counts")), counted)
         table.append(fresh)
         cursor.advance(table.read(), "ts")
         out = stored if out is None else out.unionAll(stored)
@@ -193,7 +194,7 @@ def delete_by_key(t):
     return loads.delete_by_key(t.zones, "LocationID", [17])
 
 
-@query("m17_month_table", f"""SELECT unhex({ID}) AS unique_row_id, 'yellow_tripdata_1996-11.csv' AS filename, PULocationID, fare_amount
+@query("m17_month_table", f"""SELECT unhex(md5({HASHED})) AS unique_row_id, 'yellow_tripdata_1996-11.csv' AS filename, PULocationID, fare_amount
        FROM trips WHERE {UP} >= TIMESTAMP '1996-11-01' AND {UP} < TIMESTAMP '1996-12-01'""", "trips")
 def month_table(t):
     paths = readers.month_paths(monthly_files(t), "yellow", [1996], [11])

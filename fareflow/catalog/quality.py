@@ -71,9 +71,9 @@ def row_assertions(t):
 
 
 def side(column: str, feed: str, suffix: str) -> str:
-    v = f"CAST({column} AS DECIMAL(18,3))"
+    v = f"CAST({column} AS DECIMAL(28,9))"
     return (f"count(*) AS rows_{suffix}, CAST(sum({v}) AS DOUBLE) / count({v}) AS mean_{suffix}, "
-            f"CAST(min({v}) AS DOUBLE) AS min_{suffix}, CAST(max({v}) AS DOUBLE) AS max_{suffix}, "
+            f"CAST(min({column}) AS DOUBLE) AS min_{suffix}, CAST(max({column}) AS DOUBLE) AS max_{suffix}, "
             f"CAST(sum({v}) AS DOUBLE) AS total_{suffix} FROM {feed}")
 
 

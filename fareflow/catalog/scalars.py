@@ -121,15 +121,22 @@ HASHED = ("coalesce(CAST(VendorID AS VARCHAR), '') || strftime(tpep_pickup_datet
           "CAST(DOLocationID AS VARCHAR)")
 
 
+HASHED_ALL = (HASHED + " || coalesce(CAST(CAST(round(fare_amount * 100) AS BIGINT) AS VARCHAR), '') || "
+              "coalesce(CAST(CAST(round(trip_distance * 100) AS BIGINT) AS VARCHAR), '')")
+
+
 def hash_parts():
     return ["VendorID", C.ts_text(UP), C.ts_text(DOWN), "PULocationID", "DOLocationID"]
 
 
-@query("f17_row_hash", f"""SELECT md5({HASHED} || CAST(CAST(round(fare_amount * 100) AS BIGINT) AS VARCHAR) ||
-       CAST(CAST(round(trip_distance * 100) AS BIGINT) AS VARCHAR)) AS unique_row_id FROM trips""", "trips")
+def all_hash_parts():
+    """The landing form: fare and distance too, so a corrected trip is a new one."""
+    return [*hash_parts(), *[F.round(F.col(c) * 100).cast("long") for c in ("fare_amount", "trip_distance")]]
+
+
+@query("f17_row_hash", f"SELECT md5({HASHED_ALL}) AS unique_row_id FROM trips", "trips")
 def row_hash(t):
-    return t.trips.select(C.row_hash(*hash_parts(), *[F.round(F.col(c) * 100).cast("long") for c in ("fare_amount", "trip_distance")])
-                          .alias("unique_row_id"))
+    return t.trips.select(C.row_hash(*all_hash_parts()).alias("unique_row_id"))
 
 
 @query("f18_row_hash_bytes", f"SELECT unhex(md5({HASHED})) AS unique_row_id FROM trips", "trips")

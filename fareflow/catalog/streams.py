@@ -8,6 +8,7 @@ end, so those queries close the input with the watermark and compare what was em
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..operators.dedup import top_k
@@ -38,6 +39,16 @@ def buckets(width: str, keys: str, source: str = "events") -> str:
             f" AS window_end, {keys}, count(*) AS count FROM {source} GROUP BY ALL")
 
 
+def until_watermark(sql: str, delay: str) -> str:
+    """The windows that are closed once the watermark has seen all events."""
+    return f"SELECT * FROM ({sql}) WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '{delay}' FROM events)"
+
+
+def closed(t, df):
+    """Append mode: each window is written once, when the watermark has passed its end, and its state goes."""
+    return zone_free(sinks.to_table(df, t.scratch("closed")))
+
+
 @query("t01_watermarked", "SELECT event_type, count(*) AS n, max(ts) AS last_ts FROM events GROUP BY 1")
 def watermarked(t):
     timed = windows.event_time(t.stream("events"), "ts", "15 seconds")
@@ -45,9 +56,9 @@ def watermarked(t):
     return stored.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("ts").cast(C.NTZ).alias("last_ts"))
 
 
-@query("t02_tumbling_minute", buckets("1 minute", "event_type"))
+@query("t02_tumbling_minute", until_watermark(buckets("1 minute", "event_type"), "1 second"))
 def tumbling_minute(t):
-    return complete(t, windows.tumbling(t.stream("events"), "ts", "1 minute", ["event_type"], "1 second"))
+    return closed(t, windows.tumbling(t.stream("events"), "ts", "1 minute", ["event_type"], "1 second"))
 
 
 @query("t03_tumbling_update", buckets("10 seconds", "user_id"))
@@ -56,9 +67,9 @@ def tumbling_update(t):
     return zone_free(sinks.upserted(out, t.scratch("out"), ["window_start", "user_id"]))
 
 
-@query("t04_tumbling_expiry", buckets("1 minute", "user_id"))
+@query("t04_tumbling_expiry", until_watermark(buckets("1 minute", "user_id"), "1 hour"))
 def tumbling_expiry(t):
-    return complete(t, windows.tumbling(t.stream("events"), "ts", "1 minute", ["user_id"], "1 hour"))
+    return closed(t, windows.tumbling(t.stream("events"), "ts", "1 minute", ["user_id"], "1 hour"))
 
 
 @query("t05_sliding", """SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, user_id, count(*) AS count FROM (
@@ -76,14 +87,14 @@ def islands(key: str, gap: str) -> str:
         FROM runs GROUP BY {key}, run"""
 
 
-@query("t06_session_minute", islands("event_type", "60 SECOND"))
+@query("t06_session_minute", until_watermark(islands("event_type", "60 SECOND"), "60 seconds"))
 def session_minute(t):
-    return complete(t, windows.sessions(t.stream("events"), "ts", "60 seconds", ["event_type"], "60 seconds"))
+    return closed(t, windows.sessions(t.stream("events"), "ts", "60 seconds", ["event_type"], "60 seconds"))
 
 
-@query("t07_longest_session", f"SELECT * FROM ({islands('user_id', '5 MINUTE')}) ORDER BY count DESC, window_start, user_id LIMIT 3")
+@query("t07_longest_session", f"SELECT * FROM ({until_watermark(islands('user_id', '5 MINUTE'), '5 seconds')}) ORDER BY count DESC, window_start, user_id LIMIT 3")
 def longest_session(t):
-    out = complete(t, windows.sessions(t.stream("events"), "ts", "5 minutes", ["user_id"], "5 seconds"))
+    out = closed(t, windows.sessions(t.stream("events"), "ts", "5 minutes", ["user_id"], "5 seconds"))
     return top_k(out, ["-count", "window_start", "user_id"], 3)
 
 
@@ -111,9 +122,13 @@ def rekeyed(t):
     return stored.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Parts that the state of one key and time bucket is split into; each pickup is kept as many times.
+SALTS = 4
+
+
 def near_stream(t):
     rides, pickups = ride_streams(t.stream("events"))
-    return zone_free(sinks.to_table(joins.dropoffs_near_pickups(rides, pickups), t.scratch("out")))
+    return zone_free(sinks.to_table(joins.dropoffs_near_pickups(rides, pickups, salts=SALTS), t.scratch("out")))
 
 
 @query("j14_stream_join", NEAR)
@@ -174,10 +189,10 @@ def checkpointed(t):
     return t.spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("ids"))
 
 
-@query("t18_grace", buckets("5 minutes", "event_type"))
+@query("t18_grace", until_watermark(buckets("5 minutes", "event_type"), "5 minutes"))
 def grace(t):
     """Grace is the watermark's delay: the window's state stays that long for late rows."""
-    return complete(t, windows.tumbling(t.stream("events"), "ts", "5 minutes", ["event_type"], "5 minutes"))
+    return closed(t,windows.tumbling(t.stream("events"), "ts", "5 minutes", ["event_type"], "5 minutes"))
 
 
 POPULAR = "SELECT user_id, count(*) AS count FROM (SELECT user_id FROM events UNION ALL SELECT user_id FROM events WHERE event_type = 'view') GROUP BY 1"
@@ -252,7 +267,10 @@ def event_time_table(t):
 
 @query("k13_console", "SELECT event_type, count(*) AS count FROM events GROUP BY 1")
 def console_sink(t):
-    """The counts that the console sink prints, as a table."""
+    """The console sink runs until the events are printed; the same counts come back as a table."""
+    printed = sinks.console(windows.running_count(t.stream("events"), ["event_type"]), interval="1 second")
+    printed.processAllAvailable()
+    printed.stop()
     return sinks.newest_result(windows.running_count(t.stream("events"), ["event_type"]), t.scratch("out"))
 
 
@@ -280,11 +298,11 @@ def batch_function(t):
 @query("x07_micro_batch", "SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1")
 def micro_batch(t):
     """A function sees each micro-batch as a table: partial sums per batch, added up at the end."""
-    from ..operators.loads import Table
-    table = Table(t.spark, t.scratch("out"))
+    table = sinks.Batches(t.spark, t.scratch("out"), T.StructType([
+        T.StructField("event_type", T.StringType()), T.StructField("part", T.DecimalType(28, 2))]))
 
     def totals(batch, number):
-        table.append(batch.groupBy("event_type").agg(F.sum(F.col("value").cast(C.MONEY)).alias("part")), batch=number)
+        table.write(batch.groupBy("event_type").agg(F.sum(F.col("value").cast(C.MONEY)).alias("part")), number)
 
     sinks.finish(sinks.for_each_batch(t.stream("events").select("event_type", "value"), totals))
     return table.read().groupBy("event_type").agg(F.sum("part").cast("double").alias("total"))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 NUMERIC = T.DecimalType(18, 3)
 MONEY = T.DecimalType(18, 2)
+EXACT = T.DecimalType(28, 9)  # for sums of measures that are no money
 NTZ = T.TimestampNTZType()
 
 # Fixed value: text that stands for a missing key part in a surrogate key.
@@ -129,10 +130,10 @@ def base_code(c: Column | str) -> Column:
 
 @F.pandas_udf(T.StringType())
 def base_code_udf(bases: pd.Series) -> pd.Series:
-    """Vectorised form of ``base_code`` for callers that need a registered function."""
-    number = bases.str[1:].astype("int64")
-    letter = pd.Series("e", index=bases.index).mask(number % 3 == 0, "a").mask(number % 7 == 0, "s")
-    return letter + "/" + number.map("{:03x}".format)
+    """Vectorised form of ``base_code`` for callers that need a registered function; NULL gives NULL."""
+    number = pd.to_numeric(bases.str[1:]).astype("Int64").dropna()
+    letter = pd.Series("e", index=number.index).mask(number % 3 == 0, "a").mask(number % 7 == 0, "s")
+    return (letter + "/" + number.map("{:03x}".format)).reindex(bases.index)
 
 
 def masked(c: Column | str, salt: str = "") -> Column:

@@ -7,6 +7,7 @@ committed all of its tasks, so a failed write never shows.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,76 +35,85 @@ class Table:
         names = [s.getPath().getName() for s in fs.listStatus(jpath)]
         return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
 
-    def _committed(self, version: int) -> list[int]:
-        def done(batch: int) -> bool:
-            marker = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{version}/b{batch}/_SUCCESS")
-            return marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(marker)
-        return [b for b in self._numbers(f"{self.path}/v{version}", "b") if done(b)]
-
-    def current(self, below: int | None = None) -> tuple[int, list[int]] | None:
-        """Newest version (under ``below``) whose first batch is complete, with its complete batches."""
-        for version in reversed(self._numbers(self.path, "v")):
-            if below is not None and version >= below:
-                continue
-            batches = self._committed(version)
-            if batches:
-                return version, batches
-        return None
+    def _done(self, version: int, batch: int = 0) -> bool:
+        marker = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{version}/b{batch}/_SUCCESS")
+        return marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(marker)
+
+    def _drop(self, folder: str) -> None:
+        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+        jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+    def version(self, below: int | None = None) -> int | None:
+        """Newest version (under ``below``) whose first batch is complete."""
+        found = [v for v in self._numbers(self.path, "v") if below is None or v < below]
+        return next((v for v in reversed(found) if self._done(v)), None)
 
     def exists(self, below: int | None = None) -> bool:
-        return self.current(below) is not None
+        return self.version(below) is not None
 
     def read(self, below: int | None = None) -> DataFrame:
-        found = self.current(below)
-        if found is None:
+        """The complete batches of the newest version; one listing finds them."""
+        version = self.version(below)
+        if version is None:
             raise FileNotFoundError(f"{self.path} holds no complete batch")
-        version, batches = found
-        paths = [f"{self.path}/v{version}/b{b}" for b in batches]
+        markers = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{version}/b*/_SUCCESS")
+        found = markers.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(markers)
+        paths = sorted(s.getPath().getParent().toString() for s in found)
         return self.spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
 
-    def replace(self, df: DataFrame, version: int | None = None) -> DataFrame:
-        """Starts a new version; a given number makes a retry overwrite its own version."""
+    def replace(self, df: DataFrame, version: int | None = None) -> None:
+        """Starts a new version; a given number makes a retry overwrite its own version.
+
+        The version before stays for those who read it; older ones are removed.
+        """
+        numbers = self._numbers(self.path, "v")
         if version is None:
-            numbers = self._numbers(self.path, "v")
             version = numbers[-1] + 1 if numbers else 0
         df.write.mode("overwrite").parquet(f"{self.path}/v{version}/b0")
-        return self.read()
+        for old in [v for v in numbers if v < version][:-1]:
+            self._drop(f"v{old}")
 
-    def append(self, df: DataFrame, batch: int | None = None) -> DataFrame:
-        """Adds rows. A given ``batch`` number is written once only, however often it is retried."""
-        version, batches = self.current() or (0, [])
+    def append(self, df: DataFrame, batch: int | None = None) -> None:
+        """Adds rows without a look at earlier ones. A given ``batch`` number is written once only, however often it is retried."""
+        version = self.version() or 0
         if batch is None:
-            batch = batches[-1] + 1 if batches else 0
-        if batch not in batches:
-            df.write.mode("overwrite").parquet(f"{self.path}/v{version}/b{batch}")
-        return self.read()
+            numbers = self._numbers(f"{self.path}/v{version}", "b")
+            batch = numbers[-1] + 1 if numbers else 0
+        elif self._done(version, batch):
+            return
+        df.write.mode("overwrite").parquet(f"{self.path}/v{version}/b{batch}")
 
 
 def replace(table: Table, df: DataFrame) -> DataFrame:
-    return table.replace(df)
+    table.replace(df)
+    return table.read()
 
 
 def append(table: Table, df: DataFrame) -> DataFrame:
     """Columns that only one batch has are NULL in the others."""
-    return table.append(df)
+    table.append(df)
+    return table.read()
 
 
-def append_missing(table: Table, source: DataFrame, key: str, within: str | None = None) -> DataFrame:
+def append_missing(table: Table, source: DataFrame, key: str, within: str | None = None) -> None:
     """``insert_only`` into a stored table: only the new rows are written.
 
-    ``within`` names a column that is part of the key, such as the pickup time: the target is
-    then read only in the source's range of it (two values that reach the scan as filters).
+    ``within`` names a column that is part of the key, such as the pickup time, to the precision the
+    key has: the target is then read only in the source's range of it, widened to whole seconds, as
+    ids hash times to the second. The source is written once, as a staging table.
     """
     if not table.exists():
-        return table.append(source)
-    known = table.read()
+        table.append(source)
+        return
+    known, source = table.read(), materialise(source, "staged")
     if within:
-        low, high = source.agg(F.min(within), F.max(within)).first()
+        low, high, without = source.agg(F.min(within), F.max(within), F.count_if(F.col(within).isNull())).first()
         if low is not None:
-            open_ended = source.filter(F.col(within).isNull()).limit(1)
-            inside = F.col(within).between(F.lit(low), F.lit(high))
-            known = known.filter(inside if open_ended.isEmpty() else inside | F.col(within).isNull())
-    return table.append(unseen(source, known, key))
+            second = lambda v: F.date_trunc("second", F.lit(v)) if isinstance(v, datetime.datetime) else F.lit(v)
+            after = second(high) + F.expr("INTERVAL '1' SECOND") if isinstance(high, datetime.datetime) else F.lit(high)
+            inside = F.col(within).between(second(low), after)
+            known = known.filter(inside | F.col(within).isNull() if without else inside)
+    table.append(unseen(source, known, key))
 
 
 def unseen(source: DataFrame, known: DataFrame, key: str) -> DataFrame:
@@ -123,8 +133,8 @@ def insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """Whole-row replacement: source rows win, the first by ``order`` where a key repeats."""
-    source = keep_first(source, keys, order) if order else source.dropDuplicates(list(keys))
+    """Whole-row replacement: source rows win, the first by ``order`` (then by all columns) where a key repeats."""
+    source = keep_first(source, keys, order)
     kept = target.join(source.select(*keys), list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(source, allowMissingColumns=True)
 
@@ -165,8 +175,8 @@ def load(table: Table, df: DataFrame, disposition: str, keys: Sequence[str] = ()
         if not keys:
             raise ValueError("merge needs key columns")
         if not table.exists():
-            return table.replace(keep_first(df, keys, order) if order else df.dropDuplicates(list(keys)))
-        return table.replace(upsert(table.read(), df, keys, order))
+            return replace(table, keep_first(df, keys, order))
+        return replace(table, upsert(table.read(), df, keys, order))
     raise ValueError(f"unknown disposition {disposition!r}")
 
 
@@ -181,11 +191,19 @@ class Cursor:
             return self.initial
         return self.table.read().first()["cursor"]
 
-    def extract(self, source: DataFrame, column: str) -> DataFrame:
-        """Rows at or past the initial value on the first run, strictly past the cursor later."""
+    def extract(self, source: DataFrame, column: str, loaded: DataFrame | None = None, key: str | None = None) -> DataFrame:
+        """Rows at or past the initial value on the first run, past the cursor later.
+
+        Rows that equal the cursor may arrive late. With ``loaded`` and ``key`` those of them that
+        were not loaded yet are extracted too; without, the test is strict.
+        """
         limit = F.lit(self.value()).cast(source.schema[column].dataType)
-        past = F.col(column) > limit if self.table.exists() else F.col(column) >= limit
-        return source.filter(past)
+        if not self.table.exists():
+            return source.filter(F.col(column) >= limit)
+        past = source.filter(F.col(column) > limit)
+        if loaded is None or key is None:
+            return past
+        return past.unionByName(unseen(source.filter(F.col(column) == limit), loaded.filter(F.col(column) == limit), key))
 
     def advance(self, loaded: DataFrame, column: str) -> None:
         high = loaded.agg(F.max(column).cast("string").alias("cursor"))

@@ -59,15 +59,19 @@ def run(*results: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
 
 
-def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per numeric column: rows, nulls, sign composition, mean, spread and total; one pass."""
+def profile(df: DataFrame, columns: Sequence[str], scale: int = 9) -> DataFrame:
+    """One row per numeric column: rows, nulls, sign composition, mean, spread and total; one pass.
+
+    Signs and extremes are those of the values themselves. The total, and the mean from it, add up
+    decimals of ``scale`` digits, so they do not depend on the order of the rows.
+    """
     aggs = []
     for i, c in enumerate(columns):
-        v = F.col(c).cast("decimal(18,3)")
+        v = F.col(c)
         aggs += [
             F.count(F.lit(1)).alias(f"rows{i}"), F.count_if(v.isNull()).alias(f"nulls{i}"),
             F.count_if(v > 0).alias(f"pos{i}"), F.count_if(v == 0).alias(f"zero{i}"),
-            F.count_if(v < 0).alias(f"neg{i}"), F.sum(v).cast("double").alias(f"sum{i}"),
+            F.count_if(v < 0).alias(f"neg{i}"), F.sum(v.cast(f"decimal(28,{scale})")).cast("double").alias(f"sum{i}"),
             F.min(v).cast("double").alias(f"min{i}"), F.max(v).cast("double").alias(f"max{i}"),
             F.stddev(F.col(c).cast("double")).alias(f"sd{i}")]
     one = df.agg(*aggs)

@@ -1,4 +1,8 @@
-"""Linear regression of tips on Spark ML: features, training, evaluation, explanation, search."""
+"""Linear regression of tips on Spark ML: features, training, evaluation, explanation, search.
+
+No row is lost on the way: a NULL number counts as the training rows' mean, a NULL or unknown
+category as a category of weight zero. Only rows without a label are left out of fitting and errors.
+"""
 
 from __future__ import annotations
 
@@ -7,12 +11,14 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import TrainValidationSplit
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import small_side
+
 # --- fixed values: features and search space of the tip model ---
 NUMBERS = ("passenger_count", "trip_distance", "fare_amount", "tolls_amount")
 CATEGORIES = ("PULocationID", "DOLocationID", "payment_type")
@@ -22,6 +28,9 @@ L2_CANDIDATES = (0.0, 0.1, 1.0, 10.0)
 TRIALS, PARALLEL_TRIALS = 5, 2
 # --- end of fixed values ---
 
+#: Share of the rows that train, at every size.
+TRAIN_SHARE = 0.8
+
 
 def feature_table(trips: DataFrame) -> DataFrame:
     """Typed training table: ids as text, paid trips only."""
@@ -32,12 +41,13 @@ def feature_table(trips: DataFrame) -> DataFrame:
 
 
 def split(features: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Automatic split by a hash of the row: none under 500 rows, a fifth for evaluation up to
-    50,000, and about 10,000 rows beyond. Equal rows land on the same side on every run."""
-    total = features.count()
-    share = 0.0 if total < 500 else 0.2 if total <= 50_000 else 10_000 / total
+    """``TRAIN_SHARE`` of the rows and the rest, by a hash of the row; equal rows land on one side."""
     draw = F.pmod(F.xxhash64(*features.columns), F.lit(1_000_000)) / 1_000_000
-    return features.filter(draw >= share), features.filter(draw < share) if share else features
+    return features.filter(draw < TRAIN_SHARE), features.filter(draw >= TRAIN_SHARE)
+
+
+def labelled(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col(LABEL).isNotNull())
 
 
 def _stages(l1: float, l2: float) -> list:
@@ -45,14 +55,16 @@ def _stages(l1: float, l2: float) -> list:
     return [
         StringIndexer(inputCols=list(CATEGORIES), outputCols=[c + "_ix" for c in CATEGORIES], handleInvalid="keep"),
         OneHotEncoder(inputCols=[c + "_ix" for c in CATEGORIES], outputCols=[c + "_hot" for c in CATEGORIES]),
-        VectorAssembler(inputCols=[*NUMBERS, *[c + "_hot" for c in CATEGORIES]], outputCol="features",
-                        handleInvalid="skip"),
+        # The imputer would cut a mean to the type of a whole number.
+        SQLTransformer(statement=f"SELECT *, {', '.join(f'CAST({n} AS DOUBLE) AS {n}_real' for n in NUMBERS)} FROM __THIS__"),
+        Imputer(inputCols=[n + "_real" for n in NUMBERS], outputCols=[n + "_in" for n in NUMBERS], strategy="mean"),
+        VectorAssembler(inputCols=[*[n + "_in" for n in NUMBERS], *[c + "_hot" for c in CATEGORIES]], outputCol="features"),
         LinearRegression(labelCol=LABEL, regParam=l1 + l2, elasticNetParam=mix, maxIter=50),
     ]
 
 
 def train(rows: DataFrame, l1: float = 0.0, l2: float = 0.0) -> PipelineModel:
-    return Pipeline(stages=_stages(l1, l2)).fit(rows.filter(F.col(LABEL).isNotNull()))
+    return Pipeline(stages=_stages(l1, l2)).fit(labelled(rows))
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -61,10 +73,11 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 
 def evaluate(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Error measures in one pass over the scored rows."""
-    scored = predict(model, rows.filter(F.col(LABEL).isNotNull()))
+    """Error measures over all labelled rows, and their number, in one pass."""
+    scored = predict(model, labelled(rows))
     err = F.col("predicted_" + LABEL) - F.col(LABEL)
     return scored.agg(
+        F.count(LABEL).alias("rows"),
         F.avg(F.abs(err)).alias("mean_absolute_error"),
         F.avg(err * err).alias("mean_squared_error"),
         F.avg(F.pow(F.log1p(F.greatest("predicted_" + LABEL, F.lit(0.0))) - F.log1p(LABEL), 2)
@@ -75,73 +88,74 @@ def evaluate(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 
 def feature_info(rows: DataFrame) -> DataFrame:
-    """min, max, mean, stddev, categories and nulls per input; one pass."""
+    """min, max, mean, stddev, categories and nulls per input; numbers in one pass, each category grouped first."""
     aggs, out = [], []
-    for i, c in enumerate((*NUMBERS, *CATEGORIES)):
-        number = c in NUMBERS
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"null{i}"))
-        if number:
-            exact = F.col(c).cast("decimal(18,3)")
-            aggs += [F.min(c).cast("double").alias(f"min{i}"), F.max(c).cast("double").alias(f"max{i}"),
-                     (F.sum(exact).cast("double") / F.count(c)).alias(f"mean{i}"), F.stddev(c).alias(f"sd{i}")]
-        else:
-            # Zone and payment codes: a bounded set, collected as distinct values per task.
-            aggs.append(F.count_distinct(c).alias(f"cat{i}"))
-        nothing = F.lit(None).cast("double")
+    for i, c in enumerate(NUMBERS):
+        aggs += [F.min(c).cast("double").alias(f"min{i}"), F.max(c).cast("double").alias(f"max{i}"),
+                 F.avg(c).alias(f"mean{i}"), F.stddev(c).alias(f"sd{i}"), F.count_if(F.col(c).isNull()).alias(f"null{i}")]
         out.append(F.struct(
-            F.lit(c).alias("input"), *[
-                (F.col(f"{k}{i}") if number else nothing).alias(n)
-                for k, n in (("min", "min"), ("max", "max"), ("mean", "mean"), ("sd", "stddev"))],
-            (F.lit(None).cast("long") if number else F.col(f"cat{i}")).alias("category_count"),
-            F.col(f"null{i}").alias("null_count")))
-    return rows.agg(*aggs).select(F.inline(F.array(*out)))
+            F.lit(c).alias("input"), F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max"), F.col(f"mean{i}").alias("mean"),
+            F.col(f"sd{i}").alias("stddev"), F.lit(None).cast("long").alias("category_count"), F.col(f"null{i}").alias("null_count")))
+    info = rows.agg(*aggs).select(F.inline(F.array(*out)))
+    nothing = F.lit(None).cast("double")
+    for c in CATEGORIES:
+        values = rows.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
+        info = info.unionByName(values.agg(
+            F.lit(c).alias("input"), *[nothing.alias(n) for n in ("min", "max", "mean", "stddev")], F.count(c).alias("category_count"),
+            F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("n"))), F.lit(0)).alias("null_count")))
+    return info
+
+
+def weights(model: PipelineModel, like: DataFrame) -> DataFrame:
+    """(input, category, weight) of the whole model: the intercept, each number, each known category.
+
+    The coefficient vector holds the numbers, then per category input one slot for each known
+    value; what was never seen in training has no slot and contributes nothing.
+    """
+    coefficients = [float(c) for c in model.stages[-1].coefficients.toArray()]
+    rows = [("intercept", None, float(model.stages[-1].intercept)), *[(n, None, coefficients[i]) for i, n in enumerate(NUMBERS)]]
+    at = len(NUMBERS)
+    for name, values in zip(CATEGORIES, model.stages[0].labelsArray):
+        rows += [(name, value, coefficients[at + i]) for i, value in enumerate(values)]
+        at += len(values)
+    return like.sparkSession.createDataFrame(rows, "input string, category string, weight double")
+
+
+def _contributions(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_of_<input>``, what each input adds to the prediction.
+
+    Category weights are joined as a table, so the plan does not grow with the categories.
+    """
+    means = model.stages[3].surrogateDF.first().asDict()
+    coefficients = model.stages[-1].coefficients.toArray()
+    table = weights(model, rows)
+    for c in CATEGORIES:
+        own = table.filter(F.col("input") == c).select(F.col("category").alias(f"_key_{c}"), F.col("weight").alias(f"_weight_{c}"))
+        rows = (rows.join(small_side(own), F.col(c) == F.col(f"_key_{c}"), "left")
+                .withColumn(f"_of_{c}", F.coalesce(f"_weight_{c}", F.lit(0.0))).drop(f"_key_{c}", f"_weight_{c}"))
+    return rows.withColumns({f"_of_{n}": F.coalesce(F.col(n).cast("double"), F.lit(float(means[n + "_real"]))) * float(coefficients[i])
+                             for i, n in enumerate(NUMBERS)})
 
 
 def explain(model: PipelineModel, train_rows: DataFrame, rows: DataFrame, top: int = 3) -> DataFrame:
-    """Prediction, baseline and the ``top`` largest attributions per row.
+    """Prediction, baseline and the ``top`` largest attributions per row (all of them for ``top`` of the inputs' number).
 
-    A feature's attribution is coefficient x (value - training mean); baseline plus all
-    attributions is the prediction.
+    A feature's attribution is its contribution less its mean contribution over the training
+    rows; baseline plus all attributions is the prediction.
     """
-    weights = _weights(model)
-    known = train_rows.filter(_complete())
-    # Mean contribution of every input over the training rows, in one pass.
-    base = known.agg(*[F.avg(c).alias(n) for n, c in weights.items()]).first().asDict()
+    names = (*NUMBERS, *CATEGORIES)
+    base = _contributions(model, labelled(train_rows)).agg(*[F.avg(f"_of_{n}").alias(n) for n in names]).first().asDict()
     baseline = float(model.stages[-1].intercept) + sum(base.values())
-    parts = [F.struct(F.abs(c - base[n]).alias("size"), F.lit(n).alias("feature"), (c - base[n]).alias("attribution"))
-             for n, c in weights.items()]
+    parts = [F.struct(F.abs(F.col(f"_of_{n}") - base[n]).alias("size"), F.lit(n).alias("feature"),
+                      (F.col(f"_of_{n}") - base[n]).alias("attribution")) for n in names]
     largest = F.slice(F.sort_array(F.array(*parts), asc=False), 1, top)
-    return model.transform(rows).select(
-        *rows.columns, F.col("prediction").alias("predicted_" + LABEL),
+    return _contributions(model, predict(model, rows)).select(
+        *rows.columns, "predicted_" + LABEL,
         F.lit(baseline).alias("baseline_prediction_value"),
         F.transform(largest, lambda p: F.struct(p["feature"].alias("feature"), p["attribution"].alias("attribution"))
                     ).alias("top_feature_attributions"))
 
 
-def _complete():
-    """Rows the model can score: every number present (a missing category is a category)."""
-    ok = F.lit(True)
-    for n in NUMBERS:
-        ok = ok & F.col(n).isNotNull()
-    return ok
-
-
-def _weights(model: PipelineModel) -> dict[str, Column]:
-    """Contribution of each input to the prediction: weight x number, or the category's weight.
-
-    The vector holds the numbers, then per category input one slot for each known value; a
-    value never seen in training has no slot and contributes nothing.
-    """
-    coefficients = [float(c) for c in model.stages[-1].coefficients.toArray()]
-    out = {n: F.col(n) * F.lit(coefficients[i]) for i, n in enumerate(NUMBERS)}
-    at = len(NUMBERS)
-    for name, labels in zip(CATEGORIES, model.stages[0].labelsArray):
-        table = F.create_map(*[F.lit(v) for i, value in enumerate(labels) for v in (value, coefficients[at + i])])
-        out[name] = F.coalesce(F.try_element_at(table, F.col(name)), F.lit(0.0))
-        at += len(labels)
-    return out
-
-
 def trials(seed: int = 7, count: int = TRIALS) -> list[tuple[float, float]]:
     """Sampled (l1, l2) pairs."""
     draw = random.Random(seed)
@@ -149,14 +163,17 @@ def trials(seed: int = 7, count: int = TRIALS) -> list[tuple[float, float]]:
 
 
 def search(rows: DataFrame, pairs: Sequence[tuple[float, float]] | None = None) -> tuple[PipelineModel, list[dict]]:
-    """Best model by held-out error over the trials, ``PARALLEL_TRIALS`` fitted at a time."""
-    pairs = list(pairs or trials())
+    """Best model by held-out error over the trials, ``PARALLEL_TRIALS`` fitted at a time.
+
+    Rows without a label take no part, in the encoders either.
+    """
+    pairs, rows = list(pairs or trials()), labelled(rows)
     *encode, line = _stages(0.0, 0.0)
     encoder = Pipeline(stages=encode).fit(rows)
     grid = [{line.regParam: l1 + l2, line.elasticNetParam: l1 / (l1 + l2) if l1 + l2 else 0.0} for l1, l2 in pairs]
     tuned = TrainValidationSplit(
         estimator=line, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol=LABEL, metricName="mse"),
-        trainRatio=0.8, parallelism=PARALLEL_TRIALS, seed=7).fit(encoder.transform(rows))
+        trainRatio=TRAIN_SHARE, parallelism=PARALLEL_TRIALS, seed=7).fit(encoder.transform(rows))
     report = [{"trial": i + 1, "l1_reg": l1, "l2_reg": l2, "mean_squared_error": float(m)}
               for i, ((l1, l2), m) in enumerate(zip(pairs, tuned.validationMetrics))]
     return PipelineModel(stages=[*encoder.stages, tuned.bestModel]), report

@@ -26,10 +26,13 @@ def csv_strings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def csv_sampled(spark: SparkSession, paths: str | Sequence[str], share: float = 0.01) -> DataFrame:
-    """Types inferred from a sample of the rows, then all rows read with them."""
+    """Types inferred from a sample of the rows, then all rows read with them.
+
+    A value outside of its column's sampled type fails the read; it never turns into NULL.
+    """
     sampled = (spark.read.option("header", True).option("inferSchema", True)
                .option("samplingRatio", share).option("preferDate", False).csv(paths))
-    return spark.read.schema(sampled.schema).option("header", True).csv(paths)
+    return spark.read.schema(sampled.schema).option("header", True).option("mode", "FAILFAST").csv(paths)
 
 
 def month_paths(root: str, feed: str, years: Iterable[int], months: Iterable[int] = range(1, 13),

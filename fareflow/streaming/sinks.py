@@ -60,52 +60,95 @@ def _stored(table: loads.Table, schema: T.StructType) -> DataFrame:
     return table.read() if table.exists() else table.spark.createDataFrame([], schema)
 
 
+class Batches:
+    """A stream's rows, one folder ``batch=<n>`` for each batch under one root.
+
+    Writing a batch looks at no other one, and a retry overwrites its own folder. All are read at
+    once, by the known schema, with the batch's number as a column.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+        self.spark, self.path = spark, path
+        self.schema = T.StructType([*schema, T.StructField("batch", T.LongType())])
+
+    def _fs(self, path: str):
+        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
+
+    def write(self, batch: DataFrame, n: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{self.path}/batch={n}")
+
+    def drop(self, n: int) -> None:
+        fs, jpath = self._fs(f"{self.path}/batch={n}")
+        fs.delete(jpath, True)
+
+    def read(self) -> DataFrame:
+        fs, jpath = self._fs(self.path)
+        if not fs.exists(jpath):
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+
 def append_batches(df: DataFrame, path: str) -> DataFrame:
     """Append through a batch function. A retried batch replaces its own files only."""
-    table = loads.Table(df.sparkSession, path)
-    finish(for_each_batch(df, lambda batch, n: table.append(batch, batch=n) and None))
-    return _stored(table, df.schema)
+    table = Batches(df.sparkSession, path, df.schema)
+    finish(for_each_batch(df, table.write))
+    return table.read().drop("batch")
 
 
 def newest_result(df: DataFrame, path: str) -> DataFrame:
-    """Complete-mode result; every batch writes the whole result as a new version."""
+    """Complete-mode result; every batch writes the whole result as a new version, and only the one before stays."""
     table = loads.Table(df.sparkSession, path)
-    finish(for_each_batch(df, lambda batch, n: table.replace(batch, version=n) and None, "complete"))
+    finish(for_each_batch(df, lambda batch, n: table.replace(batch, version=n), "complete"))
     return _stored(table, df.schema)
 
 
 def changelog(df: DataFrame, path: str) -> DataFrame:
     """Update-mode rows with the batch that emitted them."""
-    table = loads.Table(df.sparkSession, path)
+    table = Batches(df.sparkSession, path, df.schema)
+    finish(for_each_batch(df, table.write, "update"))
+    return table.read()
 
-    def write(batch: DataFrame, n: int) -> None:
-        table.append(batch.withColumn("batch", F.lit(n).cast("long")), batch=n)
-
-    finish(for_each_batch(df, write, "update"))
-    return _stored(table, T.StructType([*df.schema, T.StructField("batch", T.LongType())]))
 
-
-def upserted(df: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+def upserted(df: DataFrame, path: str, keys: Sequence[str], fold_every: int = 50) -> DataFrame:
     """Update-mode rows as a table keyed by ``keys``: the newest row of each key.
 
-    Batches only add their changed rows; the newest is picked when the table is read, so a
-    batch costs as much as its changes and not as much as the table.
+    Batches only add their changed rows. After every ``fold_every`` batches these are folded into a
+    base table of the newest rows, and what the base before held is removed, so reading costs as
+    much as the table and its last changes, however long the stream has run.
     """
-    return keep_first(changelog(df, path), keys, ["-batch"]).drop("batch")
+    spark = df.sparkSession
+    log, base = Batches(spark, f"{path}/log", df.schema), loads.Table(spark, f"{path}/base")
+
+    def write(batch: DataFrame, n: int) -> None:
+        log.write(batch, n)
+        if (n + 1) % fold_every:
+            return
+        rows = log.read().filter(F.col("batch").between(n - fold_every + 1, n))
+        if base.exists(below=n):
+            rows = rows.unionByName(base.read(below=n))
+        base.replace(keep_first(rows, keys, ["-batch"]), version=n)
+        for old in range(n - 2 * fold_every + 1, n - fold_every + 1):
+            log.drop(old)
+
+    finish(for_each_batch(df, write, "update"))
+    folded = base.version()
+    rows = log.read() if folded is None else log.read().filter(F.col("batch") > folded).unionByName(base.read())
+    return keep_first(rows, keys, ["-batch"]).drop("batch")
 
 
 def branched(df: DataFrame, predicate: Column, path: str) -> tuple[DataFrame, DataFrame]:
     """Split by a predicate into two tables, reading the stream once."""
     spark = df.sparkSession
-    yes, no = loads.Table(spark, f"{path}/matching"), loads.Table(spark, f"{path}/other")
+    yes, no = Batches(spark, f"{path}/matching", df.schema), Batches(spark, f"{path}/other", df.schema)
     hit = F.coalesce(predicate, F.lit(False))
 
     def write(batch: DataFrame, n: int) -> None:
-        yes.append(batch.filter(hit), batch=n)
-        no.append(batch.filter(~hit), batch=n)
+        yes.write(batch.filter(hit), n)
+        no.write(batch.filter(~hit), n)
 
     finish(for_each_batch(df, write))
-    return _stored(yes, df.schema), _stored(no, df.schema)
+    return yes.read().drop("batch"), no.read().drop("batch")
 
 
 def latest_rows(df: DataFrame, ts: str, path: str) -> DataFrame:
@@ -120,6 +163,11 @@ def latest_rows(df: DataFrame, ts: str, path: str) -> DataFrame:
     return _stored(table, df.schema)
 
 
+def await_any(spark: SparkSession, seconds: float | None = None) -> bool:
+    """Wait until any stream of the session ends, at most ``seconds``; a failure of it is raised here."""
+    return bool(spark.streams.awaitAnyTermination(seconds)) if seconds is not None else spark.streams.awaitAnyTermination() is None
+
+
 def stop_all(spark: SparkSession) -> list[str]:
     """Stop every running query of the session; returns their names or ids."""
     stopped = []

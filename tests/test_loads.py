@@ -54,8 +54,8 @@ def test_insert_only_keeps_duplicates_of_one_batch_and_is_idempotent(spark, path
     batch = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "id string, v int")
     table = loads.Table(spark, path)
     loads.append_missing(table, batch, "id", within="v")
-    out = loads.append_missing(table, batch, "id", within="v")
-    assert out.count() == 3
+    loads.append_missing(table, batch, "id", within="v")
+    assert table.read().count() == 3
     assert loads.insert_only(batch.limit(0), batch, "id").count() == 3
 
 
@@ -63,7 +63,42 @@ def test_append_missing_with_null_range_column(spark, path):
     batch = spark.createDataFrame([("a", None), ("b", 3)], "id string, v int")
     table = loads.Table(spark, path)
     loads.append_missing(table, batch, "id", within="v")
-    assert loads.append_missing(table, batch, "id", within="v").count() == 2
+    loads.append_missing(table, batch, "id", within="v")
+    assert table.read().count() == 2
+
+
+def test_range_is_as_coarse_as_the_key(spark, path):
+    """The key holds whole seconds: a known row just below the source's first instant is still found."""
+    at = lambda micros: datetime.datetime(2024, 1, 1, 12, 0, 5, micros)
+    rows = lambda *r: spark.createDataFrame(r, "id string, ts timestamp")
+    table = loads.Table(spark, path)
+    loads.append_missing(table, rows(("12:00:05", at(100))), "id", within="ts")
+    loads.append_missing(table, rows(("12:00:05", at(900)), ("new", at(950))), "id", within="ts")
+    assert sorted(r["id"] for r in table.read().collect()) == ["12:00:05", "new"]
+
+
+def test_appends_read_nothing_and_old_versions_go(spark, path, monkeypatch):
+    table = loads.Table(spark, path)
+    with monkeypatch.context() as m:
+        m.setattr(loads.Table, "read", lambda *a: pytest.fail("an append read the table"))
+        for i in range(4):
+            table.append(spark.range(2))
+    assert table.read().count() == 8
+    for i in range(4):
+        table.replace(spark.range(i))
+    assert table._numbers(path, "v") == [3, 4] and table.read().count() == 3
+
+
+def test_late_rows_at_the_cursor(spark, path):
+    cursor = loads.Cursor(spark, path, "2024-01-01 00:00:00")
+    d = lambda day: datetime.datetime(2024, 1, day)
+    rows = lambda *r: spark.createDataFrame(r, "id string, ts timestamp")
+    first = cursor.extract(rows(("a", d(2)), ("b", d(3))), "ts")
+    assert first.count() == 2
+    cursor.advance(first, "ts")
+    later = rows(("a", d(2)), ("b", d(3)), ("late", d(3)), ("c", d(4)))
+    assert {r["id"] for r in cursor.extract(later, "ts", first, "id").collect()} == {"late", "c"}
+    assert {r["id"] for r in cursor.extract(later, "ts").collect()} == {"c"}
 
 
 def test_unfinished_batch_does_not_show(spark, path):

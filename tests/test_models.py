@@ -46,6 +46,23 @@ def test_attributions_and_baseline_add_up(rows):
     assert len(top) == 3 and sizes == sorted(sizes, reverse=True)
 
 
+def test_no_row_is_lost_for_a_null(rows):
+    """Numbers, categories and labels may be NULL in training, prediction, explanation and search."""
+    gap = lambda n, c: F.when(F.xxhash64("fare_amount", F.lit(n)) % n != 0, F.col(c)).alias(c)
+    holes = rows.select(gap(3, "passenger_count"), gap(5, "trip_distance"), "PULocationID", gap(7, "DOLocationID"), "payment_type",
+                        "fare_amount", gap(11, "tolls_amount"), gap(4, "tip_amount"))
+    model = regression.train(holes)
+    scored = regression.predict(model, holes)
+    assert scored.filter("predicted_tip_amount is not null").count() == rows.count()
+    assert regression.evaluate(model, holes).first()["rows"] == holes.filter("tip_amount is not null").count()
+    names = len(regression.NUMBERS) + len(regression.CATEGORIES)
+    told = regression.explain(model, holes, holes, top=names)
+    gap = F.abs(F.col("baseline_prediction_value") + F.aggregate(
+        "top_feature_attributions", F.lit(0.0), lambda a, p: a + p["attribution"]) - F.col("predicted_tip_amount"))
+    assert told.count() == rows.count() and told.agg(F.max(gap)).first()[0] < 1e-6
+    assert len(regression.search(holes, [(0.0, 0.0), (0.1, 0.1)])[1]) == 2
+
+
 def test_search_reports_every_trial(rows):
     model, report = regression.search(rows)
     assert len(report) == regression.TRIALS

@@ -43,6 +43,37 @@ def test_upsert_keeps_newest(spark):
     assert {(r["key"], r["count"]) for r in out.collect()} == {("a", 3), ("b", 1)}
 
 
+def test_folded_changes_give_the_same_table(spark):
+    """Seven batches folded every two: the newest rows, few folders, and no read of the log by a plain batch."""
+    path = fresh_path(spark, "t")
+    stream = replay(spark, [[(k,), ("a",)] for k in "abcabcd"], "key string")
+    out = sinks.upserted(windows.running_count(stream, ["key"]), path, ["key"], fold_every=2)
+    assert {(r["key"], r["count"]) for r in out.collect()} == {("a", 9), ("b", 2), ("c", 2), ("d", 1)}
+    assert len(sinks.loads.Table(spark, f"{path}/log")._numbers(f"{path}/log", "batch=")) <= 5
+
+
+def test_batches_are_written_without_a_look_at_others(spark, monkeypatch):
+    stream = replay(spark, [[(i,)] for i in range(6)], "n int")
+    with monkeypatch.context() as m:
+        m.setattr(sinks.loads.Table, "read", lambda *a: pytest.fail("a batch read the table"))
+        out = sinks.append_batches(stream, fresh_path(spark, "b"))
+    assert sorted(r["n"] for r in out.collect()) == list(range(6))
+
+
+def test_closed_windows_leave_no_state(spark):
+    """In append mode a late row is left out, and state rows go once the watermark has passed."""
+    batches = [[(at(i), "k%d" % i) for i in range(10)], [(at(1000), "k")], [(at(1001), "k")], [(at(3), "late")]]
+    stream = replay(spark, batches, "ts timestamp, k string")
+    path = fresh_path(spark, "closed")
+    query = sinks.start(windows.tumbling(stream, "ts", "10 seconds", ["k"], "5 seconds"), "parquet", "append", path=path)
+    sinks.finish(query)
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(kept) >= 10 and kept[-1] == 1
+    got = spark.read.parquet(path).collect()
+    assert {r["k"] for r in got} == {"k%d" % i for i in range(10)} and all(r["count"] == 1 for r in got)
+    assert sinks.await_any(spark, 60)
+
+
 def test_late_rows_are_dropped_after_grace(spark):
     batches = [[(at(0), "k")], [(at(100), "k")], [(at(101), "k")], [(at(1), "k")], [(at(99), "k")]]
     stream = replay(spark, batches, "ts timestamp, k string")
