@@ -3,14 +3,20 @@
 The score of a text is a sum over its words: log(f(cw) / f(c)) where the word w follows c and the
 pair occurs at least ``MIN_COUNT`` times in the corpus, else log(f(w) / N), with log(0.4) added
 unless w is the first word. f counts words and pairs within texts, N is the number of all words.
-Words beyond the ``VOCABULARY`` most frequent ones (ties by a hash of the word) are one unknown word.
+Every distinct word and pair is counted, at any size of the corpus.
 
-A pair is two vocabulary numbers in one integer. Its occurrences are exploded to rows (pair, text),
+The ``VOCABULARY`` most frequent words have numbers, and their counts are looked up. A pair of such
+words is two numbers in one integer. Its occurrences are exploded to rows (pair, text),
 partitioned by a hash of the pair and sorted, so that the counts and their join to the occurrences
 come from one pass over a partition; partial sums then meet by text. Pairs that are frequent in a
 sample of the corpus are counted exactly in a table of bounded size and looked up where the texts
 are read. That table only spares rows and keeps any pair from filling one partition; which pairs it
 holds does not change a score.
+
+Every occurrence of any other, rare, word is one row (word, word before, word behind, text), partitioned
+by a hash of the rare word. Its partition then holds all pairs that the word is part of. Where both words
+of a pair are rare, the pair and the text appear under either word, and each adds the part of the score
+that its own count gives. A rare word has at most 1 / ``VOCABULARY`` of all occurrences, so no group is hot.
 """
 
 from __future__ import annotations
@@ -28,6 +34,7 @@ from fareflow.llm.columns import only
 from fareflow.llm.words import Words, mix, row_slices
 from fareflow.session import materialise
 
+#: Words with counts at every worker.
 VOCABULARY = 1 << 18
 MIN_COUNT = 2
 BACKOFF = math.log(0.4)
@@ -36,9 +43,10 @@ FREQUENT, SAMPLE_DOCS = 1 << 19, 20_000
 #: Rows put together before their counts are made.
 HELD_ROWS = 1 << 20
 
-_WORD_BITS = 19  # a vocabulary number, with room for the unknown word
+_WORD_BITS = 19  # a vocabulary number
 _TAG_BITS = 24
 _HEADER = 1 << (2 * _WORD_BITS)
+_NONE = 1 << 62  # no word before or behind
 
 
 class Index:
@@ -87,18 +95,77 @@ class Index:
 @dataclass
 class Vocabulary:
     index: Index
-    count: np.ndarray  # by number; the last is the unknown word
+    count: np.ndarray  # by number
     total: int
 
     def pairs(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Number of each word, and the pair that ends with it (-1 for a first word)."""
+        """Number of each word (-1 for a rare one), and the pair that ends with it (-1 for a first word or with a rare word)."""
         number = self.index.find(words.hashes(1)).astype(np.int64)
-        number[number < 0] = len(self.count) - 1
         pair = np.full(len(number), -1)
-        pair[1:] = number[:-1] << _WORD_BITS | number[1:]
-        pair[words.first[:-1][np.diff(words.first) > 0]] = -1
+        pair[1:] = np.where((number[:-1] < 0) | (number[1:] < 0), -1, number[:-1] << _WORD_BITS | number[1:])
+        pair[_first_words(words)] = -1
         return number, pair
 
+    def rare(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Place, name, word before and word behind of each rare word; names are negative, numbers are not."""
+        named = words.hashes(1)
+        name = self.index.find(named).astype(np.int64)
+        at = np.flatnonzero(name < 0)
+        name[at] = (named[at] | np.uint64(1 << 63)).view(np.int64)
+        before, behind = np.full(len(name), _NONE), np.full(len(name), _NONE)
+        before[1:], behind[:-1] = name[:-1], name[1:]
+        lead = _first_words(words)
+        before[lead], behind[lead[lead > 0] - 1] = _NONE, _NONE
+        return at, name[at], before[at], behind[at]
+
+
+def _first_words(words: Words) -> np.ndarray:
+    return words.first[:-1][np.diff(words.first) > 0]
+
+
+def _starts(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins."""
+    new = np.ones(len(sorted_columns[0]), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in sorted_columns], axis=0)
+    return np.flatnonzero(new)
+
+
+def _run_sizes(*columns: np.ndarray) -> np.ndarray:
+    """For each row the number of rows equal to it."""
+    order = np.lexsort(columns)
+    size = np.diff(np.append(_starts(*[c[order] for c in columns]), len(order)))
+    out = np.zeros(len(order), np.int64)
+    out[order] = np.repeat(size, size)
+    return out
+
+
+def _added(key: np.ndarray, tag: np.ndarray, *measures: np.ndarray) -> pa.RecordBatch:
+    """Sums by text."""
+    order = np.lexsort((tag, key))
+    key, tag = key[order], tag[order]
+    head = _starts(key, tag)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(key[head]), pa.array(tag[head]), *[pa.array(np.add.reduceat(m[order], head)) for m in measures]],
+        ["_key", "_tag", "value", "back", "words", "rows"])
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], column: str, shift: int) -> Iterator[pa.Table]:
+    """Sorted rows in tables of about ``HELD_ROWS``; rows equal in ``column``, without its last bits, stay together."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += len(batch)
+        if size < HELD_ROWS:
+            continue
+        table = pa.Table.from_batches(held)
+        group = table[column].to_numpy() >> shift
+        cut = int(np.searchsorted(group, group[-1]))  # the last group may go on
+        if cut:
+            yield table.slice(0, cut)
+            held, size = table.slice(cut).to_batches(), len(table) - cut
+    if size:
+        yield pa.Table.from_batches(held)
+
 
 def _summed(parts: Iterator[np.ndarray], name: str) -> Iterator[pa.RecordBatch]:
     """(key, n) of arrays of keys, added up over many of them before they leave the task."""
@@ -133,7 +200,7 @@ def vocabulary(rows: DataFrame, size: int = VOCABULARY) -> Vocabulary:
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     top = counts.orderBy(F.desc("n"), "word").limit(size).toArrow()
     n = top["n"].to_numpy()
-    return Vocabulary(Index(top["word"].to_numpy().view(np.uint64)), np.append(n, total - n.sum()), total)
+    return Vocabulary(Index(top["word"].to_numpy().view(np.uint64)), n, total)
 
 
 def _frequent(rows: DataFrame, shared: Broadcast, size: int, sample_docs: int) -> tuple[np.ndarray, np.ndarray]:
@@ -187,6 +254,8 @@ def score(docs: DataFrame, vocabulary_size: int = VOCABULARY, frequent: int = FR
             for a, b in row_slices(batch.column("text")):
                 w = Words.of(batch.column("text").slice(a, b - a))
                 word, pair = model.pairs(w)
+                lead = _first_words(w)
+                lead = lead[word[lead] >= 0]
                 at = index.find(pair.view(np.uint64))
                 f = number[at]
                 direct = (at >= 0) & (f >= MIN_COUNT)
@@ -194,7 +263,7 @@ def score(docs: DataFrame, vocabulary_size: int = VOCABULARY, frequent: int = FR
                 value = np.zeros(len(word))
                 value[direct] = np.log(f[direct]) - log_f[pair[direct] >> _WORD_BITS]
                 value[behind] = BACKOFF + log_f[word[behind]] - log_n
-                value[pair < 0] = log_f[word[pair < 0]] - log_n
+                value[lead] = log_f[word[lead]] - log_n
                 text = w.text_of_word()
                 known_sum = np.bincount(text, value, minlength=b - a)
                 known_back = np.bincount(text, behind, minlength=b - a).astype(np.int64)
@@ -209,15 +278,12 @@ def score(docs: DataFrame, vocabulary_size: int = VOCABULARY, frequent: int = FR
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log_f, log_n = logs(words.value)
-        held, size = [], 0
-
-        def sums(table: pa.Table) -> pa.RecordBatch:
+        for table in _whole_groups(batches, "packed", _TAG_BITS):
             packed, key, extra = (table[c].to_numpy() for c in ("packed", "_key", "extra"))
             pair, tag = packed >> _TAG_BITS, packed & ((1 << _TAG_BITS) - 1)
             kind = np.where(pair < _HEADER, -1, pair & 3)
             own = np.flatnonzero(kind < 0)
-            run = np.flatnonzero(np.concatenate([[True], pair[own][1:] != pair[own][:-1]])) if len(own) else own
-            count = np.diff(np.append(run, len(own)))
+            count = np.diff(np.append(_starts(pair[own]), len(own)))
             f = np.repeat(count, count)
             value, back = np.zeros(len(pair)), np.zeros(len(pair), np.int64)
             c, w = pair[own] >> _WORD_BITS, pair[own] & ((1 << _WORD_BITS) - 1)
@@ -225,33 +291,49 @@ def score(docs: DataFrame, vocabulary_size: int = VOCABULARY, frequent: int = FR
             back[own] = f < MIN_COUNT
             value[kind == 0] = np.ascontiguousarray(extra[kind == 0]).view(np.float64)
             back[kind == 2] = extra[kind == 2]
-            order = np.lexsort((tag, key))
-            k, t = key[order], tag[order]
-            head = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (t[1:] != t[:-1])]))
-            add = lambda x: np.add.reduceat(x[order], head)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(k[head]), pa.array(t[head]), pa.array(add(value)), pa.array(add(back)),
-                 pa.array(add(np.where(kind == 1, extra, 0))), pa.array(add((kind == 0).astype(np.int64)))],
-                ["_key", "_tag", "value", "back", "words", "rows"])
+            yield _added(key, tag, value, back, np.where(kind == 1, extra, 0), (kind == 0).astype(np.int64))
 
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = words.value
         for batch in batches:
-            held.append(batch)
-            size += len(batch)
-            if size < HELD_ROWS:
-                continue
-            table = pa.Table.from_batches(held)
-            pair = table["packed"].to_numpy() >> _TAG_BITS
-            cut = int(np.searchsorted(pair, pair[-1]))  # the last pair may go on
-            if cut:
-                yield sums(table.slice(0, cut))
-                held = table.slice(cut).to_batches()
-                size = len(table) - cut
-        if size:
-            yield sums(pa.Table.from_batches(held))
+            keys, tags = (batch.column(c).to_numpy() for c in ("_key", "_tag"))
+            for a, b in row_slices(batch.column("text")):
+                w = Words.of(batch.column("text").slice(a, b - a))
+                at, *names = model.rare(w)
+                text = w.text_of_word()[at] + a
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (*names, keys[text], tags[text])], ["word", "before", "behind", "_key", "_tag"])
+
+    def rare_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        log_f, log_n = logs(words.value)
+        for table in _whole_groups(batches, "word", 0):
+            word, before, behind, key, tag = (table[c].to_numpy() for c in ("word", "before", "behind", "_key", "_tag"))
+            own = np.log(_run_sizes(word))
+            none = np.zeros(len(word), np.int64)
+            # The pair that ends with the rare word.
+            f, known = _run_sizes(word, before), (before >= 0) & (before != _NONE)
+            single = (f < MIN_COUNT) & (before != _NONE)
+            value = np.where(single, BACKOFF + own - log_n, np.log(f))
+            value[before == _NONE] = own[before == _NONE] - log_n
+            often = np.flatnonzero(known & ~single)
+            value[often] -= log_f[before[often]]
+            # The pair that begins with it: the count of a rare second word is added under that word.
+            f, known = _run_sizes(word, behind), (behind >= 0) & (behind != _NONE)
+            often = (f >= MIN_COUNT) & (behind != _NONE)
+            value[often] -= own[often]
+            value[often & known] += np.log(f[often & known])
+            alone = np.flatnonzero(known & ~often)
+            value[alone] += BACKOFF + log_f[behind[alone]] - log_n
+            back = single.astype(np.int64)
+            back[alone] += 1
+            yield _added(key, tag, value, back, none, none)
 
     exploded = rows.select("text", "_key", "_tag").mapInArrow(explode, "packed long, _key long, extra long")
     parted = exploded.repartition(F.shiftright("packed", _TAG_BITS)).sortWithinPartitions("packed")
-    totals = parted.mapInArrow(joined, "_key long, _tag long, value double, back long, words long, rows long").groupBy("_key", "_tag").agg(
+    parted_rare = (rows.select("text", "_key", "_tag").mapInArrow(rare, "word long, before long, behind long, _key long, _tag long")
+                   .repartition("word").sortWithinPartitions("word"))
+    parts = "_key long, _tag long, value double, back long, words long, rows long"
+    totals = parted.mapInArrow(joined, parts).unionAll(parted_rare.mapInArrow(rare_joined, parts)).groupBy("_key", "_tag").agg(
         *[F.sum(c).alias(c) for c in ("value", "back", "words", "rows")])
     # Equal rows have one key; their sums are shared out evenly.
     return rows.select("doc_id", "_key", "_tag").join(totals, ["_key", "_tag"]).select(

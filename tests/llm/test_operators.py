@@ -158,27 +158,23 @@ def wrong_checksums():
 
 
 # ---- scores --------------------------------------------------------------
-def test_scores_with_a_small_vocabulary(spark, docs):
-    """Words beyond the vocabulary are one; pairs are scored the same wherever they were counted."""
-    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").limit(60).collect()] + [(900, None), (901, ""), (902, "one"), (902, "one")]
+def test_scores_do_not_depend_on_the_vocabulary(spark, docs):
+    """Every word and pair counts, and is scored the same wherever it was counted."""
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").limit(60).collect()]
+    rows += [(900, None), (901, ""), (902, "one"), (902, "one"), (903, "zq zq zq zr zq zr"), (904, "zr"), (905, "zs one"), (906, "one zs zt")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, _key int")
     texts = [(t or "").split() for _, t in rows]
-    got = sorted((tuple(r) for r in backoff.score(df, 50, 40, 30).collect()), key=repr)
-    ungrouped = sorted((tuple(r) for r in backoff.score(df, 50, 1, 1).collect()), key=repr)
-    assert [x[:3] for x in got] == [x[:3] for x in ungrouped] and np.allclose([x[3] for x in got], [x[3] for x in ungrouped])
-    counts = Counter(w for t in texts for w in t)
-    limit = sorted(counts.values(), reverse=True)[49]
-    if sum(c >= limit for c in counts.values()) == 50:  # no tie at the vocabulary's end
-        known = [[w if counts[w] >= limit else None for w in t] for t in texts]
-        f1, f2 = Counter(w for t in known for w in t), Counter(p for t in known for p in zip(t, t[1:]))
-        n, want = sum(f1.values()), []
-        for (d, _), t in zip(rows, known):
-            score = math.log(f1[t[0]] / n) if t else 0.0
-            for c, w in zip(t, t[1:]):
-                score += math.log(f2[c, w] / f1[c]) if f2[c, w] >= 2 else math.log(0.4) + math.log(f1[w] / n)
-            want.append((d, len(t), sum(f2[p] < 2 for p in zip(t, t[1:])), score))
-        want.sort(key=repr)
-        assert [x[:2] for x in got] == [x[:2] for x in want] and np.allclose([x[3] for x in got], [x[3] for x in want])
+    f1, f2 = Counter(w for t in texts for w in t), Counter(p for t in texts for p in zip(t, t[1:]))
+    n, want = sum(f1.values()), []
+    for (d, _), t in zip(rows, texts):
+        score = math.log(f1[t[0]] / n) if t else 0.0
+        for c, w in zip(t, t[1:]):
+            score += math.log(f2[c, w] / f1[c]) if f2[c, w] >= 2 else math.log(0.4) + math.log(f1[w] / n)
+        want.append((d, len(t), sum(f2[p] < 2 for p in zip(t, t[1:])), score))
+    want.sort(key=repr)
+    for size, frequent, sample in ((50, 40, 30), (50, 1, 1), (1, 1, 1), (1 << 18, 1 << 19, 20_000)):
+        got = sorted((tuple(r) for r in backoff.score(df, size, frequent, sample).collect()), key=repr)
+        assert [x[:3] for x in got] == [x[:3] for x in want] and np.allclose([x[3] for x in got], [x[3] for x in want])
     assert backoff.score(df.limit(0)).collect() == []
 
 
