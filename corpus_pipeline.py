@@ -50,8 +50,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the ids of their pieces and the text that these give back."""
     send_package(spark)
-    model = pieces()
-    return unigram.decode(unigram.encode(docs, model), model)
+    return unigram.round_trip(docs, pieces())
 
 
 STAGES = [("quality rules", quality_rules), ("near duplicates", near_duplicates), ("repeated passages", repeated_passages),

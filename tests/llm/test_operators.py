@@ -123,6 +123,7 @@ def test_pieces_are_the_best_and_decode_back(spark, docs):
     rows = spark.createDataFrame([(1, None, "q"), (2, "▁ mark", "q"), (2, "a b", "q")], "doc_id long, text string, ids string")
     assert sorted((r.doc_id, r.n_pieces > 0, r.round_trip) for r in unigram.report(rows, model).collect()) == [(1, False, True), (2, True, False), (2, True, True)]
     back = unigram.decode(unigram.encode(rows, model, ids="codes"), model, ids="codes")
+    assert sorted(map(str, unigram.round_trip(rows, model, ids="codes").collect())) == sorted(map(str, back.collect()))
     assert back.columns == ["doc_id", "text", "ids", "codes", "decoded"] and sorted(r.decoded for r in back.collect()) == ["", "  mark", "a b"]
 
 
