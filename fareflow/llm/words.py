@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _bytes = np.arange(256)
 SPACES = ~((_bytes == 0x20) | ((_bytes >= 0x09) & (_bytes <= 0x0D)))
