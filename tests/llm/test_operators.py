@@ -101,7 +101,8 @@ def test_pages_keep_the_article_only(spark):
 # ---- pieces --------------------------------------------------------------
 def test_pieces_are_the_best_and_decode_back(spark, docs):
     model = queries.pieces()
-    piece = {t: i for i, t in enumerate(model.text) if i in set(model.trie.piece.tolist())}
+    in_trie = set(model.trie.piece.tolist())
+    piece = {t: i for i, t in enumerate(model.text) if i in in_trie}
 
     def best(cut):
         score = [0.0] + [-math.inf] * len(cut)
