@@ -3,6 +3,10 @@
 The first pass decides blocks by where they stand, link density, length and density of stop words.
 Short blocks and those of middling density stay open; the second pass gives each the label of the
 nearest decided block of its region (an article, a main part, or the page outside of these).
+
+A listed name rejects an element as a whole token of its class, id or role, or in a few fixed
+compounds; never an article or main part, nor an element that holds one, except a list of comments
+or related articles behind an article. Lack of stop words rejects only on pages of the four languages.
 """
 
 from __future__ import annotations
@@ -38,7 +42,11 @@ header masthead footer copyright sidebar aside widget widgets related recommende
 cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login
 comment comments disqus replies reply respond share sharing social search contentinfo complementary dialog
 """.split())
+# Compounds of a listed name; others, as has-sidebar or comment-open, say how an element looks.
+_BAD_COMPOUND = re.compile(r"(?:ads?|advert|advertisement|cookies?|gdpr)-.*|(?:site|main|page|global|primary|secondary|top|bottom)-(?:nav|navbar|navigation|menu|footer)")
+_AFTER_ARTICLE = frozenset("comment comments disqus replies reply respond related recommended recommendations".split())
 _REGIONS = frozenset(("article", "main"))
+_LANGUAGES = frozenset(("en", "de", "fr", "es"))
 _INLINE = frozenset("""
 a abbr acronym b bdi bdo big cite code del dfn em font i ins kbd mark q ruby rt s samp small span strike strong sub sup time tt u var wbr
 """.split())
@@ -53,26 +61,37 @@ _TOKEN = re.compile(r"""
   | <(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>
   | <[!?/][^>]*+>
 """, re.S | re.I | re.X)
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_DECLARED = re.compile(r"""<html\s[^>]{0,1000}?(?<![\w:-])(?:xml:)?lang\s*=\s*["']?\s*([a-z]+)""", re.I)
+_NAMED = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
-_PART = re.compile(r"[^a-z0-9]+")
 
 
 def _is_bad(tag: str, attributes: str) -> bool:
     if tag in _DROPPED:
         return True
-    if not attributes or tag in ("html", "body"):
-        return False
-    for match in _NAMED.finditer(attributes):
-        if not _BAD_NAMES.isdisjoint(_PART.split((match[1] or match[2] or match[3] or "").lower())):
-            return True
-    return bool(_HIDDEN.search(attributes))
+    return bool(attributes) and tag not in ("html", "body") and bool(_HIDDEN.search(attributes))
+
+
+def _bad_names(tag: str, attributes: str) -> set[str]:
+    """The names for which the element is no article, unless it holds one."""
+    if not attributes or tag in ("html", "body") or tag in _REGIONS:
+        return set()
+    names = {n for m in _NAMED.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").lower().replace("_", "-").split()}
+    return {n for n in names if n in _BAD_NAMES or _BAD_COMPOUND.fullmatch(n)}
+
+
+@dataclass
+class Named:
+    """An element rejected by name, until an article or main part is found in it."""
+    spares: bool
+    bad: bool = True
 
 
 @dataclass
 class Block:
     region: int
     bad: bool
+    named: tuple[Named, ...] = ()
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     text: str = ""
@@ -81,8 +100,9 @@ class Block:
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks with text, in order, with markup removed and references decoded."""
-    stack: list[tuple[str, bool, int]] = []  # element, whether it is no article, region
-    regions, link, at = 0, 0, 0
+    stack: list[tuple[str, bool, int, tuple[Named, ...]]] = []  # element, whether it is no article, region, elements rejected by name
+    regions, link, at, article = 0, 0, 0, False
+    page_top = ("", False, 0, ())
     out = [Block(0, False)]
 
     def add(raw: str) -> None:
@@ -92,11 +112,11 @@ def blocks(page: str) -> list[Block]:
                 out[-1].linked += len(raw.strip())
 
     def fresh(bad: bool = False) -> None:
-        top = stack[-1] if stack else ("", False, 0)
+        top = stack[-1] if stack else page_top
         if out[-1].parts:
-            out.append(Block(top[2], top[1] or bad))
+            out.append(Block(top[2], top[1] or bad, top[3]))
         else:
-            out[-1] = Block(top[2], top[1] or bad)
+            out[-1] = Block(top[2], top[1] or bad, top[3])
 
     for token in _TOKEN.finditer(page):
         add(page[at:token.start()])
@@ -124,35 +144,51 @@ def blocks(page: str) -> list[Block]:
             stack = [s for s in stack if s[0] != "head"]
         while stack and stack[-1][0] in _ENDED_BY_NEXT.get(tag, ()):
             stack.pop()
-        top = stack[-1] if stack else ("", False, 0)
+        top = stack[-1] if stack else page_top
         in_region = top[2] != 0
         bad = _is_bad(tag, attributes) or (tag == "header" and not in_region)
+        names = _bad_names(tag, attributes)
         link = 0
         if tag in _NO_STACK:
-            fresh(bad)
+            fresh(bad or bool(names))
             continue
-        region = top[2]
-        if tag in _REGIONS and not (top[1] or bad):
+        region, named = top[2], top[3]
+        if names:
+            named += (Named(not article or _AFTER_ARTICLE.isdisjoint(names)),)
+        if tag in _REGIONS and not (top[1] or bad) and all(n.spares for n in named):
+            for n in named:
+                n.bad = False
             regions += 1
             region = regions
+            article = article or tag == "article"
         if not attributes.rstrip().endswith("/"):
-            stack.append((tag, top[1] or bad, region))
+            stack.append((tag, top[1] or bad, region, named))
         fresh()
     add(page[at:])
     kept = []
     for b in out:
         b.text = " ".join(html.unescape("".join(b.parts)).split())
+        b.bad = b.bad or any(n.bad for n in b.named)
         if b.text:
             kept.append(b)
     return kept
 
 
-def decide(found: list[Block]) -> list[Block]:
-    """Label all blocks: first by their own numbers, then open ones by the nearest decided block."""
+def decide(found: list[Block], declared: str = "") -> list[Block]:
+    """Label all blocks: first by their own numbers, then open ones by the nearest decided block.
+
+    ``declared`` is the page's language, if it names one. Where that is none of the four, or stop
+    words are few all over the page, they decide nothing: blocks that are not short are good.
+    """
     has_region = any(b.region and not b.bad for b in found)
+    stops, size, dense = [], 0, 0.0
     for b in found:
         words = b.text.lower().split()
-        stop = sum(w.strip(".,;:!?") in STOP_WORDS for w in words) / len(words)
+        stops.append(sum(w.strip(".,;:!?") in STOP_WORDS for w in words) / len(words))
+        if not b.bad and b.linked <= MAX_LINKS * len(b.text):
+            size, dense = size + len(b.text), dense + stops[-1] * len(b.text)
+    known = (not declared or declared in _LANGUAGES) and dense >= STOP_HIGH * size
+    for b, stop in zip(found, stops):
         links = b.linked / len(b.text)
         if b.bad or (has_region and not b.region) or links > MAX_LINKS:
             b.good = False
@@ -160,6 +196,8 @@ def decide(found: list[Block]) -> list[Block]:
             b.good = False
         elif len(b.text) >= LONG and stop >= STOP_LOW or len(b.text) >= SHORT and stop >= STOP_HIGH:
             b.good = True
+        elif not known and len(b.text) >= SHORT:
+            b.good = True
         elif len(b.text) >= LONG and not b.region:
             b.good = False
     decided = [(i, b.region, b.good) for i, b in enumerate(found) if b.good is not None and not b.bad]
@@ -181,7 +219,8 @@ def decide(found: list[Block]) -> list[Block]:
 
 def main_text(page: str | None) -> str:
     """The article's text: blocks in page order, joined by a space. Null or empty pages have none."""
-    return " ".join(b.text for b in decide(blocks(page or "")) if b.good)
+    declared = _DECLARED.search(page or "")
+    return " ".join(b.text for b in decide(blocks(page or ""), declared[1].lower() if declared else "") if b.good)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -87,6 +87,34 @@ def test_page_rules():
     assert html_text.main_text("<p " + "a='" * 2000) is not None
 
 
+@pytest.mark.parametrize("start, end", [
+    ('<div class="content has-sidebar">', "</div>"), ('<main class="with-sidebar">', "</main>"),
+    ('<article class="post category-social">', "</article>"), ('<article class="post comment-open">', "</article>"),
+    ('<article class="post related">', "</article>"), ('<div class="widget"><article>', "</article></div>"),
+    ('<div data-id="comments">', "</div>"), ('<div class="ad">Buy<article>', "</article>")])
+def test_names_do_not_reject_the_article(start, end):
+    good = " ".join(LONG.split())
+    rest = f"""<div class="site-footer ad-slot"><p>{LONG}</p></div><div class="related"><p>{LONG}</p></div><div id=comments>{LONG}<p>{LONG}</p></div>"""
+    assert html_text.main_text(f"<body>{start}<p>{LONG}</p><p>{LONG}</p>{end}{rest}</body>") == f"{good} {good}"
+
+
+def test_comments_behind_an_article_stay_out():
+    page = f"<main><article><p>{LONG}</p></article><div id='comments'><article class='reply'><p>{LONG}</p></article></div></main>"
+    assert html_text.main_text(page) == " ".join(LONG.split())
+
+
+@pytest.mark.parametrize("word, gap, lang", [("kissa istui puun alla", " ", ""), ("国破山河在城春草木深", "", ""), ("国破山河在城春草木深", "", "en"), ("para o que os de", " ", "pt")])
+def test_articles_in_other_languages(word, gap, lang):
+    long, middling = gap.join([word] * 40), gap.join([word] * 10)
+    page = f"<html lang='{lang}'><body><nav>{LONG}</nav><div><p>{long}</p><p>{middling}</p></div><div>&copy; {LONG}</div></body></html>"
+    assert html_text.main_text(page) == f"{long} {middling}"
+
+
+def test_long_blocks_without_stop_words_stay_out_of_english_pages():
+    listed = "Alpha Beta Gamma " * 20
+    assert html_text.main_text(f"<html lang=en-GB><p>{LONG * 9}</p><p>{listed}</p><p>{LONG * 9}</p>") == " ".join([" ".join((LONG * 9).split())] * 2)
+
+
 def test_pages_keep_the_article_only(spark):
     import html
     import re
