@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -56,11 +57,17 @@ _ENDED_BY_NEXT = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"
 
 _TOKEN = re.compile(r"""
     <!--.*?(?:-->|\Z)
-  | <(script|style|noscript|template|textarea|select|svg|iframe|object|title|math|canvas|video|audio)\b[^>]*+>.*?(?:</\1\s*>|\Z)
+  | <(script|style|noscript|template|textarea|select|svg|iframe|object|title|math|canvas|video|audio)(?=[\s/>])[^>]*+>
   | <(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>
   | <(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>
   | <[!?/][^>]*+>
 """, re.S | re.I | re.X)
+# What ends an element of no text that has no end tag; scripts and styles then go to the page's end.
+_BLOCK_TAG = re.compile(r"""</?(?:address|article|aside|blockquote|body|center|dd|details|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|header
+  |hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)(?=[\s/>])""", re.I | re.X)
+_CODE = frozenset(("script", "style"))
+# Elements that hold no other of their kind before a block: a second start tag there shows that the first has no end.
+_NOT_NESTED = frozenset(("title", "select", "svg", "math"))
 _DECLARED = re.compile(r"""<html\s[^>]{0,1000}?(?<![\w:-])(?:xml:)?lang\s*=\s*["']?\s*([a-z]+)""", re.I)
 _NAMED = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
@@ -80,6 +87,37 @@ def _bad_names(tag: str, attributes: str) -> set[str]:
     return {n for n in names if n in _BAD_NAMES or _BAD_COMPOUND.fullmatch(n)}
 
 
+class _Raw:
+    """Ends of a page's elements of no text; each kind of tag is looked up once in the page."""
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.places: dict[str, list[tuple[int, int]]] = {}
+
+    def _next(self, name: str, pattern: str | re.Pattern, at: int) -> tuple[int, int] | None:
+        if name not in self.places:
+            self.places[name] = [m.span() for m in re.compile(pattern, re.I if isinstance(pattern, str) else 0).finditer(self.page)]
+        found = self.places[name]
+        i = bisect_left(found, (at, 0))
+        return found[i] if i < len(found) else None
+
+    def end(self, tag: str, at: int) -> int:
+        """Where the element ends whose start tag ends at ``at``."""
+        if self.page[at - 2] == "/":
+            return at
+        close = self._next("/" + tag, rf"</{tag}\s*>", at)
+        if tag in _CODE:
+            return close[1] if close else len(self.page)
+        if close and tag not in _NOT_NESTED:
+            return close[1]
+        block = self._next("", _BLOCK_TAG, at)
+        if close:
+            again = self._next(tag, rf"<{tag}(?=[\s/>])", at)
+            if not (block and again and block[0] < again[0] < close[0]):
+                return close[1]
+        return block[0] if block else len(self.page)
+
+
 @dataclass
 class Named:
     """An element rejected by name, until an article or main part is found in it."""
@@ -118,9 +156,13 @@ def blocks(page: str) -> list[Block]:
         else:
             out[-1] = Block(top[2], top[1] or bad, top[3])
 
-    for token in _TOKEN.finditer(page):
+    raw = _Raw(page)
+    while token := _TOKEN.search(page, at):
         add(page[at:token.start()])
         at = token.end()
+        if token[1]:
+            at = raw.end(token[1].lower(), at)
+            continue
         tag, close, attributes = (token[3] or token[6] or "").lower(), token[2] or token[5], token[4] or token[7] or ""
         if not tag:
             continue

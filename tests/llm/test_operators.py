@@ -115,6 +115,21 @@ def test_long_blocks_without_stop_words_stay_out_of_english_pages():
     assert html_text.main_text(f"<html lang=en-GB><p>{LONG * 9}</p><p>{listed}</p><p>{LONG * 9}</p>") == " ".join([" ".join((LONG * 9).split())] * 2)
 
 
+@pytest.mark.parametrize("mark", [
+    '<svg class="icon"/>', "<math/>", '<iframe src="x" />', '<object data="x"/>', '<script src="x"/>', "<svg><path/></svg>", "<svg><foreignObject><p>x</p></foreignObject></svg>",
+    "<select><option>One", "<svg><path d='m'>", "<title>Icon", "<object data=x>", "<video-player></video-player>", "<script>var a='<p>'</script>"])
+def test_elements_of_no_text_end(mark):
+    good = " ".join(LONG.split())
+    page = f"<article><p>{LONG}</p>{mark}<p>{LONG}</p>"
+    assert html_text.main_text(page + "</article>") == html_text.main_text(page + f"<svg><path/></svg><select><option>2</select><p>{LONG}</article>")[:2 * len(good) + 1] == f"{good} {good}"
+    assert html_text.main_text(page + f"{mark}<p>{LONG}</p></article>") == f"{good} {good} {good}"
+
+
+def test_unclosed_elements_take_no_longer_on_long_pages():
+    page = "<title>T<body><article>" + "<svg><select><object><p>one</p>" * 20_000 + "</article>"
+    assert html_text.main_text(page) == " ".join(["one"] * 20_000)
+
+
 def test_pages_keep_the_article_only(spark):
     import html
     import re
