@@ -19,8 +19,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fareflow.llm.columns import only
 from fareflow.llm.words import LOWER, Words, mix, row_slices
 
-#: About as many labelled texts, drawn by a hash of the id, fit the model; each is read whole.
+#: About as many labelled texts, drawn by a hash of the id, fit the model; each is read whole. Languages
+#: get equal parts of it, and one with fewer texts keeps all of them and leaves the rest to the others.
 SAMPLE_DOCS = 20_000
+SHARES = 1_000_000_000_000
 ORDERS = (2, 3, 4)
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
@@ -201,16 +203,36 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(sums[at])], ["lang", "slot", "n"])
 
 
+def shares(counts: dict[str, int], sample_docs: int) -> dict[str, float]:
+    """The share of its texts that each language gives, from its number of texts."""
+    level, left = float("inf"), sample_docs
+    for i, n in enumerate(sorted(counts.values())):
+        if n * (len(counts) - i) > left:
+            level = left / (len(counts) - i)
+            break
+        left -= n
+    return {c: min(1.0, level / n) for c, n in counts.items()}
+
+
+def draw(rows: DataFrame, share: dict[str, float]) -> DataFrame:
+    """The rows (doc_id, text, lang) whose hash is below the share of their language."""
+    part = [x for c, s in share.items() if s < 1 for x in (F.lit(c), F.lit(int(s * SHARES)))]
+    if not part:
+        return rows
+    # Rows without an id are told apart by their texts.
+    place = F.pmod(F.xxhash64("doc_id", F.lit("sample"), F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(SHARES))
+    return rows.where(place < F.coalesce(F.create_map(*part)[F.col("lang")], F.lit(SHARES)))
+
+
 def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     """The model of the labelled rows (text, lang, doc_id); rows with a null among text and lang teach nothing.
 
     The driver receives one table of ``len(ORDERS) * BUCKETS`` numbers for each language.
     """
     rows = only(labelled, "doc_id", "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-    total = rows.count()
-    share = int(min(1.0, sample_docs / max(total, 1)) * 1_000_000)
-    drawn = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < share)
-    counted = drawn.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(_count, "lang string, slot long, n long")
+    rows = rows.withColumn("lang", F.col("lang").cast("string"))
+    share = shares({r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}, sample_docs)
+    counted = draw(rows, share).select("lang", "text").mapInArrow(_count, "lang string, slot long, n long")
     table = counted.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
     names, sums = sorted(set(table["lang"].to_pylist())), {}
     for name in names:
@@ -219,7 +241,7 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     for name in names:
         own = which == name
         sums[name][table["slot"].to_numpy()[own]] = table["n"].to_numpy()[own]
-    names.sort(key=lambda c: (-sums[c][:BUCKETS].sum(), c))  # what is tied goes to the commonest language
+    names.sort(key=lambda c: (-sums[c][:BUCKETS].sum() / share[c], c))  # what is tied goes to the commonest language
     tables, allowed = [], np.zeros(len(names), np.int32)
     for i in range(len(ORDERS)):
         c = np.array([sums[n][i * BUCKETS:(i + 1) * BUCKETS] for n in names]).reshape(len(names), BUCKETS).T

@@ -45,6 +45,21 @@ def test_spans_of_mixed_text_and_odd_texts(spark, docs):
     assert {r.lang_pred for r in language_id.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_rare_languages_keep_their_texts(spark):
+    rows = ([(i, "the common words", "en") for i in range(4000)] + [(i, "les mots", "fr") for i in range(4000, 6000)] + [(9000 + i, "harvinainen sana", "fi") for i in range(12)]
+            + [(None, f"ritka {chr(97 + i // 26)}{chr(97 + i % 26)} magyar", "hu") for i in range(600)] + [(1, "x", None), (2, None, "fi")])
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    share = language_id.shares({"en": 4000, "fr": 2000, "fi": 12, "hu": 600}, 312)
+    assert share == {"en": 100 / 4000, "fr": 100 / 2000, "fi": 1.0, "hu": 100 / 600}
+    assert language_id.shares({"a": 3, "b": 4}, 7) == {"a": 1.0, "b": 1.0} and language_id.shares({}, 7) == {}
+    n = Counter(r.lang for r in language_id.draw(labelled.where("lang IS NOT NULL AND text IS NOT NULL"), share).collect())
+    assert n["fi"] == 12 and all(60 < n[c] < 140 for c in ("en", "fr", "hu"))
+    model = language_id.fit(labelled, 312)
+    assert sorted(model.languages) == ["en", "fi", "fr", "hu"] and model.languages[0] == "en"
+    probe = spark.createDataFrame([(1, "harvinainen sana"), (2, "ritka magyar")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in language_id.identify(probe, model).collect()} == {1: "fi", 2: "hu"}
+
+
 def test_viterbi_against_all_paths():
     rng = np.random.default_rng(0)
     for _ in range(30):
