@@ -36,15 +36,20 @@ def item_windows(text: str | None) -> set[bytes]:
     return {b" " + b" ".join(words[i:i + WINDOW]) + b" " for i in range(count)}
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[dict[bytes, set[str]]]:
-    """Windows with their items, an automaton's worth at a time; the driver never holds more."""
+def _blocks(benchmark: DataFrame, unnamed: bool) -> Iterator[dict[bytes, set[str]]]:
+    """Windows with their items, an automaton's worth at a time; the driver never holds more.
+
+    With ``unnamed``, items without an id have windows too, but name no item.
+    """
     block, size = {}, 0
-    for row in only(benchmark, "item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").select(
+    wanted = "text IS NOT NULL" if unnamed else "item_id IS NOT NULL AND text IS NOT NULL"
+    for row in only(benchmark, "item_id", "text").where(wanted).select(
             F.col("item_id").cast("string").alias("item_id"), "text").toLocalIterator(prefetchPartitions=False):
         for window in item_windows(row.text):
             if window not in block:
                 block[window], size = set(), size + len(window)
-            block[window].add(row.item_id)
+            if row.item_id is not None:
+                block[window].add(row.item_id)
         if size >= AUTOMATON_BYTES:
             yield block
             block, size = {}, 0
@@ -96,18 +101,19 @@ def _scan(windows: Broadcast | None, name: str) -> Callable[[Iterator[pa.RecordB
     return scan
 
 
-def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, unnamed: bool = False) -> DataFrame:
     """``docs`` with ``_n_words``, ``_ranges`` (first word and word count of each hit, flat) and ``_items``.
 
     Null and empty texts have no words and no hits; an empty benchmark finds nothing. An item
-    without an id or a text, or without a word, has no windows. Repeated items count once, by id.
+    without a text or a word has no windows, nor has one without an id, unless ``unnamed``: its hits
+    then count, without an item. Repeated items count once, by id.
     """
     rows = renamed(docs, "text")
     out = rows.select("*", F.lit(0).cast("long").alias("_n_words"),
                                    F.array().cast("array<bigint>").alias("_ranges"),
                                    F.array().cast("array<string>").alias("_items"))
     sc, passes = docs.sparkSession.sparkContext, 0
-    for block in _blocks(benchmark):
+    for block in _blocks(benchmark, unnamed):
         if passes:
             out = materialise(out, "scanned")
         out = out.mapInArrow(_scan(sc.broadcast(block), "text"), out.schema)
@@ -159,6 +165,9 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no window of the benchmark occurs, with their columns as they were."""
+    """The documents in which no window of the benchmark occurs, with their columns as they were.
+
+    Unlike ``report``, which follows its SQL, this also looks for items without an id.
+    """
     rows = renamed(docs, "text")
-    return find(rows, benchmark).where("size(_ranges) = 0").select(*rows.columns).toDF(*docs.columns)
+    return find(rows, benchmark, unnamed=True).where("size(_ranges) = 0").select(*rows.columns).toDF(*docs.columns)

@@ -49,6 +49,17 @@ def test_hits(spark, monkeypatch, limit):
     assert sorted(r.doc_id for r in clean.collect()) == [3, 4, 6, 8]
 
 
+@pytest.mark.parametrize("limit", [dc.AUTOMATON_BYTES, 16])
+def test_items_without_an_id_do_not_leak(spark, monkeypatch, limit):
+    monkeypatch.setattr(dc, "AUTOMATON_BYTES", limit)
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    items = spark.createDataFrame([(None, LONG), (None, "short question"), (2, "Short question?"), (None, None), (None, " .")], "item_id long, text string")
+    assert sorted(r.doc_id for r in dc.clean(docs, items).collect()) == [3, 4, 5, 6, 7, 7, 8]
+    assert sorted((tuple(r) for r in dc.report(docs, items).collect()), key=repr) == naive(DOCS, [(2, "short question")])
+    row = dc.find(docs, items, unnamed=True).where("doc_id = 1").first()
+    assert row._ranges and row._items == []
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
