@@ -3,48 +3,60 @@
 Two suffixes are equal as far as it matters when their first ``WINDOW`` bytes (their *windows*) are.
 Suffixes are sorted into groups by digits, the most significant first; every digit is a function of the
 window, so equal windows never part. After each pass, groups that one document alone holds are done
-and take no part in the next. Three digits end the sort at the depth of the window:
+and take no part in the next. The digits end the sort at the depth of the window:
 
 1. the *gram*: of all stretches of ``GRAM`` bytes in the window, the leftmost of the smallest hash.
    Neighbouring suffixes mostly have the same one and travel as one record, a *run*;
-2. the whole run, from its first suffix to the end of its last window. Equal runs hold equal windows, so
-   all but those of the smallest document go, and one document stands for each different run;
-3. the window itself, only where a gram has runs of several kinds, and only for the documents that stand for these.
+2. the *core*: the window's distance from its gram in steps of ``STEP``, and the ``WINDOW - STEP + 1`` bytes
+   that all windows of that step share;
+3. the window itself.
 
+Records of several windows are compared whole before they are cut for the next digit. Equal ones hold equal
+windows, so all but those of the smallest document go, and one document stands for each different one. Only
+where a digit has several different records, and only in the documents that stand for them, are these cut.
 What is left together after the last digit are the equal windows, and all but those of the smallest document go.
 Digits are hashes: groups need to be told apart, not put in the order of their bytes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from fareflow.llm.columns import only, renamed, schema_of
-from fareflow.llm.words import Words, buffers, mix, mix2, row_slices
+from fareflow.llm.words import Words, buffers, mix2, row_slices
 from fareflow.session import materialise
 
 WINDOW = 50
 #: Two 64-bit loads.
 GRAM = 16
+#: Windows of a run that one core stands for.
+STEP = 6
 #: Bytes of text handled at once; a longer text is handled in parts of so many windows.
-PART_BYTES = 1 << 20
+PART_BYTES = 256 << 10
 
 _POSITION = np.uint64(0xFFFFFFFF)
 
 
-def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, number of windows, gram) of each run; windows do not cross the texts' ``offsets``."""
+def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, number of windows, gram, its place) of each run; windows do not cross the texts' ``offsets``."""
     n = len(data)
     if n < WINDOW:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     lanes = np.ndarray((n + 1,), np.dtype("<u8"), padded.data, 0, (1,))
-    grams = mix2(mix(lanes[:n - GRAM + 1], 3), lanes[8:n - GRAM + 9])
-    best = (grams & ~_POSITION) | np.arange(len(grams), dtype=np.uint64)
+    grams = lanes[:n - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
+    grams ^= grams >> np.uint64(29)
+    grams += lanes[8:n - GRAM + 9]
+    grams *= np.uint64(0xBF58476D1CE4E5B9)
+    grams ^= grams >> np.uint64(32)
+    grams *= np.uint64(0xD6E8FEB86659FD93)
+    best = grams & ~_POSITION
+    best |= np.arange(len(grams), dtype=np.uint64)
     width, size = WINDOW - GRAM + 1, 1
     while 2 * size <= width:
         best = np.minimum(best[:-size], best[size:])
@@ -59,7 +71,7 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     fresh = np.ones(len(windows), bool)
     fresh[1:] = (np.diff(windows) != 1) | (np.diff(chosen) != 0)
     heads = np.flatnonzero(fresh)
-    return windows[heads], np.diff(np.append(heads, len(windows))), grams[chosen[heads]]
+    return windows[heads], np.diff(np.append(heads, len(windows))), grams[chosen[heads]], chosen[heads]
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -86,26 +98,48 @@ def _distinct(row: np.ndarray, *names: np.ndarray) -> np.ndarray:
 
 
 class _Part:
-    """Runs of some texts of a batch, or of a part of one long text."""
+    """Records of some texts of a batch, or of a part of one long text: windows in a row that share their digit."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, base: int):
         self.data, self.base = data, base  # base: where ``data`` starts in the slice of texts
-        self.begin, self.count, self.gram = runs(data, offsets)
+        self.begin, self.count, self.name, self.gram = runs(data, offsets)
         self.row = np.searchsorted(offsets, self.begin, "right") - 1
 
     def keep(self, which: np.ndarray) -> _Part:
-        self.begin, self.count, self.gram, self.row = self.begin[which], self.count[which], self.gram[which], self.row[which]
+        for name in ("begin", "count", "name", "gram", "row"):
+            setattr(self, name, getattr(self, name)[which])
         return self
 
     def whole(self) -> np.ndarray:
-        return mix2(Words(self.data, self.begin, self.begin + self.count + WINDOW - 1, None).hashes(7), self.gram)
+        """A digest of each record's bytes and digit."""
+        return mix2(Words(self.data, self.begin, self.begin + self.count + WINDOW - 1, None).hashes(7), self.name)
+
+    def copy_of(self, which: np.ndarray) -> _Part:
+        other = object.__new__(_Part)
+        other.__dict__ |= self.__dict__
+        return other.keep(which)
+
+    def cores(self) -> _Part:
+        """The runs, cut at every ``STEP`` of distance from the gram."""
+        first, last = (self.gram - self.begin - self.count + 1) // STEP, (self.gram - self.begin) // STEP
+        pieces = last - first + 1
+        self.keep(np.repeat(np.arange(len(pieces)), pieces))
+        step = np.repeat(last, pieces) - (np.arange(len(self.begin)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        low = np.maximum(self.begin, self.gram - step * STEP - STEP + 1)
+        high = np.minimum(self.begin + self.count - 1, self.gram - step * STEP)
+        start = self.gram - step * STEP  # of the window next to the gram, whether this run has it or not
+        core = Words(self.data, start, start + WINDOW - STEP + 1, None).hashes(9)
+        self.begin, self.count, self.name = low, high - low + 1, mix2(core, step.astype(np.uint64), 5)
+        return self
 
-    def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Start, row and two hashes of every window of the chosen runs."""
-        count = self.count[which]
-        start = np.repeat(self.begin[which], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        words = Words(self.data, start, start + WINDOW, None)
-        return start, np.repeat(self.row[which], count), words.hashes(11), words.hashes(13)
+    def windows(self) -> _Part:
+        """Records of single windows; two digests name each of them."""
+        count = self.count
+        each = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        self.keep(np.repeat(np.arange(len(count)), count))
+        self.begin, self.count = self.begin + each, np.ones_like(each)
+        self.name = Words(self.data, self.begin, self.begin + WINDOW, None).hashes(11)
+        return self
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -132,59 +166,56 @@ def _emit_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, data, offsets in _slices(batch.column("text")):
             for part in _parts(data, offsets):
-                one = _distinct(part.row, part.gram)
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(part.gram[one])), pa.array(_ids(batch, a, b)[part.row[one]])], ["gram", "_id"])
-
-
-def _emit_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a, b, data, offsets in _slices(batch.column("text")):
-            lists = batch.column("grams").slice(a, b - a)
-            for part in _parts(data, offsets):
-                part.keep(_listed(part.gram, part.row, lists))
-                whole = part.whole()
-                one = _distinct(part.row, whole)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(part.gram[one])), pa.array(_signed(whole[one])), pa.array(_ids(batch, a, b)[part.row[one]])],
-                    ["gram", "run", "_id"])
-
-
-def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a, b, data, offsets in _slices(batch.column("text")):
-            lists = batch.column("open").slice(a, b - a)
-            for part in _parts(data, offsets):
-                _, row, w1, w2 = part.windows(np.flatnonzero(_listed(part.whole(), part.row, lists)))
-                one = _distinct(row, w1, w2)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(w1[one])), pa.array(_signed(w2[one])), pa.array(_ids(batch, a, b)[row[one]])], ["w1", "w2", "_id"])
-
-
-def _gone(data: np.ndarray, offsets: np.ndarray, copied: pa.Array, opened: pa.Array, matched: pa.Array) -> np.ndarray:
+                one = _distinct(part.row, part.name)
+                yield pa.RecordBatch.from_arrays([pa.array(_signed(part.name[one])), pa.array(_ids(batch, a, b)[part.row[one]])], ["name", "_id"])
+
+
+def _opened(part: _Part, lists: Sequence[pa.Array]) -> Iterator[_Part]:
+    """The records of each digit, as far as the lists (of open grams, runs and cores) lead."""
+    yield part.keep(_listed(part.name, part.row, lists[0]))
+    for deeper, names in zip((_Part.cores, _Part.windows), lists[1:]):
+        part = deeper(part.copy_of(_listed(part.whole(), part.row, names)))
+        yield part
+
+
+def _emit(*columns: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The distinct records (digit, digest, document) at the depth that the columns of open ones lead to."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in _slices(batch.column("text")):
+                lists = [batch.column(c).slice(a, b - a) for c in columns]
+                for part in _parts(data, offsets):
+                    *_, found = _opened(part, lists)
+                    whole = found.whole()
+                    one = _distinct(found.row, found.name, whole)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(_signed(found.name[one])), pa.array(_signed(whole[one])), pa.array(_ids(batch, a, b)[found.row[one]])],
+                        ["name", "whole", "_id"])
+    return emit
+
+
+def _gone(data: np.ndarray, offsets: np.ndarray, lists: Sequence[pa.Array], copied: pa.Array) -> np.ndarray:
     """Which bytes of a slice are covered by copied windows."""
     gone = np.zeros(len(data), bool)
-    if not any(len(x.flatten()) for x in (copied, matched)):
+    if not len(copied.flatten()):
         return gone
     for part in _parts(data, offsets):
-        whole = part.whole()
-        at = np.flatnonzero(_listed(whole, part.row, copied))
-        start, row, w1, _ = part.windows(np.flatnonzero(_listed(whole, part.row, opened)))
-        start = start[_listed(w1, row, matched)]
         change = np.zeros(len(part.data) + 1, np.int32)
-        np.add.at(change, part.begin[at], 1)
-        np.add.at(change, part.begin[at] + part.count[at] + WINDOW - 1, -1)
-        np.add.at(change, start, 1)
-        np.add.at(change, start + WINDOW, -1)
+        for found in _opened(part, lists):
+            at = np.flatnonzero(_listed(found.whole(), found.row, copied))
+            np.add.at(change, found.begin[at], 1)
+            np.add.at(change, found.begin[at] + found.count[at] + WINDOW - 1, -1)
         gone[part.base:part.base + len(part.data)] |= np.cumsum(change)[:-1] > 0
     return gone
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes left of every text, with counts."""
-    marks = ["copied", "open", "matched"]
+    marks = ["copied", "grams", "runs", "cores"]
     for batch in batches:
         for a, b, data, offsets in _slices(batch.column("text")):
-            gone = _gone(data, offsets, *[batch.column(m).slice(a, b - a) for m in marks])
+            copied, *lists = [batch.column(m).slice(a, b - a) for m in marks]
+            gone = _gone(data, offsets, lists, copied)
             kept = data[~gone]
             ends = np.concatenate([[0], np.cumsum(~gone)])[offsets]
             first = gone.copy()
@@ -200,6 +231,20 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out.append_column("_kept", texts.cast(pa.binary()))
 
 
+def _split(found: DataFrame, opened: str) -> DataFrame:
+    """(_id, copied, ``opened``): a document's records that an earlier one has, and those it has to cut further.
+
+    Of equal records only those of the smallest id are not copied; a record is open for that document
+    where its digit has other records too.
+    """
+    kinds = materialise(found.groupBy("name", "whole").agg(F.min("_id").alias("first")), "kinds")
+    several = kinds.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
+    copied = found.join(kinds, ["name", "whole"]).where(F.col("first") < F.col("_id")).select("_id", F.col("whole").alias("copied"))
+    open_ = kinds.join(several, "name").select(F.col("first").alias("_id"), F.col("whole").alias(opened))
+    return copied.unionByName(open_, allowMissingColumns=True).groupBy("_id").agg(
+        F.collect_set("copied").alias("copied"), F.collect_set(opened).alias(opened))
+
+
 def cut_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_n_bytes``, ``_n_removed``, ``_n_spans`` (maximal removed runs) and ``_kept``, the bytes left.
 
@@ -213,26 +258,24 @@ def cut_copies(docs: DataFrame) -> DataFrame:
     keyed = plain.withColumn("_id", F.col("doc_id").cast("long"))
     texts = keyed.where("_id IS NOT NULL").select("_id", "text")
 
-    grams = texts.mapInArrow(_emit_grams, "gram long, _id long")
-    shared = materialise(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "shared-grams")
-    marked = materialise(grams.join(shared, "gram").groupBy("_id").agg(F.collect_set("gram").alias("grams")), "grams")
-
-    found = materialise(texts.join(marked, "_id").mapInArrow(_emit_runs, "gram long, run long, _id long"), "runs")
-    kinds = materialise(found.groupBy("gram", "run").agg(F.min("_id").alias("first")), "kinds")
-    several = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    copied = found.join(kinds, ["gram", "run"]).where(F.col("first") < F.col("_id")).select("_id", F.col("run").alias("copied"))
-    opened = kinds.join(several, "gram").select(F.col("first").alias("_id"), F.col("run").alias("open"))
-    marks = materialise(copied.unionByName(opened, allowMissingColumns=True).groupBy("_id").agg(
-        F.collect_set("copied").alias("copied"), F.collect_set("open").alias("open")), "marks")
-
-    windows = materialise(texts.join(marks.where("size(open) > 0").select("_id", "open"), "_id")
-                          .mapInArrow(_emit_windows, "w1 long, w2 long, _id long"), "windows")
-    twice = windows.groupBy("w1", "w2").agg(F.min("_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    matched = (windows.join(twice, ["w1", "w2"]).where(F.col("first") < F.col("_id"))
-               .groupBy("_id").agg(F.collect_set("w1").alias("matched")))
-    marks = materialise(marks.join(matched, "_id", "left"), "all-marks")
-
-    out = (keyed.join(marks, "_id", "left").select(*keyed.columns, "copied", "open", "matched")
+    grams = texts.mapInArrow(_emit_grams, "name long, _id long")
+    shared = materialise(grams.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name"), "shared-grams")
+    marks = materialise(grams.join(shared, "name").groupBy("_id").agg(F.collect_set("name").alias("grams")), "grams")
+
+    # Each pass cuts what the one before left open, in fewer documents.
+    columns, copied = ["grams"], []
+    for opened in ("runs", "cores", "windows"):
+        found = materialise(texts.join(marks.select("_id", *columns).where(F.size(columns[-1]) > 0), "_id")
+                            .mapInArrow(_emit(*columns), "name long, whole long, _id long"), opened)
+        split = materialise(_split(found, opened), f"split-{opened}")
+        copied.append(split.select("_id", "copied"))
+        if opened != "windows":  # nothing is left to cut in a window
+            marks = marks.join(split.select("_id", opened), "_id", "left")
+            columns.append(opened)
+    copies = reduce(DataFrame.unionByName, copied).select("_id", F.explode("copied").alias("copied"))
+    marks = materialise(marks.join(copies.groupBy("_id").agg(F.collect_set("copied").alias("copied")), "_id"), "marks")
+
+    out = (keyed.join(marks, "_id", "left").select(*keyed.columns, "copied", *columns)
            .mapInArrow(_cut, f"{schema_of(plain)}, _n_bytes long, _n_removed long, _n_spans long, _kept binary"))
     return out.toDF(*docs.columns, "_n_bytes", "_n_removed", "_n_spans", "_kept")
 
