@@ -69,7 +69,24 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def release(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for tables that no later result reads; other tables are left alone.
+
+    Spark removes the shuffle files of finished jobs once the driver has collected their plans, so
+    that is asked for too: on a large input it would else happen long after the next job has started.
+    """
+    for df in tables:
+        path = getattr(df, "written_to", None)
+        if path is None:
+            continue
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+    spark._jvm.System.gc()
 
 
 def is_folder(spark: SparkSession, path: str) -> bool:
