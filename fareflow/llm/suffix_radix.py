@@ -5,8 +5,9 @@ Suffixes are sorted into groups by digits, the most significant first; every dig
 window, so equal windows never part. After each pass, groups that one document alone holds are done
 and take no part in the next. The digits end the sort at the depth of the window:
 
-1. the *gram*: of all stretches of ``GRAM`` bytes in the window, the leftmost of the smallest hash.
-   Neighbouring suffixes mostly have the same one and travel as one record, a *run*;
+1. the *gram*, one of the stretches of ``GRAM`` bytes in the window. The window's stretch of ``SEED`` bytes with
+   the smallest hash (the leftmost of equal ones) points to it: its distance from the window's start, modulo the
+   number of grams, is the gram's. Neighbouring suffixes mostly have the same gram and travel as one record, a *run*;
 2. the *core*: the window's distance from its gram in steps of ``STEP``, and the ``WINDOW - STEP + 1`` bytes
    that all windows of that step share;
 3. the window itself.
@@ -29,13 +30,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from fareflow.llm.columns import only, renamed, schema_of
 from fareflow.llm.words import Words, buffers, mix2, row_slices
-from fareflow.session import materialise
+from fareflow.session import materialise, release
 
 WINDOW = 50
-#: Two 64-bit loads.
-GRAM = 16
+#: Bytes of a gram, and of the stretches that choose it: of 8 to 16 bytes, and as many less than a gram as a window has grams.
+GRAM, SEED = 32, 13
 #: Windows of a run that one core stands for.
-STEP = 6
+STEP = 7
 #: Bytes of text handled at once; a longer text is handled in parts of so many windows.
 PART_BYTES = 256 << 10
 
@@ -47,31 +48,31 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     n = len(data)
     if n < WINDOW:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    lanes = np.ndarray((n + 1,), np.dtype("<u8"), padded.data, 0, (1,))
-    grams = lanes[:n - GRAM + 1] * np.uint64(0x9E3779B97F4A7C15)
-    grams ^= grams >> np.uint64(29)
-    grams += lanes[8:n - GRAM + 9]
-    grams *= np.uint64(0xBF58476D1CE4E5B9)
-    grams ^= grams >> np.uint64(32)
-    grams *= np.uint64(0xD6E8FEB86659FD93)
-    best = grams & ~_POSITION
-    best |= np.arange(len(grams), dtype=np.uint64)
-    width, size = WINDOW - GRAM + 1, 1
+    lanes = np.ndarray((n - 7,), np.dtype("<u8"), np.ascontiguousarray(data).data, 0, (1,))
+    seeds = lanes[:n - SEED + 1] * np.uint64(0x9E3779B97F4A7C15)
+    seeds ^= seeds >> np.uint64(29)
+    seeds += lanes[SEED - 8:]
+    seeds *= np.uint64(0xBF58476D1CE4E5B9)
+    seeds ^= seeds >> np.uint64(32)
+    seeds *= np.uint64(0xD6E8FEB86659FD93)
+    seeds &= ~_POSITION
+    seeds |= np.arange(len(seeds), dtype=np.uint64)
+    width, size = WINDOW - SEED + 1, 1
     while 2 * size <= width:
-        best = np.minimum(best[:-size], best[size:])
+        seeds = np.minimum(seeds[:-size], seeds[size:])
         size *= 2
-    best = np.minimum(best[:n - WINDOW + 1], best[width - size:])
+    seeds = np.minimum(seeds[:n - WINDOW + 1], seeds[width - size:])
     change = np.zeros(n + 1, np.int32)
     has = np.diff(offsets) >= WINDOW
     np.add.at(change, offsets[:-1][has], 1)
     np.add.at(change, offsets[1:][has] - WINDOW + 1, -1)
     windows = np.flatnonzero(np.cumsum(change)[:n - WINDOW + 1])
-    chosen = (best[windows] & _POSITION).astype(np.int64)
+    chosen = windows + ((seeds[windows] & _POSITION).astype(np.int64) - windows) % (WINDOW - GRAM + 1)
     fresh = np.ones(len(windows), bool)
     fresh[1:] = (np.diff(windows) != 1) | (np.diff(chosen) != 0)
     heads = np.flatnonzero(fresh)
-    return windows[heads], np.diff(np.append(heads, len(windows))), grams[chosen[heads]], chosen[heads]
+    place = chosen[heads]
+    return windows[heads], np.diff(np.append(heads, len(windows))), Words(data, place, place + GRAM, None).hashes(3), place
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -235,14 +236,18 @@ def _split(found: DataFrame, opened: str) -> DataFrame:
     """(_id, copied, ``opened``): a document's records that an earlier one has, and those it has to cut further.
 
     Of equal records only those of the smallest id are not copied; a record is open for that document
-    where its digit has other records too.
+    where its digit has other records too. ``found`` is not needed any more after that.
     """
+    spark = found.sparkSession
     kinds = materialise(found.groupBy("name", "whole").agg(F.min("_id").alias("first")), "kinds")
+    release(spark)
     several = kinds.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
     copied = found.join(kinds, ["name", "whole"]).where(F.col("first") < F.col("_id")).select("_id", F.col("whole").alias("copied"))
     open_ = kinds.join(several, "name").select(F.col("first").alias("_id"), F.col("whole").alias(opened))
-    return copied.unionByName(open_, allowMissingColumns=True).groupBy("_id").agg(
-        F.collect_set("copied").alias("copied"), F.collect_set(opened).alias(opened))
+    out = materialise(copied.unionByName(open_, allowMissingColumns=True).groupBy("_id").agg(
+        F.collect_set("copied").alias("copied"), F.collect_set(opened).alias(opened)), f"split-{opened}")
+    release(spark, found, kinds)
+    return out
 
 
 def cut_copies(docs: DataFrame) -> DataFrame:
@@ -254,20 +259,22 @@ def cut_copies(docs: DataFrame) -> DataFrame:
     bytes lose none. Documents with the same id, repeated rows among them, take nothing from each other; one
     without an id takes nothing and loses nothing. Columns with other names are kept, whatever they are called.
     """
-    plain = renamed(docs, "doc_id", "text")
+    spark, plain = docs.sparkSession, renamed(docs, "doc_id", "text")
     keyed = plain.withColumn("_id", F.col("doc_id").cast("long"))
     texts = keyed.where("_id IS NOT NULL").select("_id", "text")
 
     grams = texts.mapInArrow(_emit_grams, "name long, _id long")
     shared = materialise(grams.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name"), "shared-grams")
+    release(spark)
     marks = materialise(grams.join(shared, "name").groupBy("_id").agg(F.collect_set("name").alias("grams")), "grams")
+    release(spark, shared)
 
     # Each pass cuts what the one before left open, in fewer documents.
     columns, copied = ["grams"], []
     for opened in ("runs", "cores", "windows"):
         found = materialise(texts.join(marks.select("_id", *columns).where(F.size(columns[-1]) > 0), "_id")
                             .mapInArrow(_emit(*columns), "name long, whole long, _id long"), opened)
-        split = materialise(_split(found, opened), f"split-{opened}")
+        split = _split(found, opened)
         copied.append(split.select("_id", "copied"))
         if opened != "windows":  # nothing is left to cut in a window
             marks = marks.join(split.select("_id", opened), "_id", "left")
