@@ -1,9 +1,9 @@
 """Removal of byte sequences that an earlier document holds, by a radix sort of suffixes to a limited depth.
 
 Two suffixes are equal as far as it matters when their first ``WINDOW`` bytes (their *windows*) are.
-Suffixes are sorted into groups by digits, the most significant first; every digit is a function of the
-window, so equal windows never part. After each pass, groups that one document alone holds are done
-and take no part in the next. The digits end the sort at the depth of the window:
+Suffixes are sorted by digits, the most significant first; every digit is a function of the window, so
+equal windows never part. Digits that one document alone holds are done with the pass that finds it out.
+Three digits end the sort at the depth of the window:
 
 1. the *gram*, one of the stretches of ``GRAM`` bytes in the window. The window's stretch of ``SEED`` bytes with
    the smallest hash (the leftmost of equal ones) points to it: its distance from the window's start, modulo the
@@ -12,11 +12,12 @@ and take no part in the next. The digits end the sort at the depth of the window
    that all windows of that step share;
 3. the window itself.
 
-Records of several windows are compared whole before they are cut for the next digit. Equal ones hold equal
-windows, so all but those of the smallest document go, and one document stands for each different one. Only
-where a digit has several different records, and only in the documents that stand for them, are these cut.
-What is left together after the last digit are the equal windows, and all but those of the smallest document go.
-Digits are hashes: groups need to be told apart, not put in the order of their bytes.
+A pass deals the records out by digit and sorts them by digit, digest of all their bytes, and document. Equal
+records hold equal windows: all but those of the smallest document are copies, and that document stands for them.
+Where a digit has several different records, the documents that stand for them cut these for the next pass;
+after the last digit no record is left to cut. Digits are hashes: groups need to be told apart, not put in the
+order of their bytes. A record that follows an equal one of a smaller document in the same slice of texts
+is known to be a copy and is not dealt out by its digit, so a digit has at most one such record for each slice.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from fareflow.llm.columns import only, renamed, schema_of
-from fareflow.llm.words import Words, buffers, mix2, row_slices
+from fareflow.llm.words import buffers, mix, row_slices
 from fareflow.session import materialise, release
 
 WINDOW = 50
@@ -37,50 +38,74 @@ WINDOW = 50
 GRAM, SEED = 32, 13
 #: Windows of a run that one core stands for.
 STEP = 7
-#: Bytes of text handled at once; a longer text is handled in parts of so many windows.
+#: Bytes of text handled at once, at most 2^19 less a window; a longer text is handled in parts of so many windows.
 PART_BYTES = 256 << 10
-
-_POSITION = np.uint64(0xFFFFFFFF)
+#: Records that are compared with each other before they are dealt out.
+SLICE_RECORDS = 1 << 17
+
+_POSITION_BITS = 19
+_LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def _lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as a number; zeros follow the last byte."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), np.dtype("<u8"), padded.data, 0, (1,))
+
+
+def digest(lanes: np.ndarray, start: np.ndarray, size: np.ndarray | int, salt: int) -> np.ndarray:
+    """A 64-bit hash of each stretch of bytes."""
+    left = np.broadcast_to(np.asarray(size, np.int64), start.shape)
+    out, at, where = mix(left.astype(np.uint64), salt), start, slice(None)
+    while len(at):
+        part = (out[where] ^ (lanes[at] & _LOW_BYTES[np.minimum(left, 8)])) * np.uint64(0x9E3779B97F4A7C15)
+        part ^= part >> np.uint64(29)
+        part *= np.uint64(0xBF58476D1CE4E5B9)
+        part ^= part >> np.uint64(32)
+        out[where] = part
+        more = np.flatnonzero(left > 8)
+        where = more if isinstance(where, slice) else where[more]
+        at, left = at[more] + 8, left[more] - 8
+    return out
 
 
 def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, number of windows, gram, its place) of each run; windows do not cross the texts' ``offsets``."""
+    """(first window, number of windows, place of the gram, text) of each run; windows do not cross the ``offsets``."""
     n = len(data)
     if n < WINDOW:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 4
     lanes = np.ndarray((n - 7,), np.dtype("<u8"), np.ascontiguousarray(data).data, 0, (1,))
     seeds = lanes[:n - SEED + 1] * np.uint64(0x9E3779B97F4A7C15)
-    seeds ^= seeds >> np.uint64(29)
+    seeds ^= seeds >> np.uint64(31)
     seeds += lanes[SEED - 8:]
-    seeds *= np.uint64(0xBF58476D1CE4E5B9)
-    seeds ^= seeds >> np.uint64(32)
     seeds *= np.uint64(0xD6E8FEB86659FD93)
-    seeds &= ~_POSITION
-    seeds |= np.arange(len(seeds), dtype=np.uint64)
+    seeds >>= np.uint64(32)
+    place = np.arange(n, dtype=np.uint32)
+    # The upper bits of the hash, then the place: the smallest is the leftmost of the smallest hashes.
+    least = (seeds.astype(np.uint32) & np.uint32(-1 << _POSITION_BITS & 0xFFFFFFFF)) | place[:len(seeds)]
     width, size = WINDOW - SEED + 1, 1
     while 2 * size <= width:
-        seeds = np.minimum(seeds[:-size], seeds[size:])
+        least = np.minimum(least[:-size], least[size:])
         size *= 2
-    seeds = np.minimum(seeds[:n - WINDOW + 1], seeds[width - size:])
-    change = np.zeros(n + 1, np.int32)
-    has = np.diff(offsets) >= WINDOW
-    np.add.at(change, offsets[:-1][has], 1)
-    np.add.at(change, offsets[1:][has] - WINDOW + 1, -1)
-    windows = np.flatnonzero(np.cumsum(change)[:n - WINDOW + 1])
-    chosen = windows + ((seeds[windows] & _POSITION).astype(np.int64) - windows) % (WINDOW - GRAM + 1)
-    fresh = np.ones(len(windows), bool)
-    fresh[1:] = (np.diff(windows) != 1) | (np.diff(chosen) != 0)
+    starts, grams = n - WINDOW + 1, np.uint32(WINDOW - GRAM + 1)
+    away = (np.minimum(least[:starts], least[width - size:]) & np.uint32((1 << _POSITION_BITS) - 1)) - place[:starts]
+    away -= grams * (away >= grams)  # at most twice as many seeds as grams
+    chosen = away + place[:starts]
+    fresh = np.empty(starts, bool)
+    fresh[0] = True
+    np.not_equal(chosen[1:], chosen[:-1], out=fresh[1:])
+    edges = np.concatenate([offsets, offsets - WINDOW + 1])
+    fresh[edges[(edges >= 0) & (edges < starts)]] = True
     heads = np.flatnonzero(fresh)
-    place = chosen[heads]
-    return windows[heads], np.diff(np.append(heads, len(windows))), Words(data, place, place + GRAM, None).hashes(3), place
-
-
-def _signed(x: np.ndarray) -> np.ndarray:
-    return x.view(np.int64)
+    text = np.searchsorted(offsets, heads, "right") - 1
+    count = np.diff(np.append(heads, starts))
+    inside = heads <= offsets[text + 1] - WINDOW
+    heads = heads[inside]
+    return heads, count[inside], chosen[heads].astype(np.int64), text[inside]
 
 
 def _of(names: np.ndarray, row: np.ndarray) -> np.ndarray:
-    return mix2(names.view(np.uint64), row.astype(np.uint64), 17)
+    return names.view(np.uint64) + mix(row.astype(np.uint64), 17)
 
 
 def _listed(names: np.ndarray, row: np.ndarray, lists: pa.Array) -> np.ndarray:
@@ -90,57 +115,55 @@ def _listed(names: np.ndarray, row: np.ndarray, lists: pa.Array) -> np.ndarray:
     return np.isin(_of(names, row), _of(np.asarray(lists.flatten(), np.int64), owner))
 
 
-def _distinct(row: np.ndarray, *names: np.ndarray) -> np.ndarray:
-    """Places of one of each (row, names)."""
-    order = np.lexsort((*names, row))
-    fresh = np.ones(len(order), bool)
-    fresh[1:] = np.logical_or.reduce([x[order][1:] != x[order][:-1] for x in (row, *names)])
-    return order[fresh]
-
-
-class _Part:
-    """Records of some texts of a batch, or of a part of one long text: windows in a row that share their digit."""
+class _Records:
+    """Records of some texts: windows in a row that share their digit."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, base: int):
-        self.data, self.base = data, base  # base: where ``data`` starts in the slice of texts
-        self.begin, self.count, self.name, self.gram = runs(data, offsets)
-        self.row = np.searchsorted(offsets, self.begin, "right") - 1
+        self.size, self.base = len(data), base  # base: where ``data`` starts in the slice of texts
+        self.begin, self.count, self.gram, self.row = runs(data, offsets)
+        self.lanes = _lanes(data)
+        self.name = digest(self.lanes, self.gram, GRAM, 3)
+        self.whole = self._whole()
 
-    def keep(self, which: np.ndarray) -> _Part:
-        for name in ("begin", "count", "name", "gram", "row"):
-            setattr(self, name, getattr(self, name)[which])
-        return self
-
-    def whole(self) -> np.ndarray:
+    def _whole(self) -> np.ndarray:
         """A digest of each record's bytes and digit."""
-        return mix2(Words(self.data, self.begin, self.begin + self.count + WINDOW - 1, None).hashes(7), self.name)
+        return mix(digest(self.lanes, self.begin, self.count + WINDOW - 1, 7) ^ mix(self.name, 19))
 
-    def copy_of(self, which: np.ndarray) -> _Part:
-        other = object.__new__(_Part)
+    def _cut(self, which: np.ndarray) -> _Records:
+        """A copy with the chosen records, whose digit and digest are still to be set."""
+        other = object.__new__(_Records)
         other.__dict__ |= self.__dict__
-        return other.keep(which)
+        other.begin, other.count, other.gram, other.row = (x[which] for x in (self.begin, self.count, self.gram, self.row))
+        return other
 
-    def cores(self) -> _Part:
-        """The runs, cut at every ``STEP`` of distance from the gram."""
-        first, last = (self.gram - self.begin - self.count + 1) // STEP, (self.gram - self.begin) // STEP
+    def cores(self, which: np.ndarray) -> _Records:
+        """The chosen runs, cut at every ``STEP`` of distance from the gram."""
+        first, last = (self.gram - self.begin - self.count + 1)[which] // STEP, (self.gram - self.begin)[which] // STEP
         pieces = last - first + 1
-        self.keep(np.repeat(np.arange(len(pieces)), pieces))
-        step = np.repeat(last, pieces) - (np.arange(len(self.begin)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
-        low = np.maximum(self.begin, self.gram - step * STEP - STEP + 1)
-        high = np.minimum(self.begin + self.count - 1, self.gram - step * STEP)
-        start = self.gram - step * STEP  # of the window next to the gram, whether this run has it or not
-        core = Words(self.data, start, start + WINDOW - STEP + 1, None).hashes(9)
-        self.begin, self.count, self.name = low, high - low + 1, mix2(core, step.astype(np.uint64), 5)
-        return self
-
-    def windows(self) -> _Part:
-        """Records of single windows; two digests name each of them."""
-        count = self.count
-        each = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        self.keep(np.repeat(np.arange(len(count)), count))
-        self.begin, self.count = self.begin + each, np.ones_like(each)
-        self.name = Words(self.data, self.begin, self.begin + WINDOW, None).hashes(11)
-        return self
+        out = self._cut(np.repeat(which, pieces))
+        step = np.repeat(last + np.cumsum(pieces) - pieces, pieces) - np.arange(pieces.sum())
+        near = out.gram - step * STEP  # the window next to the gram, whether this run has it or not
+        low, high = np.maximum(out.begin, near - STEP + 1), np.minimum(out.begin + out.count - 1, near)
+        out.begin, out.count = low, high - low + 1
+        out.name = digest(out.lanes, near, WINDOW - STEP + 1, 9) ^ mix(step.astype(np.uint64), 5)
+        out.whole = out._whole()
+        return out
+
+    def windows(self, which: np.ndarray) -> _Records:
+        """The windows of the chosen records, one by one; two digests tell them apart."""
+        count = self.count[which]
+        out = self._cut(np.repeat(which, count))
+        out.begin = out.begin + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        out.count = np.ones_like(out.begin)
+        out.name, out.whole = digest(out.lanes, out.begin, WINDOW, 11), digest(out.lanes, out.begin, WINDOW, 13)
+        return out
+
+
+def _passes(runs_: _Records, lists: Sequence[pa.Array]) -> Iterator[_Records]:
+    """The records of each pass, as far as the lists (of runs, then of cores to cut) lead."""
+    yield (found := runs_)
+    for cut, names in zip((_Records.cores, _Records.windows), lists):
+        yield (found := cut(found, np.flatnonzero(_listed(found.whole, found.row, names))))
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -150,69 +173,101 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         yield a, b, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
 
 
-def _parts(data: np.ndarray, offsets: np.ndarray) -> Iterator[_Part]:
+def _parts(data: np.ndarray, offsets: np.ndarray) -> Iterator[_Records]:
     if len(offsets) == 2:
         for at in range(0, max(1, len(data) - WINDOW + 1), PART_BYTES):
             part = data[at:at + PART_BYTES + WINDOW - 1]
-            yield _Part(part, np.array([0, len(part)]), at)
+            yield _Records(part, np.array([0, len(part)]), at)
     else:
-        yield _Part(data, offsets, 0)
-
-
-def _ids(batch: pa.RecordBatch, a: int, b: int) -> np.ndarray:
-    return batch.column("_id").to_numpy(zero_copy_only=False)[a:b]
+        yield _Records(data, offsets, 0)
 
 
-def _emit_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a, b, data, offsets in _slices(batch.column("text")):
-            for part in _parts(data, offsets):
-                one = _distinct(part.row, part.name)
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(part.name[one])), pa.array(_ids(batch, a, b)[part.row[one]])], ["name", "_id"])
-
-
-def _opened(part: _Part, lists: Sequence[pa.Array]) -> Iterator[_Part]:
-    """The records of each digit, as far as the lists (of open grams, runs and cores) lead."""
-    yield part.keep(_listed(part.name, part.row, lists[0]))
-    for deeper, names in zip((_Part.cores, _Part.windows), lists[1:]):
-        part = deeper(part.copy_of(_listed(part.whole(), part.row, names)))
-        yield part
+def _first_of_equal(name: np.ndarray, whole: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+    """Each different record of each document once; ``known`` where an earlier document in here has the same."""
+    order = np.lexsort((doc, whole, name))
+    name, whole, doc = name[order], whole[order], doc[order]
+    fresh = np.ones(len(name), bool)
+    fresh[1:] = (name[1:] != name[:-1]) | (whole[1:] != whole[:-1])
+    kept = fresh.copy()
+    kept[1:] |= doc[1:] != doc[:-1]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(name[kept].view(np.int64)), pa.array(whole[kept].view(np.int64)), pa.array(doc[kept]), pa.array(~fresh[kept])],
+        ["name", "whole", "_id", "known"])
 
 
 def _emit(*columns: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The distinct records (digit, digest, document) at the depth that the columns of open ones lead to."""
+    """The records of the pass that the columns with those to cut lead to."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
+            ids = batch.column("_id").to_numpy(zero_copy_only=False)
             for a, b, data, offsets in _slices(batch.column("text")):
                 lists = [batch.column(c).slice(a, b - a) for c in columns]
                 for part in _parts(data, offsets):
-                    *_, found = _opened(part, lists)
-                    whole = found.whole()
-                    one = _distinct(found.row, found.name, whole)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(_signed(found.name[one])), pa.array(_signed(whole[one])), pa.array(_ids(batch, a, b)[found.row[one]])],
-                        ["name", "whole", "_id"])
+                    *_, found = _passes(part, lists)
+                    held.append((found.name, found.whole, ids[a:b][found.row]))
+                    size += len(found.name)
+                    if size >= SLICE_RECORDS:
+                        yield _first_of_equal(*map(np.concatenate, zip(*held)))
+                        held, size = [], 0
+        if held:
+            yield _first_of_equal(*map(np.concatenate, zip(*held)))
     return emit
 
 
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_id, whole, copied) from records in order: copies, and those that stand for one of several records of a digit.
+
+    Only the first of the last equal records is carried to the next batch.
+    """
+    carried, was_open = (np.zeros(0, np.int64),) * 3, False
+    for batch in batches:
+        name, whole, doc = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("name", "whole", "_id"))
+        known = batch.column("known").to_numpy(zero_copy_only=False)
+        rest = [np.concatenate(x) for x in zip(carried, (name[~known], whole[~known], doc[~known]))]
+        n, w, d = rest
+        if not len(n):
+            yield pa.RecordBatch.from_arrays([pa.array(doc[known]), pa.array(whole[known]), pa.array(np.ones(known.sum(), bool))],
+                                             ["_id", "whole", "copied"])
+            continue
+        fresh = np.ones(len(n), bool)
+        fresh[1:] = (n[1:] != n[:-1]) | (w[1:] != w[:-1])
+        heads = np.flatnonzero(fresh)
+        first = np.repeat(d[heads], np.diff(np.append(heads, len(n))))
+        later = d > first
+        beside = n[heads][1:] == n[heads][:-1]
+        several = np.zeros(len(heads), bool)
+        several[1:] |= beside
+        several[:-1] |= beside
+        last_open = bool(several[-1]) or (was_open and len(heads) == 1)
+        if was_open:
+            several[0] = False  # it was given out with the batch before
+        opened = heads[several]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([doc[known], d[later], d[opened]])), pa.array(np.concatenate([whole[known], w[later], w[opened]])),
+             pa.array(np.repeat([True, False], [known.sum() + later.sum(), len(opened)]))], ["_id", "whole", "copied"])
+        at = heads[-1]
+        carried, was_open = (n[at:at + 1], w[at:at + 1], d[at:at + 1]), last_open
+
+
 def _gone(data: np.ndarray, offsets: np.ndarray, lists: Sequence[pa.Array], copied: pa.Array) -> np.ndarray:
     """Which bytes of a slice are covered by copied windows."""
     gone = np.zeros(len(data), bool)
     if not len(copied.flatten()):
         return gone
     for part in _parts(data, offsets):
-        change = np.zeros(len(part.data) + 1, np.int32)
-        for found in _opened(part, lists):
-            at = np.flatnonzero(_listed(found.whole(), found.row, copied))
+        change = np.zeros(part.size + 1, np.int32)
+        for found in _passes(part, lists):
+            at = np.flatnonzero(_listed(found.whole, found.row, copied))
             np.add.at(change, found.begin[at], 1)
             np.add.at(change, found.begin[at] + found.count[at] + WINDOW - 1, -1)
-        gone[part.base:part.base + len(part.data)] |= np.cumsum(change)[:-1] > 0
+        gone[part.base:part.base + part.size] |= np.cumsum(change)[:-1] > 0
     return gone
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes left of every text, with counts."""
-    marks = ["copied", "grams", "runs", "cores"]
+    marks = ["copied", "runs", "cores"]
     for batch in batches:
         for a, b, data, offsets in _slices(batch.column("text")):
             copied, *lists = [batch.column(m).slice(a, b - a) for m in marks]
@@ -232,21 +287,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out.append_column("_kept", texts.cast(pa.binary()))
 
 
-def _split(found: DataFrame, opened: str) -> DataFrame:
-    """(_id, copied, ``opened``): a document's records that an earlier one has, and those it has to cut further.
-
-    Of equal records only those of the smallest id are not copied; a record is open for that document
-    where its digit has other records too. ``found`` is not needed any more after that.
-    """
-    spark = found.sparkSession
-    kinds = materialise(found.groupBy("name", "whole").agg(F.min("_id").alias("first")), "kinds")
-    release(spark)
-    several = kinds.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
-    copied = found.join(kinds, ["name", "whole"]).where(F.col("first") < F.col("_id")).select("_id", F.col("whole").alias("copied"))
-    open_ = kinds.join(several, "name").select(F.col("first").alias("_id"), F.col("whole").alias(opened))
-    out = materialise(copied.unionByName(open_, allowMissingColumns=True).groupBy("_id").agg(
-        F.collect_set("copied").alias("copied"), F.collect_set(opened).alias(opened)), f"split-{opened}")
-    release(spark, found, kinds)
+def _pass(found: DataFrame, opened: str) -> DataFrame:
+    """(_id, copied, ``opened``): digests of a document's records that an earlier one has, and of those it cuts further."""
+    dealt = found.repartition(F.when(F.col("known"), F.xxhash64("_id")).otherwise(F.col("name"))).sortWithinPartitions("name", "whole", "_id")
+    compared = dealt.mapInArrow(_compare, "_id long, whole long, copied boolean")
+    out = materialise(compared.groupBy("_id").agg(
+        F.collect_set(F.when(F.col("copied"), F.col("whole"))).alias("copied"),
+        F.collect_set(F.when(~F.col("copied"), F.col("whole"))).alias(opened)), opened)
+    release(found.sparkSession)
     return out
 
 
@@ -259,30 +307,22 @@ def cut_copies(docs: DataFrame) -> DataFrame:
     bytes lose none. Documents with the same id, repeated rows among them, take nothing from each other; one
     without an id takes nothing and loses nothing. Columns with other names are kept, whatever they are called.
     """
-    spark, plain = docs.sparkSession, renamed(docs, "doc_id", "text")
+    plain = renamed(docs, "doc_id", "text")
     keyed = plain.withColumn("_id", F.col("doc_id").cast("long"))
     texts = keyed.where("_id IS NOT NULL").select("_id", "text")
-
-    grams = texts.mapInArrow(_emit_grams, "name long, _id long")
-    shared = materialise(grams.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name"), "shared-grams")
-    release(spark)
-    marks = materialise(grams.join(shared, "name").groupBy("_id").agg(F.collect_set("name").alias("grams")), "grams")
-    release(spark, shared)
+    record = "name long, whole long, _id long, known boolean"
 
     # Each pass cuts what the one before left open, in fewer documents.
-    columns, copied = ["grams"], []
-    for opened in ("runs", "cores", "windows"):
-        found = materialise(texts.join(marks.select("_id", *columns).where(F.size(columns[-1]) > 0), "_id")
-                            .mapInArrow(_emit(*columns), "name long, whole long, _id long"), opened)
-        split = _split(found, opened)
-        copied.append(split.select("_id", "copied"))
-        if opened != "windows":  # nothing is left to cut in a window
-            marks = marks.join(split.select("_id", opened), "_id", "left")
-            columns.append(opened)
-    copies = reduce(DataFrame.unionByName, copied).select("_id", F.explode("copied").alias("copied"))
-    marks = materialise(marks.join(copies.groupBy("_id").agg(F.collect_set("copied").alias("copied")), "_id"), "marks")
-
-    out = (keyed.join(marks, "_id", "left").select(*keyed.columns, "copied", *columns)
+    runs_ = _pass(texts.mapInArrow(_emit(), record), "runs")
+    cores = _pass(texts.join(runs_.where("size(runs) > 0").select("_id", "runs"), "_id").mapInArrow(_emit("runs"), record), "cores")
+    open_ = cores.where("size(cores) > 0").select("_id", "cores").join(runs_.select("_id", "runs"), "_id")
+    windows = _pass(texts.join(open_, "_id").mapInArrow(_emit("runs", "cores"), record), "windows")
+
+    copies = reduce(DataFrame.unionByName, [p.select("_id", F.explode("copied").alias("copied")) for p in (runs_, cores, windows)])
+    marks = materialise(copies.groupBy("_id").agg(F.collect_set("copied").alias("copied"))
+                        .join(runs_.select("_id", "runs"), "_id", "left").join(cores.select("_id", "cores"), "_id", "left"), "marks")
+    release(docs.sparkSession, runs_, cores, windows)
+    out = (keyed.join(marks, "_id", "left").select(*keyed.columns, "copied", "runs", "cores")
            .mapInArrow(_cut, f"{schema_of(plain)}, _n_bytes long, _n_removed long, _n_spans long, _kept binary"))
     return out.toDF(*docs.columns, "_n_bytes", "_n_removed", "_n_spans", "_kept")
 
