@@ -18,6 +18,7 @@ Where a digit has several different records, the documents that stand for them c
 after the last digit no record is left to cut. Digits are hashes: groups need to be told apart, not put in the
 order of their bytes. A record that follows an equal one of a smaller document in the same slice of texts
 is known to be a copy and is not dealt out by its digit, so a digit has at most one such record for each slice.
+Records are told apart by 96 bits of hash: those of the digit and 32 more.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ PART_BYTES = 256 << 10
 #: Records that are compared with each other before they are dealt out.
 SLICE_RECORDS = 1 << 17
 
+_RECORD = {"name": "long", "check": "int", "_id": "long", "known": "boolean"}
 _POSITION_BITS = 19
 _LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
@@ -69,6 +71,11 @@ def digest(lanes: np.ndarray, start: np.ndarray, size: np.ndarray | int, salt: i
     return out
 
 
+def joined(name: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """A record's digest, from its digit and 32 bits that check its bytes."""
+    return mix(name.view(np.uint64) + check.view(np.uint32), 23)
+
+
 def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(first window, number of windows, place of the gram, text) of each run; windows do not cross the ``offsets``."""
     n = len(data)
@@ -122,12 +129,13 @@ class _Records:
         self.size, self.base = len(data), base  # base: where ``data`` starts in the slice of texts
         self.begin, self.count, self.gram, self.row = runs(data, offsets)
         self.lanes = _lanes(data)
-        self.name = digest(self.lanes, self.gram, GRAM, 3)
-        self.whole = self._whole()
+        self._named(digest(self.lanes, self.gram, GRAM, 3), 7)
 
-    def _whole(self) -> np.ndarray:
-        """A digest of each record's bytes and digit."""
-        return mix(digest(self.lanes, self.begin, self.count + WINDOW - 1, 7) ^ mix(self.name, 19))
+    def _named(self, name: np.ndarray, salt: int) -> _Records:
+        self.name = name
+        self.check = (digest(self.lanes, self.begin, self.count + WINDOW - 1, salt) >> np.uint64(32)).astype(np.uint32)
+        self.whole = joined(self.name, self.check)
+        return self
 
     def _cut(self, which: np.ndarray) -> _Records:
         """A copy with the chosen records, whose digit and digest are still to be set."""
@@ -145,9 +153,7 @@ class _Records:
         near = out.gram - step * STEP  # the window next to the gram, whether this run has it or not
         low, high = np.maximum(out.begin, near - STEP + 1), np.minimum(out.begin + out.count - 1, near)
         out.begin, out.count = low, high - low + 1
-        out.name = digest(out.lanes, near, WINDOW - STEP + 1, 9) ^ mix(step.astype(np.uint64), 5)
-        out.whole = out._whole()
-        return out
+        return out._named(digest(out.lanes, near, WINDOW - STEP + 1, 9) ^ mix(step.astype(np.uint64), 5), 7)
 
     def windows(self, which: np.ndarray) -> _Records:
         """The windows of the chosen records, one by one; two digests tell them apart."""
@@ -155,8 +161,7 @@ class _Records:
         out = self._cut(np.repeat(which, count))
         out.begin = out.begin + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         out.count = np.ones_like(out.begin)
-        out.name, out.whole = digest(out.lanes, out.begin, WINDOW, 11), digest(out.lanes, out.begin, WINDOW, 13)
-        return out
+        return out._named(digest(out.lanes, out.begin, WINDOW, 11), 13)
 
 
 def _passes(runs_: _Records, lists: Sequence[pa.Array]) -> Iterator[_Records]:
@@ -182,17 +187,19 @@ def _parts(data: np.ndarray, offsets: np.ndarray) -> Iterator[_Records]:
         yield _Records(data, offsets, 0)
 
 
-def _first_of_equal(name: np.ndarray, whole: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+def _first_of_equal(name: np.ndarray, check: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
     """Each different record of each document once; ``known`` where an earlier document in here has the same."""
-    order = np.lexsort((doc, whole, name))
-    name, whole, doc = name[order], whole[order], doc[order]
-    fresh = np.ones(len(name), bool)
-    fresh[1:] = (name[1:] != name[:-1]) | (whole[1:] != whole[:-1])
-    kept = fresh.copy()
-    kept[1:] |= doc[1:] != doc[:-1]
+    order = np.lexsort((doc, check, name))
+    n, c, d = name[order], check[order], doc[order]
+    later = np.zeros(len(order), bool)
+    later[1:] = (n[1:] == n[:-1]) & (c[1:] == c[:-1])
+    kept = ~later
+    kept[1:] |= d[1:] != d[:-1]
+    known = np.empty(len(order), bool)
+    known[order] = later
+    at = np.sort(order[kept])  # rows of one document stay together, which takes less room
     return pa.RecordBatch.from_arrays(
-        [pa.array(name[kept].view(np.int64)), pa.array(whole[kept].view(np.int64)), pa.array(doc[kept]), pa.array(~fresh[kept])],
-        ["name", "whole", "_id", "known"])
+        [pa.array(name[at].view(np.int64)), pa.array(check[at].view(np.int32)), pa.array(doc[at]), pa.array(known[at])], list(_RECORD))
 
 
 def _emit(*columns: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -205,7 +212,7 @@ def _emit(*columns: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 lists = [batch.column(c).slice(a, b - a) for c in columns]
                 for part in _parts(data, offsets):
                     *_, found = _passes(part, lists)
-                    held.append((found.name, found.whole, ids[a:b][found.row]))
+                    held.append((found.name, found.check, ids[a:b][found.row]))
                     size += len(found.name)
                     if size >= SLICE_RECORDS:
                         yield _first_of_equal(*map(np.concatenate, zip(*held)))
@@ -222,8 +229,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     carried, was_open = (np.zeros(0, np.int64),) * 3, False
     for batch in batches:
-        name, whole, doc = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("name", "whole", "_id"))
-        known = batch.column("known").to_numpy(zero_copy_only=False)
+        name, check, doc, known = (batch.column(c).to_numpy(zero_copy_only=False) for c in _RECORD)
+        whole = joined(name, check).view(np.int64)
         rest = [np.concatenate(x) for x in zip(carried, (name[~known], whole[~known], doc[~known]))]
         n, w, d = rest
         if not len(n):
@@ -289,7 +296,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _pass(found: DataFrame, opened: str) -> DataFrame:
     """(_id, copied, ``opened``): digests of a document's records that an earlier one has, and of those it cuts further."""
-    dealt = found.repartition(F.when(F.col("known"), F.xxhash64("_id")).otherwise(F.col("name"))).sortWithinPartitions("name", "whole", "_id")
+    dealt = found.repartition(F.when(F.col("known"), F.xxhash64("_id")).otherwise(F.col("name"))).sortWithinPartitions("name", "check", "_id")
     compared = dealt.mapInArrow(_compare, "_id long, whole long, copied boolean")
     out = materialise(compared.groupBy("_id").agg(
         F.collect_set(F.when(F.col("copied"), F.col("whole"))).alias("copied"),
@@ -310,7 +317,7 @@ def cut_copies(docs: DataFrame) -> DataFrame:
     plain = renamed(docs, "doc_id", "text")
     keyed = plain.withColumn("_id", F.col("doc_id").cast("long"))
     texts = keyed.where("_id IS NOT NULL").select("_id", "text")
-    record = "name long, whole long, _id long, known boolean"
+    record = ", ".join(f"{name} {kind}" for name, kind in _RECORD.items())
 
     # Each pass cuts what the one before left open, in fewer documents.
     runs_ = _pass(texts.mapInArrow(_emit(), record), "runs")
