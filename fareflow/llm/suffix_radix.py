@@ -36,7 +36,7 @@ from fareflow.session import materialise, release
 
 WINDOW = 50
 #: Bytes of a gram, and of the stretches that choose it: of 8 to 16 bytes, and as many less than a gram as a window has grams.
-GRAM, SEED = 32, 13
+GRAM, SEED = 30, 9
 #: Windows of a run that one core stands for.
 STEP = 7
 #: Bytes of text handled at once, at most 2^19 less a window; a longer text is handled in parts of so many windows.
@@ -44,7 +44,8 @@ PART_BYTES = 256 << 10
 #: Records that are compared with each other before they are dealt out.
 SLICE_RECORDS = 1 << 17
 
-_RECORD = {"name": "long", "check": "int", "_id": "long", "known": "boolean"}
+#: The lowest bit of ``check`` says that the record is known to be a copy.
+_RECORD = "name long, check long, _id long"
 _POSITION_BITS = 19
 _LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
@@ -73,7 +74,7 @@ def digest(lanes: np.ndarray, start: np.ndarray, size: np.ndarray | int, salt: i
 
 def joined(name: np.ndarray, check: np.ndarray) -> np.ndarray:
     """A record's digest, from its digit and 32 bits that check its bytes."""
-    return mix(name.view(np.uint64) + check.view(np.uint32), 23)
+    return mix(name.view(np.uint64) + check.view(np.uint64), 23)
 
 
 def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -133,7 +134,7 @@ class _Records:
 
     def _named(self, name: np.ndarray, salt: int) -> _Records:
         self.name = name
-        self.check = (digest(self.lanes, self.begin, self.count + WINDOW - 1, salt) >> np.uint64(32)).astype(np.uint32)
+        self.check = digest(self.lanes, self.begin, self.count + WINDOW - 1, salt) >> np.uint64(32)
         self.whole = joined(self.name, self.check)
         return self
 
@@ -188,18 +189,19 @@ def _parts(data: np.ndarray, offsets: np.ndarray) -> Iterator[_Records]:
 
 
 def _first_of_equal(name: np.ndarray, check: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
-    """Each different record of each document once; ``known`` where an earlier document in here has the same."""
+    """Each different record of each document once, known to be a copy where an earlier document in here has the same."""
     order = np.lexsort((doc, check, name))
     n, c, d = name[order], check[order], doc[order]
     later = np.zeros(len(order), bool)
     later[1:] = (n[1:] == n[:-1]) & (c[1:] == c[:-1])
     kept = ~later
     kept[1:] |= d[1:] != d[:-1]
-    known = np.empty(len(order), bool)
+    known = np.empty(len(order), np.uint64)
     known[order] = later
     at = np.sort(order[kept])  # rows of one document stay together, which takes less room
     return pa.RecordBatch.from_arrays(
-        [pa.array(name[at].view(np.int64)), pa.array(check[at].view(np.int32)), pa.array(doc[at]), pa.array(known[at])], list(_RECORD))
+        [pa.array(name[at].view(np.int64)), pa.array((check[at] * np.uint64(2) + known[at]).view(np.int64)), pa.array(doc[at])],
+        ["name", "check", "_id"])
 
 
 def _emit(*columns: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -229,8 +231,9 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     carried, was_open = (np.zeros(0, np.int64),) * 3, False
     for batch in batches:
-        name, check, doc, known = (batch.column(c).to_numpy(zero_copy_only=False) for c in _RECORD)
-        whole = joined(name, check).view(np.int64)
+        name, check, doc = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("name", "check", "_id"))
+        known = check & 1 == 1
+        whole = joined(name, check >> 1).view(np.int64)
         rest = [np.concatenate(x) for x in zip(carried, (name[~known], whole[~known], doc[~known]))]
         n, w, d = rest
         if not len(n):
@@ -296,7 +299,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _pass(found: DataFrame, opened: str) -> DataFrame:
     """(_id, copied, ``opened``): digests of a document's records that an earlier one has, and of those it cuts further."""
-    dealt = found.repartition(F.when(F.col("known"), F.xxhash64("_id")).otherwise(F.col("name"))).sortWithinPartitions("name", "check", "_id")
+    dealt = found.repartition(F.when(F.col("check") % 2 == 1, F.xxhash64("_id")).otherwise(F.col("name"))).sortWithinPartitions("name", "check", "_id")
     compared = dealt.mapInArrow(_compare, "_id long, whole long, copied boolean")
     out = materialise(compared.groupBy("_id").agg(
         F.collect_set(F.when(F.col("copied"), F.col("whole"))).alias("copied"),
@@ -317,13 +320,12 @@ def cut_copies(docs: DataFrame) -> DataFrame:
     plain = renamed(docs, "doc_id", "text")
     keyed = plain.withColumn("_id", F.col("doc_id").cast("long"))
     texts = keyed.where("_id IS NOT NULL").select("_id", "text")
-    record = ", ".join(f"{name} {kind}" for name, kind in _RECORD.items())
 
     # Each pass cuts what the one before left open, in fewer documents.
-    runs_ = _pass(texts.mapInArrow(_emit(), record), "runs")
-    cores = _pass(texts.join(runs_.where("size(runs) > 0").select("_id", "runs"), "_id").mapInArrow(_emit("runs"), record), "cores")
+    runs_ = _pass(texts.mapInArrow(_emit(), _RECORD), "runs")
+    cores = _pass(texts.join(runs_.where("size(runs) > 0").select("_id", "runs"), "_id").mapInArrow(_emit("runs"), _RECORD), "cores")
     open_ = cores.where("size(cores) > 0").select("_id", "cores").join(runs_.select("_id", "runs"), "_id")
-    windows = _pass(texts.join(open_, "_id").mapInArrow(_emit("runs", "cores"), record), "windows")
+    windows = _pass(texts.join(open_, "_id").mapInArrow(_emit("runs", "cores"), _RECORD), "windows")
 
     copies = reduce(DataFrame.unionByName, [p.select("_id", F.explode("copied").alias("copied")) for p in (runs_, cores, windows)])
     marks = materialise(copies.groupBy("_id").agg(F.collect_set("copied").alias("copied"))
