@@ -28,6 +28,8 @@ from fareflow.session import materialise
 
 WINDOW = 35
 ROUNDS = 3
+#: Bytes of text handled at once: a worker holds some tens of numbers for each of its words.
+SLICE_BYTES = 256 << 10
 FACTORS = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
 
 # A stretch or window of one text in one 64-bit number: first word, count of windows, text check.
@@ -136,7 +138,7 @@ def _packed(first: np.ndarray, count: np.ndarray, check: np.ndarray) -> np.ndarr
 def _emit_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text")
-        for a, b in row_slices(texts):
+        for a, b in row_slices(texts, SLICE_BYTES):
             words = Words.of(texts.slice(a, b - a))
             h = words.hashes(1)
             begin, count, name = stretches(h, words.first)
@@ -174,7 +176,7 @@ def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """The distinct windows of each text in the stretches that are left open, and how often it has them."""
     for batch in batches:
         texts, open_ = batch.column("text"), batch.column("open")
-        for a, b in row_slices(texts):
+        for a, b in row_slices(texts, SLICE_BYTES):
             words = Words.of(texts.slice(a, b - a))
             checks = batch.column("_check").to_numpy(zero_copy_only=False)[a:b]
             w1, w2, text, start, times, _ = _open_windows(words, open_.slice(a, b - a), checks)
@@ -197,7 +199,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The kept words of every text, with counts."""
     for batch in batches:
         texts = batch.column("text")
-        for a, b in row_slices(texts):
+        for a, b in row_slices(texts, SLICE_BYTES):
             words = Words.of(texts.slice(a, b - a))
             mark = np.zeros(len(words.start) + 1, np.int64)
             checks = batch.column("_check").to_numpy(zero_copy_only=False)[a:b]
