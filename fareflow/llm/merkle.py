@@ -47,9 +47,9 @@ def _parents(level: Column) -> Column:
     return F.array_join(hashed, "").cast("binary")
 
 
-def _first(n: Column, start: int = 0) -> Column:
-    """``start``, ``start + 1`` and so on, ``n`` numbers of at most ``LEVELS``."""
-    return F.slice(F.array(*[F.lit(start + i) for i in range(LEVELS)]), F.lit(1), n)
+def _first(n: Column) -> Column:
+    """The numbers 0, 1 and so on, ``n`` of at most ``LEVELS``."""
+    return F.slice(F.array(*[F.lit(i) for i in range(LEVELS)]), F.lit(1), n)
 
 
 def _blocks(nodes: DataFrame) -> DataFrame:
