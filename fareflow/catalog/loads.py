@@ -29,13 +29,16 @@ def stage_and_stamp(t):
     path = t.scratch("landing")
     by_size(yellow_rows(t).withColumn("month", F.date_format(UP, "MM")), "month").write.partitionBy("month").parquet(path)
     staged = landed(t.spark.read.parquet(path), F.regexp_extract(F.col("_metadata.file_path"), "(month=[0-9]+)", 1))
-    table = loads.Table(t.spark, t.scratch("staging"))
+    rows = staged.select("unique_row_id", "filename")
+    table = loads.Target(t.scratch("staging"), rows.schema)
     for _ in range(2):  # truncate and load
-        loads.replace(table, staged.select("unique_row_id", "filename"))
-    return table.read().groupBy("unique_row_id", F.col("filename").alias("folder")).agg(F.count(F.lit(1)).alias("n"))
+        loads.replace(table, rows)
+    return table.read(t.spark).groupBy("unique_row_id", F.col("filename").alias("folder")).agg(F.count(F.lit(1)).alias("n"))
 
 
 ID = f"md5({HASHED_ALL})"
+#: Follows from the id, which hashes the pickup time.
+MONTH = F.date_format(UP, "yyyy-MM").alias("month")
 
 
 @query("m02_insert_only_merge", f"""WITH s AS (SELECT {ID} AS id, * FROM trips), old AS (SELECT * FROM s WHERE passenger_count < 4)
@@ -43,65 +46,72 @@ ID = f"md5({HASHED_ALL})"
        SELECT id, fare_amount FROM s WHERE id NOT IN (SELECT id FROM old)""", "trips")
 def insert_only_merge(t):
     """Half of the feed is loaded first; the whole feed then adds only unknown ids. A rerun adds nothing."""
-    feed = materialise(landed(yellow_rows(t), F.lit("feed")).select("unique_row_id", "fare_amount", "passenger_count", UP), "feed")
-    table = loads.Table(t.spark, t.scratch("trips"))
-    loads.append_missing(table, feed.filter("passenger_count < 4"), "unique_row_id", UP)
+    feed = materialise(landed(yellow_rows(t), F.lit("feed")).select("unique_row_id", "fare_amount", "passenger_count", MONTH), "feed")
+    table = loads.create(t.spark, t.scratch("trips"), feed.schema, "month")
+    loads.append(table, feed.filter("passenger_count < 4"))
     for _ in range(2):
-        loads.append_missing(table, feed, "unique_row_id", UP)
-    return table.read().select("unique_row_id", "fare_amount")
+        loads.append_missing(table, feed, "unique_row_id")
+    return table.read(t.spark).select("unique_row_id", "fare_amount")
 
 
 NEW = "SELECT o_orderkey, 'X' AS o_orderstatus, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT'"
 
 
-def changed_orders(t):
+def changed_orders(t, *more):
     return t.orders.filter("o_orderpriority = '1-URGENT'").select(
-        "o_orderkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") * 2).alias("o_totalprice"))
+        "o_orderkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") * 2).alias("o_totalprice"), *more)
+
+
+#: Orders are kept by year.
+YEAR = F.year("o_orderdate").alias("year")
 
 
 @query("m03_upsert", f"""SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderpriority <> '1-URGENT'
        UNION ALL {NEW}""")
 def upsert(t):
-    target = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return loads.upsert(target, changed_orders(t), ["o_orderkey"], ["o_orderstatus"])
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", YEAR)
+    target = loads.replace(loads.Target(t.scratch("orders"), rows.schema, "year"), rows)
+    return loads.merge(target, changed_orders(t, YEAR), ["o_orderkey"], ["o_orderstatus"]).read(t.spark).drop("year")
 
 
 @query("m04_append", f"""SELECT o_orderstatus, count(*) AS n FROM (SELECT o_orderstatus FROM orders UNION ALL
        SELECT o_orderstatus FROM ({NEW})) GROUP BY 1""")
 def append(t):
-    table = loads.Table(t.spark, t.scratch("orders"))
-    loads.append(table, t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice"))
-    return loads.append(table, changed_orders(t)).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    table = loads.append(loads.Target(t.scratch("orders"), rows.schema), rows)
+    return loads.append(table, changed_orders(t)).read(t.spark).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("m05_replace", NEW)
 def replace(t):
-    table = loads.Table(t.spark, t.scratch("orders"))
-    loads.replace(table, t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice"))
-    return loads.replace(table, changed_orders(t))
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    table = loads.replace(loads.Target(t.scratch("orders"), rows.schema), rows)
+    return loads.replace(table, changed_orders(t)).read(t.spark)
 
 
 @query("m06_incremental", f"""SELECT o_orderkey, o_orderdate FROM orders""")
 def incremental(t):
-    rows = t.orders.select("o_orderkey", "o_orderdate")
-    target = rows.filter("o_orderdate < TIMESTAMP_NTZ '1997-01-01'")
-    return loads.incremental(target, rows, "o_orderkey", "o_orderdate", ["o_orderdate"])
+    """Orders up to 1996 are there; the rest comes by cursor. The years before keep their files."""
+    rows = t.orders.select("o_orderkey", "o_orderdate", YEAR)
+    target = loads.Target(t.scratch("orders"), rows.schema, "year")
+    loads.replace(target, rows.filter("o_orderdate < TIMESTAMP_NTZ '1997-01-01'"))
+    return loads.incremental(target, rows, "o_orderkey", "o_orderdate", ["o_orderdate"]).read(t.spark).drop("year")
 
 
 @query("m07_cursor_extraction", """SELECT 1 AS run, count(*) AS rows FROM events WHERE ts >= TIMESTAMP '2024-01-08'
        UNION ALL SELECT 2, 0""")
 def cursor_extraction(t):
     """The first run loads from the initial value on; the second finds nothing new."""
-    cursor, table = loads.Cursor(t.spark, t.scratch("state"), "2024-01-08 00:00:00"), loads.Table(t.spark, t.scratch("events"))
-    out = None
+    rows = t.events.select("event_id", "ts")
+    cursor = loads.Cursor(t.spark, t.scratch("state"), "2024-01-08 00:00:00")
+    table = loads.create(t.spark, t.scratch("events"), rows.schema)
+    counts = loads.create(t.spark, t.scratch("counts"), "run int, rows long")
     for run in (1, 2):
-        fresh = cursor.extract(t.events.select("event_id", "ts"), "ts", table.read() if table.exists() else None, "event_id")
-        counted = fresh.agg(F.lit(run).alias("run"), F.count(F.lit(1)).alias("rows"))
-        stored = loads.replace(loads.Table(t.spark, t.scratch("counts")), counted)
-        table.append(fresh)
-        cursor.advance(table.read(), "ts")
-        out = stored if out is None else out.unionAll(stored)
-    return out
+        fresh = cursor.extract(rows, "ts", table.read(t.spark), "event_id")
+        loads.append(counts, fresh.agg(F.lit(run).alias("run"), F.count(F.lit(1)).alias("rows")))
+        loads.append(table, fresh)
+        cursor.advance(table.read(t.spark), "ts")
+    return counts.read(t.spark)
 
 
 @query("m08_key_dedup_enrich", "SELECT * FROM enriched", "enriched")
@@ -151,10 +161,10 @@ def typed_timestamps(t):
 @query("m12_schema_evolution", """SELECT o_orderkey, NULL::VARCHAR AS occupation FROM orders UNION ALL
        SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderpriority = '5-LOW'""")
 def schema_evolution(t):
-    table = loads.Table(t.spark, t.scratch("people"))
-    loads.append(table, t.orders.select("o_orderkey"))
+    rows = t.orders.select("o_orderkey")
+    table = loads.append(loads.Target(t.scratch("people"), rows.schema), rows)
     wider = t.orders.filter("o_orderpriority = '5-LOW'").select("o_orderkey", F.col("o_orderstatus").alias("occupation"))
-    return loads.append(table, wider)
+    return loads.append(table, wider).read(t.spark)
 
 
 @query("m13_schema_compatibility", """SELECT 'added column' AS change, true AS compatible, count(*) AS n FROM orders UNION ALL
@@ -181,11 +191,11 @@ def month_set(t):
     """A backfill of three months over a year's end as one job."""
     root = monthly_files(t)
     paths = readers.month_paths(root, "yellow", [1996], [11, 12]) + readers.month_paths(root, "yellow", [1997], [1])
-    feed = landed(readers.csv_typed(t.spark, paths, YELLOW), F.col("_metadata.file_name"))
-    table = loads.Table(t.spark, t.scratch("trips"))
+    feed = landed(readers.csv_typed(t.spark, paths, YELLOW), F.col("_metadata.file_name")).withColumn("month", MONTH)
+    table = loads.create(t.spark, t.scratch("trips"), feed.schema, "month")
     for _ in range(2):
-        loads.append_missing(table, feed, "unique_row_id", UP)
-    ids = table.read().select(F.date_format(UP, "yyyy-MM").alias("month"), "unique_row_id").distinct()
+        loads.append_missing(table, feed, "unique_row_id")
+    ids = table.read(t.spark).select("month", "unique_row_id").distinct()
     return ids.groupBy("month").agg(F.count(F.lit(1)).alias("ids"))
 
 

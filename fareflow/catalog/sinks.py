@@ -88,11 +88,11 @@ def partitioned_by_pickup(t):
 @query("k09_create_then_append", GREEN_SQL, "green")
 def create_then_append(t):
     """An empty table from the schema, then the rows; a rerun starts over."""
-    table = loads.Table(t.spark, t.scratch("table"))
+    table = loads.Target(t.scratch("table"), as_ntz(GREEN))
     for _ in range(2):
-        table.replace(t.spark.createDataFrame([], as_ntz(GREEN)))
-        table.append(green_rows(t))
-    return by_zone(table.read(), "lpep_pickup_datetime")
+        table = loads.replace(table, t.spark.createDataFrame([], as_ntz(GREEN)))
+        loads.append(table, green_rows(t))
+    return by_zone(table.read(t.spark), "lpep_pickup_datetime")
 
 
 @query("k10_connector_write", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
@@ -105,12 +105,12 @@ def connector_write(t):
 @query("k11_dispositions", """SELECT 'append' AS disposition, count(*) * 2 AS n FROM orders UNION ALL SELECT 'merge', count(*) FROM orders
        UNION ALL SELECT 'replace', count(*) FROM orders""")
 def dispositions(t):
-    out, rows = None, t.orders.select("o_orderkey", "o_orderstatus")
+    out, rows = None, t.orders.select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("year"))
     for disposition in ("replace", "append", "merge"):
-        table = loads.Table(t.spark, t.scratch(disposition))
+        table = loads.create(t.spark, t.scratch(disposition), rows.schema, "year")
         for _ in range(2):
-            result = loads.load(table, rows, disposition, ["o_orderkey"], ["o_orderstatus"])
-        part = result.agg(F.lit(disposition).alias("disposition"), F.count(F.lit(1)).alias("n"))
+            table = loads.load(table, rows, disposition, ["o_orderkey"], ["o_orderstatus"])
+        part = table.read(t.spark).agg(F.lit(disposition).alias("disposition"), F.count(F.lit(1)).alias("n"))
         out = part if out is None else out.unionAll(part)
     return out
 

@@ -64,7 +64,7 @@ def tumbling_minute(t):
 @query("t03_tumbling_update", buckets("10 seconds", "user_id"))
 def tumbling_update(t):
     out = windows.tumbling(t.stream("events"), "ts", "10 seconds", ["user_id"], "5 seconds")
-    return zone_free(sinks.upserted(out, t.scratch("out"), ["window_start", "user_id"]))
+    return zone_free(sinks.upserted(out, t.scratch("out"), ["window_start", "user_id"], F.to_date("window_start")))
 
 
 @query("t04_tumbling_expiry", until_watermark(buckets("1 minute", "user_id"), "1 hour"))
@@ -225,7 +225,7 @@ def validated_records(t):
 
 @query("t21_latest_rows", "SELECT event_id, ts, event_type FROM events WHERE ts = (SELECT max(ts) FROM events)")
 def latest_rows(t):
-    return sinks.latest_rows(t.stream("events").select("event_id", "ts", "event_type"), "ts", t.scratch("out"))
+    return zone_free(sinks.latest_rows(t.stream("events").select("event_id", "ts", "event_type"), "ts", t.scratch("out")))
 
 
 @query("t22_query_handle", "SELECT event_type, false AS active, count(*) AS n FROM events GROUP BY 1")
@@ -320,13 +320,13 @@ def append_stream(t):
 def upsert_stream(t):
     out = windows.tumbling(t.stream("events"), "ts", "1 minute", ["user_id"], "1 second")
     out = out.select(F.col("window_start").alias("event_hour"), F.col("user_id").alias("test_data"), F.col("count").alias("num_hits"))
-    return zone_free(sinks.upserted(out, t.scratch("out"), ["event_hour", "test_data"]))
+    return zone_free(sinks.upserted(out, t.scratch("out"), ["event_hour", "test_data"], F.to_date("event_hour")))
 
 
 @query("k21_maintained_view", "SELECT event_type, max(ts) AS latest, count(*) AS n FROM events GROUP BY 1")
 def maintained_view(t):
     view = t.stream("events").groupBy("event_type").agg(F.max("ts").alias("latest"), F.count(F.lit(1)).alias("n"))
-    return sinks.newest_result(view, t.scratch("out"))
+    return sinks.upserted(view, t.scratch("out"), ["event_type"])
 
 
 @query("x03_row_functions", "SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, count(*) AS n FROM events WHERE value >= 5 GROUP BY 1")

@@ -1,20 +1,22 @@
-"""Load patterns over plain Parquet tables.
+"""Load patterns over plain Parquet folders.
 
-A table is a folder of versions, a version a folder of batches. Replacing starts a new
-version; appending adds a batch and rewrites nothing. A batch counts only once Spark has
-committed all of its tasks, so a failed write never shows.
+A target is a folder, the schema it is read by and, for merges, the column it is partitioned by.
+Replacing overwrites the folder, appending adds files, merging overwrites the partitions it touches
+(``partitionOverwriteMode=dynamic``) and leaves the files of all others as they are. Spark shows the
+files of a write only once all of its tasks are committed, so a failed one never shows.
 """
 
 from __future__ import annotations
 
-import datetime
+import dataclasses
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialise
+from ..sources.writers import by_size
 from .dedup import keep_first
 
 
@@ -22,98 +24,105 @@ class SchemaChanged(ValueError):
     """The incoming columns differ from the target's and the policy is to fail."""
 
 
-class Table:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _numbers(self, folder: str, prefix: str) -> list[int]:
-        """Numbers of the sub-folders ``<prefix><n>``."""
-        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        fs = jpath.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(jpath):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(jpath)]
-        return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
-
-    def _done(self, version: int, batch: int = 0) -> bool:
-        marker = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{version}/b{batch}/_SUCCESS")
-        return marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(marker)
-
-    def _drop(self, folder: str) -> None:
-        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
-        jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(jpath, True)
-
-    def version(self, below: int | None = None) -> int | None:
-        """Newest version (under ``below``) whose first batch is complete."""
-        found = [v for v in self._numbers(self.path, "v") if below is None or v < below]
-        return next((v for v in reversed(found) if self._done(v)), None)
-
-    def exists(self, below: int | None = None) -> bool:
-        return self.version(below) is not None
-
-    def read(self, below: int | None = None) -> DataFrame:
-        """The complete batches of the newest version; one listing finds them."""
-        version = self.version(below)
-        if version is None:
-            raise FileNotFoundError(f"{self.path} holds no complete batch")
-        markers = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{version}/b*/_SUCCESS")
-        found = markers.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(markers)
-        paths = sorted(s.getPath().getParent().toString() for s in found)
-        return self.spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
-
-    def replace(self, df: DataFrame, version: int | None = None) -> None:
-        """Starts a new version; a given number makes a retry overwrite its own version.
-
-        The version before stays for those who read it; older ones are removed.
-        """
-        numbers = self._numbers(self.path, "v")
-        if version is None:
-            version = numbers[-1] + 1 if numbers else 0
-        df.write.mode("overwrite").parquet(f"{self.path}/v{version}/b0")
-        for old in [v for v in numbers if v < version][:-1]:
-            self._drop(f"v{old}")
+@dataclasses.dataclass(frozen=True)
+class Target:
+    path: str
+    schema: T.StructType
+    by: str | None = None  # partition column
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(self.path)
+
+
+def _write(df: DataFrame, target: Target, mode: str, **options: str) -> None:
+    writer = (by_size(df, target.by) if target.by else df).write.mode(mode).options(**options)
+    (writer.partitionBy(target.by) if target.by else writer).parquet(target.path)
+
+
+def create(spark: SparkSession, path: str, schema: T.StructType | str, by: str | None = None) -> Target:
+    """A target that exists: an empty one is made only if nothing is there."""
+    empty = spark.createDataFrame([], schema)
+    target = Target(path, empty.schema, by)
+    writer = empty.write.mode("ignore")
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    return target
+
 
-    def append(self, df: DataFrame, batch: int | None = None) -> None:
-        """Adds rows without a look at earlier ones. A given ``batch`` number is written once only, however often it is retried."""
-        version = self.version() or 0
-        if batch is None:
-            numbers = self._numbers(f"{self.path}/v{version}", "b")
-            batch = numbers[-1] + 1 if numbers else 0
-        elif self._done(version, batch):
-            return
-        df.write.mode("overwrite").parquet(f"{self.path}/v{version}/b{batch}")
+def widened(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The old columns, then those that only ``new`` has; all may be NULL, as rows from before lack the new ones."""
+    fields = {f.name: f for f in [*old, *[f for f in new if f.name not in old.names]]}
+    return T.StructType([T.StructField(f.name, f.dataType) for f in fields.values()])
 
 
-def replace(table: Table, df: DataFrame) -> DataFrame:
-    table.replace(df)
-    return table.read()
+def replace(target: Target, df: DataFrame) -> Target:
+    """The rows of ``df``, under its schema, instead of what is there."""
+    out = dataclasses.replace(target, schema=widened(T.StructType(), df.schema))
+    _write(df, out, "overwrite")
+    return out
 
 
-def append(table: Table, df: DataFrame) -> DataFrame:
-    """Columns that only one batch has are NULL in the others."""
-    table.append(df)
-    return table.read()
+def append(target: Target, df: DataFrame) -> Target:
+    """Adds files without a look at earlier ones. Columns that only one load has are NULL in the others."""
+    _write(df, target, "append")
+    return dataclasses.replace(target, schema=widened(target.schema, df.schema))
 
 
-def append_missing(table: Table, source: DataFrame, key: str, within: str | None = None) -> None:
+def _in(column: str, values: Sequence) -> Column:
+    """Whether a partition column has one of a few values, NULL among them; Spark prunes the folders by it."""
+    found = F.col(column).isin([v for v in values if v is not None])
+    return found | F.col(column).isNull() if None in values else found
+
+
+def merge(target: Target, source: DataFrame, keys: Sequence[str], order: Sequence[str] = (), moves: bool = True) -> Target:
+    """Whole-row replacement by key that rewrites only partitions in which a row changes.
+
+    Source rows win, the first by ``order`` (then by all columns) where a key repeats. A row whose
+    partition changes leaves its old one. With ``moves=False`` a key always has the same partition,
+    so only the source's own partitions are read. One partition's rewrite is committed at a time: a run that
+    fails between two of them is repeated, and gives the same table. The driver sees partition values only.
+    """
+    if not keys or not target.by:
+        raise ValueError("merge needs key columns and a partition column")
+    spark, by = source.sparkSession, target.by
+    source = materialise(keep_first(source, keys, order), "staged")
+    incoming = {r[0] for r in source.select(by).distinct().collect()}
+    if not incoming:
+        return target
+    old, known = target.read(spark), source.select(*keys)
+    left: dict = {}
+    if moves and by not in keys:
+        counts = old.join(known, list(keys), "left_semi").groupBy(by).count().collect()
+        left = {r[0]: r[1] for r in counts if r[0] not in incoming}
+    inside = _in(by, [*incoming, *left])
+    schema = widened(target.schema, source.schema)
+    rows = old.where(inside).join(known, list(keys), "left_anti").unionByName(source, allowMissingColumns=True).select(*schema.names)
+    emptied = []
+    if left:
+        sizes = {r[0]: r[1] for r in old.where(_in(by, list(left))).groupBy(by).count().collect()}
+        emptied = [v for v, n in left.items() if sizes[v] == n]
+    folders = [old.where(_in(by, [v])).select("_metadata.file_path").first()[0].rsplit("/", 1)[0] for v in emptied]
+    _write(rows, target, "overwrite", partitionOverwriteMode="dynamic")
+    for folder in folders:  # all of its rows went to other partitions, so the write had none for it
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return dataclasses.replace(target, schema=schema)
+
+
+def append_missing(target: Target, source: DataFrame, key: str) -> None:
     """``insert_only`` into a stored table: only the new rows are written.
 
-    ``within`` names a column that is part of the key, such as the pickup time, to the precision the
-    key has: the target is then read only in the source's range of it, widened to whole seconds, as
-    ids hash times to the second. The source is written once, as a staging table.
+    The partition column must follow from the key, as a month does from an id that hashes the time:
+    the target is then read in the source's partitions only. The source is written once, as a staging
+    table; the target's distinct keys are written too, so that adaptive execution can split a hot key
+    of the source against a plain table.
     """
-    if not table.exists():
-        table.append(source)
-        return
-    known, source = table.read(), materialise(source, "staged")
-    if within:
-        low, high, without = source.agg(F.min(within), F.max(within), F.count_if(F.col(within).isNull())).first()
-        if low is not None:
-            second = lambda v: F.date_trunc("second", F.lit(v)) if isinstance(v, datetime.datetime) else F.lit(v)
-            after = second(high) + F.expr("INTERVAL '1' SECOND") if isinstance(high, datetime.datetime) else F.lit(high)
-            inside = F.col(within).between(second(low), after)
-            known = known.filter(inside | F.col(within).isNull() if without else inside)
-    table.append(unseen(source, known, key))
+    spark, source = source.sparkSession, materialise(source, "staged")
+    known = target.read(spark)
+    if target.by:
+        values = [r[0] for r in source.select(target.by).distinct().collect()]
+        known = known.where(_in(target.by, values))
+    known = materialise(known.select(key).distinct(), "known-keys")
+    _write(source.join(known, key, "left_anti").select(*source.columns), target, "append")
 
 
 def unseen(source: DataFrame, known: DataFrame, key: str) -> DataFrame:
@@ -132,13 +141,6 @@ def insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return target.unionByName(unseen(source, target, key), allowMissingColumns=True)
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """Whole-row replacement: source rows win, the first by ``order`` (then by all columns) where a key repeats."""
-    source = keep_first(source, keys, order)
-    kept = target.join(source.select(*keys), list(keys), "left_anti").select(*target.columns)
-    return kept.unionByName(source, allowMissingColumns=True)
-
-
 def delete_by_key(target: DataFrame, key: str, values: Sequence) -> DataFrame:
     """All rows but those with a listed key; rows with a NULL key stay."""
     return target.filter(~F.coalesce(F.col(key).isin(list(values)), F.lit(False)))
@@ -148,7 +150,7 @@ def newer_than_target(source: DataFrame, target: DataFrame, cursor: str, lookbac
     """Source rows past the target's highest cursor.
 
     Without ``lookback`` the test is strict, so rows that arrive late or equal the maximum
-    are left out; ``lookback='3 days'`` reads that much again for the upsert to sort out.
+    are left out; ``lookback='3 days'`` reads that much again for the merge to sort out.
     """
     high = F.max(cursor)
     if lookback:
@@ -157,26 +159,23 @@ def newer_than_target(source: DataFrame, target: DataFrame, cursor: str, lookbac
     return source.filter(limit.isNull() | (F.col(cursor) > limit))
 
 
-def incremental(target: DataFrame, source: DataFrame, key: str, cursor: str,
-                order: Sequence[str] = (), lookback: str | None = None) -> DataFrame:
-    """Incremental model: new rows by cursor, unique key, fail on any schema change."""
+def incremental(target: Target, source: DataFrame, key: str, cursor: str,
+                order: Sequence[str] = (), lookback: str | None = None) -> Target:
+    """Incremental model: new rows by cursor, unique key, fail on any schema change; untouched partitions stay."""
     if [(f.name, f.dataType) for f in target.schema] != [(f.name, f.dataType) for f in source.schema]:
         raise SchemaChanged(f"target {target.schema.simpleString()}, source {source.schema.simpleString()}")
-    return upsert(target, newer_than_target(source, target, cursor, lookback), [key], order)
+    new = newer_than_target(source, target.read(source.sparkSession), cursor, lookback)
+    return merge(target, new, [key], order)
 
 
-def load(table: Table, df: DataFrame, disposition: str, keys: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
-    """``replace``, ``append`` or ``merge`` (upsert by ``keys``)."""
+def load(target: Target, df: DataFrame, disposition: str, keys: Sequence[str] = (), order: Sequence[str] = ()) -> Target:
+    """``replace``, ``append`` or ``merge`` (by ``keys``)."""
     if disposition == "replace":
-        return replace(table, df)
+        return replace(target, df)
     if disposition == "append":
-        return append(table, df)
+        return append(target, df)
     if disposition == "merge":
-        if not keys:
-            raise ValueError("merge needs key columns")
-        if not table.exists():
-            return replace(table, keep_first(df, keys, order))
-        return replace(table, upsert(table.read(), df, keys, order))
+        return merge(target, df, keys, order)
     raise ValueError(f"unknown disposition {disposition!r}")
 
 
@@ -184,12 +183,15 @@ class Cursor:
     """Highest loaded cursor value, kept as a one-row table beside the data."""
 
     def __init__(self, spark: SparkSession, path: str, initial: str):
-        self.table, self.initial = Table(spark, path), initial
+        self.spark, self.initial = spark, initial
+        self.state = create(spark, path, "cursor string")
+
+    def stored(self) -> str | None:
+        row = self.state.read(self.spark).first()
+        return row["cursor"] if row else None
 
     def value(self) -> str:
-        if not self.table.exists():
-            return self.initial
-        return self.table.read().first()["cursor"]
+        return self.stored() or self.initial
 
     def extract(self, source: DataFrame, column: str, loaded: DataFrame | None = None, key: str | None = None) -> DataFrame:
         """Rows at or past the initial value on the first run, past the cursor later.
@@ -197,8 +199,9 @@ class Cursor:
         Rows that equal the cursor may arrive late. With ``loaded`` and ``key`` those of them that
         were not loaded yet are extracted too; without, the test is strict.
         """
-        limit = F.lit(self.value()).cast(source.schema[column].dataType)
-        if not self.table.exists():
+        last = self.stored()
+        limit = F.lit(last or self.initial).cast(source.schema[column].dataType)
+        if last is None:
             return source.filter(F.col(column) >= limit)
         past = source.filter(F.col(column) > limit)
         if loaded is None or key is None:
@@ -206,8 +209,8 @@ class Cursor:
         return past.unionByName(unseen(source.filter(F.col(column) == limit), loaded.filter(F.col(column) == limit), key))
 
     def advance(self, loaded: DataFrame, column: str) -> None:
-        high = loaded.agg(F.max(column).cast("string").alias("cursor"))
-        self.table.replace(high.select(F.coalesce("cursor", F.lit(self.value())).alias("cursor")))
+        high = loaded.agg(F.max(column).cast("string")).first()[0]
+        replace(self.state, self.spark.createDataFrame([(high or self.value(),)], "cursor string"))
 
 
 def history(df: DataFrame, keys: Sequence[str], valid_from: str, order: Sequence[str] = ()) -> DataFrame:

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import loads
-from ..operators.dedup import keep_first
 from ..session import fresh_path
+from . import state
 
 AVAILABLE = {"availableNow": True}
 
@@ -55,9 +55,8 @@ def to_memory(df: DataFrame, name: str, mode: str = "complete") -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def _stored(table: loads.Table, schema: T.StructType) -> DataFrame:
-    """What the stream wrote; an empty table if it never had a row."""
-    return table.read() if table.exists() else table.spark.createDataFrame([], schema)
+#: Partitions of a keyed table whose keys hold no date; each batch rewrites those that its keys fall into.
+KEY_PARTITIONS = 16
 
 
 class Batches:
@@ -68,25 +67,14 @@ class Batches:
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark, self.path = spark, path
-        self.schema = T.StructType([*schema, T.StructField("batch", T.LongType())])
-
-    def _fs(self, path: str):
-        jpath = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
+        self.spark = spark
+        self.target = loads.create(spark, path, T.StructType([*schema, T.StructField("batch", T.LongType())]), "batch")
 
     def write(self, batch: DataFrame, n: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.path}/batch={n}")
-
-    def drop(self, n: int) -> None:
-        fs, jpath = self._fs(f"{self.path}/batch={n}")
-        fs.delete(jpath, True)
+        batch.write.mode("overwrite").parquet(f"{self.target.path}/batch={n}")
 
     def read(self) -> DataFrame:
-        fs, jpath = self._fs(self.path)
-        if not fs.exists(jpath):
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self.target.read(self.spark)
 
 
 def append_batches(df: DataFrame, path: str) -> DataFrame:
@@ -97,10 +85,10 @@ def append_batches(df: DataFrame, path: str) -> DataFrame:
 
 
 def newest_result(df: DataFrame, path: str) -> DataFrame:
-    """Complete-mode result; every batch writes the whole result as a new version, and only the one before stays."""
-    table = loads.Table(df.sparkSession, path)
-    finish(for_each_batch(df, lambda batch, n: table.replace(batch, version=n), "complete"))
-    return _stored(table, df.schema)
+    """Complete-mode result: the table is what the last batch gave. Such a result is small by nature, as each batch gives all of it."""
+    target = loads.create(df.sparkSession, path, df.schema)
+    finish(for_each_batch(df, lambda batch, n: batch.write.mode("overwrite").parquet(path), "complete"))
+    return target.read(df.sparkSession)
 
 
 def changelog(df: DataFrame, path: str) -> DataFrame:
@@ -110,31 +98,19 @@ def changelog(df: DataFrame, path: str) -> DataFrame:
     return table.read()
 
 
-def upserted(df: DataFrame, path: str, keys: Sequence[str], fold_every: int = 50) -> DataFrame:
+def upserted(df: DataFrame, path: str, keys: Sequence[str], by: Column | None = None) -> DataFrame:
     """Update-mode rows as a table keyed by ``keys``: the newest row of each key.
 
-    Batches only add their changed rows. After every ``fold_every`` batches these are folded into a
-    base table of the newest rows, and what the base before held is removed, so reading costs as
-    much as the table and its last changes, however long the stream has run.
+    Each batch is merged into the partitions its keys fall into; the files of all others stay. ``by`` is
+    the partition as a function of the keys, such as the day of a window's start, which fits best where a
+    batch changes recent windows only; without, it is a part of their hash. A retried batch gives the same table.
     """
-    spark = df.sparkSession
-    log, base = Batches(spark, f"{path}/log", df.schema), loads.Table(spark, f"{path}/base")
-
-    def write(batch: DataFrame, n: int) -> None:
-        log.write(batch, n)
-        if (n + 1) % fold_every:
-            return
-        rows = log.read().filter(F.col("batch").between(n - fold_every + 1, n))
-        if base.exists(below=n):
-            rows = rows.unionByName(base.read(below=n))
-        base.replace(keep_first(rows, keys, ["-batch"]), version=n)
-        for old in range(n - 2 * fold_every + 1, n - fold_every + 1):
-            log.drop(old)
-
-    finish(for_each_batch(df, write, "update"))
-    folded = base.version()
-    rows = log.read() if folded is None else log.read().filter(F.col("batch") > folded).unionByName(base.read())
-    return keep_first(rows, keys, ["-batch"]).drop("batch")
+    spark, part = df.sparkSession, "_partition"
+    by = by if by is not None else F.pmod(F.xxhash64(*keys), F.lit(KEY_PARTITIONS)).cast("int")
+    keyed = df.withColumn(part, by)
+    target = loads.create(spark, path, keyed.schema, part)
+    finish(for_each_batch(keyed, lambda batch, n: loads.merge(target, batch, keys, moves=False), "update"))
+    return target.read(spark).drop(part)
 
 
 def branched(df: DataFrame, predicate: Column, path: str) -> tuple[DataFrame, DataFrame]:
@@ -151,16 +127,14 @@ def branched(df: DataFrame, predicate: Column, path: str) -> tuple[DataFrame, Da
     return yes.read().drop("batch"), no.read().drop("batch")
 
 
-def latest_rows(df: DataFrame, ts: str, path: str) -> DataFrame:
-    """Keeps the rows at the highest time seen so far: each batch competes with the last result."""
-    table = loads.Table(df.sparkSession, path)
+def latest_rows(df: DataFrame, ts: str, path: str, keep: str = "1 hour") -> DataFrame:
+    """The rows at the highest time seen so far.
 
-    def write(batch: DataFrame, n: int) -> None:
-        seen = table.read(below=n).unionByName(batch) if table.exists(below=n) else batch
-        table.replace(seen.filter(F.col(ts) == seen.agg(F.max(ts)).scalar()), version=n)
-
-    finish(for_each_batch(df, write))
-    return _stored(table, df.schema)
+    The highest time is kept as state (see ``state.newest``); a batch only adds the rows that reach it. The
+    filter at the end is over those few.
+    """
+    rows = append_batches(state.newest(df, ts, keep), path)
+    return rows.filter(F.col(ts) == rows.agg(F.max(ts)).scalar())
 
 
 def await_any(spark: SparkSession, seconds: float | None = None) -> bool:

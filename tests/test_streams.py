@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fareflow.schemas import RIDE_TEXT, ddl
 from fareflow.session import fresh_path
 from fareflow.sources import messages, readers, writers
-from fareflow.streaming import joins, sinks, windows
+from fareflow.streaming import joins, sinks, state, windows
 
 T0 = datetime.datetime(2024, 1, 1, 12, 0, 0)
 
@@ -43,21 +43,58 @@ def test_upsert_keeps_newest(spark):
     assert {(r["key"], r["count"]) for r in out.collect()} == {("a", 3), ("b", 1)}
 
 
-def test_folded_changes_give_the_same_table(spark):
-    """Seven batches folded every two: the newest rows, few folders, and no read of the log by a plain batch."""
+def test_upserts_rewrite_touched_partitions_only(spark):
+    """Batches that change recent windows leave the files of earlier days as they are."""
+    day = 86400
+    stream = replay(spark, [[(at(0), "a"), (at(60), "b")], [(at(day), "a")], [(at(day + 1), "a"), (at(2 * day), "b")]], "ts timestamp, k string")
     path = fresh_path(spark, "t")
+    counts = windows.tumbling(stream, "ts", "1 minute", ["k"], "3 days")
+    out = sinks.upserted(counts, path, ["window_start", "k"], F.to_date("window_start"))
+    names = out.select("*", "_metadata.file_path", "_metadata.file_modification_time").collect()
+    first = {r["file_modification_time"] for r in names if r["window_start"] < at(day) - datetime.timedelta(hours=12)}
+    last = {r["file_modification_time"] for r in names if r["window_start"] >= at(day) - datetime.timedelta(hours=12)}
+    assert max(first) < min(last)
+    assert {(r["window_start"], r["k"]): r["count"] for r in names} == {(at(0), "a"): 1, (at(60), "b"): 1, (at(day), "a"): 2, (at(2 * day), "b"): 1}
+
+
+def test_many_small_upserts_give_the_newest_rows(spark):
     stream = replay(spark, [[(k,), ("a",)] for k in "abcabcd"], "key string")
-    out = sinks.upserted(windows.running_count(stream, ["key"]), path, ["key"], fold_every=2)
+    out = sinks.upserted(windows.running_count(stream, ["key"]), fresh_path(spark, "t"), ["key"])
     assert {(r["key"], r["count"]) for r in out.collect()} == {("a", 9), ("b", 2), ("c", 2), ("d", 1)}
-    assert len(sinks.loads.Table(spark, f"{path}/log")._numbers(f"{path}/log", "batch=")) <= 5
 
 
 def test_batches_are_written_without_a_look_at_others(spark, monkeypatch):
     stream = replay(spark, [[(i,)] for i in range(6)], "n int")
     with monkeypatch.context() as m:
-        m.setattr(sinks.loads.Table, "read", lambda *a: pytest.fail("a batch read the table"))
-        out = sinks.append_batches(stream, fresh_path(spark, "b"))
-    assert sorted(r["n"] for r in out.collect()) == list(range(6))
+        m.setattr(sinks.loads.Target, "read", lambda *a: pytest.fail("a batch read the table"))
+        with pytest.raises(pytest.fail.Exception):  # only the caller reads, at the end
+            sinks.append_batches(stream, path := fresh_path(spark, "b"))
+    assert sorted(r["n"] for r in spark.read.parquet(path).collect()) == list(range(6))
+
+
+def test_a_retried_batch_is_written_once(spark):
+    table = sinks.Batches(spark, fresh_path(spark, "b"), spark.range(1).schema)
+    for n, rows in ((0, 3), (1, 5), (1, 5)):
+        table.write(spark.range(rows), n)
+    assert table.read().groupBy("batch").count().orderBy("batch").collect() == [(0, 3), (1, 5)]
+
+
+def test_running_maximum_is_state_and_goes_after_its_time(spark, monkeypatch):
+    """No batch reads an earlier result; each part of the stream keeps one number, which expires."""
+    batches = [[(i, at(i)) for i in range(40)], [(100, at(39)), (101, at(3))], [(102, at(50))]]
+    stream = replay(spark, batches, "id int, ts timestamp")
+    query = sinks.start(state.newest(stream, "ts"), "parquet", "append", path=(path := fresh_path(spark, "n")))
+    sinks.finish(query)
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert 1 < max(kept) <= state.PARTS
+    given = spark.read.parquet(path)
+    assert given.filter("id = 102").count() == 1 and given.count() < 40
+    later = replay(spark, [*batches, [(103, at(4000))], [(104, at(4001))], [(105, at(60))]], "id int, ts timestamp")
+    query = sinks.start(state.newest(later, "ts"), "parquet", "append", path=(path := fresh_path(spark, "n")))
+    sinks.finish(query)
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert kept[-1] <= 2 < max(kept)  # the parts an hour behind are gone
+    assert {r["id"] for r in spark.read.parquet(path).filter("id > 102").collect()} <= {103, 104}
 
 
 def test_closed_windows_leave_no_state(spark):
