@@ -14,7 +14,7 @@ from ..functions import columns as C
 from ..operators.dedup import top_k
 from ..schemas import ddl
 from ..sources import messages
-from ..streaming import joins, sinks, windows
+from ..streaming import joins, replay, sinks, windows
 from .joins import NEAR, ride_streams
 from .registry import query
 
@@ -195,6 +195,61 @@ def grace(t):
     return closed(t,windows.tumbling(t.stream("events"), "ts", "5 minutes", ["event_type"], "5 minutes"))
 
 
+#: The events in so many batches by time; every so-manieth row comes so many batches late.
+BATCHES, LATE_EVERY, LATE_BY = 6, 11, 2
+
+
+def replayed(t):
+    rows = replay.by_time(t.events, "ts", BATCHES, F.col("event_id") % LATE_EVERY == 0, LATE_BY)
+    return replay.in_batches(rows, BATCHES, t.scratch("replay"), "event_id")
+
+
+def in_time(window_end: str, delay: str) -> str:
+    """Tables ``r`` (events with their batch) and ``kept``: rows whose window was open by the watermark.
+
+    A batch drops what is older than the watermark that the batch before it worked with, and this one knew
+    the times of the batches before.
+    """
+    return f"""r AS (SELECT *, CASE WHEN event_id % {LATE_EVERY} = 0 THEN least(span + {LATE_BY}, {BATCHES - 1}) ELSE span END AS batch FROM (
+       SELECT e.*, (epoch_ms(ts) - lo) * {BATCHES} // (hi - lo + 1) AS span
+       FROM events e, (SELECT min(epoch_ms(ts)) AS lo, max(epoch_ms(ts)) AS hi FROM events))),
+       marks AS (SELECT n, date_trunc('millisecond', max(ts)) - INTERVAL '{delay}' AS mark FROM r, range({BATCHES}) b(n) WHERE batch <= n - 2 GROUP BY n),
+       kept AS (SELECT r.* FROM r LEFT JOIN marks ON n = batch WHERE mark IS NULL OR {window_end} > mark)"""
+
+
+def late_windows(width: str, keys: str, delay: str) -> str:
+    rows = in_time(f"time_bucket(INTERVAL '{width}', ts) + INTERVAL '{width}'", delay)
+    return f"WITH {rows} {until_watermark(buckets(width, keys, 'kept'), delay)}"
+
+
+@query("t01_late_rows", late_windows("10 seconds", "event_type", "15 seconds"))
+def late_after_watermark(t):
+    """Rows that come after their window's end has passed the watermark are dropped."""
+    return closed(t, windows.tumbling(replayed(t), "ts", "10 seconds", ["event_type"], "15 seconds"))
+
+
+@query("t02_late_rows", late_windows("1 minute", "event_type", "1 second"))
+def late_minutes(t):
+    return closed(t, windows.tumbling(replayed(t), "ts", "1 minute", ["event_type"], "1 second"))
+
+
+@query("t04_late_rows", late_windows("1 minute", "user_id", "1 hour"))
+def late_within_expiry(t):
+    return closed(t, windows.tumbling(replayed(t), "ts", "1 minute", ["user_id"], "1 hour"))
+
+
+@query("t06_late_rows", f"""WITH {in_time("ts + INTERVAL '60 seconds'", '60 seconds')}
+       {until_watermark(islands('event_type', '60 SECOND').replace('FROM events', 'FROM kept'), '60 seconds')}""")
+def late_for_session(t):
+    return closed(t, windows.sessions(replayed(t), "ts", "60 seconds", ["event_type"], "60 seconds"))
+
+
+@query("t18_late_rows", late_windows("5 minutes", "event_type", "5 minutes"))
+def late_beyond_grace(t):
+    """Within the grace a late row still counts, beyond it the row is dropped."""
+    return closed(t, windows.tumbling(replayed(t), "ts", "5 minutes", ["event_type"], "5 minutes"))
+
+
 POPULAR = "SELECT user_id, count(*) AS count FROM (SELECT user_id FROM events UNION ALL SELECT user_id FROM events WHERE event_type = 'view') GROUP BY 1"
 
 

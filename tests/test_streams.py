@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fareflow.schemas import RIDE_TEXT, ddl
 from fareflow.session import fresh_path
 from fareflow.sources import messages, readers, writers
-from fareflow.streaming import joins, sinks, state, windows
+from fareflow.streaming import joins, replay as sinks_replay, sinks, state, windows
 
 T0 = datetime.datetime(2024, 1, 1, 12, 0, 0)
 
@@ -122,6 +122,22 @@ def test_late_rows_are_dropped_after_grace(spark):
     assert counts[at(90)] == 1     # second 99 is late, but its window was still within grace
 
 
+def test_replay_keeps_batches_apart_and_drops_what_is_late(spark):
+    rows = spark.createDataFrame([(i, at(100 * i)) for i in range(120)], "event_id int, ts timestamp")
+    timed = sinks_replay.by_time(rows, "ts", 6, F.col("event_id") % 11 == 0, 2)
+    batches = {r["event_id"]: r["_batch"] for r in timed.collect()}
+    assert batches == {i: min(i // 20 + 2, 5) if i % 11 == 0 else i // 20 for i in range(120)}
+    stream = sinks_replay.in_batches(timed, 6, fresh_path(spark, "replay"), "event_id")
+    query = sinks.start(windows.tumbling(stream, "ts", "100 seconds", [], "10 seconds"), "parquet", path=(path := fresh_path(spark, "late")))
+    sinks.finish(query)
+    counts = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    assert counts == [sum(b == n for b in batches.values()) for n in range(6)]
+    dropped = sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress if p["stateOperators"])
+    late = {i for i, b in batches.items() if b >= 2 and 100 * i + 100 <= 100 * max(j for j, c in batches.items() if c <= b - 2) - 10}
+    kept = {int((r["window_start"] - T0).total_seconds()) // 100 for r in spark.read.parquet(path).collect()}
+    assert dropped == len(late) > 3 and not kept & late
+
+
 @pytest.mark.parametrize("salts", [1, 3])
 def test_join_matches_one_pair(spark, salts):
     rides = replay(spark, [[("75", "1", at(0))]], "key string, vendor_id string, dropoff_datetime timestamp")
