@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ..operators.dedup import top_per_group
 from ..session import materialise
 
-QUERIES_PER_PASS = 1024
+#: Bytes of query vectors that one scan of the corpus serves, and queries that are compared at once.
+PASS_BYTES, BLOCK_QUERIES = 16 << 20, 256
 
 
 def chunks(docs: DataFrame, words: int, overlap: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -36,46 +37,53 @@ def centroids(vectors: DataFrame, label: str, embedding: str) -> DataFrame:
 
 
 def nearest(corpus: DataFrame, queries: DataFrame, k: int, corpus_id: str = "vec_id",
-            embedding: str = "embedding", per_pass: int = QUERIES_PER_PASS) -> DataFrame:
+            embedding: str = "embedding", pass_bytes: int = PASS_BYTES) -> DataFrame:
     """The ``k`` most similar corpus vectors for each query by cosine, ties by id.
 
-    Queries go to the tasks in blocks of about ``per_pass``; more queries take more passes over
-    the corpus, each written out before the next. Every Arrow batch keeps k rows per query and
-    the window k overall, so no task ever sees all pairs.
+    One scan of the corpus serves all queries up to ``pass_bytes`` of vectors, which is what a task
+    holds of them; it compares them block by block and keeps k rows for each over all its rows, and the
+    window merges the tasks' rows. Only a larger set of queries takes further scans, each written out before the next.
     """
-    passes = max(1, -(-queries.count() // per_pass))
-    block_of = F.pmod(F.xxhash64("query_id"), F.lit(passes))
+    rows, width = queries.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    passes = max(1, -(-rows * (width or 0) * 8 // pass_bytes))
+    part_of = F.pmod(F.xxhash64("query_id"), F.lit(passes))
     results = []
     for i in range(passes):
-        block = queries.filter(block_of == i).select("query_id", "embedding").collect()
-        if not block:
-            continue
-        found = top_per_group(_scan(corpus, block, k, corpus_id, embedding), ["query_id"],
+        part = queries.filter(part_of == i).select("query_id", "embedding").toPandas()
+        found = top_per_group(_scan(corpus, part, k, corpus_id, embedding), ["query_id"],
                               ["-similarity", corpus_id], k, "row_number").withColumnRenamed("row_number", "rank")
         results.append(found if passes == 1 else materialise(found, "nearest"))
     return reduce(DataFrame.unionByName, results)
 
 
-def _scan(corpus: DataFrame, queries: list, k: int, corpus_id: str, embedding: str) -> DataFrame:
-    ids = np.array([r["query_id"] for r in queries], dtype="int64")
-    matrix = np.array([r["embedding"] for r in queries], dtype="float64").reshape(len(ids), -1)
-    lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
-    unit = corpus.sparkSession.sparkContext.broadcast((ids, matrix / np.where(lengths == 0, 1, lengths)))
+def _unit(vectors: pd.Series) -> np.ndarray:
+    matrix = np.stack(vectors.to_numpy()).astype("float64")
+    size = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return matrix / np.where(size == 0, 1, size)
+
+
+def _scan(corpus: DataFrame, queries: pd.DataFrame, k: int, corpus_id: str, embedding: str) -> DataFrame:
+    shared = corpus.sparkSession.sparkContext.broadcast(
+        (queries["query_id"].to_numpy("int64"), _unit(queries["embedding"]) if len(queries) else None))
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_ids, q = unit.value
+        query_ids, q = shared.value
+        # Rows of the best so far for each query: similarity and id, the best first.
+        sims, ids = np.zeros((0, len(query_ids))), np.zeros((0, len(query_ids)), "int64")
         for pdf in batches:
-            if not len(pdf):
+            if not len(pdf) or q is None:
                 continue
-            x = np.stack(pdf[embedding].to_numpy()).astype("float64")
-            size = np.linalg.norm(x, axis=1, keepdims=True)
-            sims = (x / np.where(size == 0, 1, size)) @ q.T
-            vec_ids = pdf[corpus_id].to_numpy()
-            order = np.lexsort((np.broadcast_to(vec_ids[:, None], sims.shape), -sims), axis=0)[:k]
-            yield pd.DataFrame({
-                "query_id": np.tile(query_ids, len(order)),
-                corpus_id: vec_ids[order].ravel(),
-                "similarity": np.take_along_axis(sims, order, axis=0).ravel()})
+            x, own = _unit(pdf[embedding]), pdf[corpus_id].to_numpy("int64")
+            kept = [], []
+            for a in range(0, len(query_ids), BLOCK_QUERIES):
+                block = slice(a, a + BLOCK_QUERIES)
+                s = np.concatenate([sims[:, block], x @ q[block].T])
+                v = np.concatenate([ids[:, block], np.broadcast_to(own[:, None], (len(own), s.shape[1]))])
+                order = np.lexsort((v, -s), axis=0)[:k]
+                kept[0].append(np.take_along_axis(s, order, axis=0))
+                kept[1].append(np.take_along_axis(v, order, axis=0))
+            sims, ids = np.concatenate(kept[0], axis=1), np.concatenate(kept[1], axis=1)
+        yield pd.DataFrame({"query_id": np.tile(query_ids, len(sims)), corpus_id: ids.ravel(), "similarity": sims.ravel()})
 
     return corpus.select(corpus_id, embedding).mapInPandas(
         best, f"query_id long, {corpus_id} long, similarity double")

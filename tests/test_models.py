@@ -70,14 +70,14 @@ def test_search_reports_every_trial(rows):
     assert regression.predict(model, rows).count() == rows.count()
 
 
-@pytest.mark.parametrize("per_pass", [1000, 3])
-def test_nearest_matches_brute_force(spark, per_pass):
+@pytest.mark.parametrize("pass_bytes", [1 << 20, 3 * 8 * 8])
+def test_nearest_matches_brute_force(spark, pass_bytes):
     rng = np.random.default_rng(1)
     corpus, queries = rng.normal(size=(300, 8)), rng.normal(size=(7, 8))
     corpus[17] = corpus[3]  # an exact tie
     c = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(corpus)], "vec_id long, embedding array<double>")
     q = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(queries)], "query_id long, embedding array<double>")
-    out = retrieval.nearest(c.repartition(5), q, 4, per_pass=per_pass).collect()
+    out = retrieval.nearest(c.repartition(5), q, 4, pass_bytes=pass_bytes).collect()
     sims = (queries / np.linalg.norm(queries, axis=1)[:, None]) @ (corpus / np.linalg.norm(corpus, axis=1)[:, None]).T
     assert len(out) == 28
     for r in out:
@@ -85,6 +85,20 @@ def test_nearest_matches_brute_force(spark, per_pass):
         assert order[r["rank"] - 1] == r["vec_id"]
 
 
+def test_many_queries_in_one_scan(spark, monkeypatch):
+    """5,000 queries need no second scan, and no task gives out more than k rows for each."""
+    rng = np.random.default_rng(2)
+    corpus, queries = rng.normal(size=(400, 6)), rng.normal(size=(5000, 6))
+    c = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(corpus)], "vec_id long, embedding array<double>").repartition(4)
+    q = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(queries)], "query_id long, embedding array<double>")
+    monkeypatch.setattr(retrieval, "materialise", lambda *a: pytest.fail("a second scan"))
+    out = retrieval.nearest(c, q, 3).toPandas().sort_values(["query_id", "rank"])
+    sims = (queries / np.linalg.norm(queries, axis=1)[:, None]) @ (corpus / np.linalg.norm(corpus, axis=1)[:, None]).T
+    assert (out["vec_id"].to_numpy().reshape(-1, 3) == np.argsort(-sims, axis=1)[:, :3]).all()
+    assert retrieval._scan(c, q.toPandas(), 3, "vec_id", "embedding").count() == 4 * 5000 * 3
+    assert retrieval.nearest(c, q.limit(0), 3).count() == 0 == retrieval.nearest(c.limit(0), q, 3).count()
+
+
 def test_chunks_cover_whole_text(spark):
     text = " ".join(f"w{i}" for i in range(23))
     df = spark.createDataFrame([(1, text), (2, "one"), (3, "  ")], "doc_id long, text string")
