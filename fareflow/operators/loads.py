@@ -116,7 +116,9 @@ def append_missing(target: Target, source: DataFrame, key: str) -> None:
     table; the target's distinct keys are written too, so that adaptive execution can split a hot key
     of the source against a plain table.
     """
-    spark, source = source.sparkSession, materialise(source, "staged")
+    spark = source.sparkSession
+    if not hasattr(source, "written_to"):  # a table that is written already serves as its own staging table
+        source = materialise(source, "staged")
     known = target.read(spark)
     if target.by:
         values = [r[0] for r in source.select(target.by).distinct().collect()]

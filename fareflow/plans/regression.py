@@ -6,15 +6,17 @@ category as a category of weight zero. Only rows without a label are left out of
 
 from __future__ import annotations
 
+import itertools
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import small_side
@@ -40,9 +42,14 @@ def feature_table(trips: DataFrame) -> DataFrame:
         *[F.col(c).cast("double") for c in ("fare_amount", "tolls_amount", LABEL)])
 
 
+def training_draw(features: DataFrame) -> Column:
+    """A number from 0 to 1 by a hash of the row."""
+    return F.pmod(F.xxhash64(*features.columns), F.lit(1_000_000)) / 1_000_000
+
+
 def split(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``TRAIN_SHARE`` of the rows and the rest, by a hash of the row; equal rows land on one side."""
-    draw = F.pmod(F.xxhash64(*features.columns), F.lit(1_000_000)) / 1_000_000
+    draw = training_draw(features)
     return features.filter(draw < TRAIN_SHARE), features.filter(draw >= TRAIN_SHARE)
 
 
@@ -162,18 +169,110 @@ def trials(seed: int = 7, count: int = TRIALS) -> list[tuple[float, float]]:
     return [(draw.uniform(*L1_RANGE), draw.choice(L2_CANDIDATES)) for _ in range(count)]
 
 
+@dataclass
+class Moments:
+    """Sums over one part of the rows: all that a linear fit and its squared error need to know of them."""
+    n: float
+    x: np.ndarray   # of the inputs
+    xx: np.ndarray  # of their products
+    xy: np.ndarray  # of their products with the label
+    y: float
+    yy: float
+
+    def mean_squared_error(self, weights: np.ndarray, intercept: float) -> float:
+        off = (self.yy - 2 * (weights @ self.xy + intercept * self.y) + weights @ self.xx @ weights
+               + 2 * intercept * (weights @ self.x) + self.n * intercept ** 2)
+        return max(float(off) / self.n, 0.0) if self.n else float("nan")
+
+
+def moments(rows: DataFrame) -> tuple[list[tuple[str, str | None]], dict[bool, Moments]]:
+    """(input, category) of each slot, and the moments of the training rows and of the rest (see ``split``).
+
+    One pass over the rows after that for the means: sums by each category and each pair of categories, as grouping
+    sets, so what reaches the driver grows with the categories and not with the rows.
+    """
+    means = rows.agg(*[F.avg(n).alias(n) for n in NUMBERS]).first().asDict()
+    filled = {n: F.coalesce(F.col(n).cast("double"), F.lit(means[n] or 0.0)) for n in NUMBERS}
+    plain = rows.select((training_draw(rows) < TRAIN_SHARE).alias("_train"), F.col(LABEL).cast("double").alias("_y"),
+                        *[v.alias(f"_n{i}") for i, v in enumerate(filled.values())], *CATEGORIES)
+    x = [f"_n{i}" for i in range(len(NUMBERS))]
+    sums = [F.sum(c).alias(f"s{c}") for c in (*x, "_y")] + [F.sum(F.col(a) * F.col(b)).alias(f"s{a}{b}")
+                                                            for i, a in enumerate(x) for b in (*x[i:], "_y")]
+    known = plain.withColumns({c: F.struct(c) for c in CATEGORIES})  # a NULL category is no absent grouping column
+    sets = [["_train"], *[["_train", c] for c in CATEGORIES], *[["_train", *p] for p in itertools.combinations(CATEGORIES, 2)]]
+    cells = known.groupingSets([[F.col(c) for c in s] for s in sets], "_train", *CATEGORIES).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("_y") * F.col("_y")).alias("syy"), *sums).collect()
+
+    value = lambda cell, c: None if cell[c] is None else cell[c][0]
+    found = sorted({(c, value(r, c)) for r in cells for c in CATEGORIES if value(r, c) is not None},
+                   key=lambda s: (CATEGORIES.index(s[0]), s[1]))
+    slots = [*[(n, None) for n in NUMBERS], *found]
+    at, d = {s: i for i, s in enumerate(slots)}, len(slots)
+    out = {part: Moments(0, np.zeros(d), np.zeros((d, d)), np.zeros(d), 0.0, 0.0) for part in (True, False)}
+    for r in cells:
+        m, own = out[r["_train"]], [c for c in CATEGORIES if r[c] is not None]
+        where = [at.get((c, value(r, c))) for c in own]
+        if None in where:
+            continue
+        if not own:
+            m.n, m.y, m.yy = r["n"], r["s_y"], r["syy"]
+            for i, a in enumerate(x):
+                m.x[i], m.xy[i] = r[f"s{a}"], r[f"s{a}_y"]
+                for j, b in enumerate(x[i:], i):
+                    m.xx[i, j] = m.xx[j, i] = r[f"s{a}{b}"]
+        elif len(own) == 1:
+            (k,) = where
+            m.x[k] = m.xx[k, k] = r["n"]
+            m.xy[k] = r["s_y"]
+            m.xx[k, :len(x)] = m.xx[:len(x), k] = [r[f"s{a}"] for a in x]
+        else:
+            j, k = where
+            m.xx[j, k] = m.xx[k, j] = r["n"]
+    return slots, out
+
+
+def solve(m: Moments, l1: float, l2: float, tolerance: float = 1e-10, rounds: int = 20_000) -> tuple[np.ndarray, float]:
+    """Weights and intercept of the elastic net on standardised inputs and label, by coordinate descent.
+
+    Without penalties the least-squares weights of the smallest norm.
+    """
+    mean, target = m.x / m.n, m.y / m.n
+    sd = np.sqrt(np.maximum(np.diag(m.xx) / m.n - mean ** 2, 0.0))
+    spread = np.sqrt(max(m.yy / m.n - target ** 2, 0.0))
+    used = sd > 1e-12
+    weights = np.zeros(len(sd))
+    if spread > 0 and used.any():
+        scale = sd[used]
+        gram = (m.xx[np.ix_(used, used)] / m.n - np.outer(mean[used], mean[used])) / np.outer(scale, scale)
+        right = (m.xy[used] / m.n - mean[used] * target) / (scale * spread)
+        if l1 == l2 == 0:
+            w = np.linalg.lstsq(gram, right, rcond=1e-10)[0]
+        else:
+            w, pull = np.zeros(len(scale)), right.copy()  # pull: what is left to explain for each input
+            for _ in range(rounds):
+                most = 0.0
+                for j in range(len(w)):
+                    part = pull[j] + gram[j, j] * w[j]
+                    new = np.sign(part) * max(abs(part) - l1 / spread, 0.0) / (gram[j, j] + l2 / spread)
+                    if new != w[j]:
+                        pull -= gram[:, j] * (new - w[j])
+                        most, w[j] = max(most, abs(new - w[j])), new
+                if most < tolerance:
+                    break
+        weights[used] = w * spread / scale
+    return weights, target - weights @ mean
+
+
 def search(rows: DataFrame, pairs: Sequence[tuple[float, float]] | None = None) -> tuple[PipelineModel, list[dict]]:
-    """Best model by held-out error over the trials, ``PARALLEL_TRIALS`` fitted at a time.
+    """Best model by held-out error over the trials, fitted anew to all rows.
 
-    Rows without a label take no part, in the encoders either.
+    All trials are solved and judged from one set of moments. Rows without a label take no part.
     """
     pairs, rows = list(pairs or trials()), labelled(rows)
-    *encode, line = _stages(0.0, 0.0)
-    encoder = Pipeline(stages=encode).fit(rows)
-    grid = [{line.regParam: l1 + l2, line.elasticNetParam: l1 / (l1 + l2) if l1 + l2 else 0.0} for l1, l2 in pairs]
-    tuned = TrainValidationSplit(
-        estimator=line, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol=LABEL, metricName="mse"),
-        trainRatio=TRAIN_SHARE, parallelism=PARALLEL_TRIALS, seed=7).fit(encoder.transform(rows))
-    report = [{"trial": i + 1, "l1_reg": l1, "l2_reg": l2, "mean_squared_error": float(m)}
-              for i, ((l1, l2), m) in enumerate(zip(pairs, tuned.validationMetrics))]
-    return PipelineModel(stages=[*encoder.stages, tuned.bestModel]), report
+    _, parts = moments(rows)
+    judged = parts[False] if parts[False].n else parts[True]
+    with ThreadPoolExecutor(PARALLEL_TRIALS) as pool:
+        errors = list(pool.map(lambda p: judged.mean_squared_error(*solve(parts[True], *p)), pairs))
+    report = [{"trial": i + 1, "l1_reg": l1, "l2_reg": l2, "mean_squared_error": e} for i, ((l1, l2), e) in enumerate(zip(pairs, errors))]
+    best = min(report, key=lambda r: r["mean_squared_error"])
+    return train(rows, best["l1_reg"], best["l2_reg"]), report

@@ -63,6 +63,37 @@ def test_no_row_is_lost_for_a_null(rows):
     assert len(regression.search(holes, [(0.0, 0.0), (0.1, 0.1)])[1]) == 2
 
 
+@pytest.mark.parametrize("l1, l2", [(0.05, 0.1), (0.3, 0.0), (0.0, 1.0), (20.0, 0.1), (0.0, 0.0)])
+def test_moments_give_the_fitted_model(rows, l1, l2):
+    """Weights and held-out error from the moments are those of a fit and an evaluation over the rows, with NULLs as well."""
+    gap = lambda n, c: F.when(F.xxhash64("fare_amount", F.lit(n)) % n != 0, F.col(c)).alias(c)
+    holes = rows.select(gap(3, "passenger_count"), gap(5, "trip_distance"), "PULocationID", gap(7, "DOLocationID"), "payment_type",
+                        "fare_amount", "tolls_amount", "tip_amount").cache()
+    slots, parts = regression.moments(holes)
+    weights, intercept = regression.solve(parts[True], l1, l2)
+    train, held = regression.split(holes)
+    assert (parts[True].n, parts[False].n) == (train.count(), held.count())
+    filled = holes.agg(*[F.avg(n).alias(n) for n in regression.NUMBERS]).first()  # the moments' means are those of all rows
+    fill = lambda df: df.withColumns({n: F.coalesce(F.col(n).cast("double"), F.lit(filled[n])) for n in regression.NUMBERS})
+    model = regression.train(fill(train), l1, l2)
+    error = regression.evaluate(model, fill(held)).first()["mean_squared_error"]
+    assert abs(parts[False].mean_squared_error(weights, intercept) - error) < 1e-3 * max(1, error)
+    if l2:  # without it, categories that add up to one leave the weights open, and only predictions agree
+        want = {(r["input"], r["category"]): r["weight"] for r in regression.weights(model, rows).collect()}
+        assert abs(want.pop(("intercept", None)) - intercept) < 5e-3
+        assert set(want) == set(slots) and all(abs(w - want[s]) < 2e-3 for s, w in zip(slots, weights))
+
+
+def test_search_reads_the_rows_once_for_all_trials(rows, monkeypatch):
+    """Trials are solved from the moments; only the best one is fitted to the rows."""
+    fitted = []
+    fit = regression.train
+    monkeypatch.setattr(regression, "train", lambda *a: fitted.append(a[1:]) or fit(*a))
+    pairs = [(5.0, 1.0), (0.001, 0.0), (20.0, 10.0)]
+    _, report = regression.search(rows, pairs)
+    assert fitted == [pairs[1]] and min(report, key=lambda r: r["mean_squared_error"])["trial"] == 2
+
+
 def test_search_reports_every_trial(rows):
     model, report = regression.search(rows)
     assert len(report) == regression.TRIALS
