@@ -35,7 +35,7 @@ el los las del y que en un una es por con para no se su al lo como más o pero s
 """.split())
 
 # Elements and names of what is no article.
-_DROPPED = frozenset("head nav footer aside form dialog menu button fieldset label".split())
+_DROPPED = frozenset("head nav footer aside dialog menu button fieldset label".split())
 _BAD_NAMES = frozenset("""
 ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion
 nav navbar navigation menu breadcrumb breadcrumbs pagination pager toc
@@ -46,6 +46,8 @@ comment comments disqus replies reply respond share sharing social search conten
 # Compounds of a listed name; others, as has-sidebar or comment-open, say how an element looks.
 _BAD_COMPOUND = re.compile(r"(?:ads?|advert|advertisement|cookies?|gdpr)-.*|(?:site|main|page|global|primary|secondary|top|bottom)-(?:nav|navbar|navigation|menu|footer)")
 _AFTER_ARTICLE = frozenset("comment comments disqus replies reply respond related recommended recommendations".split())
+# Names, and the element form, that may stand for the article's own container where a page has no other text.
+_MAY_HOLD = frozenset("form widget widgets notice notices alert banner header masthead overlay promo promotion".split())
 _REGIONS = frozenset(("article", "main"))
 _LANGUAGES = frozenset(("en", "de", "fr", "es"))
 _INLINE = frozenset("""
@@ -70,17 +72,32 @@ _CODE = frozenset(("script", "style"))
 _NOT_NESTED = frozenset(("title", "select", "svg", "math"))
 _DECLARED = re.compile(r"""<html\s[^>]{0,1000}?(?<![\w:-])(?:xml:)?lang\s*=\s*["']?\s*([a-z]+)""", re.I)
 _NAMED = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 
 
 def _is_bad(tag: str, attributes: str) -> bool:
     if tag in _DROPPED:
         return True
-    return bool(attributes) and tag not in ("html", "body") and bool(_HIDDEN.search(attributes))
+    return bool(attributes) and tag not in ("html", "body") and _is_hidden(attributes)
+
+
+def _is_hidden(attributes: str) -> bool:
+    """By an attribute ``hidden``, ``aria-hidden=true`` or a style; the word in other values says nothing."""
+    lower = attributes.lower()
+    if "hidden" not in lower and "display" not in lower:
+        return False
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values).strip()
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _NO_DISPLAY.search(value):
+            return True
+    return False
 
 
 def _bad_names(tag: str, attributes: str) -> set[str]:
-    """The names for which the element is no article, unless it holds one."""
+    """The names for which the element is no article, unless it holds one; a form is one by its tag."""
+    if tag == "form":
+        return {"form"}
     if not attributes or tag in ("html", "body") or tag in _REGIONS:
         return set()
     names = {n for m in _NAMED.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").lower().replace("_", "-").split()}
@@ -122,6 +139,7 @@ class _Raw:
 class Named:
     """An element rejected by name, until an article or main part is found in it."""
     spares: bool
+    may_hold: bool = False  # whether it is spared too where the page has nothing else
     bad: bool = True
 
 
@@ -135,6 +153,9 @@ class Block:
     text: str = ""
     good: bool | None = None
 
+    def rejected(self) -> bool:
+        return self.bad or any(n.bad for n in self.named)
+
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks with text, in order, with markup removed and references decoded."""
@@ -196,7 +217,7 @@ def blocks(page: str) -> list[Block]:
             continue
         region, named = top[2], top[3]
         if names:
-            named += (Named(not article or _AFTER_ARTICLE.isdisjoint(names)),)
+            named += (Named(not article or _AFTER_ARTICLE.isdisjoint(names), names <= _MAY_HOLD),)
         if tag in _REGIONS and not (top[1] or bad) and all(n.spares for n in named):
             for n in named:
                 n.bad = False
@@ -210,7 +231,6 @@ def blocks(page: str) -> list[Block]:
     kept = []
     for b in out:
         b.text = " ".join(html.unescape("".join(b.parts)).split())
-        b.bad = b.bad or any(n.bad for n in b.named)
         if b.text:
             kept.append(b)
     return kept
@@ -221,28 +241,32 @@ def decide(found: list[Block], declared: str = "") -> list[Block]:
 
     ``declared`` is the page's language, if it names one. Where that is none of the four, or stop
     words are few all over the page, they decide nothing: blocks that are not short are good.
+    Regions leave out what is outside of them, unless only there a block is good by its own numbers.
     """
-    has_region = any(b.region and not b.bad for b in found)
     stops, size, dense = [], 0, 0.0
-    for b in found:
+    bad = [b.rejected() for b in found]
+    for b, no in zip(found, bad):
         words = b.text.lower().split()
         stops.append(sum(w.strip(".,;:!?") in STOP_WORDS for w in words) / len(words))
-        if not b.bad and b.linked <= MAX_LINKS * len(b.text):
+        if not no and b.linked <= MAX_LINKS * len(b.text):
             size, dense = size + len(b.text), dense + stops[-1] * len(b.text)
     known = (not declared or declared in _LANGUAGES) and dense >= STOP_HIGH * size
-    for b, stop in zip(found, stops):
+    alone = [not no and b.linked <= MAX_LINKS * len(b.text) and (bool(b.region) or "©" not in b.text)
+             and (len(b.text) >= LONG and stop >= STOP_LOW or len(b.text) >= SHORT and (stop >= STOP_HIGH or not known))
+             for b, no, stop in zip(found, bad, stops)]
+    has_region = any(b.region and not no for b, no in zip(found, bad))
+    empty_regions = has_region and any(alone) and not any(ok and b.region for b, ok in zip(found, alone))
+    for b, no, stop, ok in zip(found, bad, stops, alone):
         links = b.linked / len(b.text)
-        if b.bad or (has_region and not b.region) or links > MAX_LINKS:
+        if no or links > MAX_LINKS or (has_region and bool(b.region) == empty_regions):
             b.good = False
         elif not b.region and ("©" in b.text or (len(b.text) < SHORT and links > 0)):
             b.good = False
-        elif len(b.text) >= LONG and stop >= STOP_LOW or len(b.text) >= SHORT and stop >= STOP_HIGH:
-            b.good = True
-        elif not known and len(b.text) >= SHORT:
+        elif ok:
             b.good = True
         elif len(b.text) >= LONG and not b.region:
             b.good = False
-    decided = [(i, b.region, b.good) for i, b in enumerate(found) if b.good is not None and not b.bad]
+    decided = [(i, b.region, b.good) for i, b in enumerate(found) if b.good is not None and not b.rejected()]
     for region in {b.region for b in found if b.good is None}:
         near = [(i, good) for i, r, good in decided if r == region]
         at = 0
@@ -262,7 +286,17 @@ def decide(found: list[Block], declared: str = "") -> list[Block]:
 def main_text(page: str | None) -> str:
     """The article's text: blocks in page order, joined by a space. Null or empty pages have none."""
     declared = _DECLARED.search(page or "")
-    return " ".join(b.text for b in decide(blocks(page or ""), declared[1].lower() if declared else "") if b.good)
+    language, found = declared[1].lower() if declared else "", blocks(page or "")
+    if not any(b.good for b in decide(found, language)):
+        # Nothing is left: what was rejected by name alone, and holds a long text, was the article's container.
+        for b in found:
+            if len(b.text) >= LONG and b.linked <= MAX_LINKS * len(b.text) and not b.bad and all(n.may_hold for n in b.named if n.bad):
+                for n in b.named:
+                    n.bad = False
+        for b in found:
+            b.good = None
+        decide(found, language)
+    return " ".join(b.text for b in found if b.good)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +308,11 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def report(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and n_chars (its code points) of every row of ``pages``; each row is handled by itself."""
+    """page_id, url, text and n_chars (its code points) of every row of ``pages``.
+
+    Each row is handled by itself, repeated rows too; other columns, whatever their names, take no part. An empty table gives
+    an empty result. A heading in front of an article element is not part of it.
+    """
     rows = only(pages, "page_id", "url", "html")
     kinds = [rows.schema[c].dataType.simpleString() for c in ("page_id", "url")]
     return rows.mapInArrow(_extract, f"page_id {kinds[0]}, url {kinds[1]}, text string, n_chars long")
