@@ -37,8 +37,11 @@ def stage_and_stamp(t):
 
 
 ID = f"md5({HASHED_ALL})"
-#: Follows from the id, which hashes the pickup time.
-MONTH = F.date_format(UP, "yyyy-MM").alias("month")
+
+
+def month():
+    """Follows from the id, which hashes the pickup time."""
+    return F.date_format(UP, "yyyy-MM").alias("month")
 
 
 @query("m02_insert_only_merge", f"""WITH s AS (SELECT {ID} AS id, * FROM trips), old AS (SELECT * FROM s WHERE passenger_count < 4)
@@ -46,7 +49,7 @@ MONTH = F.date_format(UP, "yyyy-MM").alias("month")
        SELECT id, fare_amount FROM s WHERE id NOT IN (SELECT id FROM old)""", "trips")
 def insert_only_merge(t):
     """Half of the feed is loaded first; the whole feed then adds only unknown ids. A rerun adds nothing."""
-    feed = materialise(landed(yellow_rows(t), F.lit("feed")).select("unique_row_id", "fare_amount", "passenger_count", MONTH), "feed")
+    feed = materialise(landed(yellow_rows(t), F.lit("feed")).select("unique_row_id", "fare_amount", "passenger_count", month()), "feed")
     table = loads.create(t.spark, t.scratch("trips"), feed.schema, "month")
     loads.append(table, feed.filter("passenger_count < 4"))
     for _ in range(2):
@@ -62,16 +65,17 @@ def changed_orders(t, *more):
         "o_orderkey", F.lit("X").alias("o_orderstatus"), (F.col("o_totalprice") * 2).alias("o_totalprice"), *more)
 
 
-#: Orders are kept by year.
-YEAR = F.year("o_orderdate").alias("year")
+def year():
+    """The partition that orders are kept in."""
+    return F.year("o_orderdate").alias("year")
 
 
 @query("m03_upsert", f"""SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderpriority <> '1-URGENT'
        UNION ALL {NEW}""")
 def upsert(t):
-    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", YEAR)
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", year())
     target = loads.replace(loads.Target(t.scratch("orders"), rows.schema, "year"), rows)
-    return loads.merge(target, changed_orders(t, YEAR), ["o_orderkey"], ["o_orderstatus"]).read(t.spark).drop("year")
+    return loads.merge(target, changed_orders(t, year()), ["o_orderkey"], ["o_orderstatus"]).read(t.spark).drop("year")
 
 
 @query("m04_append", f"""SELECT o_orderstatus, count(*) AS n FROM (SELECT o_orderstatus FROM orders UNION ALL
@@ -92,7 +96,7 @@ def replace(t):
 @query("m06_incremental", f"""SELECT o_orderkey, o_orderdate FROM orders""")
 def incremental(t):
     """Orders up to 1996 are there; the rest comes by cursor. The years before keep their files."""
-    rows = t.orders.select("o_orderkey", "o_orderdate", YEAR)
+    rows = t.orders.select("o_orderkey", "o_orderdate", year())
     target = loads.Target(t.scratch("orders"), rows.schema, "year")
     loads.replace(target, rows.filter("o_orderdate < TIMESTAMP_NTZ '1997-01-01'"))
     return loads.incremental(target, rows, "o_orderkey", "o_orderdate", ["o_orderdate"]).read(t.spark).drop("year")
@@ -191,7 +195,7 @@ def month_set(t):
     """A backfill of three months over a year's end as one job."""
     root = monthly_files(t)
     paths = readers.month_paths(root, "yellow", [1996], [11, 12]) + readers.month_paths(root, "yellow", [1997], [1])
-    feed = landed(readers.csv_typed(t.spark, paths, YELLOW), F.col("_metadata.file_name")).withColumn("month", MONTH)
+    feed = landed(readers.csv_typed(t.spark, paths, YELLOW), F.col("_metadata.file_name")).withColumn("month", month())
     table = loads.create(t.spark, t.scratch("trips"), feed.schema, "month")
     for _ in range(2):
         loads.append_missing(table, feed, "unique_row_id")
