@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import joins, percentiles, quality
+from ..operators import joins, loads, percentiles, quality, sketches
 from ..operators.dedup import top_k
 from ..plans import marts, staging
 from ..plans.staging import AMOUNTS
+from ..session import materialise
 from .registry import query
 
 SQL_DAY = "CAST(tpep_dropoff_datetime AS DATE) AS day"
@@ -121,6 +122,21 @@ def approx_distinct(t):
     return t.fhv.agg(F.approx_count_distinct("affiliated_base_number", 0.02).alias("n"))
 
 
+@query("a10_stored_sketches", """SELECT dispatching_base_num, count(DISTINCT date_trunc('month', pickup_datetime)) AS periods, true AS within_bound
+       FROM fhv GROUP BY 1""", "fhv")
+def stored_distinct(t):
+    """Sketches by month, stored and united: each base's estimate is as near to the exact count as the bound says."""
+    made = sketches.distinct_by(t.fhv, ["dispatching_base_num"], F.date_format("pickup_datetime", "yyyy-MM"), "affiliated_base_number")
+    stored = loads.replace(loads.Target(t.scratch("sketches"), made.schema, "period"), made).read(t.spark)
+    united = sketches.united_distinct(stored, ["dispatching_base_num"])
+    exact = (t.fhv.select("dispatching_base_num", "affiliated_base_number").distinct().groupBy("dispatching_base_num")
+             .agg(F.count("affiliated_base_number").alias("n")))
+    off = F.abs(F.col("estimate") - F.col("n")) <= F.greatest(F.col("n") * sketches.DISTINCT_ERROR, F.lit(1))
+    united = united.withColumnRenamed("dispatching_base_num", "_base")
+    return united.join(exact, F.col("_base").eqNullSafe(F.col("dispatching_base_num"))).select(
+        "dispatching_base_num", "periods", off.alias("within_bound"))
+
+
 @query("a11_longest_trip_day", """SELECT CAST(tpep_pickup_datetime AS DATE) AS day, max(trip_distance) AS trip_distance
        FROM trips GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1""", "trips")
 def longest_trip_day(t):
@@ -248,6 +264,18 @@ def approx_percentiles(t):
     return percentiles.approximate(t.trips, ["PULocationID"], "total_amount", P)
 
 
+@query("a22_stored_sketches", """SELECT PULocationID, count(total_amount) AS n, true AS p90_within, true AS p95_within, true AS p97_within
+       FROM trips GROUP BY 1""", "trips")
+def stored_percentiles(t):
+    """Sketches by year, stored and merged: the true ranks of the values they give are within the bound."""
+    made = sketches.quantiles_by(t.trips, ["PULocationID"], F.year("tpep_pickup_datetime"), "total_amount")
+    stored = loads.replace(loads.Target(t.scratch("sketches"), made.schema, "period"), made).read(t.spark)
+    found = materialise(sketches.united_quantiles(stored, ["PULocationID"], P), "quantiles")
+    errors = sketches.rank_errors(t.trips, found.drop("n"), ["PULocationID"], "total_amount", P)
+    return found.select("PULocationID", "n").join(errors, "PULocationID").select(
+        "PULocationID", "n", *[(F.col(p) <= sketches.RANK_ERROR).alias(f"{p}_within") for p in P])
+
+
 @query("a23_share", """SELECT service_type, count(*) AS n, count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS pct
        FROM unioned GROUP BY 1""", "unioned")
 def share(t):
