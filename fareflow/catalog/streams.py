@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..operators.dedup import top_k
+from ..operators.joins import hot_keys
 from ..schemas import ddl
 from ..sources import messages
 from ..streaming import joins, replay, sinks, windows
@@ -122,13 +123,15 @@ def rekeyed(t):
     return stored.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
 
 
-#: Parts that the state of one key and time bucket is split into; each pickup is kept as many times.
+#: Parts that the state of a hot key's time bucket is split into; each of its pickups is kept as many times.
 SALTS = 4
 
 
 def near_stream(t):
+    """Keys that are hot among the rides known so far are split."""
     rides, pickups = ride_streams(t.stream("events"))
-    return zone_free(sinks.to_table(joins.dropoffs_near_pickups(rides, pickups, salts=SALTS), t.scratch("out")))
+    hot = hot_keys(ride_streams(t.events)[0], "key")
+    return zone_free(sinks.to_table(joins.dropoffs_near_pickups(rides, pickups, salts=SALTS, hot=hot), t.scratch("out")))
 
 
 @query("j14_stream_join", NEAR)

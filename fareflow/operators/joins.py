@@ -25,6 +25,13 @@ def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
+def hot_keys(df: DataFrame, key: str, share: float = 0.05) -> list:
+    """Keys that hold at least ``share`` of the rows; so at most ``1 / share`` of them reach the driver."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    least = df.agg((F.count(F.lit(1)) * share).alias("least")).scalar()
+    return [r[0] for r in counts.filter(F.col(key).isNotNull() & (F.col("n") >= least)).collect()]
+
+
 def with_zone(trips: DataFrame, zones: DataFrame, key: str, prefix: str, how: str = "left",
               attributes: Sequence[str] = ("Borough", "Zone")) -> DataFrame:
     """Attach zone attributes for one role (pickup or dropoff).

@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from fareflow.operators.joins import hot_keys
 from fareflow.schemas import RIDE_TEXT, ddl
 from fareflow.session import fresh_path
 from fareflow.sources import messages, readers, writers
@@ -138,16 +139,25 @@ def test_replay_keeps_batches_apart_and_drops_what_is_late(spark):
     assert dropped == len(late) > 3 and not kept & late
 
 
-@pytest.mark.parametrize("salts", [1, 3])
-def test_join_matches_one_pair(spark, salts):
+@pytest.mark.parametrize("salts, hot", [(1, None), (3, None), (3, []), (3, ["75"]), (3, ["76"])])
+def test_join_matches_one_pair(spark, salts, hot):
     rides = replay(spark, [[("75", "1", at(0))]], "key string, vendor_id string, dropoff_datetime timestamp")
     pickups = replay(spark, [[("75", 75, at(120)), ("76", 76, at(0)), ("75", 75, at(11 * 60)), ("75", 75, at(10 * 60 + 59))]],
                      "key string, location_id long, pickup_datetime timestamp")
-    out = sinks.to_table(joins.dropoffs_near_pickups(rides, pickups, salts=salts), fresh_path(spark, "join"))
+    out = sinks.to_table(joins.dropoffs_near_pickups(rides, pickups, salts=salts, hot=hot), fresh_path(spark, "join"))
     assert sorted((r["vendor_id"], r["location_id"], r["pickup_time"]) for r in out.collect()) == [
         ("1", 75, at(120)), ("1", 75, at(10 * 60 + 59))]  # 11:00 apart is more than ten whole minutes
 
 
+def test_only_hot_keys_are_copied(spark):
+    rows = spark.createDataFrame([("hot" if i % 3 == 0 else None if i % 50 == 1 else f"k{i}", i) for i in range(300)], "key string, i int")
+    assert hot_keys(rows, "key", 0.05) == ["hot"] and hot_keys(rows.limit(0), "key") == []
+    times = rows.select("key", F.lit("v").alias("vendor_id"), F.lit(1).cast("long").alias("location_id"), F.lit(at(0)).alias("dropoff_datetime"),
+                        F.lit(at(0)).alias("pickup_datetime"))
+    plan = lambda hot: joins.dropoffs_near_pickups(times, times, salts=4, hot=hot)
+    assert sorted(map(tuple, plan(["hot"]).collect())) == sorted(map(tuple, plan(None).collect())) == sorted(map(tuple, plan([]).collect()))
+
+
 def test_stream_equals_batch_over_many_batches(spark):
     rows = [[(at(37 * i * (j + 1) % 5000), "k%d" % (i % 3)) for i in range(40)] for j in range(4)]
     stream = replay(spark, rows, "ts timestamp, k string")
