@@ -70,9 +70,9 @@ def running_and_moving(t):
     rows = t.events.select("event_id", "event_type", "ts", F.col("value").cast(C.MONEY).alias("v"))
     rows = ordered.number_rows(rows, ["event_type"], ["ts", "event_id"])
     last = lambda w: w.rowsBetween(-6, 0)
-    rows = ordered.framed(rows, ["event_type"], {
-        "moving_avg": lambda w: F.sum("v").over(last(w)).cast("double") / F.count("v").over(last(w))}, before=6)
-    rows = ordered.running(rows, ["event_type"], sums={"running_total": "v"})
+    rows = ordered.chunked(rows, ["event_type"], {
+        "moving_avg": lambda w: F.sum("v").over(last(w)).cast("double") / F.count("v").over(last(w))},
+        sums={"running_total": "v"}, before=6)
     return rows.select("event_id", "event_type", F.col("running_total").cast("double").alias("running_total"), "moving_avg")
 
 

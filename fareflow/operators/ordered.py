@@ -5,11 +5,12 @@ task. Here one range-partitioned sort numbers the rows; every further window the
 over fixed-size chunks of consecutive numbers:
 
 * ``number_rows``  exact 1..n per group from the sorted slices and their row counts;
-* ``framed``       frames reaching a fixed number of rows back or ahead (lag, lead, moving
-                   averages): each chunk also gets copies of its neighbours' edge rows;
-* ``running``      prefix sums, counts and maxima: chunk totals are added to local ones;
+* ``chunked``      frames reaching a fixed number of rows back or ahead (lag, lead, moving averages;
+                   each chunk also gets copies of its neighbours' edge rows) and prefix sums, counts
+                   and maxima (each chunk gets the totals of earlier ones), over one exchange;
+                   ``framed`` and ``running`` are either half of it;
 * ``ranked``       rank and dense_rank, from the counts of distinct values;
-* ``sessions``     runs of rows with no long gap, from frames and running counts.
+* ``sessions``     runs of rows with no long gap, folded within chunks first.
 
 Top-k filters per group do not need this: for ``row_number() <= k`` Spark prunes to k rows
 per group and task before the shuffle.
@@ -87,68 +88,70 @@ def _chunk(rn: Column, chunk_rows: int) -> Column:
     return F.floor((rn - 1) / chunk_rows)
 
 
-def framed(
+def chunked(
     df: DataFrame,
     keys: Sequence[str],
-    outputs: dict[str, Callable[[Window], Column]],
+    frames: dict[str, Callable[[Window], Column]] | None = None,
+    sums: dict[str, str | Column] | None = None,
+    maxima: dict[str, str | Column] | None = None,
     before: int = 0,
     ahead: int = 0,
     rn: str = RN,
     chunk_rows: int | None = None,
 ) -> DataFrame:
-    """Window outputs that look at most ``before`` rows back and ``ahead`` rows forward.
+    """Frames, prefix sums and prefix maxima over one exchange of the rows.
 
-    ``outputs`` maps a name to a function of the ordered window, e.g.
-    ``lambda w: F.lag('x').over(w)``.
+    ``frames`` maps a name to a function of the ordered window that looks at most ``before`` rows
+    back and ``ahead`` rows forward, e.g. ``lambda w: F.lag('x').over(w)``. ``sums`` and ``maxima``
+    are prefixes up to and including each row; NULL inputs are skipped, and a prefix without any
+    value is NULL. What earlier chunks add up to travels as one head row of each later chunk, so
+    the rows themselves are not shuffled a second time to meet it.
     """
     size = chunk_rows or CHUNK_ROWS
     if max(before, ahead) > size:
         raise ValueError("the frame must not be longer than a chunk")
-    columns = df.columns
+    frames, columns = frames or {}, df.columns
+    prefixes = [(f"_p{i}", agg, name, F.col(e) if isinstance(e, str) else e) for i, (agg, name, e) in enumerate(
+        [(F.sum, *s) for s in (sums or {}).items()] + [(F.max, *m) for m in (maxima or {}).items()])]
     own = _chunk(F.col(rn), size)
     # A row also belongs to the next chunk if that looks back to it, and to the previous one
     # if that looks ahead to it. Copies are before + ahead rows per chunk.
     targets = F.array_distinct(F.array(
         _chunk(F.greatest(F.col(rn) - ahead, F.lit(1)), size), own, _chunk(F.col(rn) + before, size)))
+    rows = df.select("*", _group(keys).alias("_group"), own.alias("_own"), *[e.alias(tmp) for tmp, _, _, e in prefixes])
+    out = rows.withColumn("_chunk", F.explode(targets))
+    if prefixes:
+        totals = rows.groupBy("_group", "_own").agg(*[agg(tmp).alias(tmp) for tmp, agg, _, _ in prefixes])
+        earlier = Window.partitionBy("_group").orderBy("_own").rowsBetween(Window.unboundedPreceding, -1)
+        # The first chunk of a group has no head. Any other begins with all copies a frame may look back
+        # to, so that its head stays outside of the frames of its own rows.
+        heads = totals.select("_group", "_own", F.col("_own").alias("_chunk"), F.lit(0).cast(df.schema[rn].dataType).alias(rn),
+                              *[agg(tmp).over(earlier).alias(tmp) for tmp, agg, _, _ in prefixes]).filter("_own > 0")
+        at_home = F.col("_chunk") == F.col("_own")
+        out = out.withColumns({tmp: F.when(at_home, F.col(tmp)).cast(heads.schema[tmp].dataType) for tmp, _, _, _ in prefixes})
+        out = out.unionByName(heads, allowMissingColumns=True)
     w = Window.partitionBy("_group", "_chunk").orderBy(rn)
-    out = (df.withColumn("_group", _group(keys)).withColumn("_own", own)
-           .withColumn("_chunk", F.explode(targets)))
-    out = out.select("*", *[fn(w).alias(name) for name, fn in outputs.items()])
-    return out.filter(F.col("_chunk") == F.col("_own")).select(*columns, *outputs)
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    out = out.select("*", *[fn(w).alias(name) for name, fn in frames.items()],
+                     *[agg(tmp).over(so_far).alias(name) for tmp, agg, name, _ in prefixes])
+    return out.filter((F.col("_chunk") == F.col("_own")) & (F.col(rn) > 0)).select(
+        *columns, *frames, *[name for _, _, name, _ in prefixes])
 
 
-def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    sums: dict[str, str | Column] | None = None,
-    maxima: dict[str, str | Column] | None = None,
-    rn: str = RN,
-    chunk_rows: int | None = None,
+def framed(
+    df: DataFrame, keys: Sequence[str], outputs: dict[str, Callable[[Window], Column]],
+    before: int = 0, ahead: int = 0, rn: str = RN, chunk_rows: int | None = None,
 ) -> DataFrame:
-    """Prefix sums and maxima up to and including each row.
+    """Window outputs that look at most ``before`` rows back and ``ahead`` rows forward."""
+    return chunked(df, keys, outputs, before=before, ahead=ahead, rn=rn, chunk_rows=chunk_rows)
 
-    NULL inputs are skipped; a prefix without any value is NULL.
-    """
-    sums, maxima = sums or {}, maxima or {}
-    columns = df.columns
-    parts = [(f"_i{i}", F.sum, name, e) for i, (name, e) in enumerate(sums.items())]
-    parts += [(f"_m{i}", F.max, name, e) for i, (name, e) in enumerate(maxima.items())]
-    rows = df.select("*", _group(keys).alias("_group"), _chunk(F.col(rn), chunk_rows or CHUNK_ROWS).alias("_chunk"),
-                     *[(F.col(e) if isinstance(e, str) else e).alias(tmp) for tmp, _, _, e in parts])
-    totals = rows.groupBy("_group", "_chunk").agg(*[agg(tmp).alias(tmp) for tmp, agg, _, _ in parts])
-    earlier = Window.partitionBy("_group").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select("_group", "_chunk", *[agg(tmp).over(earlier).alias(tmp + "c") for tmp, agg, _, _ in parts])
-    local = Window.partitionBy("_group", "_chunk").orderBy(rn).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.select("*", *[agg(tmp).over(local).alias(tmp + "l") for tmp, agg, _, _ in parts])
-    outputs = []
-    for tmp, agg, name, _ in parts:
-        here, past = F.col(tmp + "l"), F.col(tmp + "c")
-        if agg is F.sum:
-            value = F.coalesce(here + past, here, past)
-        else:
-            value = F.greatest(here, past)
-        outputs.append(value.alias(name))
-    return rows.join(carried, ["_group", "_chunk"]).select(*columns, *outputs)
+
+def running(
+    df: DataFrame, keys: Sequence[str], sums: dict[str, str | Column] | None = None,
+    maxima: dict[str, str | Column] | None = None, rn: str = RN, chunk_rows: int | None = None,
+) -> DataFrame:
+    """Prefix sums and maxima up to and including each row."""
+    return chunked(df, keys, sums=sums, maxima=maxima, rn=rn, chunk_rows=chunk_rows)
 
 
 def ranked(
@@ -190,17 +193,28 @@ def sessions(
 ) -> DataFrame:
     """Runs of rows at most ``gap_seconds`` apart: start, end and row count of each run.
 
-    Same sessions as ``session_window``, but a hot key is split over tasks: rows are numbered,
-    each is compared with the one before, and the running count of breaks names the run.
+    Same sessions as ``session_window``, but a hot key is split over tasks: rows are numbered and
+    meet the row before them once, in chunks. A run is named by the number of its first row and
+    folds within its chunk; only the part that a chunk begins in the middle of a run, one row
+    at most, takes its name from earlier chunks.
     """
+    size = chunk_rows or CHUNK_ROWS
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     rows = number_rows(df.select(*keys, ts, *[c for c in tiebreak if c not in keys]).withColumn("_t", micros),
                        keys, ["_t", *tiebreak])
-    rows = framed(rows, keys, {"_break": lambda w: (
-        (F.row_number().over(w) == 1) | (F.col("_t") - F.lag("_t").over(w) > gap_seconds * 1_000_000)
-    ).cast("long")}, before=1, chunk_rows=chunk_rows)
-    rows = running(rows, keys, sums={"_run": "_break"}, chunk_rows=chunk_rows)
-    runs = rows.groupBy(*keys, "_run").agg(
-        F.min(ts).alias("session_start"), F.max(ts).alias("last"), F.count(F.lit(1)).alias("count"))
+    rows = rows.select(*keys, ts, "_t", RN, _group(keys).alias("_group"), _chunk(F.col(RN), size).alias("_own"))
+    rows = rows.withColumn("_chunk", F.explode(F.array_distinct(F.array("_own", _chunk(F.col(RN) + 1, size)))))
+    w = Window.partitionBy("_group", "_chunk").orderBy(RN)
+    rows = rows.withColumn("_gap", F.col("_t") - F.lag("_t").over(w)).filter("_chunk = _own")
+    first = F.when((F.col(RN) == 1) | (F.col("_gap") > gap_seconds * 1_000_000), F.col(RN))
+    rows = rows.withColumn("_run", F.max(first).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = materialise(rows.groupBy(*keys, "_group", "_chunk", "_run").agg(
+        F.min(ts).alias("_start"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_n")), "runs")
+    earlier = Window.partitionBy("_group").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    open_run = (parts.groupBy("_group", "_chunk").agg(F.max("_run").alias("_run"))
+                .select("_group", "_chunk", F.max("_run").over(earlier).alias("_run")))
+    goes_on = parts.filter("_run is null").drop("_run").join(open_run, ["_group", "_chunk"])
+    runs = parts.filter("_run is not null").unionByName(goes_on).groupBy(*keys, "_run").agg(
+        F.min("_start").alias("session_start"), F.max("_last").alias("last"), F.sum("_n").alias("count"))
     return runs.select(*keys, "session_start",
                        (F.col("last") + F.make_dt_interval(secs=F.lit(gap_seconds))).alias("session_end"), "count")

@@ -68,6 +68,27 @@ def test_running_and_moving(rows, chunk):
     same(out, plain, ["id", "s", "m", "a"])
 
 
+def payload_exchanges(df, column):
+    """Exchanges of the plan that carry ``column``."""
+    text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    return sum(f"{column}#" in part for part in text.split("\n\n") if ") Exchange\n" in part + "\n")
+
+
+@pytest.mark.parametrize("chunk", [9, 10_000])
+def test_frames_and_prefixes_share_one_exchange(rows, chunk):
+    w = Window.partitionBy("key").orderBy("id")
+    plain = rows.select("*", F.sum("value").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"),
+                        F.max("value").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("m"),
+                        F.avg("value").over(w.rowsBetween(-6, 2)).alias("a"), F.lag("value", 6).over(w).alias("p"),
+                        F.count(F.lit(1)).over(w.rowsBetween(-6, 2)).alias("c"))
+    last = lambda w: w.rowsBetween(-6, 2)
+    out = ordered.chunked(ordered.number_rows(rows, ["key"], ["id"]), ["key"], {
+        "a": lambda w: F.avg("value").over(last(w)), "p": lambda w: F.lag("value", 6).over(w),
+        "c": lambda w: F.count(F.lit(1)).over(last(w))}, {"s": "value"}, {"m": "value"}, 6, 2, chunk_rows=chunk)
+    same(out, plain, ["id", "s", "m", "a", "p", "c"])
+    assert payload_exchanges(out, "id") == 1
+
+
 def test_frame_longer_than_chunk_is_refused(rows):
     with pytest.raises(ValueError):
         ordered.framed(ordered.number_rows(rows, [], ["id"]), [], {}, before=10, chunk_rows=5)
