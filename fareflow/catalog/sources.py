@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..schemas import GREEN, YELLOW
-from ..sources import messages, readers
+from ..sources import messages, paging, readers
 from ..sources.writers import by_size
 from .registry import query
 
@@ -51,6 +51,23 @@ def csv_sampled(t):
     return by_zone(df, "tpep_pickup_datetime")
 
 
+@query("s03_widened_types", """SELECT l_linestatus, 'double' AS quantity_type, 'int' AS line_type, 'string' AS tag_type, count(*) AS n,
+       sum(l_linenumber) AS lines, sum(CASE WHEN last THEN l_quantity + 0.5 ELSE l_quantity END) AS quantity,
+       count(*) FILTER (last) AS odd_tags FROM (SELECT *, l_orderkey = max(l_orderkey) OVER () AS last FROM lineitem) GROUP BY 1""")
+def widened_types(t):
+    """Quantities and tags are whole numbers but in the rows of the last order."""
+    rows = t.lineitem.select("l_orderkey", "l_linestatus", "l_linenumber", F.col("l_quantity").cast("long").alias("whole"))
+    last = F.col("l_orderkey") == rows.agg(F.max("l_orderkey")).scalar()
+    odd = rows.select("l_linestatus", "l_linenumber", F.when(last, F.concat("whole", F.lit(".5"))).otherwise(F.col("whole").cast("string")).alias("quantity"),
+                      F.when(last, F.lit("n/a")).otherwise(F.col("whole").cast("string")).alias("tag"))
+    df = readers.csv_widened(t.spark, write_csv(odd, t.scratch("csv")))
+    kind = {f.name: f.dataType.simpleString() for f in df.schema}
+    return df.groupBy("l_linestatus").agg(
+        F.lit(kind["quantity"]).alias("quantity_type"), F.lit(kind["l_linenumber"]).alias("line_type"), F.lit(kind["tag"]).alias("tag_type"),
+        F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").alias("lines"), F.sum("quantity").alias("quantity"),
+        F.count(F.when(F.col("tag") == "n/a", 1)).alias("odd_tags"))
+
+
 def monthly_files(t):
     """Gzipped files in one folder per month."""
     root = t.scratch("raw")
@@ -152,6 +169,33 @@ def paged_records(t):
     return readers.read_pages(t.spark, path, rows.schema)
 
 
+@query("s13_paged_source", """SELECT CAST(floor((row_number() OVER (ORDER BY event_id) - 1) / 1000) AS BIGINT) + 1 AS page,
+       event_id, event_type FROM events""")
+def paged_source(t):
+    """The same pages through the paged data source: tasks read ranges of pages."""
+    path = t.scratch("pages")
+    rows = t.events.select("event_id", "event_type")
+    paging.write_pages(rows, path, ["event_id"])
+    return paging.read_pages(t.spark, path, rows.schema)
+
+
+@query("s13_paged_increments", """SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids,
+       (SELECT count(*) FILTER (ts < TIMESTAMP '2024-01-08') FROM events) AS first_run, (SELECT count(*) FILTER (ts >= TIMESTAMP '2024-01-08') FROM events) AS second_run,
+       0 AS third_run FROM events GROUP BY 1""")
+def paged_increments(t):
+    """Pages of the first week, then those added after it, then nothing new: the cursor is the stream's place."""
+    path, target, state = t.scratch("pages"), t.scratch("events"), t.scratch("state")
+    rows = t.events.select("event_id", "event_type", "ts").withColumn("late", F.col("ts") >= F.lit("2024-01-08").cast("timestamp_ntz"))
+    schema = t.events.select("event_id", "event_type").schema
+    early = rows.filter(~F.col("late")).select("event_id", "event_type")
+    paging.write_pages(early, path, ["event_id"])
+    runs = [paging.load_new(t.spark, path, schema, target, state)]
+    paging.add_pages(rows.filter("late").select("event_id", "event_type"), path, ["event_id"], early.count())
+    runs += [paging.load_new(t.spark, path, schema, target, state) for _ in range(2)]
+    return t.spark.read.schema(schema).parquet(target).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), *[F.lit(n).alias(f"{w}_run") for w, n in zip(("first", "second", "third"), runs)])
+
+
 @query("s14_generated_rows", """WITH days AS (SELECT unnest(generate_series((SELECT min(o_orderdate) FROM orders)::TIMESTAMP,
        (SELECT max(o_orderdate) FROM orders)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day)
        SELECT day, count(o_orderkey) AS n FROM days LEFT JOIN orders ON CAST(o_orderdate AS DATE) = day GROUP BY 1""")

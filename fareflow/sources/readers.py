@@ -35,6 +35,33 @@ def csv_sampled(spark: SparkSession, paths: str | Sequence[str], share: float =
     return spark.read.schema(sampled.schema).option("header", True).option("mode", "FAILFAST").csv(paths)
 
 
+#: Types from narrow to wide, with the texts that count as one of their values.
+_WHOLE, _NUMBER = r"^\s*[+-]?\d+\s*$", r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_TIME = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
+LATTICE = {"boolean": r"^\s*(?i:true|false)\s*$", "int": _WHOLE, "bigint": _WHOLE, "double": _NUMBER, "timestamp": _TIME}
+
+
+def widest_types(df: DataFrame) -> T.StructType:
+    """For each text column the first type of ``LATTICE`` that holds every value of it, else string.
+
+    One aggregate over all rows: each task says which types still fit, and the answers are joined.
+    A column without any value stays text.
+    """
+    fits = [F.struct(F.count(c).alias("n"), *[
+        F.bool_and(F.coalesce(F.col(c).rlike(shape) & F.col(c).try_cast(t).isNotNull(), F.lit(False)) | F.col(c).isNull()).alias(t)
+        for t, shape in LATTICE.items()]).alias(f"_{i}") for i, c in enumerate(f"`{n}`" for n in df.columns)]
+    found = df.agg(*fits).first() if fits else ()
+    return T.StructType([
+        T.StructField(name, T._parse_datatype_string(next((t for t in LATTICE if fit["n"] and fit[t]), "string")))
+        for name, fit in zip(df.columns, found)])
+
+
+def csv_widened(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Types that hold the values of all rows; no read fails and no value turns into NULL."""
+    rows = csv_strings(spark, paths)
+    return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in widest_types(rows)])
+
+
 def month_paths(root: str, feed: str, years: Iterable[int], months: Iterable[int] = range(1, 13),
                 suffix: str = "csv.gz") -> list[str]:
     """``root/feed/year=yyyy/month=MM/*.suffix`` for every month, in order."""
