@@ -3,9 +3,11 @@
 The counts become four numbers: log of the mean word length, log of symbols per 100 words, and the
 arcsine roots of the shares of repeated lines and of repeated words. For each language and source
 the minimum-covariance-determinant estimate is taken over the rows that pass the fixed rules:
-from the medians and a diagonal scatter, ``STEPS`` concentration steps each keep the three quarters
-of rows that are nearest by Mahalanobis distance and estimate mean and covariance anew. Only
-DataFrame functions are used.
+from each of four deterministic starts (quartiles with diagonal scatters), ``STEPS`` concentration
+steps each keep the three quarters of rows that are nearest by Mahalanobis distance and estimate mean
+and covariance anew; the start that ends at the smallest determinant gives the estimate. All starts
+share each step's passes. Sums are those of whole numbers, so that an estimate does not depend on how
+the rows are partitioned. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -29,13 +31,18 @@ CUTOFF = 33.4
 FLOORS = (0.04, 0.3, 0.15, 0.15)
 #: A source with fewer rows is judged by its language, a language with fewer by the whole corpus.
 MIN_ROWS = 40
-#: Distances are ranked in bins of 1/16 of a unit of their logarithm.
-BINS = 16
+#: Distances are ranked in bins of 1/64 of a unit of their logarithm.
+BINS = 64
+#: The numbers are summed up in units of 2^-20; quartiles are taken on a grid of 1/256, which bounds their memory.
+UNIT_BITS, GRID = 20, 256
+#: Starts: which quartile is the centre, and whether the scatter follows the quartiles (else it is four floors wide).
+STARTS = ((1, False), (1, True), (0, True), (2, True))
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _SYMBOL = r"[#*$%&|<>]"
 _P = range(len(FLOORS))
-_X = [f"_x{i}" for i in _P]
+_PAIRS = [(i, j) for i in _P for j in range(i + 1)]
+_X, _Q = [f"_x{i}" for i in _P], [f"_q{i}" for i in _P]
 
 
 def _let(value: Column, body) -> Column:
@@ -92,20 +99,62 @@ def _keys() -> list[Column]:
 
 
 def _factor(moments: DataFrame, scale: float) -> DataFrame:
-    """Mean, Cholesky factor of the covariance with the floors added, by key.
+    """Mean, Cholesky factor of the covariance with the floors added, and half the logarithm of its determinant.
 
-    ``moments`` has the count ``n``, sums ``s{i}`` and sums of products ``s{i}{j}``.
+    ``moments`` has the count ``n``, sums ``s{i}`` and sums of products ``s{i}{j}`` by key and start.
     """
     out = moments.withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") for i in _P})
     out = out.withColumns({f"c{i}{j}": scale * (F.col(f"s{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
-                           + (FLOORS[i] ** 2 if i == j else 0.0) for i in _P for j in range(i + 1)})
+                           + (FLOORS[i] ** 2 if i == j else 0.0) for i, j in _PAIRS})
     for j in _P:
         inner = sum((F.col(f"l{j}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
         out = out.withColumn(f"l{j}{j}", F.sqrt(F.greatest(F.col(f"c{j}{j}") - inner, F.lit(FLOORS[j] ** 2))))
         for i in range(j + 1, len(FLOORS)):
             inner = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
             out = out.withColumn(f"l{i}{j}", (F.col(f"c{i}{j}") - inner) / F.col(f"l{j}{j}"))
-    return out.select("key", *[f"m{i}" for i in _P], *[f"l{i}{j}" for i in _P for j in range(i + 1)])
+    det = sum((F.log(f"l{i}{i}") for i in _P), F.lit(0.0))
+    return out.select("key", "start", *_ESTIMATE, det.alias("det"))
+
+
+_ESTIMATE = [f"m{i}" for i in _P] + [f"l{i}{j}" for i, j in _PAIRS]
+
+
+def _starts(vectors: DataFrame) -> DataFrame:
+    """The estimates that the steps begin with, for keys with enough rows."""
+    grid = lambda x: F.floor(F.col(x) * GRID + 0.5) / GRID
+    quartiles = vectors.groupBy("key").agg(F.count("*").alias("n"), *[
+        F.percentile(grid(x), F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias(f"p{i}") for i, x in enumerate(_X)]).where(F.col("n") >= MIN_ROWS)
+
+    def start(number: int, centre: int, by_quartiles: bool) -> Column:
+        p = [F.col(f"p{i}") for i in _P]
+        width = [F.greatest((p[i][2] - p[i][0]) / 1.349, F.lit(FLOORS[i])) if by_quartiles else F.lit(4 * FLOORS[i]) for i in _P]
+        return F.struct(F.lit(number).alias("start"), *[p[i][centre].alias(f"m{i}") for i in _P],
+                        *[(width[i] if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i, j in _PAIRS])
+
+    return quartiles.select("key", F.inline(F.array(*[start(k, *of) for k, of in enumerate(STARTS)])))
+
+
+def _step(vectors: DataFrame, estimate: DataFrame) -> DataFrame:
+    """One concentration step of every start: the bin that completes the subset, then the subset's moments."""
+    def placed(e: DataFrame) -> DataFrame:
+        return _distance(vectors.join(small_side(e), "key")).withColumn("bin", F.floor(BINS * F.log(F.col("_d2") + 1e-6)).cast("int"))
+
+    sizes = placed(estimate).groupBy("key", "start", "bin").agg(F.count("*").alias("n"))
+    below = Window.partitionBy("key", "start").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    last = (sizes.withColumns({"before": F.coalesce(F.sum("n").over(below), F.lit(0)),
+                               "all": F.sum("n").over(Window.partitionBy("key", "start"))})
+            .where(F.col("before") < SUBSET * F.col("all")).groupBy("key", "start").agg(F.max("bin").alias("last")))
+    bounded = materialise(estimate.join(last, ["key", "start"]), "quality-bound")
+    # A product has up to 48 bits: its halves are summed apart, which stays exact for any number of rows.
+    low = (1 << UNIT_BITS) - 1
+    product = {f"{i}{j}": F.col(_Q[i]) * F.col(_Q[j]) for i, j in _PAIRS}
+    sums = placed(bounded).where("bin <= last").groupBy("key", "start").agg(
+        F.count("*").alias("n"), *[F.sum(_Q[i]).alias(f"s{i}") for i in _P],
+        *[F.sum(F.shiftright(p, UNIT_BITS)).alias(f"high{k}") for k, p in product.items()],
+        *[F.sum(p.bitwiseAND(low)).alias(f"low{k}") for k, p in product.items()])
+    unit = float(1 << UNIT_BITS)
+    return sums.withColumns({f"s{i}": F.col(f"s{i}") / unit for i in _P}
+                            | {f"s{k}": F.col(f"high{k}") / unit + F.col(f"low{k}") / unit / unit for k in product})
 
 
 def _distance(rows: DataFrame) -> DataFrame:
@@ -117,12 +166,13 @@ def _distance(rows: DataFrame) -> DataFrame:
 
 
 def fit(rows: DataFrame) -> DataFrame:
-    """(lang, source, key, mean, factor): the estimate by which each language and source is judged.
+    """(lang, source, start, det, mean, factor): the estimate by which each language and source is judged.
 
     ``rows`` are the output of ``counts``. Groups below ``MIN_ROWS`` rows that pass the fixed rules
     use the language's or the corpus's estimate; a corpus below it has none.
     """
-    passed = materialise(rows.where("NOT _base_failed").select("lang", "source", *_X), "quality-vectors")
+    whole = [F.floor(F.col(x) * (1 << UNIT_BITS) + 0.5).cast("long").alias(q) for x, q in zip(_X, _Q)]
+    passed = materialise(rows.where("NOT _base_failed").select("lang", "source", *whole), "quality-vectors")
     by_source, by_lang, corpus = _keys()
     sources = passed.groupBy("lang", "source").agg(F.count("*").alias("n"))
     langs = sources.groupBy("lang").agg(F.sum("n").alias("of_lang")).withColumnRenamed("lang", "_lang")
@@ -131,23 +181,13 @@ def fit(rows: DataFrame) -> DataFrame:
                                       .when(F.col("of_lang") >= MIN_ROWS, by_lang).otherwise(corpus).alias("key")), "quality-keys")
 
     needed = judged.select("key").distinct()
-    vectors = passed.select(F.explode(F.array(by_source, by_lang, corpus)).alias("key"), *_X).join(small_side(needed), "key")
-    medians = vectors.groupBy("key").agg(F.count("*").alias("n"), *[F.percentile_approx(x, 0.5, 1000).alias(f"m{i}") for i, x in enumerate(_X)])
-    identity = {f"l{i}{j}": F.lit(4 * FLOORS[i] if i == j else 0.0) for i in _P for j in range(i + 1)}
-    enough = medians.where(F.col("n") >= MIN_ROWS)
-    estimate = materialise(enough.select("key", *[f"m{i}" for i in _P]).withColumns(identity), "quality-start")
+    vectors = passed.select(F.explode(F.array(by_source, by_lang, corpus)).alias("key"), *_Q).join(small_side(needed), "key")
+    vectors = vectors.withColumns({x: F.col(q) / float(1 << UNIT_BITS) for x, q in zip(_X, _Q)})
+    estimate = materialise(_starts(vectors), "quality-start")
     for _ in range(STEPS):
-        placed = _distance(vectors.join(small_side(estimate), "key")).withColumn("bin", F.floor(BINS * F.log(F.col("_d2") + 1e-6)).cast("int"))
-        sums = placed.groupBy("key", "bin").agg(
-            F.count("*").alias("n"), *[F.sum(_X[i]).alias(f"s{i}") for i in _P],
-            *[F.sum(F.col(_X[i]) * F.col(_X[j])).alias(f"s{i}{j}") for i in _P for j in range(i + 1)])
-        below = Window.partitionBy("key").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-        nearest = (sums.withColumn("before", F.coalesce(F.sum("n").over(below), F.lit(0)))
-                   .withColumn("all", F.sum("n").over(Window.partitionBy("key")))
-                   .where(F.col("before") < SUBSET * F.col("all")))
-        moments = nearest.groupBy("key").agg(*[F.sum(c).alias(c) for c in sums.columns if c not in ("key", "bin")])
-        estimate = materialise(_factor(moments, CONSISTENCY), "quality-step")
-    return judged.join(estimate, "key", "left").drop("key")
+        estimate = materialise(_factor(_step(vectors, estimate.select("key", "start", *_ESTIMATE)), CONSISTENCY), "quality-step")
+    best = estimate.groupBy("key").agg(F.min_by(F.struct("start", "det", *_ESTIMATE), F.struct("det", "start")).alias("e")).select("key", "e.*")
+    return judged.join(best, "key", "left").drop("key")
 
 
 def verdicts(rows: DataFrame, estimates: DataFrame) -> DataFrame:
