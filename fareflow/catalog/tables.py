@@ -83,9 +83,10 @@ class Tables:
 
     @cached_property
     def _lines(self) -> DataFrame:
-        return (self.lineitem.join(self.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-                .join(self.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-                .join(self.customer, F.col("o_custkey") == F.col("c_custkey")))
+        """Orders meet their customers first, so that the line items are exchanged once, by order."""
+        orders = self.orders.join(self.customer, F.col("o_custkey") == F.col("c_custkey"))
+        return (self.lineitem.join(self.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+                .join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
 
     def _select(self, prefix: str, extra: dict[str, str], where: str | None = None) -> DataFrame:
         rows = self._lines.filter(where) if where else self._lines

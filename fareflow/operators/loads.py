@@ -113,8 +113,8 @@ def append_missing(target: Target, source: DataFrame, key: str) -> None:
 
     The partition column must follow from the key, as a month does from an id that hashes the time:
     the target is then read in the source's partitions only. The source is written once, as a staging
-    table; the target's distinct keys are written too, so that adaptive execution can split a hot key
-    of the source against a plain table.
+    table. Each side is exchanged once and directly below the join, where adaptive execution can split a
+    hot key of the source; an anti join needs no distinct keys on its right.
     """
     spark = source.sparkSession
     if not hasattr(source, "written_to"):  # a table that is written already serves as its own staging table
@@ -123,7 +123,7 @@ def append_missing(target: Target, source: DataFrame, key: str) -> None:
     if target.by:
         values = [r[0] for r in source.select(target.by).distinct().collect()]
         known = known.where(_in(target.by, values))
-    known = materialise(known.select(key).distinct(), "known-keys")
+    known = known.select(key).where(F.col(key).isNotNull())
     _write(source.join(known, key, "left_anti").select(*source.columns), target, "append")
 
 

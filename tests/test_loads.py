@@ -1,15 +1,21 @@
 """Load, merge, cursor, schema and nested-document behaviour on small golden inputs."""
 
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from conftest import SF_DIR
+
+from __spark_entry__ import queries
+from fareflow import session
+from fareflow.catalog import tables
 from fareflow.functions import columns as C
 from fareflow.functions.names import snake_case
 from fareflow.operators import joins, loads, nested, quality
-from fareflow.session import fresh_path
+from fareflow.session import fresh_path, materialise
 
 
 @pytest.fixture
@@ -120,6 +126,36 @@ def test_append_missing_reads_the_partitions_of_the_source(spark, path):
     assert sorted((r["id"], r["n"]) for r in table.read(spark).filter("month = 'b'").collect()) == [("b-0", 0), ("b-1", 1), ("b-2", 2), ("b-9", 6)]
 
 
+def test_append_missing_writes_the_new_rows_only(spark, path):
+    """Copies of a key on both sides and rows without one; the target's keys are not written a second time."""
+    rows = lambda *r: spark.createDataFrame(r, "id string, n int")
+    table = loads.create(spark, path, rows().schema)
+    loads.append(table, rows(("hot", 1), ("hot", 2), (None, 3), ("a", 4)))
+    staged = materialise(rows(("hot", 5), ("hot", 5), (None, 6), ("b", 7), ("b", 7)), "staged")
+    folder = os.path.dirname(staged.written_to)
+    before = set(os.listdir(folder))
+    loads.append_missing(table, staged, "id")
+    assert set(os.listdir(folder)) == before
+    got = sorted((tuple(r) for r in table.read(spark).collect()), key=repr)
+    assert got == sorted([("hot", 1), ("hot", 2), (None, 3), ("a", 4), (None, 6), ("b", 7), ("b", 7)], key=repr)
+
+
+def test_merged_digests_are_kept_as_bytes(spark):
+    folder = session.shared_folder(spark)
+    before = set(os.listdir(folder))
+    ids = queries()["m02_insert_only_merge"](spark, SF_DIR).select("unique_row_id")
+    assert ids.filter("unique_row_id rlike '^[0-9a-f]{32}$'").count() == ids.count() > 0
+    for new in set(os.listdir(folder)) - before:
+        assert spark.read.parquet(f"{folder}/{new}").schema["unique_row_id"].dataType == T.BinaryType()
+
+
+def test_trip_orders_meet_their_customers_before_the_line_items(spark):
+    """So that the line items are not exchanged once more, by customer."""
+    plan = tables.Tables(spark, SF_DIR).trips._jdf.queryExecution().analyzed().toString()
+    depth = {k: next(x for x in plan.splitlines() if "Join" in x and k in x).index("Join") for k in ("o_custkey", "l_orderkey")}
+    assert depth["o_custkey"] > depth["l_orderkey"]
+
+
 def test_known_row_with_another_instant(spark, path):
     """The key holds whole seconds: a known row just below the source's first instant is still found."""
     at = lambda micros: datetime.datetime(2024, 1, 1, 12, 0, 5, micros)
