@@ -96,17 +96,16 @@ def parquet_glob(t):
 @query("s06_detected_format", """SELECT 'csv' AS format, count(*) AS n FROM trips UNION ALL
        SELECT 'csv.gz', count(*) FROM trips UNION ALL SELECT 'parquet', count(*) FROM trips""", "trips")
 def detected_format(t):
-    rows, out = yellow_rows(t), None
-    root = t.scratch("any")
+    """The feed is built once: the text formats are written from the Parquet folder."""
+    root, parts = t.scratch("any"), {}
+    yellow_rows(t).write.parquet(f"{root}/trips.parquet")
+    rows = t.spark.read.parquet(f"{root}/trips.parquet")
+    write_csv(rows, f"{root}/trips.csv")
+    write_csv(rows, f"{root}/trips.csv.gz", compression="gzip")
     for suffix in ("csv", "csv.gz", "parquet"):
-        path = f"{root}/trips.{suffix}"
-        if suffix == "parquet":
-            rows.write.parquet(path)
-        else:
-            write_csv(rows, path, **({"compression": "gzip"} if suffix.endswith("gz") else {}))
-        part = readers.read_any(t.spark, path, feed="yellow").agg(F.lit(suffix).alias("format"), F.count(F.lit(1)).alias("n"))
-        out = part if out is None else out.unionAll(part)
-    return out
+        df = readers.read_any(t.spark, f"{root}/trips.{suffix}", feed="yellow")
+        parts[suffix] = df.agg(F.lit(suffix).alias("format"), F.count(F.lit(1)).alias("n"))
+    return parts["csv"].unionAll(parts["csv.gz"]).unionAll(parts["parquet"])
 
 
 @query("s07_union_by_name", """SELECT l_returnflag, count(*) AS n, count(l_tax) FILTER (l_linestatus = 'F') AS with_tax
