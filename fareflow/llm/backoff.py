@@ -3,342 +3,121 @@
 The score of a text is a sum over its words: log(f(cw) / f(c)) where the word w follows c and the
 pair occurs at least ``MIN_COUNT`` times in the corpus, else log(f(w) / N), with log(0.4) added
 unless w is the first word. f counts words and pairs within texts, N is the number of all words.
-Every distinct word and pair is counted, at any size of the corpus.
-
-The ``VOCABULARY`` most frequent words have numbers, and their counts are looked up. A pair of such
-words is two numbers in one integer. Its occurrences are exploded to rows (pair, text),
-partitioned by a hash of the pair and sorted, so that the counts and their join to the occurrences
-come from one pass over a partition; partial sums then meet by text. Pairs that are frequent in a
-sample of the corpus are counted exactly in a table of bounded size and looked up where the texts
-are read. That table only spares rows and keeps any pair from filling one partition; which pairs it
-holds does not change a score.
-
-Every occurrence of any other, rare, word is one row (word, word before, word behind, text), partitioned
-by a hash of the rare word. Its partition then holds all pairs that the word is part of. Where both words
-of a pair are rare, the pair and the text appear under either word, and each adds the part of the score
-that its own count gives. A rare word has at most 1 / ``VOCABULARY`` of all occurrences, so no group is hot.
+Every distinct word and pair is counted, in the same way at any size of the corpus.
+
+Texts are dealt to blocks of about ``BLOCK_BYTES`` by a hash of the row. A block asks for the counts of
+its distinct words and pairs, each known by 64 bits of hash. Hashes are cut into as many ranges as there are
+blocks, and what a block asks of a range is one row: its hashes in order and how often the block
+holds each. A range meets the questions of all blocks, adds them up and answers each with the counts in the order
+of the question; a block then scores its texts by the answers. So no block, range or row outgrows a fixed size
+as the corpus grows, a word or pair comes at most once from each block however frequent it is, and
+what is exchanged grows with the words of the corpus.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from fareflow.llm.columns import only
-from fareflow.llm.words import Words, mix, row_slices
-from fareflow.session import materialise
+from fareflow.llm.words import Words, mix2, row_slices
 
-#: Words with counts at every worker.
-VOCABULARY = 1 << 18
 MIN_COUNT = 2
 BACKOFF = math.log(0.4)
-#: Pairs counted ahead, and about how many texts they are drawn from.
-FREQUENT, SAMPLE_DOCS = 1 << 19, 20_000
-#: Rows put together before their counts are made.
-HELD_ROWS = 1 << 20
-
-_WORD_BITS = 19  # a vocabulary number
-_TAG_BITS = 24
-_HEADER = 1 << (2 * _WORD_BITS)
-_NONE = 1 << 62  # no word before or behind
-
-
-class Index:
-    """Position of 64-bit keys in the list they were given in, -1 for others; open addressing.
-
-    Only the keys are sent to workers; each builds its table when it is first asked.
-    """
-
-    def __init__(self, keys: np.ndarray):
-        self.keys, self.key = keys, None
-
-    def __getstate__(self) -> dict:
-        return {"keys": self.keys, "key": None}
-
-    def _build(self) -> None:
-        keys = self.keys
-        self.bits = max(4, int(2 * len(keys)).bit_length())
-        size = 1 << self.bits
-        self.key, self.place = np.zeros(size, np.uint64), np.full(size, -1, np.int32)
-        left, slot = np.arange(len(keys)), self._slot(keys)
-        while len(left):
-            free = np.flatnonzero(self.place[slot] < 0)
-            _, winners = np.unique(slot[free], return_index=True)
-            won = free[winners]
-            self.key[slot[won]], self.place[slot[won]] = keys[left[won]], left[won]
-            lost = np.ones(len(left), bool)
-            lost[won] = False
-            left, slot = left[lost], (slot[lost] + 1) & (size - 1)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (mix(keys, 77) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        if self.key is None:
-            self._build()
-        slot = self._slot(keys)
-        out = self.place[slot]
-        wrong = np.flatnonzero((out >= 0) & (self.key[slot] != keys))
-        while len(wrong):
-            slot[wrong] = (slot[wrong] + 1) & (len(self.key) - 1)
-            out[wrong] = self.place[slot[wrong]]
-            wrong = wrong[(out[wrong] >= 0) & (self.key[slot[wrong]] != keys[wrong])]
-        return out
-
-
-@dataclass
-class Vocabulary:
-    index: Index
-    count: np.ndarray  # by number
-    total: int
-
-    def pairs(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Number of each word (-1 for a rare one), and the pair that ends with it (-1 for a first word or with a rare word)."""
-        number = self.index.find(words.hashes(1)).astype(np.int64)
-        pair = np.full(len(number), -1)
-        pair[1:] = np.where((number[:-1] < 0) | (number[1:] < 0), -1, number[:-1] << _WORD_BITS | number[1:])
-        pair[_first_words(words)] = -1
-        return number, pair
-
-    def rare(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Place, name, word before and word behind of each rare word; names are negative, numbers are not."""
-        named = words.hashes(1)
-        name = self.index.find(named).astype(np.int64)
-        at = np.flatnonzero(name < 0)
-        name[at] = (named[at] | np.uint64(1 << 63)).view(np.int64)
-        before, behind = np.full(len(name), _NONE), np.full(len(name), _NONE)
-        before[1:], behind[:-1] = name[:-1], name[1:]
-        lead = _first_words(words)
-        before[lead], behind[lead[lead > 0] - 1] = _NONE, _NONE
-        return at, name[at], before[at], behind[at]
-
-
-def _first_words(words: Words) -> np.ndarray:
-    return words.first[:-1][np.diff(words.first) > 0]
-
-
-def _starts(*sorted_columns: np.ndarray) -> np.ndarray:
-    """Where a run of equal rows begins."""
-    new = np.ones(len(sorted_columns[0]), bool)
-    new[1:] = np.any([c[1:] != c[:-1] for c in sorted_columns], axis=0)
-    return np.flatnonzero(new)
-
+#: Text in a block, unless one text has more, and the fewest blocks.
+BLOCK_BYTES, FEWEST_BLOCKS = 8 << 20, 32
 
-def _run_sizes(*columns: np.ndarray) -> np.ndarray:
-    """For each row the number of rows equal to it."""
-    order = np.lexsort(columns)
-    size = np.diff(np.append(_starts(*[c[order] for c in columns]), len(order)))
-    out = np.zeros(len(order), np.int64)
-    out[order] = np.repeat(size, size)
-    return out
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """64-bit numbers as all their first bytes, all their second bytes and so on, which compress well."""
+    return numbers.view(np.uint8).reshape(-1, 8).T.tobytes()
 
-def _added(key: np.ndarray, tag: np.ndarray, *measures: np.ndarray) -> pa.RecordBatch:
-    """Sums by text."""
-    order = np.lexsort((tag, key))
-    key, tag = key[order], tag[order]
-    head = _starts(key, tag)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(key[head]), pa.array(tag[head]), *[pa.array(np.add.reduceat(m[order], head)) for m in measures]],
-        ["_key", "_tag", "value", "back", "words", "rows"])
 
+def _unpacked(column: pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view(np.uint64).ravel() for x in column.to_pylist()]
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], column: str, shift: int) -> Iterator[pa.Table]:
-    """Sorted rows in tables of about ``HELD_ROWS``; rows equal in ``column``, without its last bits, stay together."""
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += len(batch)
-        if size < HELD_ROWS:
-            continue
-        table = pa.Table.from_batches(held)
-        group = table[column].to_numpy() >> shift
-        cut = int(np.searchsorted(group, group[-1]))  # the last group may go on
-        if cut:
-            yield table.slice(0, cut)
-            held, size = table.slice(cut).to_batches(), len(table) - cut
-    if size:
-        yield pa.Table.from_batches(held)
 
+def _names(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words and then of all pairs, and the place of each pair's second word."""
+    word = words.hashes(1)
+    inner = np.ones(len(word), bool)
+    inner[words.first[:-1][np.diff(words.first) > 0]] = False
+    second = np.flatnonzero(inner)
+    return np.concatenate([word, mix2(word[second - 1], word[second], 2)]), second
 
-def _summed(parts: Iterator[np.ndarray], name: str) -> Iterator[pa.RecordBatch]:
-    """(key, n) of arrays of keys, added up over many of them before they leave the task."""
-    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for part in parts:
-        k, n = np.unique(part, return_counts=True)
-        keys, counts = np.concatenate([keys, k]), np.concatenate([counts, n])
-        if len(keys) >= 2 * HELD_ROWS:
-            keys, back = np.unique(keys, return_inverse=True)
-            counts = np.bincount(back, counts).astype(np.int64)
-            if len(keys) >= HELD_ROWS:
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], [name, "n"])
-                keys, counts = keys[:0], counts[:0]
-    if len(keys):
-        keys, back = np.unique(keys, return_inverse=True)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.bincount(back, counts).astype(np.int64))], [name, "n"])
 
+def _size(rows: DataFrame) -> tuple[int, int]:
+    """Bytes and words of all texts."""
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = count = 0
+        for batch in batches:
+            for a, b in row_slices(batch.column("text")):
+                words = Words.of(batch.column("text").slice(a, b - a))
+                size, count = size + len(words.data), count + len(words.start)
+        yield pa.RecordBatch.from_arrays([pa.array([size]), pa.array([count])], ["size", "words"])
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
-    for batch in batches:
-        for a, b in row_slices(batch.column("text")):
-            yield Words.of(batch.column("text").slice(a, b - a))
-
-
-def vocabulary(rows: DataFrame, size: int = VOCABULARY) -> Vocabulary:
-    """Count all words of all texts; the driver keeps the ``size`` most frequent ones."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _summed((w.hashes(1).view(np.int64) for w in _texts(batches)), "word")
-
-    counts = rows.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = materialise(counts, "unigrams")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    top = counts.orderBy(F.desc("n"), "word").limit(size).toArrow()
-    n = top["n"].to_numpy()
-    return Vocabulary(Index(top["word"].to_numpy().view(np.uint64)), n, total)
-
-
-def _frequent(rows: DataFrame, shared: Broadcast, size: int, sample_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that are frequent in a sample, with their exact counts over all texts."""
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _summed((p[p >= 0] for w in _texts(batches) for p in [shared.value.pairs(w)[1]]), "pair")
-
-    share = int(min(1.0, sample_docs / max(rows.count(), 1)) * 1_000_000)
-    drawn = rows.where(F.pmod("_key", F.lit(1_000_000)) < share).select("text")
-    found = (drawn.mapInArrow(pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-             .where("n > 1").orderBy(F.desc("n"), "pair").limit(size).select("pair").toArrow()["pair"].to_numpy())
-    codes = np.sort(found)
-    known = rows.sparkSession.sparkContext.broadcast(Index(codes.view(np.uint64)))
-
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(len(codes) + 1, np.int64)
-        for w in _texts(batches):
-            sums += np.bincount(known.value.find(shared.value.pairs(w)[1].view(np.uint64)) + 1, minlength=len(sums))
-        at = np.flatnonzero(sums[1:])
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[1:][at])], ["slot", "n"])
-
-    counts = np.zeros(len(codes), np.int64)
-    if len(codes):
-        table = rows.select("text").mapInArrow(exact, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-        counts[table["slot"].to_numpy()] = table["n"].to_numpy()
-    return codes, counts
+    found = rows.select("text").mapInArrow(sizes, "size long, words long").agg(F.sum("size"), F.sum("words")).first()
+    return found[0] or 0, found[1] or 0
 
 
-def score(docs: DataFrame, vocabulary_size: int = VOCABULARY, frequent: int = FREQUENT, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+def score(docs: DataFrame, vocabulary_size: int | None = None, frequent: int | None = None, sample_docs: int | None = None, *,
+          block_bytes: int = BLOCK_BYTES, fewest_blocks: int = FEWEST_BLOCKS) -> DataFrame:
     """(doc_id, n_words, n_backoff, log_score) of every row.
 
     ``n_backoff`` counts words scored by their own frequency, the first word not included. Null and
-    empty texts have no words and the score 0. Equal rows are counted as texts of their own.
+    empty texts have no words and the score 0. Equal rows are counted as texts of their own, and are in one block.
+    Words were once looked up in tables of the sizes ``vocabulary_size`` and ``frequent``, the latter drawn
+    from ``sample_docs`` texts; there are no such tables any more, and these arguments have no effect.
     """
-    sc = docs.sparkSession.sparkContext
-    text, own = F.coalesce("text", F.lit("")), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))
-    rows = only(docs, "doc_id", "text").withColumns({
-        "_key": F.xxhash64(own, text), "_tag": F.xxhash64(text, own).bitwiseAND((1 << _TAG_BITS) - 1)})
-    words = sc.broadcast(vocabulary(rows, vocabulary_size))
-    codes, counts = _frequent(rows, words, frequent, sample_docs)
-    known = sc.broadcast((Index(codes.view(np.uint64)), np.append(counts, 0)))
-
-    def logs(model: Vocabulary) -> tuple[np.ndarray, float]:
-        return np.log(np.maximum(model.count, 1)), math.log(max(model.total, 1))
-
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, (index, number) = words.value, known.value
-        log_f, log_n = logs(model)
-        for batch in batches:
-            keys, tags = (batch.column(c).to_numpy() for c in ("_key", "_tag"))
-            for a, b in row_slices(batch.column("text")):
-                w = Words.of(batch.column("text").slice(a, b - a))
-                word, pair = model.pairs(w)
-                lead = _first_words(w)
-                lead = lead[word[lead] >= 0]
-                at = index.find(pair.view(np.uint64))
-                f = number[at]
-                direct = (at >= 0) & (f >= MIN_COUNT)
-                behind = (at >= 0) & (f < MIN_COUNT)
-                value = np.zeros(len(word))
-                value[direct] = np.log(f[direct]) - log_f[pair[direct] >> _WORD_BITS]
-                value[behind] = BACKOFF + log_f[word[behind]] - log_n
-                value[lead] = log_f[word[lead]] - log_n
-                text = w.text_of_word()
-                known_sum = np.bincount(text, value, minlength=b - a)
-                known_back = np.bincount(text, behind, minlength=b - a).astype(np.int64)
-                left = np.flatnonzero((pair >= 0) & (at < 0))
-                key, tag = keys[a:b], tags[a:b]
-                own = _HEADER + 4 * (key & 0xFFFF)
-                packed = [pair[left] << _TAG_BITS | tag[text[left]], *(own + kind << _TAG_BITS | tag for kind in range(3))]
-                extra = [np.zeros(len(left), np.int64), known_sum.view(np.int64), np.diff(w.first), known_back]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(packed)), pa.array(np.concatenate([key[text[left]], key, key, key])), pa.array(np.concatenate(extra))],
-                    ["packed", "_key", "extra"])
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log_f, log_n = logs(words.value)
-        for table in _whole_groups(batches, "packed", _TAG_BITS):
-            packed, key, extra = (table[c].to_numpy() for c in ("packed", "_key", "extra"))
-            pair, tag = packed >> _TAG_BITS, packed & ((1 << _TAG_BITS) - 1)
-            kind = np.where(pair < _HEADER, -1, pair & 3)
-            own = np.flatnonzero(kind < 0)
-            count = np.diff(np.append(_starts(pair[own]), len(own)))
-            f = np.repeat(count, count)
-            value, back = np.zeros(len(pair)), np.zeros(len(pair), np.int64)
-            c, w = pair[own] >> _WORD_BITS, pair[own] & ((1 << _WORD_BITS) - 1)
-            value[own] = np.where(f >= MIN_COUNT, np.log(f) - log_f[c], BACKOFF + log_f[w] - log_n)
-            back[own] = f < MIN_COUNT
-            value[kind == 0] = np.ascontiguousarray(extra[kind == 0]).view(np.float64)
-            back[kind == 2] = extra[kind == 2]
-            yield _added(key, tag, value, back, np.where(kind == 1, extra, 0), (kind == 0).astype(np.int64))
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = words.value
-        for batch in batches:
-            keys, tags = (batch.column(c).to_numpy() for c in ("_key", "_tag"))
-            for a, b in row_slices(batch.column("text")):
-                w = Words.of(batch.column("text").slice(a, b - a))
-                at, *names = model.rare(w)
-                text = w.text_of_word()[at] + a
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (*names, keys[text], tags[text])], ["word", "before", "behind", "_key", "_tag"])
-
-    def rare_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log_f, log_n = logs(words.value)
-        for table in _whole_groups(batches, "word", 0):
-            word, before, behind, key, tag = (table[c].to_numpy() for c in ("word", "before", "behind", "_key", "_tag"))
-            own = np.log(_run_sizes(word))
-            none = np.zeros(len(word), np.int64)
-            # The pair that ends with the rare word.
-            f, known = _run_sizes(word, before), (before >= 0) & (before != _NONE)
-            single = (f < MIN_COUNT) & (before != _NONE)
-            value = np.where(single, BACKOFF + own - log_n, np.log(f))
-            value[before == _NONE] = own[before == _NONE] - log_n
-            often = np.flatnonzero(known & ~single)
-            value[often] -= log_f[before[often]]
-            # The pair that begins with it: the count of a rare second word is added under that word.
-            f, known = _run_sizes(word, behind), (behind >= 0) & (behind != _NONE)
-            often = (f >= MIN_COUNT) & (behind != _NONE)
-            value[often] -= own[often]
-            value[often & known] += np.log(f[often & known])
-            alone = np.flatnonzero(known & ~often)
-            value[alone] += BACKOFF + log_f[behind[alone]] - log_n
-            back = single.astype(np.int64)
-            back[alone] += 1
-            yield _added(key, tag, value, back, none, none)
-
-    exploded = rows.select("text", "_key", "_tag").mapInArrow(explode, "packed long, _key long, extra long")
-    parted = exploded.repartition(F.shiftright("packed", _TAG_BITS)).sortWithinPartitions("packed")
-    parted_rare = (rows.select("text", "_key", "_tag").mapInArrow(rare, "word long, before long, behind long, _key long, _tag long")
-                   .repartition("word").sortWithinPartitions("word"))
-    parts = "_key long, _tag long, value double, back long, words long, rows long"
-    totals = parted.mapInArrow(joined, parts).unionAll(parted_rare.mapInArrow(rare_joined, parts)).groupBy("_key", "_tag").agg(
-        *[F.sum(c).alias(c) for c in ("value", "back", "words", "rows")])
-    # Equal rows have one key; their sums are shared out evenly.
-    return rows.select("doc_id", "_key", "_tag").join(totals, ["_key", "_tag"]).select(
-        "doc_id", F.expr("words div rows").alias("n_words"), F.expr("back div rows").alias("n_backoff"),
-        (F.col("value") / F.col("rows")).alias("log_score"))
+    rows = only(docs, "doc_id", "text")
+    size, total = _size(rows)
+    n = max(fewest_blocks, -(-size // block_bytes))
+    log_n = math.log(max(total, 1))
+    own = F.xxhash64(F.coalesce("text", F.lit("")), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
+    blocks = rows.withColumn("_block", F.pmod(own, F.lit(n)).cast("int")).repartition(n, "_block")
+
+    def ask(texts: pa.Table) -> pa.Table:
+        name, count = np.unique(_names(Words.of(texts["text"]))[0], return_counts=True)
+        reach = ((name >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)  # ascending, as the names are
+        part, first = np.unique(reach, return_index=True)
+        cuts = [*zip(first.tolist(), [*first[1:].tolist(), len(name)])]
+        return pa.table({
+            "_block": pa.array([texts["_block"][0].as_py()] * len(part), pa.int32()), "_range": pa.array(part, pa.int32()),
+            "names": pa.array([_packed(np.diff(name[a:b], prepend=np.uint64(0))) for a, b in cuts], pa.binary()),
+            "counts": pa.array([_packed(count[a:b]) for a, b in cuts], pa.binary())})
+
+    def answer(asked: pa.Table) -> pa.Table:
+        names = [np.cumsum(x, dtype=np.uint64) for x in _unpacked(asked["names"])]
+        _, place = np.unique(np.concatenate(names), return_inverse=True)
+        added = np.bincount(place, np.concatenate(_unpacked(asked["counts"]))).astype(np.int64)[place]
+        parts = np.split(added, np.cumsum([len(x) for x in names])[:-1])
+        return pa.table({"_block": asked["_block"], "_range": asked["_range"], "counts": pa.array([_packed(x) for x in parts], pa.binary())})
+
+    def scored(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        words = Words.of(texts["text"])
+        names, second = _names(words)
+        name, place = np.unique(names, return_inverse=True)
+        count = np.concatenate([np.zeros(0, np.uint64), *_unpacked(answers.sort_by("_range")["counts"])])
+        if len(count) != len(name):
+            raise ValueError("a block was read with other texts than before")
+        f = count[place].astype(np.float64)
+        word, pair, text = f[:len(words.start)], f[len(words.start):], words.text_of_word()
+        value = np.log(word) - log_n
+        often = pair >= MIN_COUNT
+        value[second] = np.where(often, np.log(pair) - np.log(word[second - 1]), BACKOFF + value[second])
+        return pa.table({
+            "doc_id": texts["doc_id"], "n_words": np.diff(words.first).astype(np.int64),
+            "n_backoff": np.bincount(text[second], ~often, minlength=len(texts)).astype(np.int64),
+            "log_score": np.bincount(text, value, minlength=len(texts)).astype(np.float64)})
+
+    asked = blocks.groupBy("_block").applyInArrow(ask, "_block int, _range int, names binary, counts binary")
+    answers = asked.repartition(n, "_range").groupBy("_range").applyInArrow(answer, "_block int, _range int, counts binary")
+    return blocks.groupBy("_block").cogroup(answers.repartition(n, "_block").groupBy("_block")).applyInArrow(
+        scored, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_words long, n_backoff long, log_score double")
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -238,6 +238,41 @@ def test_scores_do_not_depend_on_the_vocabulary(spark, docs):
     assert backoff.score(df.limit(0)).collect() == []
 
 
+def rows_made(df):
+    """Most rows that one operator of a plan that has run gave out."""
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        made = node.metrics().get("numOutputRows")
+        below = [walk(node.children().apply(i)) for i in range(node.children().size())]
+        return max([made.get().value() if made.isDefined() else 0, *below])
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_rows_of_counts_grow_with_the_input(spark):
+    """A frequent pair, rare words and words seen once; the same texts in few and many blocks."""
+    rng = np.random.default_rng(1)
+    text = lambda i: " ".join(f"hot pair w{rng.zipf(1.3) % 5000} r{i}x{k}" for k in range(60))
+    rows, made, scores = [(i, text(i)) for i in range(500)], {}, {}
+    for n, blocks in ((100, 4), (500, 20), (500, 4)):
+        df = backoff.score(spark.createDataFrame(rows[:n], "doc_id long, text string").repartition(n // 25), fewest_blocks=blocks)
+        scores[n, blocks] = {r.doc_id: (r.n_words, r.n_backoff, round(r.log_score, 6)) for r in df.collect()}
+        made[n, blocks] = rows_made(df)
+    assert scores[500, 4] == scores[500, 20] and len(scores[500, 4]) == 500
+    f1 = Counter(w for _, t in rows for w in t.split())
+    f2 = Counter(p for _, t in rows for p in zip(t.split(), t.split()[1:]))
+    total = sum(f1.values())
+    for i in (0, 77, 499):
+        t = rows[i][1].split()
+        want = math.log(f1[t[0]] / total) + sum(
+            math.log(f2[p] / f1[p[0]]) if f2[p] >= 2 else math.log(0.4) + math.log(f1[p[1]] / total) for p in zip(t, t[1:]))
+        assert scores[500, 20][i] == (240, sum(f2[p] < 2 for p in zip(t, t[1:])), round(want, 6))
+    assert made[100, 4] == 100 and made[500, 20] <= 500  # texts, or one row for each block and range
+
+
 # ---- pipeline ------------------------------------------------------------
 def test_pipeline_stages_take_effect(spark):
     from fareflow.llm import decontamination, quality, simhash, substring_dedup
