@@ -16,204 +16,278 @@ BLOCK_IDS = 4096
 #: Blocks in step; about 50 MB of tables.
 LANES = 2048
 
-_ORDER1, _ORDER2 = 10, 12  # bits of the tables
-_TOP, _BOTTOM, _MASK = 1 << 24, 1 << 16, 0xFFFFFFFF
+_SLOTS = 1 << 10, 1 << 12  # of the tables
+_FACTORS, _SHIFTS, _MASKS = np.array([[40503], [31337]]), np.array([[4], [3]]), np.array(_SLOTS)[:, None] - 1
+_BITS = 61
+_FLOOR, _LEAST = 1 << _BITS - 16, 1 << 40  # a literal narrows by 38 bits at most
 _RATE, _LEARN = 4, 10
 
 # Logistic tables on integers: probabilities of 12 bits, logits in 1/256.
 _p = (np.arange(4096) + 0.5) / 4096
 _STRETCH = np.round(256 * np.log(_p / (1 - _p))).astype(np.int64)
 _SQUASH = np.clip(np.round(65536 / (1 + np.exp(-np.arange(-2048, 2048) / 256))), 32, 65504).astype(np.int64)
+#: Where a probability moves to after a miss and a hit; it stays within 32 and 65504.
+_TARGET = np.array([47, 65504])
+_ALL = np.array([0, 65535])
+#: Twice the confidence after an id, by twice the one before if the id is the remembered one; else that of 1.
+_SURER = np.array([min(c + 2, 32) if c <= 32 else 2 for c in range(65)], np.int32)
+#: Counts above this one are halved, so that 16 of them add up to 16 bits.
+_MOST = 4094
+_ONES = np.arange(17, dtype=np.uint16)
+_ROW = np.dtype("V34")
+_CELLS = np.arange(0, 17 * 2 * LANES, 17)
+_STEP = np.array([[32 * (i > v) for i in range(17)] for v in range(16)], np.uint16).reshape(-1).view(_ROW)
 
 
 class _Model:
-    """What all lanes have learned so far. ``n`` lanes, of which the first ones are active."""
+    """What all lanes have learned so far; lanes leave from the end.
+
+    Pairs of rows belong to order 1 and order 2. Tables are flat, one stretch for each lane.
+    """
 
     def __init__(self, n: int):
-        self.id1, self.id2 = np.zeros((n, 1 << _ORDER1), np.uint16), np.zeros((n, 1 << _ORDER2), np.uint16)
-        self.sure1, self.sure2 = np.zeros((n, 1 << _ORDER1), np.uint8), np.zeros((n, 1 << _ORDER2), np.uint8)
-        self.hit2, self.hit1 = np.full((n, 17), 32768, np.int64), np.full((n, 34), 32768, np.int64)
-        self.alone = np.full((n, 17), 32768, np.int64)
-        self.weights = np.full((n, 2), 32768, np.int64)
-        self.counts = np.full((n, 17, 16), 4, np.int32)  # of high halves; of low halves by high half
-        self.last, self.before = np.zeros(n, np.int64), np.zeros(n, np.int64)
-
-    def predict(self, n: int) -> None:
-        self.rows = rows = np.arange(n)
-        self.at1 = (self.last[:n] * 40503 >> 4) & ((1 << _ORDER1) - 1)
-        self.at2 = ((self.last[:n] * 31337 + self.before[:n] * 40503) >> 3) & ((1 << _ORDER2) - 1)
-        self.c1, self.c2 = self.sure1[rows, self.at1], self.sure2[rows, self.at2]
-        self.first_guess = np.where(self.c2 > 0, self.id2[rows, self.at2], self.id1[rows, self.at1]).astype(np.int64)
-        self.second_guess = self.id1[rows, self.at1].astype(np.int64)
-        self.slot1 = self.c1 * 2 + (self.first_guess == self.second_guess)
-        self.s2, self.s1 = _STRETCH[self.hit2[rows, self.c2] >> 4], _STRETCH[self.hit1[rows, self.slot1] >> 4]
-        dot = (self.weights[:n, 0] * self.s2 + self.weights[:n, 1] * self.s1) >> 16
-        self.p = _SQUASH[np.clip(dot, -2047, 2047) + 2048]
+        self.lanes, self.ids = n, np.zeros(n * sum(_SLOTS), np.int32)  # id << 6 | twice the confidence
+        self.hits, self.alone = np.full(n * 68, 32768), np.full(n * 34, 32768)
+        # Running counts of high halves and, by high half, of low halves: 17 numbers, moved as one.
+        self.ends = np.tile(np.arange(0, 68, 4, dtype=np.uint16), n * 17).view(_ROW)
+        self.weights = np.full((2, n), 32768)
+        self.last, self.before = np.zeros(n, np.int64), np.zeros(n, np.int64)  # before: already multiplied
+        self.keep(n)
+
+    def keep(self, n: int) -> None:
+        self.weights, self.last, self.before, rows = np.ascontiguousarray(self.weights[:, :n]), self.last[:n], self.before[:n], np.arange(n)
+        self.id_base = np.stack([rows * _SLOTS[0], rows * _SLOTS[1] + self.lanes * _SLOTS[0]])
+        self.hit_base, self.row_base, self.alone_base = np.stack([rows * 68, rows * 68 + 34]), rows * 17, rows * 34
+
+    def predict(self) -> None:
+        at = self.last * _FACTORS
+        before, self.before = self.before, at[0].copy()
+        at[1] += before
+        at >>= _SHIFTS
+        at &= _MASKS
+        at += self.id_base
+        self.at, self.known = at, self.ids.take(at)
+        guess = self.known >> 6
+        self.second_guess = guess[0]
+        self.first_guess = np.where(self.known[1] > 0, guess[1], guess[0])
+        self.same = self.first_guess == guess[0]
+        self.slot = (self.known & 63) + self.hit_base
+        self.slot[0] += self.same
+        self.seen = self.hits.take(self.slot)
+        self.told = _STRETCH.take(self.seen >> 4)
+        dot = self.weights * self.told
+        self.p = _SQUASH.take((dot[0] + dot[1] >> 16) + 2048, mode="clip")
 
     def learn_flag(self, hit: np.ndarray) -> None:
-        n, target = len(hit), np.where(hit, 65535, 0)
-        error = target - self.p
-        self.weights[:n, 0] += (self.s2 * error) >> (_LEARN + 6)
-        self.weights[:n, 1] += (self.s1 * error) >> (_LEARN + 6)
-        np.clip(self.weights[:n], -(1 << 20), 1 << 20, out=self.weights[:n])
-        _move(self.hit2, self.rows, self.c2, target)
-        _move(self.hit1, self.rows, self.slot1, target)
-
-    def count(self, rows: np.ndarray, of: np.ndarray | int, value: np.ndarray) -> None:
-        self.counts[rows, of, value] += 32
-        full = rows[self.counts[rows, of, value] > 4096]
-        if len(full):
-            of = of if isinstance(of, int) else of[self.counts[rows, of, value] > 4096]
-            self.counts[full, of] = (self.counts[full, of] + 1) >> 1
+        self.weights += self.told * (_ALL.take(hit) - self.p) >> _LEARN + 6
+        self.hits[self.slot] = _moved(self.seen, hit)
 
     def learn_id(self, ids: np.ndarray) -> None:
-        n = len(ids)
-        for table, sure, at in ((self.id1, self.sure1, self.at1), (self.id2, self.sure2, self.at2)):
-            same = (table[self.rows, at] == ids) & (sure[self.rows, at] > 0)
-            sure[self.rows, at] = np.where(same, np.minimum(sure[self.rows, at] + 1, 16), 1)
-            table[self.rows, at] = ids
-        self.before[:n], self.last[:n] = self.last[:n], ids
+        entry = ids << 6
+        self.ids[self.at] = _SURER.take(self.known ^ entry, mode="clip") | entry
+        self.last = ids.astype(np.int64)
 
 
-def _move(table: np.ndarray, rows: np.ndarray, at: np.ndarray, target: np.ndarray | int) -> None:
-    old = table[rows, at]
-    table[rows, at] = np.clip(old + ((target - old) >> _RATE), 32, 65504)
+def _moved(p: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    return p + (_TARGET.take(hit) - p >> _RATE)
 
 
 class _Coder:
-    """Low end and width of each lane's interval."""
+    """Widths of the lanes' intervals, of ``_BITS`` bits; a word is settled once its interval is below ``_FLOOR``."""
 
     def __init__(self, n: int):
-        self.low, self.width = np.zeros(n, np.int64), np.full(n, _MASK, np.int64)
+        self.lanes, self.width, self.size = n, np.full(n, 1 << _BITS), np.zeros(n, np.int64)
 
-    def narrow(self, rows: np.ndarray, offset: np.ndarray, width: np.ndarray) -> None:
-        self.low[rows] = (self.low[rows] + offset) & _MASK
-        self.width[rows] = width
+    def keep(self, n: int) -> None:
+        self.width = self.width[:n]
+
+    def settle(self, limit: int = _FLOOR) -> None:
+        """Moves words out of intervals below ``limit``. Lanes do so by their own width alone, as a reader has others beside them."""
+        rows = (self.width < limit).nonzero()[0]
         while len(rows):
-            low, width = self.low[rows], self.width[rows]
-            settled = (low ^ ((low + width) & _MASK)) < _TOP
-            thin = ~settled & (width < _BOTTOM)
-            if thin.any():
-                self.width[rows[thin]] = -low[thin] & (_BOTTOM - 1)
-            rows = rows[settled | thin]
-            if not len(rows):
-                return
             self.shift(rows)
-            self.low[rows] = (self.low[rows] << 8) & _MASK
-            self.width[rows] = (self.width[rows] << 8) & _MASK
+            width = self.width.take(rows) << 16
+            self.width[rows] = width
+            if width.min() >= _FLOOR:
+                return
+            rows = rows[width < _FLOOR]
 
     def shift(self, rows: np.ndarray) -> None:
         raise NotImplementedError
 
+    def symbol(self, ends: np.ndarray, at: np.ndarray, value: np.ndarray | None, width: np.ndarray | None = None, place: np.ndarray | None = None):
+        """A half, its start, its count and the total by the running counts at rows ``at``.
+
+        Without a value, it is that at ``place`` of ``width``, and instead of the total comes the width of one count.
+        """
+        rows = ends.take(at)
+        flat = rows.view(np.uint16)
+        table = flat.reshape(-1, 17)
+        part = table[:, 16].astype(np.int64)
+        if value is None:
+            part = width // part
+            below = table[:, 1:] <= np.minimum(place // part, 65535).astype(np.uint16)[:, None]
+            ones = np.bitwise_count(below.view(np.uint64))
+            value = np.minimum(ones[:, 0] + ones[:, 1], 15).astype(np.int64)
+        cell = _CELLS[:len(at)] + value
+        start = flat.take(cell).astype(np.int64)
+        count = flat.take(cell + 1) - start
+        flat += _STEP.take(value).view(np.uint16)
+        if count.max() > _MOST - 32:
+            full = (count > _MOST - 32).nonzero()[0]
+            table[full] = table[full] + _ONES >> 1  # halves all counts; none gets below 1
+        ends[at] = rows
+        return value, start, count, part
 
 class _Writer(_Coder):
+    """Words are put down with their carries, which ``finish`` adds up."""
+
     def __init__(self, n: int, ids: int):
         super().__init__(n)
-        self.out, self.size = np.zeros((n, 4 * ids + 64), np.uint8), np.zeros(n, np.int64)
+        self.low, self.final = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.room = 4 * ids + 8
+        self.out = np.zeros(self.room * n, np.int32)
+
+    def keep(self, n: int) -> None:
+        super().keep(n)
+        self.final[n:len(self.low)], self.low = self.low[n:], self.low[:n]
 
     def shift(self, rows: np.ndarray) -> None:
-        if int(self.size[rows].max()) >= self.out.shape[1]:
-            self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
-        self.out[rows, self.size[rows]] = self.low[rows] >> 24
-        self.size[rows] += 1
-
-    def bit(self, rows: np.ndarray, p: np.ndarray, bit: np.ndarray) -> np.ndarray:
-        bound = (self.width[rows] >> 16) * p
-        self.narrow(rows, np.where(bit, 0, bound), np.where(bit, bound, self.width[rows] - bound))
+        size, low = self.size.take(rows), self.low.take(rows)
+        self.out[rows * self.room + size] = low >> _BITS - 16
+        self.size[rows] = size + 1
+        self.low[rows] = (low & _FLOOR - 1) << 16
+
+    def bit(self, p: np.ndarray, bit: np.ndarray) -> np.ndarray:
+        bound = (self.width >> 16) * p
+        self.low = self.low + np.where(bit, 0, bound)
+        self.width = np.where(bit, bound, self.width - bound)
         return bit
 
-    def symbol(self, rows: np.ndarray, counts: np.ndarray, value: np.ndarray) -> np.ndarray:
-        ends = np.cumsum(counts, axis=1)
-        at = np.arange(len(rows))
-        part = self.width[rows] // ends[:, -1]
-        self.narrow(rows, part * (ends[at, value] - counts[at, value]), part * counts[at, value])
-        return value
+    def some_bit(self, rows: np.ndarray, p: np.ndarray, bit: np.ndarray) -> np.ndarray:
+        width = self.width.take(rows)
+        bound = (width >> 16) * p
+        self.low[rows] = self.low.take(rows) + np.where(bit, 0, bound)
+        self.width[rows] = np.where(bit, bound, width - bound)
+        return bit
 
-    def byte(self, rows: np.ndarray, value: np.ndarray) -> np.ndarray:
-        part = self.width[rows] >> 8
-        self.narrow(rows, part * value, part)
-        return value
+    def literal(self, rows: np.ndarray, model: _Model, ids: np.ndarray) -> np.ndarray:
+        n, width, base, high = len(rows), self.width.take(rows), model.row_base.take(rows), ids >> 12
+        _, start, count, total = self.symbol(model.ends, np.concatenate([base, base + high + 1]), np.concatenate([high, ids >> 8 & 15]))
+        low = self.low.take(rows)
+        for half in (slice(n), slice(n, None)):
+            width //= total[half]
+            low += width * start[half]
+            width *= count[half]
+        width >>= 8
+        self.low[rows] = low + width * (ids & 255)
+        self.width[rows] = width
+        return ids
 
     def finish(self) -> list[bytes]:
-        rows = np.arange(len(self.low))
-        for _ in range(4):
-            self.shift(rows)
-            self.low[rows] = (self.low[rows] << 8) & _MASK
-        return [self.out[i, :n].tobytes() for i, n in enumerate(self.size.tolist())]
+        self.keep(0)
+        rows = np.arange(self.lanes)
+        self.out[rows * self.room + self.size] = self.final + _FLOOR - 1 >> _BITS - 16  # the rest of the word and all after it may be zero
+        self.size += 1
+        words = np.ascontiguousarray(self.out.reshape(-1, self.room)[:, :int(self.size.max(initial=0))].T)
+        for k in range(len(words) - 1, 0, -1):
+            words[k - 1] += words[k] >> 16
+        data = np.ascontiguousarray(words.T).astype(">u2")
+        return [data[i, :n].tobytes() for i, n in enumerate(self.size.tolist())]
 
 
 class _Reader(_Coder):
+    """``code``: how far the read words are above the interval's low end."""
+
     def __init__(self, payloads: list[bytes]):
-        super().__init__(len(payloads))
-        size = max(map(len, payloads), default=0) + 8
-        self.data = np.zeros((len(payloads), size), np.uint8)
+        n = len(payloads)
+        super().__init__(n)
+        words = np.zeros((n, max((len(x) for x in payloads), default=0) // 2 + 8), np.uint32)
         for i, x in enumerate(payloads):
-            self.data[i, :len(x)] = np.frombuffer(x, np.uint8)
-        self.code, self.size = np.zeros(len(payloads), np.int64), np.zeros(len(payloads), np.int64)
-        for _ in range(4):
-            self.shift(np.arange(len(payloads)))
+            words[i, :len(x) // 2] = np.frombuffer(x, ">u2")
+        short = 64 - _BITS  # bits that the fourth word has more than the interval
+        self.code = np.zeros(n, np.int64)
+        for k in range(4):
+            self.code = self.code << (16 if k < 3 else 16 - short) | words[:, k] >> (0 if k < 3 else short)
+        self.data = (words[:, 3:-1] << 16 | words[:, 4:]) >> short & 0xFFFF
+        self.data, self.room = self.data.astype(np.uint16).reshape(-1), self.data.shape[1]
+
+    def keep(self, n: int) -> None:
+        super().keep(n)
+        self.code = self.code[:n]
 
     def shift(self, rows: np.ndarray) -> None:
-        at = np.minimum(self.size[rows], self.data.shape[1] - 1)
-        self.code[rows] = (self.code[rows] << 8) & _MASK | self.data[rows, at]
-        self.size[rows] += 1
-
-    def bit(self, rows: np.ndarray, p: np.ndarray, _: np.ndarray | None) -> np.ndarray:
-        bound = (self.width[rows] >> 16) * p
-        bit = ((self.code[rows] - self.low[rows]) & _MASK) < bound
-        self.narrow(rows, np.where(bit, 0, bound), np.where(bit, bound, self.width[rows] - bound))
+        size = self.size.take(rows)
+        self.code[rows] = self.code.take(rows) << 16 | self.data.take(rows * self.room + size, mode="clip")
+        self.size[rows] = size + 1
+
+    def bit(self, p: np.ndarray, _: np.ndarray | None) -> np.ndarray:
+        bound = (self.width >> 16) * p
+        bit = self.code < bound
+        self.code = np.where(bit, self.code, self.code - bound)
+        self.width = np.where(bit, bound, self.width - bound)
         return bit
 
-    def symbol(self, rows: np.ndarray, counts: np.ndarray, _: np.ndarray | None) -> np.ndarray:
-        ends = np.cumsum(counts, axis=1)
-        at = np.arange(len(rows))
-        part = self.width[rows] // ends[:, -1]
-        place = ((self.code[rows] - self.low[rows]) & _MASK) // part
-        value = np.minimum((ends <= place[:, None]).sum(axis=1), counts.shape[1] - 1)
-        self.narrow(rows, part * (ends[at, value] - counts[at, value]), part * counts[at, value])
-        return value
+    def some_bit(self, rows: np.ndarray, p: np.ndarray, _: np.ndarray | None) -> np.ndarray:
+        width, code = self.width.take(rows), self.code.take(rows)
+        bound = (width >> 16) * p
+        bit = code < bound
+        self.code[rows] = np.where(bit, code, code - bound)
+        self.width[rows] = np.where(bit, bound, width - bound)
+        return bit
 
-    def byte(self, rows: np.ndarray, _: np.ndarray | None) -> np.ndarray:
-        part = self.width[rows] >> 8
-        value = np.minimum(((self.code[rows] - self.low[rows]) & _MASK) // part, 255)
-        self.narrow(rows, part * value, part)
-        return value
+    def literal(self, rows: np.ndarray, model: _Model, _: np.ndarray | None) -> np.ndarray:
+        width, code, at, ids = self.width.take(rows), self.code.take(rows), model.row_base.take(rows), 0
+        for _ in range(2):
+            half, start, count, part = self.symbol(model.ends, at, None, width, code)
+            code -= part * start
+            width = part * count
+            at, ids = at + half + 1, ids << 4 | half
+        width >>= 8
+        last = np.minimum(code // width, 255)
+        self.code[rows] = code - last * width
+        self.width[rows] = width
+        return ids << 8 | last
 
 
 def _run(coder: _Writer | _Reader, sizes: np.ndarray, ids: np.ndarray) -> None:
-    """One id of each lane after the other; ``ids`` (lane, position) is read by a writer, filled by a reader."""
+    """One id of each lane after the other; ``ids`` (position, lane) is read by a writer, filled by a reader."""
     writing, model = isinstance(coder, _Writer), _Model(len(sizes))
     active = np.searchsorted(-sizes, -np.arange(1, (int(sizes[0]) if len(sizes) else 0) + 1), "right")
+    lanes = len(sizes)
     for t, n in enumerate(active.tolist()):
-        model.predict(n)
-        rows, ids_t = model.rows, ids[:n, t]
-        hit = coder.bit(rows, model.p, ids_t == model.first_guess)
+        if n < lanes:
+            lanes = n
+            model.keep(n)
+            coder.keep(n)
+        model.predict()
+        now = ids[t, :n].astype(np.int32) if writing else None
+        hit = coder.bit(model.p, now == model.first_guess if writing else None)
         model.learn_flag(hit)
         if not writing:
-            ids_t = np.where(hit, model.first_guess, 0)
-        rest = rows[~hit]
-        asked = rest[(model.second_guess[rest] != model.first_guess[rest]) & (model.c1[rest] > 0)]
+            now = model.first_guess.copy()
+        rest = ~hit
+        asked = (rest > model.same).nonzero()[0]
         if len(asked):
-            slot = model.c1[asked]
-            hit = coder.bit(asked, model.alone[asked, slot], ids_t[asked] == model.second_guess[asked])
-            _move(model.alone, asked, slot, np.where(hit, 65535, 0))
+            known, slot = model.known[0].take(asked), model.alone_base.take(asked)
+            guess, slot = known >> 6, slot + (known & 63)
+            p = model.alone.take(slot)
+            hit = coder.some_bit(asked, p, now.take(asked) == guess if writing else None)
+            model.alone[slot] = _moved(p, hit)
+            found = asked[hit]
+            rest[found] = False
             if not writing:
-                ids_t[asked] = np.where(hit, model.second_guess[asked], 0)
-            missed = np.ones(n, bool)
-            missed[asked[hit]] = False
-            rest = rest[missed[rest]]
+                now[found] = guess[hit]
+        coder.settle(_LEAST)
+        rest = rest.nonzero()[0]
         if len(rest):
-            high = ids_t[rest] >> 12
-            high = coder.symbol(rest, model.counts[rest, 0], high)
-            model.count(rest, 0, high)
-            half = coder.symbol(rest, model.counts[rest, high + 1], ids_t[rest] >> 8 & 15)
-            model.count(rest, high + 1, half)
-            low = coder.byte(rest, ids_t[rest] & 255)
+            known = coder.literal(rest, model, now.take(rest).astype(np.int64) if writing else None)
             if not writing:
-                ids_t[rest] = high << 12 | half << 8 | low
+                now[rest] = known
+        coder.settle()
         if not writing:
-            ids[:n, t] = ids_t
-        model.learn_id(ids_t)
+            ids[t, :n] = now
+        model.learn_id(now)
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
@@ -223,11 +297,11 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
     for k in range(0, len(order), LANES):
         some = order[k:k + LANES]
         sizes = np.array([len(blocks[i]) for i in some])
-        ids = np.zeros((len(some), int(sizes[0])), np.int64)
+        ids = np.zeros((len(some), int(sizes[0])), np.uint16)
         for row, i in enumerate(some):
             ids[row, :len(blocks[i])] = blocks[i]
         coder = _Writer(len(some), int(sizes[0]))
-        _run(coder, sizes, ids)
+        _run(coder, sizes, np.ascontiguousarray(ids.T))
         for i, code in zip(some, coder.finish()):
             out[i] = code
     return out
@@ -235,13 +309,14 @@ def encode(blocks: list[np.ndarray]) -> list[bytes]:
 
 def decode(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     """The ids of each block from its code and length."""
-    out = [np.zeros(0, np.int64)] * len(payloads)
+    out = [np.zeros(0, np.uint16)] * len(payloads)
     order = sorted((i for i in range(len(payloads)) if sizes[i]), key=lambda i: -sizes[i])
     for k in range(0, len(order), LANES):
         some = order[k:k + LANES]
         lengths = np.array([sizes[i] for i in some])
-        ids = np.zeros((len(some), int(lengths[0])), np.int64)
+        ids = np.zeros((int(lengths[0]), len(some)), np.uint16)
         _run(_Reader([payloads[i] for i in some]), lengths, ids)
+        ids = np.ascontiguousarray(ids.T)
         for row, i in enumerate(some):
             out[i] = ids[row, :sizes[i]]
     return out

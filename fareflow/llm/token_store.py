@@ -7,12 +7,15 @@ ascending ranges of ids. Any segment, and within it any block, can be read alone
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -23,12 +26,24 @@ from fareflow.operators.joins import small_side
 from fareflow.session import fresh_path
 
 END_ID = 1
+_END = np.array([END_ID], "<u2").tobytes()
 #: Ids in a segment, unless one document has more.
 SEGMENT_IDS = 1 << 16
 #: Ids that a worker codes at once.
-HELD_IDS = 4 << 20
+HELD_IDS = 8 << 20
 #: Words whose ids a worker remembers; beyond, it starts to remember anew.
-MEMORY = 400_000
+MEMORY = 1 << 20
+#: Bytes of text encoded at once.
+SLICE = 8 << 20
+
+# What lets words be parted without the library: its steps before the pairs are merged, and words that they treat as ``_PIECE`` does.
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+").fullmatch
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\n]+|\n").findall
 
 _tokenizers: dict[int, WordTokenizer] = {}
 
@@ -37,26 +52,81 @@ class WordTokenizer:
     """Encodes each distinct stretch without ASCII white space once.
 
     That gives the ids of the whole text for tokenizers that drop white space and never join what it parts.
+    If the tokenizer also lower-cases, parts letters, digits and other characters and marks the end of each such piece,
+    words of ASCII and common Latin letters are parted here, and the library encodes each distinct piece once.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
-        self.tokenizer, self.known = Tokenizer.from_str(definition), {}
+        self.tokenizer, self.pieces, self.known, self.stored = Tokenizer.from_str(definition), None, {}, {}
         if self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
             raise ValueError("ids of more than 16 bits")
+        parts = json.loads(definition)
+        if parts["normalizer"] == _NORMALIZER and parts["pre_tokenizer"] == _PRE_TOKENIZER and parts["model"].get("end_of_word_suffix") == "</w>":
+            split = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, _PRE_TOKENIZER["pretokenizers"][1]]}
+            self.pieces = Tokenizer.from_str(json.dumps(parts | {"normalizer": None, "pre_tokenizer": split, "added_tokens": []}))
+            self.last = np.zeros(1 << 16, bool)
+            self.last[[i for token, i in self.pieces.get_vocab().items() if token.endswith("</w>")]] = True
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids with ``END_ID`` behind each text, and how many each text has."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words, ends = split.flatten().dictionary_encode(), np.cumsum(split.value_lengths().to_numpy())
+        distinct = _strings(words.dictionary)
+        self._learn(distinct)
+        flat, to = _spread([*map(self.known.__getitem__, distinct), _END], np.insert(words.indices.to_numpy(), ends, len(distinct)))
+        return flat, np.diff(to.take(ends + np.arange(len(ends))), prepend=0)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.encode().split() for t in texts]
-        fresh = list({w for words in split for w in words if w not in self.known})
-        if len(self.known) + len(fresh) > MEMORY:
-            self.known, fresh = {}, list({w for words in split for w in words})
-        for k in range(0, len(fresh), 1 << 14):
-            some = fresh[k:k + (1 << 14)]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, "<u2").tobytes()
+    def _learn(self, words: list[str]) -> None:
         known = self.known
-        return [np.frombuffer(b"".join([known[w] for w in words]), "<u2") for words in split]
+        fresh = [w for w in words if w not in known]
+        if len(known) + len(fresh) > MEMORY:
+            self.known = known = {w: known[w] for w in words if w in known}
+        if self.pieces:
+            plain = [_PLAIN(w) is not None and "<|" not in w for w in fresh]
+            whole = [w for w, p in zip(fresh, plain) if not p]
+            self._part([w for w, p in zip(fresh, plain) if p])
+        else:
+            whole = fresh
+        for k in range(0, len(whole), 1 << 14):
+            some = whole[k:k + (1 << 14)]
+            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                known[w] = np.array(e.ids, "<u2").tobytes()
+
+    def _part(self, words: list[str]) -> None:
+        """Learn words from their pieces."""
+        pieces = pa.array(_PIECE("\n".join([*words, ""]).lower())).dictionary_encode()
+        distinct, stored = _strings(pieces.dictionary), self.stored
+        if len(stored) > MEMORY:
+            stored.clear()
+        stored["\n"] = b""
+        fresh = [p for p in distinct if p not in stored]
+        for k in range(0, len(fresh), 1 << 10):
+            some = fresh[k:k + (1 << 10)]
+            ids = np.array(self.pieces.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u2")
+            ends = (2 * self.last[ids].nonzero()[0] + 2).tolist()
+            raw = ids.tobytes()
+            stored.update(zip(some, [raw[a:b] for a, b in zip([0, *ends], ends)], strict=True))
+        at = pieces.indices.to_numpy()
+        flat, to = _spread([*map(stored.__getitem__, distinct)], at)
+        raw = flat.tobytes()
+        ends = (2 * to[at == distinct.index("\n")]).tolist() if words else []
+        self.known.update(zip(words, [raw[a:b] for a, b in zip([0, *ends], ends)], strict=True))
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _spread(parts: list[bytes], order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of ``parts`` in that order, and where each ends."""
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) >> 1
+    size, first = sizes.take(order), (np.cumsum(sizes) - sizes).take(order)
+    to = np.cumsum(size)
+    at = np.repeat(first - to + size, size)
+    at += np.arange(len(at))
+    return np.frombuffer(b"".join(parts), "<u2").take(at), to
 
 
 def _schema(kind: str) -> str:
@@ -108,10 +178,9 @@ def write(docs: DataFrame, tokenizer_file: str, path: str) -> None:
 
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            for a, b in row_slices(batch.column("text")):
-                texts = ["" if t is None else t for t in batch.column("text").slice(a, b - a).to_pylist()]
-                for name, ids in zip(batch.column("doc_id").slice(a, b - a).to_pylist(), tokenizer.encode(texts)):
-                    ids = np.append(ids, np.uint16(END_ID))
+            for a, b in row_slices(batch.column("text"), SLICE):
+                flat, lengths = tokenizer.encode(batch.column("text").slice(a, b - a))
+                for name, ids in zip(batch.column("doc_id").slice(a, b - a).to_pylist(), np.split(flat, np.cumsum(lengths)[:-1])):
                     if not segments or open_ + len(ids) > SEGMENT_IDS:
                         if held >= HELD_IDS:
                             yield coded()
@@ -133,7 +202,7 @@ def write(docs: DataFrame, tokenizer_file: str, path: str) -> None:
 
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        step = 64  # segments, of about 4 million ids
+        step = 128  # segments, of about 8 million ids
         for a in range(0, len(batch), step):
             rows = batch.slice(a, step).to_pylist()
             payloads = [p for r in rows for p in r["payloads"]]

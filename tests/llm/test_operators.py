@@ -1,10 +1,12 @@
 """Language, shards, pages, pieces, token files, scores and the pipeline on small tables."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -195,6 +197,57 @@ def test_coder_round_trip():
     assert len(codes[2]) < 40 and len(codes[1]) == 0
 
 
+def test_coder_round_trip_of_many_blocks():
+    rng = np.random.default_rng(1)
+    phrases = [rng.integers(0, 65536, 6) for _ in range(40)]
+    blocks = [rng.integers(0, 300, int(n)) for n in rng.integers(0, 40, range_coder.LANES + 50)]
+    blocks += [np.concatenate([phrases[k] for k in rng.integers(0, 40, 650)]) for _ in range(3)]  # predicted, and often wrongly
+    blocks += [np.arange(4096) % 16 * 4096, np.arange(4096) * 16 % 65536, np.concatenate([np.full(4000, 5), rng.integers(0, 65536, 96)])]
+    codes = range_coder.encode(blocks)
+    assert all((a == b).all() for a, b in zip(blocks, range_coder.decode(codes, [len(b) for b in blocks])))
+    assert all(len(c) < 2 * len(b) for b, c in zip(blocks[-6:-3], codes[-6:-3]))
+
+
+def test_blocks_are_read_beside_others_than_when_coded():
+    rng = np.random.default_rng(2)
+    blocks = [np.where(rng.random(600) < 0.95, 7, rng.integers(0, 65536, 600)) for _ in range(300)]
+    codes = range_coder.encode(blocks)
+    for some in (slice(0, 300, 7), slice(5, 6), slice(200, 300)):
+        back = range_coder.decode(codes[some], [600] * len(codes[some]))
+        assert all((a == b).all() for a, b in zip(blocks[some], back))
+
+
+def test_each_piece_is_encoded_once():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        words, asked = token_store.WordTokenizer(f.read()), []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(p for t in texts for p in t.split())
+            return self.inner.encode_batch_fast(texts, **options)
+
+    words.tokenizer, words.pieces = Counted(words.tokenizer), Counted(words.pieces)
+    ids, lengths = words.encode(pa.array(["Über über, ÜBER. don't", None, "日本 don't日本 <|endoftext|>"]))
+    words.encode(pa.array(["(über) don 't 日本"]))
+    assert sorted(asked) == sorted(["über", ",", ".", "don", "'t", "日本", "don't日本", "<|endoftext|>", "(", ")"])
+    assert lengths.tolist()[1] == 1 and len(ids) == lengths.sum()
+
+
+def test_words_have_the_ids_of_the_library():
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(0)
+    with open(path, encoding="utf-8") as f:
+        words = token_store.WordTokenizer(f.read())
+    letters = "abzABZ09'’\".,-<|>_ſßÿ×÷µªÀÖØöøŸéẞİıΣσςǅ́̈日🎉²½١ \t\n\r\x0b\x0c\x1c\x7f\x00\x85\xa0\u2003strevmld"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    texts += [f"{chr(c)}a{chr(c)} {chr(c).upper()}'{chr(c)}9" for c in range(1, 0x500)]
+    ids, lengths = words.encode(pa.array(texts))
+    want = [e.ids + [token_store.END_ID] for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert lengths.tolist() == list(map(len, want)) and ids.tolist() == [i for x in want for i in x]
+
+
 def test_files_hold_all_ids_in_order(spark, docs, tmp_path):
     path = public_tokenizers.path("word_bpe_49k.json")
     odd = [(-3, None), (-2, ""), (-1, "Ünïcode ſ <|endoftext|> don't ́x\t日本 🎉"), (None, "no id"), (10**6, "again"), (10**6, "again"), (10**6 + 1, "w " * 70000)]
